@@ -624,3 +624,47 @@ def unique_slugs(docs: DataFrame) -> DataFrame:
     own = F.col("source_idx") == F.col("first_idx")
     # concat_ws keeps the dash of an empty base, as the stored slugs do.
     return based.join(first, "base").select("page_id", "base", F.when(own, F.col("base")).otherwise(suffixed).alias("slug"))
+
+
+def translation_messages(plan: HierarchyPlan) -> DataFrame:
+    """Message keys per non-English locale. English categories define the keys; a locale
+    without a label of its own shows the English one."""
+    cats = plan.categories
+    # Of several toggles in one slot the last one in replay order labels it.
+    slots = best_per_group(
+        cats,
+        ["locale", "section_dir", "toggle_dir"],
+        [-F.col("position"), -F.col("event_idx")],
+        ["label", "key"],
+    )
+    toggles_in_use = (
+        plan.routes.filter((F.col("locale") == "en") & (F.col("route_toggle") != ""))
+        .select(F.concat_ws("/", C.section_dir("canonical_section"), "route_toggle").alias("key"))
+        .distinct()
+    )
+    english = slots.filter(F.col("locale") == "en").drop("locale").withColumnRenamed("label", "en_label")
+    root_dir = C.section_dir(F.lit(fixed.UNCATEGORIZED))
+    sections = english.filter((F.col("toggle_dir") == "") & (F.col("section_dir") != root_dir))
+    toggles = english.filter("toggle_dir <> ''").join(toggles_in_use, "key", "left_semi")
+    keys = sections.unionByName(toggles.select(*sections.columns))
+    # Each key once per locale: the locales travel with the key as a one-row array of
+    # distinct codes, so no cross join is needed.
+    locales = cats.filter(F.col("locale") != "en").agg(F.collect_set("locale").alias("locales"))
+    locales = locales.withColumn("__one", F.lit(1))
+    wanted = keys.withColumn("__one", F.lit(1)).join(F.broadcast(locales), "__one").drop("__one")
+    wanted = wanted.select("*", F.explode("locales").alias("locale")).drop("locales")
+    own = slots.select("locale", "section_dir", "toggle_dir", "label")
+    labelled = wanted.join(own, ["locale", "section_dir", "toggle_dir"], "left")
+    key = F.concat(F.lit("sidebar.docsSidebar.category."), "key")
+    text = F.coalesce("label", "en_label")
+    both = F.array(key, F.concat(key, F.lit(".link.generated-index.title")))
+    rows = labelled.select("locale", F.explode(both).alias("message_key"), text.alias("message"))
+    version = locales.select(F.explode("locales").alias("locale")).select(
+        "locale", F.lit("version.label").alias("message_key"), F.lit("Latest").alias("message")
+    )
+    return rows.unionByName(version)
+
+
+def stale_locales(published: DataFrame, nav: DataFrame) -> DataFrame:
+    """Locales published earlier that no longer appear in the navigation."""
+    return published.select("locale").distinct().join(nav.select("locale").distinct(), "locale", "left_anti")

@@ -287,7 +287,7 @@ slug_map AS (
     UNION ALL SELECT {_slug('c.title')}, p.canonical_slug, 2, c.source_idx FROM corpus c JOIN published p USING (page_id)
     UNION ALL SELECT {_slug('p.canonical_slug')}, p.canonical_slug, 3, c.source_idx FROM corpus c JOIN published p USING (page_id))
   WHERE key <> '' QUALIFY row_number() OVER (PARTITION BY key ORDER BY pass, source_idx) = 1),
-id_map AS (SELECT replace(page_id, '-', '') AS key, canonical_slug FROM published),
+id_map AS (SELECT lpad(replace(page_id, '-', ''), 32, '0') AS key, canonical_slug FROM published),
 xl AS (
   SELECT page_id, locale, target, regexp_replace(trim(target), '^https?://(www\\.)?notion\\.so', '', 'i') AS t FROM xlinks),
 xl2 AS (
