@@ -427,11 +427,12 @@ class HierarchyPlan:
         keyed = cats.select("locale", folder.alias("section_dir"), label.alias("label"), "position", "canonical_section")
         # Two names with one folder share a category: the first name labels it, the last places it.
         first = F.struct("position", "canonical_section")
-        return keyed.groupBy("locale", "section_dir").agg(
+        cats = keyed.groupBy("locale", "section_dir").agg(
             F.min_by("label", first).alias("label"),
             F.max("position").alias("position"),
             F.min_by("canonical_section", first).alias("canonical_section"),
         )
+        return written(cats, "sections")
 
     @cached_property
     def toggle_categories(self) -> DataFrame:
@@ -457,7 +458,8 @@ class HierarchyPlan:
         used = self.routes.filter(F.col("route_toggle") != "").select(
             "locale", C.section_dir("canonical_section").alias("section_dir"), F.col("route_toggle").alias("toggle_dir")
         )
-        return self.toggle_categories.join(used.distinct(), ["locale", "section_dir", "toggle_dir"], "left_semi")
+        filled = self.toggle_categories.join(used.distinct(), ["locale", "section_dir", "toggle_dir"], "left_semi")
+        return written(filled, "toggles")
 
     @cached_property
     def categories(self) -> DataFrame:
