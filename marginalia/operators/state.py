@@ -27,8 +27,8 @@ def take_with_ties(feed: DataFrame, n: int) -> DataFrame:
 
     The cut is one value found by a bounded top-n, so no global order is built.
     """
-    cut = feed.select("edited_at").orderBy("edited_at").limit(n).agg(F.max("edited_at").alias("__cut"))
-    return feed.join(F.broadcast(cut), F.col("edited_at") <= F.col("__cut")).drop("__cut")
+    cut = feed.select("edited_at").orderBy("edited_at").limit(n).agg(F.max("edited_at").alias("cut"))
+    return feed.filter(F.col("edited_at") <= cut.scalar())
 
 
 def newest_per_page(events: DataFrame) -> DataFrame:
@@ -121,8 +121,7 @@ def orphans(present: DataFrame, written: DataFrame) -> DataFrame:
 
 def latest_version(versions: DataFrame, column: str) -> DataFrame:
     """Rows of the newest version; no rows when nothing was published."""
-    newest = versions.agg(F.max(column).alias("__v"))
-    return versions.join(F.broadcast(newest), F.col(column) == F.col("__v")).drop("__v")
+    return versions.filter(F.col(column) == versions.agg(F.max(column).alias("v")).scalar())
 
 
 def job_rollup(jobs: DataFrame) -> DataFrame:

@@ -325,7 +325,7 @@ def language_source(spark, folder):
 
 
 STATUS_LABEL = (
-    "CASE doc_id % 9 WHEN 0 THEN concat('X ', publish_status, ' (old)') WHEN 1 THEN 'X - Depreciated' WHEN 2 THEN 'Page deleted' "
+    "CASE doc_id % 9 WHEN 0 THEN 'X ' || publish_status || ' (old)' WHEN 1 THEN 'X - Depreciated' WHEN 2 THEN 'Page deleted' "
     "WHEN 3 THEN 'Editing' WHEN 4 THEN '  REMOVE ' WHEN 5 THEN 'pre-publish' ELSE publish_status END"
 )
 

@@ -24,7 +24,7 @@ def connect(folder: str):
 
 
 def _plain(v):
-    if v is None or v is pd.NaT or (isinstance(v, float) and v != v):
+    if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and v != v):
         return "∅"
     if hasattr(v, "isoformat"):
         return pd.Timestamp(v).tz_localize(None).isoformat()
