@@ -150,7 +150,6 @@ RETRYABLE = ("network", "timeout", "rate_limit", "http_5xx")
 # --- fixed values: chunk sizes in estimated tokens ------------------------------------
 CHUNK_MIN = 400
 CHUNK_MAX = 800
-CHUNK_MERGE_MAX = 960
 OVERLAP_TARGET = 100
 OVERLAP_FLOOR = 80
 OVERLAP_MAX = 120
