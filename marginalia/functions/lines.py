@@ -125,7 +125,7 @@ def paragraph_units(lines: Column) -> Column:
     and its first line, and emits spans.
     """
     def step(a: Column, l: Column) -> Column:
-        fence, table, blank = l.startswith(FENCE), l.startswith("|"), F.trim(l).rlike(r"^\s*$")
+        fence, table, blank = l.startswith(FENCE), l.startswith("|"), l.rlike(r"^\s*$")
         kind, i = a["kind"], a["i"]
         in_block = kind == 3
         same = F.when(table, kind == 2).otherwise(kind == 1)

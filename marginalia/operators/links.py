@@ -71,3 +71,32 @@ def broken_links(resolved: DataFrame) -> DataFrame:
         .groupBy("target")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+
+
+_MARK = "\u0001"
+_LINK = r"(?<!!)\[[^\]]*\]\(([^)]+)\)"
+
+
+def rewrite_links(docs: DataFrame, slugs: DataFrame, ids: DataFrame, key: str = "page_id", text: str = "body") -> DataFrame:
+    """Internal links of each document rewritten to published routes; images, external
+    and unknown targets stay.
+
+    Targets travel to the lookup, not texts; a document gets the map of its own resolved
+    targets back and replaces inside its row. Needs ``locale``.
+    """
+    targets = F.array_distinct(F.regexp_extract_all(text, F.lit(_LINK), 1))
+    links = docs.select(key, "locale", F.explode(targets).alias("target"))
+    found = resolve_links(links, slugs, ids).filter("resolved IS NOT NULL")
+    # A document's own distinct targets, no more than its text already holds.
+    routes = F.map_from_entries(F.collect_list(F.struct("target", "resolved"))).alias("__routes")
+    rows = docs.join(found.groupBy(key).agg(routes), key, "left")
+    parts = F.split(F.regexp_replace(F.col(text), f"({_LINK})", f"{_MARK}$1{_MARK}"), _MARK)
+
+    def rewritten(part: Column, i: Column) -> Column:
+        target = F.regexp_extract(part, r"\]\(([^)]+)\)$", 1)
+        route = F.try_element_at("__routes", target)
+        link = F.concat(F.regexp_extract(part, r"^(\[[^\]]*\]\()", 1), route, F.lit(")"))
+        return F.when((i % 2 == 1) & route.isNotNull(), link).otherwise(part)
+
+    new = F.when(F.col("__routes").isNull(), F.col(text)).otherwise(F.array_join(F.transform(parts, rewritten), ""))
+    return rows.withColumn(text, new).drop("__routes")
