@@ -75,8 +75,6 @@ SELECT event_id, CASE WHEN raw IS NULL THEN 'read_error' WHEN NOT json_valid(raw
   CASE WHEN json_valid(raw) THEN TRY_CAST(json_extract_string(raw, '$.k') AS BIGINT) END AS k FROM blobs""",
 )
 def metadata_scan(spark, folder):
-    from pyspark.sql.types import StructType
-
     blobs = T.table(spark, folder, "events").select(
         "event_id",
         F.expr(
@@ -84,7 +82,7 @@ def metadata_scan(spark, folder):
             "WHEN event_id % 83 = 0 THEN '{\"k\": \"x\"}' WHEN event_id % 79 = 0 THEN '{\"other\": 1}' ELSE props END"
         ).alias("raw"),
     )
-    found = scans.scan_metadata(blobs, StructType.fromDDL("k bigint"), ("k",))
+    found = scans.scan_metadata(blobs, "k bigint", ("k",))
     return found.select("event_id", "outcome", F.col("meta.k").alias("k"))
 
 

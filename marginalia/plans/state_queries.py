@@ -30,14 +30,18 @@ def with_state(body: str) -> str:
     return f"WITH {ctes.STATE}\n{body}"
 
 
-WATERMARK = F.lit(T.CUTOFF).cast("timestamp")
+
+def watermark():
+    return F.lit(T.CUTOFF).cast("timestamp")
+
+
 SINCE = "edited_at > TIMESTAMP '2024-01-14 23:59:00'"
 TICK = 50
 
 
 @query("changed_since", with_state(f"SELECT event_id, page_id, edited_at FROM sync_events WHERE {SINCE} AND kind <> 'failed'"))
 def changed_since(spark, folder):
-    e = S.changed_since(T.sync_events(spark, folder), WATERMARK)
+    e = S.changed_since(T.sync_events(spark, folder), watermark())
     return e.filter("kind <> 'failed'").select("event_id", "page_id", "edited_at")
 
 
@@ -54,7 +58,7 @@ def recent_pages(spark, folder):
 
 @query("oldest_first_feed", with_state(f"SELECT page_id, edited_at, event_id FROM sync_events WHERE {SINCE} ORDER BY edited_at, event_id"))
 def oldest_first_feed(spark, folder):
-    e = S.changed_since(T.sync_events(spark, folder), WATERMARK).select("page_id", "edited_at", "event_id")
+    e = S.changed_since(T.sync_events(spark, folder), watermark()).select("page_id", "edited_at", "event_id")
     return e.orderBy("edited_at", "event_id")
 
 
@@ -63,7 +67,7 @@ def oldest_first_feed(spark, folder):
     with_state(f"SELECT event_id, page_id, edited_at FROM sync_events WHERE {SINCE} QUALIFY rank() OVER (ORDER BY edited_at) <= {TICK}"),
 )
 def take_n_with_ties(spark, folder):
-    e = S.changed_since(T.sync_events(spark, folder), WATERMARK)
+    e = S.changed_since(T.sync_events(spark, folder), watermark())
     return S.take_with_ties(e, TICK).select("event_id", "page_id", "edited_at")
 
 
@@ -95,9 +99,9 @@ def candidate_dedupe(spark, folder):
     ),
 )
 def max_watermark(spark, folder):
-    batch = S.changed_since(T.sync_events(spark, folder), WATERMARK)
-    moved = S.advance_watermark(batch, WATERMARK).withColumn("source", F.lit("batch"))
-    kept = S.advance_watermark(batch.filter("page_id IS NULL"), WATERMARK).withColumn("source", F.lit("empty"))
+    batch = S.changed_since(T.sync_events(spark, folder), watermark())
+    moved = S.advance_watermark(batch, watermark()).withColumn("source", F.lit("batch"))
+    kept = S.advance_watermark(batch.filter("page_id IS NULL"), watermark()).withColumn("source", F.lit("empty"))
     return moved.unionByName(kept)
 
 
@@ -224,8 +228,8 @@ def classify_failures(events):
 @query("failure_log", with_state(f"SELECT event_id, page_id, ts FROM sync_events WHERE kind = 'failed' AND (ts < TIMESTAMP '{T.CUTOFF}' OR k % 2 = 0)"))
 def failure_log(spark, folder):
     failed = T.sync_events(spark, folder).filter("kind = 'failed'")
-    earlier = failed.filter(F.col("ts") < WATERMARK).select("event_id", "page_id", "ts")
-    new = failed.filter((F.col("ts") >= WATERMARK) & (F.col("k") % 2 == 0)).select("event_id", "page_id", "ts")
+    earlier = failed.filter(F.col("ts") < watermark()).select("event_id", "page_id", "ts")
+    new = failed.filter((F.col("ts") >= watermark()) & (F.col("k") % 2 == 0)).select("event_id", "page_id", "ts")
     return sinks.merge_failures(earlier, new)
 
 
@@ -297,7 +301,7 @@ def job_rows(e):
     ),
 )
 def incremental_candidates(spark, folder):
-    tick = SF.tick_candidates(T.sync_events(spark, folder), T.stored_state(spark, folder), WATERMARK, TICK)
+    tick = SF.tick_candidates(T.sync_events(spark, folder), T.stored_state(spark, folder), watermark(), TICK)
     return tick.select("event_id", "page_id", "edited_at")
 
 
@@ -324,7 +328,7 @@ UNION ALL SELECT max(edited_at), count(*), max(edited_at) > TIMESTAMP '2024-03-0
 )
 def dirty_rebuild(spark, folder):
     changes = T.sync_events(spark, folder).filter("kind <> 'failed'").withColumnRenamed("edited_at", "changed_at")
-    after = S.rebuild_needed(changes, WATERMARK).withColumn("run", F.lit("after"))
+    after = S.rebuild_needed(changes, watermark()).withColumn("run", F.lit("after"))
     quiet = S.rebuild_needed(changes, F.lit("2024-03-01 00:00:00").cast("timestamp")).withColumn("run", F.lit("quiet"))
     return after.unionByName(quiet)
 
@@ -334,7 +338,7 @@ def dirty_rebuild(spark, folder):
     with_state(f"SELECT kind, count(*) AS n FROM sync_events WHERE NOT ({SINCE}) GROUP BY kind"),
 )
 def late_events(spark, folder):
-    return SF.late_events(T.sync_events(spark, folder), WATERMARK)
+    return SF.late_events(T.sync_events(spark, folder), watermark())
 
 
 @query(

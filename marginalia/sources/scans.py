@@ -4,25 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as Ty
 
 from ..functions import columns as C
 
-METADATA_SCHEMA = Ty.StructType.fromDDL(
-    """page_id string, title string, source_url string, notion_last_edited_time string,
+METADATA_SCHEMA = """page_id string, title string, source_url string, notion_last_edited_time string,
     content_hash string, raw_hash string, locale string, section string, section_order int,
     slug string, docusaurus_id string, status string, keywords array<string>, tags array<string>,
     icon string, published_date string, element_type string, drafting_status string,
     sub_items array<string>, language_source string,
     assets array<struct<original_url: string, r2_key: string, sha256: string, mime_type: string>>"""
-)
 REQUIRED = (
     "page_id", "title", "source_url", "notion_last_edited_time", "content_hash", "raw_hash",
     "locale", "slug", "docusaurus_id", "status", "assets",
 )
 
 
-def scan_metadata(blobs: DataFrame, schema: Ty.StructType, required: tuple[str, ...], raw: str = "raw") -> DataFrame:
+def scan_metadata(blobs: DataFrame, schema: str, required: tuple[str, ...], raw: str = "raw") -> DataFrame:
     """Parse JSON blobs in one pass and label each row page, skipped or read_error.
 
     A missing blob is a read error (transient); malformed JSON and rows that break the
@@ -30,7 +27,7 @@ def scan_metadata(blobs: DataFrame, schema: Ty.StructType, required: tuple[str,
     """
     broken = "__broken"
     parsed = F.from_json(
-        raw, schema.add(broken, "string"), {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken}
+        raw, f"{schema}, {broken} string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken}
     )
     rows = blobs.withColumn("meta", parsed)
     complete = F.lit(True)
