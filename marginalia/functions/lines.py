@@ -59,7 +59,8 @@ _PUSHED = (
     "concat(filter(a.stack, h -> h.level < " + _LEVEL + "), array(named_struct('level', "
     + _LEVEL + ", 'title', " + clean_heading(r"trim(regexp_extract(l, '^(#{1,6})\\s+(.+)', 2))") + ")))"
 )
-_IS_HEADING = r"(NOT a.open AND l rlike '^#{1,6}\\s+.+')"
+# The prefix test spares most lines the pattern.
+_IS_HEADING = r"(NOT a.open AND startswith(l, '#') AND l rlike '^#{1,6}\\s+.+')"
 
 
 def heading_stacks(lines: str = "lines") -> Column:
@@ -112,10 +113,12 @@ def sections(lines: str = "lines") -> Column:
     return F.filter(cut, lambda s: (s["text"] != "") | (F.size(s["path"]) > 0))
 
 
+# White space of every kind, the non-breaking and wide blanks included (fixed values).
+SPACE = " \t\n\x0b\x0c\r\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
+
+
 def trimmed(text: Column) -> Column:
-    """Trim white space of any kind, the non-breaking and wide blanks included."""
-    space = r"[\s   -     　﻿]+"
-    return F.regexp_replace(text, f"^{space}|{space}$", "")
+    return F.trim(text, F.lit(SPACE))
 
 
 def paragraph_units(lines: Column) -> Column:

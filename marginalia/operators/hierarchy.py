@@ -56,7 +56,6 @@ class HierarchyPlan:
         self.spark = docs.sparkSession
         self.include_drafts = include_drafts
         self.labels = section_labels(self.spark, labels)
-        # Read by nearly every step below; written once so that texts are scanned once.
         docs = docs.select(*self.DOC).withColumns(
             {
                 "locale": C.normalize_locale("locale"),
@@ -67,20 +66,39 @@ class HierarchyPlan:
                 "has_body": F.coalesce("has_body", F.lit(False)),
             }
         )
-        self.docs = written(docs, "docs")
+        docs = docs.withColumn("internal_title", C.is_internal_title("title", "page_id"))
+        # Written once, so that texts behind the catalog are scanned once.
+        self.docs = written(self._with_roles(written(docs, "docs")), "catalog")
 
     # -- who belongs where --------------------------------------------------------
 
-    @cached_property
-    def internal_ids(self) -> DataFrame:
-        """Pages with an internal title, and everything listed under them."""
-        flagged = self.docs.filter(C.is_internal_title("title", "page_id"))
-        listed = flagged.select(F.explode("sub_items").alias("page_id"))
-        return flagged.select("page_id").unionByName(listed).distinct()
+    @staticmethod
+    def _with_roles(docs: DataFrame) -> DataFrame:
+        """Add the role flags every later step filters by.
+
+        internal: the title is internal, or an internal page lists this page. listed: a
+        page that is not internal lists it. foreign: one other than itself does.
+        """
+        flagged = docs.filter("internal_title")
+        internal = (
+            flagged.select("page_id")
+            .unionByName(flagged.select(F.explode("sub_items").alias("page_id")))
+            .distinct()
+            .withColumn("internal", F.lit(True))
+        )
+        docs = docs.join(internal, "page_id", "left").withColumn("internal", F.coalesce("internal", F.lit(False)))
+        listed = (
+            docs.filter(~F.col("internal"))
+            .select(F.col("page_id").alias("parent"), F.explode("sub_items").alias("page_id"))
+            .groupBy("page_id")
+            .agg(F.lit(True).alias("listed"), F.max(F.col("parent") != F.col("page_id")).alias("foreign"))
+        )
+        docs = docs.join(listed, "page_id", "left")
+        return docs.withColumns({f: F.coalesce(f, F.lit(False)) for f in ("listed", "foreign")}).drop("internal_title")
 
     @cached_property
     def visible(self) -> DataFrame:
-        return self.docs.join(self.internal_ids, "page_id", "left_anti")
+        return self.docs.filter(~F.col("internal"))
 
     @cached_property
     def parents(self) -> DataFrame:
@@ -93,26 +111,17 @@ class HierarchyPlan:
         )
 
     @cached_property
-    def claimed_ids(self) -> DataFrame:
-        listed = self.relations.select(F.col("child_id").alias("page_id"))
-        return self.parents.select("page_id").unionByName(listed).distinct()
-
-    @cached_property
-    def foreign_children(self) -> DataFrame:
-        """Pages listed under a page other than themselves."""
-        return (
-            self.relations.filter(F.col("child_id") != F.col("family_id"))
-            .select(F.col("child_id").alias("page_id"))
-            .distinct()
-        )
+    def unclaimed(self) -> DataFrame:
+        """Pages of no family, as parent or as child."""
+        return self.visible.filter((F.size("sub_items") == 0) & ~F.col("listed"))
 
     @cached_property
     def nested_parents(self) -> DataFrame:
-        return self.parents.join(self.foreign_children, "page_id", "left_semi")
+        return self.parents.filter("foreign")
 
     @cached_property
     def roots(self) -> DataFrame:
-        kept = self.parents.join(self.foreign_children, "page_id", "left_anti")
+        kept = self.parents.filter(~F.col("foreign"))
         content = C.is_content("element_type")
         kept = kept.filter((content | C.is_structural("element_type")) & ~C.is_dead("status"))
         gate = ~content | C.publishable("status", self.include_drafts)
@@ -138,12 +147,11 @@ class HierarchyPlan:
 
     @cached_property
     def standalone_structural(self) -> DataFrame:
-        return self.visible.join(self.claimed_ids, "page_id", "left_anti").filter(C.is_structural("element_type"))
+        return self.unclaimed.filter(C.is_structural("element_type"))
 
     @cached_property
     def standalone_content(self) -> DataFrame:
-        free = self.visible.join(self.claimed_ids, "page_id", "left_anti")
-        return free.filter(
+        return self.unclaimed.filter(
             C.is_content("element_type")
             & C.publishable("status", self.include_drafts)
             & ~C.is_test_title("title")
@@ -186,7 +194,7 @@ class HierarchyPlan:
         own_slug = F.coalesce(C.non_empty(C.slugify("title")), F.col("slug"))
         en_slug = F.coalesce(C.non_empty(C.slugify("en.title")), F.col("en.slug"))
         order = F.coalesce("section_order", "en.section_order", F.lit(fixed.UNCATEGORIZED_ORDER))
-        return f.select(
+        f = f.select(
             "family_id",
             "family_is_content",
             F.col("locale").alias("parent_locale"),
@@ -203,6 +211,7 @@ class HierarchyPlan:
             F.col("en.has_body").alias("en_has_body"),
             F.col("en.source_idx").alias("en_idx"),
         )
+        return written(f, "families")
 
     @cached_property
     def family_pages(self) -> DataFrame:
@@ -281,7 +290,7 @@ class HierarchyPlan:
         from_rows = self.structural.select("family_id", "canonical_section").join(
             self.structural_members.select("family_id", "locale"), "family_id"
         )
-        return from_pages.unionByName(from_rows.drop("family_id")).distinct()
+        return written(from_pages.unionByName(from_rows.drop("family_id")).distinct(), "section-locales")
 
     @cached_property
     def structural_events(self) -> DataFrame:

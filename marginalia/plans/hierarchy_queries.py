@@ -46,9 +46,7 @@ def family_members(spark, folder):
 )
 def nested_family_skip(spark, folder):
     p = plan(spark, folder)
-    kept = p.parents.join(p.foreign_children, "page_id", "left_anti")
-    skipped = p.nested_parents.select("page_id", "title", F.lit(True).alias("skipped"))
-    return skipped.unionByName(kept.select("page_id", "title", F.lit(False).alias("skipped")))
+    return p.parents.select("page_id", "title", F.col("foreign").alias("skipped"))
 
 
 @query(

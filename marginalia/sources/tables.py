@@ -14,8 +14,25 @@ from ..functions import columns as C
 CUTOFF = "2024-01-15 00:00:00"
 
 
+# Tables whose rows hold whole texts, so that work per row is large.
+TEXT_TABLES = ("documents", "pages", "conversations")
+
+
+def _is_single_file(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isFile()
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    """A table, a single file or a folder of files.
+
+    A text table that is one file often has one row group and so one reading task; its
+    rows are then spread over all cores. A folder of files is read as it is split.
+    """
+    path = f"{folder}/{name}.parquet"
+    df = spark.read.parquet(path)
+    if name in TEXT_TABLES and _is_single_file(spark, path):
+        df = df.repartition(spark.sparkContext.defaultParallelism)
     for field in df.schema.fields:
         if field.dataType.simpleString() == "timestamp_ntz":
             df = df.withColumn(field.name, F.col(field.name).cast("timestamp"))
