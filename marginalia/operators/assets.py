@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions import fixed
 from ..functions.ordered import block_of, bounded_row_number
+from ..functions.rows import array_rows
 
 _LINKED = r"\[!\[[^\]]*\]\(([^)]+)\)\]\([^)]+\)"
 _PLAIN = r"!\[[^\]]*\]\(([^)]+)\)"
@@ -26,7 +27,7 @@ def asset_urls(text: Column | str) -> Column:
 
 
 def distinct_assets(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.select(key, F.posexplode(asset_urls(text)).alias("ord", "url")).withColumn(
+    return array_rows(docs, [key], asset_urls(text), "ord", "url").withColumn(
         "managed", C.is_managed_asset("url")
     )
 
@@ -92,7 +93,7 @@ def referenced_assets(bodies: DataFrame, pool: DataFrame, key: str, text: str) -
             F.regexp_extract_all(text, F.lit(r"\]\(assets/([^)]+)\)"), 1),
         )
     )
-    refs = bodies.select(key, F.explode(names).alias("name")).distinct()
+    refs = array_rows(bodies, [key], names, "pos", "name").select(key, "name").distinct()
     known = pool.select("name").distinct().withColumn("__known", F.lit(True))
     state = (
         F.when(~C.safe_basename("name"), "unsafe").when(F.col("__known"), "present").otherwise("missing")

@@ -16,6 +16,7 @@ from ..functions import columns as C
 from ..functions import fixed
 from ..functions import lines as L
 from ..functions import repair
+from ..functions.rows import array_rows
 
 PIECES = "array<array<string>>"
 
@@ -109,9 +110,9 @@ def _repair(packed: Column) -> Column:
 def with_repair(df: DataFrame, packed: str, out: str) -> DataFrame:
     """Repair an array of packed sections. Sections that need it travel to Python, all
     others and whole rows without any pass as NULL and keep their packing."""
-    sent = F.transform(packed, lambda p: F.when(needs_repair(p), p))
-    some = F.exists(sent, lambda p: p.isNotNull())
-    fixed_up = df.withColumn("__fixed", _repair(F.when(some, sent)))
+    sent = df.withColumn("__sent", F.transform(packed, lambda p: F.when(needs_repair(p), p)))
+    some = F.exists("__sent", lambda p: p.isNotNull())
+    fixed_up = sent.withColumn("__fixed", _repair(F.when(some, F.col("__sent")))).drop("__sent")
     chosen = F.transform(packed, lambda p, i: F.coalesce(F.try_element_at("__fixed", i + 1), p))
     return fixed_up.withColumn(out, chosen).drop("__fixed")
 
@@ -168,7 +169,7 @@ def page_sections(docs: DataFrame, lines: str = "lines") -> DataFrame:
     """One row per coalesced section with its number in the document."""
     keep = [c for c in docs.columns if c != lines]
     packed = docs.withColumn("__s", coalesce_sections(L.sections(lines)))
-    return packed.select(*keep, F.posexplode("__s").alias("section_no", "s")).select(
+    return array_rows(packed, keep, "__s", "section_no", "s").select(
         *keep, "section_no", F.col("s.path").alias("heading_path"), F.col("s.text").alias("text"), "s.tokens"
     )
 
@@ -207,7 +208,7 @@ def chunk_rows(docs: DataFrame, key: str = "page_id", content_hash: str = "conte
             lambda t: F.struct(s["path"].alias("path"), t.alias("text")),
         ),
     )
-    rows = cut.select(*keep, F.posexplode(F.flatten(texts)).alias("chunk_index", "c"))
+    rows = array_rows(cut, keep, F.flatten(texts), "chunk_index", "c")
     identity = F.concat_ws(":", key, content_hash, F.array_join("c.path", "/"), F.col("chunk_index").cast("string"))
     return rows.select(
         C.content_hash(identity).alias("chunk_id"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import fixed
+from ..functions.rows import array_rows
 
 
 def manifest_docs(meta: DataFrame) -> DataFrame:
@@ -74,7 +75,7 @@ def frontmatter_rows(meta: DataFrame, author: str = "editors") -> DataFrame:
         F.struct(F.lit("sidebar_custom_props").alias("key"), icon.alias("line")),
     )
     kept = F.filter(rows, lambda r: r["line"].isNotNull())
-    return meta.select("page_id", F.posexplode(kept).alias("ord", "r")).select("page_id", "ord", "r.key", "r.line")
+    return array_rows(meta, ["page_id"], kept, "ord", "r").select("page_id", "ord", "r.key", "r.line")
 
 
 def header_overrides(headers: DataFrame, overrides: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions import fixed
 from ..functions.ordered import best_per_group
+from ..functions.rows import array_rows
 
 # A broadcast is asked for only below this many rows; larger maps are shuffled by key.
 BROADCAST_ROWS = 200_000
@@ -85,7 +86,7 @@ def rewrite_links(docs: DataFrame, slugs: DataFrame, ids: DataFrame, key: str =
     targets back and replaces inside its row. Needs ``locale``.
     """
     targets = F.array_distinct(F.regexp_extract_all(text, F.lit(_LINK), 1))
-    links = docs.select(key, "locale", F.explode(targets).alias("target"))
+    links = array_rows(docs, [key, "locale"], targets, "pos", "target").drop("pos")
     found = resolve_links(links, slugs, ids).filter("resolved IS NOT NULL")
     # A document's own distinct targets, no more than its text already holds.
     routes = F.map_from_entries(F.collect_list(F.struct("target", "resolved"))).alias("__routes")

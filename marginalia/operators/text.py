@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions import fixed
 from ..functions import lines as L
+from ..functions.rows import array_rows
 
 # Code that no rule may touch, and JSX style objects which must keep their braces.
 _KEPT = r"```[\s\S]*?```|`[^`\n]*`|style=\{\{[^{}]*\}\}"
@@ -169,7 +170,7 @@ def rule_counts(cleaned: DataFrame) -> DataFrame:
 def style_hazards(docs: DataFrame, key: str = "doc_id", lines: str = "lines") -> DataFrame:
     """Lines outside code holding a style attribute that is no object."""
     code = L.in_code(lines)
-    rows = docs.select(key, F.posexplode(F.arrays_zip(F.col(lines).alias("line"), code.alias("code"))).alias("i", "r"))
+    rows = array_rows(docs, [key], F.arrays_zip(F.col(lines).alias("line"), code.alias("code")), "i", "r")
     shown = F.regexp_replace("r.line", "`[^`]*`", " ")
     bad = ~F.col("r.code") & shown.rlike(r"\bstyle=(?!\{\{)")
     # The snippet shows the masked line, code spans blanked at their length.

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions import lines as L
 from ..functions.ordered import best_per_group
+from ..functions.rows import array_rows
 from ..operators import blocks as B
 from ..operators import chunks as K
 from ..operators import text as X
@@ -44,9 +45,7 @@ def with_corpus(body: str) -> str:
 @query("fence_state", with_lines("SELECT doc_id, line_no, is_fence, in_fence FROM fenced"))
 def fence_state(spark, folder):
     d = T.md_docs(spark, folder)
-    rows = d.select(
-        "doc_id", F.posexplode(F.arrays_zip(F.col("lines").alias("line"), L.fence_open().alias("open"))).alias("line_no", "r")
-    )
+    rows = array_rows(d, ["doc_id"], F.arrays_zip(F.col("lines").alias("line"), L.fence_open().alias("open")), "line_no", "r")
     return rows.select(
         "doc_id", "line_no", F.col("r.line").startswith(L.FENCE).alias("is_fence"), F.col("r.open").alias("in_fence")
     )
@@ -67,7 +66,7 @@ pathed AS (SELECT *, concat_ws('/', t2, CASE WHEN at3 > coalesce(at2, -1) THEN t
 @query("heading_path", with_lines(f", {HEADINGS} SELECT doc_id, line_no, path FROM pathed"))
 def heading_path(spark, folder):
     d = T.md_docs(spark, folder)
-    rows = d.select("doc_id", F.posexplode(L.heading_stacks()).alias("line_no", "stack"))
+    rows = array_rows(d, ["doc_id"], L.heading_stacks(), "line_no", "stack")
     return rows.select("doc_id", "line_no", F.array_join("stack", "/").alias("path"))
 
 
@@ -84,7 +83,7 @@ units AS (SELECT doc_id, CAST(unit_no AS INT) AS unit_no, string_agg(line, chr(1
 @query("paragraph_units", with_lines(f", {UNITS} SELECT doc_id, unit_no, text FROM units"))
 def paragraph_units(spark, folder):
     d = T.md_docs(spark, folder)
-    return d.select("doc_id", F.posexplode(L.paragraph_units(F.col("lines"))).alias("unit_no", "text"))
+    return array_rows(d, ["doc_id"], L.paragraph_units(F.col("lines")), "unit_no", "text")
 
 
 @query(
@@ -98,7 +97,7 @@ SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY section) - 1
 )
 def section_split(spark, folder):
     d = T.md_docs(spark, folder)
-    rows = d.select("doc_id", F.posexplode(L.sections()).alias("section_no", "s"))
+    rows = array_rows(d, ["doc_id"], L.sections(), "section_no", "s")
     return rows.select("doc_id", "section_no", F.array_join("s.path", "/").alias("path"), F.col("s.text").alias("text"))
 
 
@@ -154,7 +153,7 @@ def packed_docs(spark, folder):
     "FROM packed p JOIN paras q ON q.doc_id = p.doc_id AND q.i = p.i GROUP BY 1, 2",
 )
 def greedy_pack(spark, folder):
-    p = packed_docs(spark, folder).select("doc_id", F.posexplode("pieces").alias("piece_no", "piece"))
+    p = array_rows(packed_docs(spark, folder), ["doc_id"], "pieces", "piece_no", "piece")
     return p.select(
         "doc_id", "piece_no", F.array_join("piece", "\n\n").alias("text"), F.size("piece").cast("bigint").alias("paragraphs")
     )
@@ -163,7 +162,7 @@ def greedy_pack(spark, folder):
 @query("min_size_repair")
 def min_size_repair(spark, folder):
     p = packed_docs(spark, folder).withColumn("s", F.array("pieces"))
-    r = K.with_repair(p, "s", "r").select("doc_id", F.posexplode(F.col("r")[0]).alias("piece_no", "piece"))
+    r = array_rows(K.with_repair(p, "s", "r"), ["doc_id"], F.col("r")[0], "piece_no", "piece")
     return r.select(
         "doc_id", "piece_no", F.array_join("piece", "\n\n").alias("text"), K.piece_tokens(F.col("piece")).alias("tokens")
     )
@@ -189,7 +188,7 @@ FROM pieces p LEFT JOIN leads2 o ON o.doc_id = p.doc_id AND o.piece_no = p.piece
 )
 def overlap(spark, folder):
     p = packed_docs(spark, folder)
-    return p.select("doc_id", F.posexplode(K.overlapped(F.col("pieces"))).alias("piece_no", "text"))
+    return array_rows(p, ["doc_id"], K.overlapped(F.col("pieces")), "piece_no", "text")
 
 
 @query(
@@ -345,7 +344,7 @@ def heading_levels(spark, folder):
             "\n",
         ).alias("text"),
     )
-    return d.select("doc_id", F.posexplode(F.split(X.fix_headings(F.col("text")), "\n")).alias("line_no", "line"))
+    return array_rows(d, ["doc_id"], F.split(X.fix_headings(F.col("text")), "\n"), "line_no", "line")
 
 
 @query(

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..functions.rows import array_rows
 
 CUTOFF = "2024-01-15 00:00:00"
 
@@ -106,7 +107,7 @@ def md_docs(spark: SparkSession, folder: str) -> DataFrame:
 
 def md_lines(spark: SparkSession, folder: str) -> DataFrame:
     d = md_docs(spark, folder)
-    return d.select("doc_id", F.posexplode("lines").alias("line_no", "line"))
+    return array_rows(d, ["doc_id"], "lines", "line_no", "line")
 
 
 def sync_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -172,7 +173,7 @@ def blocks(spark: SparkSession, folder: str) -> DataFrame:
 def hrefs(spark: SparkSession, folder: str) -> DataFrame:
     p = table(spark, folder, "pages")
     found = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), 1)
-    return p.select("page_id", F.posexplode(found).alias("ord", "href"))
+    return array_rows(p, ["page_id"], found, "ord", "href")
 
 
 def asset_refs(spark: SparkSession, folder: str) -> DataFrame:
