@@ -28,16 +28,11 @@ def source_rank(source: str = "language_source") -> Column:
     return F.when(s == "explicit", 0).when(s == "automated", 1).when(s == "fallback", 2).otherwise(3)
 
 
-def section_labels(spark: SparkSession, labels: dict | None = None) -> DataFrame:
-    """Curated translations as a small fixed lookup table."""
-    rows = [(loc, k, v) for loc, m in (labels or fixed.SECTION_LABELS).items() for k, v in m.items()]
-    return spark.createDataFrame(rows, "locale string, plain string, curated string")
-
-
-def translated(df: DataFrame, labels: DataFrame, plain: Column, out: str) -> DataFrame:
-    """Attach the curated label of (locale, plain) or NULL. The table is configuration."""
-    lookup = F.broadcast(labels.select("locale", F.col("plain").alias("__plain"), F.col("curated").alias(out)))
-    return df.withColumn("__plain", plain).join(lookup, ["locale", "__plain"], "left").drop("__plain")
+def curated(labels: dict, locale: Column | str, plain: Column) -> Column:
+    """Curated translation of a plain label, NULL without one. The table is configuration
+    of fixed size and becomes one constant."""
+    entries = [F.lit(x) for loc, m in labels.items() for k, v in m.items() for x in (f"{loc}/{k}", v)]
+    return F.try_element_at(F.create_map(*entries), F.concat_ws("/", locale, plain))
 
 
 class HierarchyPlan:
@@ -55,7 +50,7 @@ class HierarchyPlan:
     def __init__(self, docs: DataFrame, include_drafts: bool = False, labels: dict | None = None):
         self.spark = docs.sparkSession
         self.include_drafts = include_drafts
-        self.labels = section_labels(self.spark, labels)
+        self.labels = labels or fixed.SECTION_LABELS
         docs = docs.select(*self.DOC).withColumns(
             {
                 "locale": C.normalize_locale("locale"),
@@ -428,9 +423,10 @@ class HierarchyPlan:
             .agg(F.min_by("section", F.struct(F.col("family_id").isNull(), "parent_idx", "source_idx")).alias("other"))
         )
         cats = self.section_locales.join(other, ["canonical_section", "locale"], "left")
-        cats = translated(cats, self.labels, C.section_label("canonical_section"), "curated")
-        cats = translated(cats, self.labels, C.section_label("other"), "other_curated")
-        label = F.coalesce("curated", "other_curated", C.section_label("other"), C.section_label("canonical_section"))
+        plain, other_plain = C.section_label("canonical_section"), C.section_label("other")
+        label = F.coalesce(
+            curated(self.labels, "locale", plain), curated(self.labels, "locale", other_plain), other_plain, plain
+        )
         cats = cats.join(self.section_positions, "canonical_section")
         folder = C.section_dir("canonical_section")
         keyed = cats.select("locale", folder.alias("section_dir"), label.alias("label"), "position", "canonical_section")
@@ -447,12 +443,12 @@ class HierarchyPlan:
     def toggle_categories(self) -> DataFrame:
         """One category per toggle row and locale, empty toggles included."""
         t = self.replay.filter(F.col("event") == "toggle")
-        t = translated(t, self.labels, C.section_label("canonical_section"), "cur_section")
-        t = translated(t, self.labels, C.section_label("parent_title"), "cur_title")
+        section = curated(self.labels, "locale", C.section_label("canonical_section"))
+        title = curated(self.labels, "locale", C.section_label("parent_title"))
         cut = F.trim("member_title").rlike(r"(…|\.\.\.)$")
         label = (
-            F.when(F.col("member_title").isNull(), F.coalesce("cur_title", C.section_label("parent_title")))
-            .when(cut, F.coalesce("cur_section", C.section_label("member_title")))
+            F.when(F.col("member_title").isNull(), F.coalesce(title, C.section_label("parent_title")))
+            .when(cut, F.coalesce(section, C.section_label("member_title")))
             .otherwise(F.col("member_title"))
         )
         folder = C.section_dir("canonical_section")
