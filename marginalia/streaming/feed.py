@@ -88,43 +88,82 @@ def apply_tick(
     return done.unionByName(kept)
 
 
-def run_incremental(
-    stream: DataFrame, root: str, watermark: str, limit: int, checkpoint: str
-):
-    """Keep a versioned state table current from a stream of changes.
+STATE_SCHEMA = "page_id bigint, edited_at timestamp, k bigint"
+COMMIT_SCHEMA = "batch_id bigint, watermark timestamp"
 
-    Each batch writes ``state/batch=<id>`` completely before its pointer row, which is
-    the commit marker; a repeated batch overwrites its own folder.
+
+class IncrementalState:
+    """Page state kept current from micro-batches, as a log of changes below one folder.
+
+    A batch writes its changed rows to ``changes/batch=<id>`` and then its commit row,
+    which holds the advanced watermark. Only committed batches are read, and a repeated
+    batch overwrites its own folder, so it has its effect once. ``compact`` folds the log
+    into a base, so that reading does not slow down with the number of batches.
     """
-    spark = stream.sparkSession
-    schema = "page_id bigint, edited_at timestamp, k bigint"
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        before = _state_before(spark, root, batch_id, schema)
-        newest = S.newest_per_page(batch).select("page_id", "edited_at", "k")
-        S.upsert(before, newest, ["page_id"], "edited_at").write.mode("overwrite").parquet(
-            f"{root}/state/batch={batch_id}"
-        )
-        mark = S.advance_watermark(batch, F.lit(watermark).cast("timestamp"))
-        mark.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
-            f"{root}/commits/commit={batch_id}"
-        )
 
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def _read(self, part: str, schema: str) -> DataFrame:
+        path = f"{self.root}/{part}"
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        if not p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path)
+
+    def commits(self) -> DataFrame:
+        return self._read("commits", COMMIT_SCHEMA)
+
+    def last_commit(self, before: int | None = None):
+        rows = self.commits() if before is None else self.commits().filter(F.col("batch_id") < before)
+        return rows.agg(F.max_by(F.struct("batch_id", "watermark"), "batch_id").alias("c")).first()["c"]
+
+    def current(self, before: int | None = None) -> DataFrame:
+        """Newest committed row per page."""
+        last = self.last_commit(before)
+        if last is None:
+            return self.spark.createDataFrame([], STATE_SCHEMA)
+        base = self._read("bases", "upto bigint").filter(F.col("upto") <= last["batch_id"]).agg(F.max("upto")).first()[0]
+        rows = self._read("changes", STATE_SCHEMA + ", batch bigint").filter(F.col("batch") <= last["batch_id"])
+        if base is not None:
+            folded = self.spark.read.schema(STATE_SCHEMA).parquet(f"{self.root}/base-{base}")
+            rows = rows.filter(F.col("batch") > base).unionByName(folded.withColumn("batch", F.lit(base)))
+        newest = F.max_by(F.struct("edited_at", "k"), F.struct("edited_at", "batch")).alias("s")
+        return rows.groupBy("page_id").agg(newest).select("page_id", "s.edited_at", "s.k")
+
+    def compact(self) -> None:
+        last = self.last_commit()
+        if last is None:
+            return
+        upto = last["batch_id"]
+        self.current().write.mode("overwrite").parquet(f"{self.root}/base-{upto}")
+        self.spark.createDataFrame([(upto,)], "upto bigint").coalesce(1).write.mode("append").parquet(f"{self.root}/bases")
+
+    def apply(self, batch: DataFrame, batch_id: int, start: str) -> None:
+        """One tick: due and not yet processed changes, newest per page, then the commit."""
+        before = self.last_commit(batch_id)
+        mark = F.lit(before["watermark"] if before else start).cast("timestamp")
+        due = S.changed_since(batch, mark)
+        fresh = S.drop_processed(due, self.current(batch_id))
+        rows = S.newest_per_page(fresh).select("page_id", "edited_at", "k")
+        rows.write.mode("overwrite").parquet(f"{self.root}/changes/batch={batch_id}")
+        advanced = due.agg(F.greatest(mark, F.max("edited_at")).alias("watermark"))
+        advanced.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "watermark").coalesce(1).write.mode(
+            "append"
+        ).parquet(f"{self.root}/commits")
+
+
+def run_incremental(stream: DataFrame, root: str, start: str, checkpoint: str):
+    """Keep an ``IncrementalState`` current from a stream of changes."""
+    state = IncrementalState(stream.sparkSession, root)
     return (
-        stream.writeStream.foreachBatch(step)
+        stream.writeStream.foreachBatch(lambda batch, batch_id: state.apply(batch, batch_id, start))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def _state_before(spark: SparkSession, root: str, batch_id: int, schema: str) -> DataFrame:
-    """State committed by the preceding batch."""
-    if batch_id == 0:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{root}/state/batch={batch_id - 1}")
-
-
 def late_events(feed: DataFrame, watermark: Column) -> DataFrame:
     """Events at or before the looked-back watermark, which a tick ignores, by kind."""
     late = feed.filter(F.col("edited_at") <= S.lookback(watermark))
