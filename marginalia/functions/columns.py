@@ -44,7 +44,7 @@ def token_estimate(text: Column | str) -> Column:
 
 def trim_space(text: Column | str) -> Column:
     """Trim every kind of leading and trailing white space, not only blanks."""
-    return F.regexp_replace(col(text), r"^\s+|\s+$", "")
+    return F.trim(col(text), F.lit(fixed.SPACE))
 
 
 def has_word_character(text: Column | str) -> Column:

@@ -147,6 +147,12 @@ SUPPORTED_BLOCKS = (
 # --- fixed values: retry policy -----------------------------------------------------
 RETRYABLE = ("network", "timeout", "rate_limit", "http_5xx")
 
+# --- fixed values: white space of every kind, non-breaking and wide blanks included ---
+SPACE = (
+    " \t\n\x0b\x0c\r\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
+)
+
 # --- fixed values: chunk sizes in estimated tokens ------------------------------------
 CHUNK_MIN = 400
 CHUNK_MAX = 800

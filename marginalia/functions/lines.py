@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .columns import col
+from .columns import col, trim_space
 
 FENCE = "```"
 _HEADING = r"^(#{1,6})\s+(.+)"
@@ -23,26 +23,35 @@ def _sql(text: str, lines: str) -> Column:
     return F.expr(text.replace("$lines", lines).replace("$fence", FENCE))
 
 
-def fence_open(lines: str = "lines") -> Column:
-    """For every line whether a code fence is open before it (array of booleans)."""
-    return _sql(
-        """aggregate($lines, named_struct('open', false, 'out', CAST(array() AS array<boolean>)),
-             (a, l) -> named_struct('open', a.open <> startswith(l, '$fence'), 'out', concat(a.out, array(a.open))),
-             a -> a.out)""",
+def _open_before(is_fence: str, lines: str) -> Column:
+    """For every line whether a fence is open before it. The fold collects one run of
+    lines per fence, so it stays linear in the lines; runs are spread out at the end."""
+    runs = _sql(
+        f"""aggregate($lines,
+             named_struct('open', false, 'n', 0, 'out', CAST(array() AS array<struct<open: boolean, n: int>>)),
+             (a, l) -> if({is_fence},
+                 named_struct('open', NOT a.open, 'n', 0,
+                              'out', concat(a.out, array(named_struct('open', a.open, 'n', a.n + 1)))),
+                 named_struct('open', a.open, 'n', a.n + 1, 'out', a.out)),
+             a -> concat(a.out, array(named_struct('open', a.open, 'n', a.n))))""",
         lines,
     )
+    return F.flatten(F.transform(runs, lambda r: F.array_repeat(r["open"], r["n"])))
+
+
+def fence_open(lines: str = "lines") -> Column:
+    """For every line whether a code fence is open before it (array of booleans)."""
+    return _open_before("startswith(l, '$fence')", lines)
+
+
+# A fence that may be indented or made of tildes.
+_ANY_FENCE = r"(l rlike '^\\s*(```|~~~)')"
 
 
 def in_code(lines: str = "lines") -> Column:
-    """For every line whether it is a fence or inside one; tilde fences count and a
-    fence may be indented."""
-    return _sql(
-        r"""aggregate($lines, named_struct('open', false, 'out', CAST(array() AS array<boolean>)),
-             (a, l) -> named_struct('open', a.open <> (l rlike '^\\s*(```|~~~)'),
-                                    'out', concat(a.out, array(a.open OR l rlike '^\\s*(```|~~~)'))),
-             a -> a.out)""",
-        lines,
-    )
+    """For every line whether it is a fence of any kind or lies inside one."""
+    before = _open_before(_ANY_FENCE, lines)
+    return F.zip_with(before, col(lines), lambda o, l: o | l.rlike(r"^\s*(```|~~~)"))
 
 
 def clean_heading(raw: str) -> str:
@@ -63,22 +72,6 @@ _PUSHED = (
 _IS_HEADING = r"(NOT a.open AND startswith(l, '#') AND l rlike '^#{1,6}\\s+.+')"
 
 
-def heading_stacks(lines: str = "lines") -> Column:
-    """For every line the titles of the open headings, a heading line included in its
-    own path (array of arrays of text)."""
-    return _sql(
-        f"""aggregate($lines,
-             named_struct('open', false, 'stack', CAST(array() AS array<struct<level: int, title: string>>),
-                          'out', CAST(array() AS array<array<string>>)),
-             (a, l) -> named_struct(
-                 'open', a.open <> startswith(l, '$fence'),
-                 'stack', if({_IS_HEADING}, {_PUSHED}, a.stack),
-                 'out', concat(a.out, array(transform(if({_IS_HEADING}, {_PUSHED}, a.stack), h -> h.title)))),
-             a -> a.out)""",
-        lines,
-    )
-
-
 def section_spans(lines: str = "lines") -> Column:
     """Spans between headings: array of (path, first line, line count), in order."""
     span = (
@@ -100,6 +93,12 @@ def section_spans(lines: str = "lines") -> Column:
     )
 
 
+def heading_stacks(lines: str = "lines") -> Column:
+    """For every line the titles of the open headings, a heading line included in its
+    own path (array of arrays of text)."""
+    return F.flatten(F.transform(section_spans(lines), lambda s: F.array_repeat(s["path"], s["n"])))
+
+
 def sections(lines: str = "lines") -> Column:
     """Sections as array of (path, text); only a document's empty lead has no section."""
     spans = section_spans(lines)
@@ -107,20 +106,12 @@ def sections(lines: str = "lines") -> Column:
         spans,
         lambda s: F.struct(
             s["path"].alias("path"),
-            trimmed(F.array_join(F.slice(col(lines), s["first"] + 1, s["n"]), "\n")).alias("text"),
+            trim_space(F.array_join(F.slice(col(lines), s["first"] + 1, s["n"]), "\n")).alias("text"),
         ),
     )
     return F.filter(cut, lambda s: (s["text"] != "") | (F.size(s["path"]) > 0))
 
 
-# White space of every kind, the non-breaking and wide blanks included (fixed values).
-SPACE = " \t\n\x0b\x0c\r\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
-
-
-def trimmed(text: Column) -> Column:
-    return F.trim(text, F.lit(SPACE))
-
-
 def paragraph_units(lines: Column) -> Column:
     """Paragraphs as array of text; a fenced block or a run of table lines is one unit.
 

@@ -188,7 +188,7 @@ def section_pieces(sections: DataFrame) -> DataFrame:
 
 def chunk_texts(text: Column, pieces: Column) -> Column:
     """Texts of a section's chunks: its overlapped pieces, or the section itself."""
-    return F.when(pieces.isNotNull(), F.transform(overlapped(pieces), L.trimmed)).otherwise(F.array(L.trimmed(text)))
+    return F.when(pieces.isNotNull(), F.transform(overlapped(pieces), C.trim_space)).otherwise(F.array(C.trim_space(text)))
 
 
 def chunk_rows(docs: DataFrame, key: str = "page_id", content_hash: str = "content_hash") -> DataFrame:

@@ -63,11 +63,12 @@ def strip_braces(text: Column) -> Column:
     def unwrap(t: Column, inner: str) -> Column:
         return F.regexp_replace(t, rf"({_KEPT})|\{{(?!{_EMOJI_STYLE}){inner}\}}", "$1$2")
 
+    out = text
     for _ in range(5):
-        text = unwrap(text, r"\s*([^{}]*?)\s*")
+        out = unwrap(out, r"\s*([^{}]*?)\s*")
     for _ in range(3):
-        text = unwrap(text, r"([^{}]*)")
-    return text
+        out = unwrap(out, r"([^{}]*)")
+    return F.when(text.contains("{"), out).otherwise(text)
 
 
 def _outside_code(text: Column, rule) -> Column:
@@ -101,20 +102,20 @@ def collapse_blank_lines(text: Column) -> Column:
 
 def clean_images(text: Column) -> Column:
     """Images without a usable URL go, white space inside image URLs goes."""
-    text = F.regexp_replace(text, r"(?i)!\[[^\]]*\]\((?:undefined|null)\)", "")
-    text = F.regexp_replace(text, r"!\[[^\]]*\]\(\s*\)", "")
-    spaced = F.array_distinct(F.regexp_extract_all(text, F.lit(r"!\[[^\]]*\]\([^)]*\s[^)]*\)"), 0))
+    kept = F.regexp_replace(text, r"(?i)!\[[^\]]*\]\((?:undefined|null)\)", "")
+    kept = F.regexp_replace(kept, r"!\[[^\]]*\]\(\s*\)", "")
+    spaced = F.array_distinct(F.regexp_extract_all(kept, F.lit(r"!\[[^\]]*\]\([^)]*\s[^)]*\)"), 0))
     url = lambda m: F.regexp_extract(m, r"\]\(([^)]+)\)$", 1)
     tight = lambda m: F.concat(
         F.regexp_extract(m, r"^(!\[[^\]]*\]\()", 1), F.regexp_replace(url(m), r"\s+", ""), F.lit(")")
     )
-    text = F.aggregate(spaced, text, lambda t, m: F.replace(t, m, tight(m)))
-    return collapse_blank_lines(text)
+    tightened = F.aggregate(spaced, kept, lambda t, m: F.replace(t, m, tight(m)))
+    return collapse_blank_lines(F.when(text.contains("!["), tightened).otherwise(text))
 
 
 def drop_image_notes(text: Column) -> Column:
     note = r"(?m)^[ \t]*(?:\*\*)?[ \t]*\[[ \t]*[Ii]mage:[ \t]*[^\]]*\][ \t]*(?:\*\*)?[ \t]*\r?$"
-    return collapse_blank_lines(F.regexp_replace(text, note, ""))
+    return collapse_blank_lines(F.when(text.contains("mage:"), F.regexp_replace(text, note, "")).otherwise(text))
 
 
 _SPACER_TAG = '<div class="notion-spacer" aria-hidden="true" role="presentation"></div>'
@@ -178,7 +179,7 @@ def style_hazards(docs: DataFrame, key: str = "doc_id", lines: str = "lines") ->
         key,
         (F.col("i") + 1).alias("line"),
         F.lit("string-or-bare-style").alias("kind"),
-        F.left(L.trimmed(_blank_spans(F.col("r.line"))), F.lit(120)).alias("snippet"),
+        F.left(C.trim_space(_blank_spans(F.col("r.line"))), F.lit(120)).alias("snippet"),
     )
 
 

@@ -183,12 +183,12 @@ def manifest_snapshot(spark, folder):
 
 @query(
     "manifest_read",
-    with_corpus("SELECT page_id, slug, doc_id % 3 AS version FROM corpus WHERE doc_id % 3 = (SELECT max(doc_id % 3) FROM corpus)"),
+    with_corpus("SELECT page_id, slug, section_order AS version FROM corpus WHERE section_order = (SELECT max(section_order) FROM corpus)"),
 )
 def manifest_read(spark, folder):
     from ..operators.state import latest_version
 
-    versions = T.corpus(spark, folder).select("page_id", "slug", (F.col("doc_id") % 3).alias("version"))
+    versions = T.corpus(spark, folder).select("page_id", "slug", F.col("section_order").alias("version"))
     return latest_version(versions, "version")
 
 

@@ -118,7 +118,7 @@ def state_upsert(spark, folder):
 
 CHANGES = """, inc AS (SELECT page_id, edited_at, k, k % 3 AS status, concat('docs/', CAST(k % 5 AS VARCHAR)) AS location FROM changed_feed),
 old AS (SELECT page_id, edited_at, k, k % 3 AS status, concat('docs/', CAST(k % 5 AS VARCHAR)) AS location, page_id % 10 <> 3 AS present
-  FROM stored_state WHERE page_id % 6 <> 0),
+  FROM stored_state WHERE k >= 20),
 classed AS (
   SELECT i.*, CASE WHEN o.page_id IS NULL THEN 'new' WHEN i.location <> o.location THEN 'moved'
     WHEN i.status IS DISTINCT FROM o.status OR i.k IS DISTINCT FROM o.k OR NOT o.present THEN 'changed' ELSE 'unchanged' END AS change,
@@ -132,7 +132,7 @@ def incoming_rows(df):
 
 
 def stored_rows(spark, folder):
-    old = incoming_rows(T.stored_state(spark, folder)).filter("page_id % 6 <> 0")
+    old = incoming_rows(T.stored_state(spark, folder)).filter("k >= 20")
     return old.withColumn("artifact_present", F.col("page_id") % 10 != 3)
 
 
@@ -151,7 +151,7 @@ def change_detection(spark, folder):
     "metadata_diff",
     with_state(
         """, j AS (SELECT coalesce(o.page_id, n.page_id) AS page_id, o.k AS ok, n.k AS nk, o.edited_at AS oe, n.edited_at AS ne
-  FROM (SELECT * FROM stored_state WHERE page_id % 6 <> 0) o FULL JOIN changed_feed n ON o.page_id = n.page_id),
+  FROM (SELECT * FROM stored_state WHERE k >= 20) o FULL JOIN changed_feed n ON o.page_id = n.page_id),
 d AS (SELECT page_id, 'content_hash' AS field, coalesce(CAST(ok AS VARCHAR), '') AS old, coalesce(CAST(nk AS VARCHAR), '') AS new FROM j
   UNION ALL SELECT page_id, 'status', coalesce(CAST(ok % 3 AS VARCHAR), ''), coalesce(CAST(nk % 3 AS VARCHAR), '') FROM j
   UNION ALL SELECT page_id, 'last_edited', coalesce(strftime(oe, '%Y-%m-%d %H:%M:%S'), ''), coalesce(strftime(ne, '%Y-%m-%d %H:%M:%S'), '') FROM j)
@@ -225,11 +225,11 @@ def classify_failures(events):
     return rows.withColumn("category", Q.error_category("status_code", "message", "failure"))
 
 
-@query("failure_log", with_state(f"SELECT event_id, page_id, ts FROM sync_events WHERE kind = 'failed' AND (ts < TIMESTAMP '{T.CUTOFF}' OR k % 2 = 0)"))
+@query("failure_log", with_state("SELECT event_id, page_id, ts FROM sync_events WHERE kind = 'failed'"))
 def failure_log(spark, folder):
     failed = T.sync_events(spark, folder).filter("kind = 'failed'")
     earlier = failed.filter(F.col("ts") < watermark()).select("event_id", "page_id", "ts")
-    new = failed.filter((F.col("ts") >= watermark()) & (F.col("k") % 2 == 0)).select("event_id", "page_id", "ts")
+    new = failed.filter(F.col("ts") >= watermark()).select("event_id", "page_id", "ts")
     return sinks.merge_failures(earlier, new)
 
 

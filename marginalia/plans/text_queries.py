@@ -205,15 +205,15 @@ def token_estimate(spark, folder):
 
 
 def _chunk_input(spark, folder):
-    """Published content pages with their lines; every third body is filed by slug."""
-    c = T.corpus(spark, folder).select(
-        "doc_id", "page_id", "title", "locale", "slug", "status", "element_type", C.content_hash("body").alias("content_hash")
-    )
-    lines = T.md_docs(spark, folder).withColumnRenamed("lines", "body")
-    by_id = lines.filter(F.col("doc_id") % 3 != 0).select(F.col("doc_id").cast("string").alias("key"), "body")
-    first = best_per_group(c.filter("slug <> ''"), ["slug"], [F.col("doc_id")], ["doc_id"])
-    by_slug = first.join(lines, "doc_id").select(F.col("slug").alias("key"), "body")
-    pages = K.chunkable_pages(c).drop("doc_id")
+    """Published content pages with their lines. Bodies of explicitly labelled pages are
+    filed by slug, the first page of a slug counting; all others by page id."""
+    c = T.corpus(spark, folder).withColumnRenamed("body", "text")
+    pages = K.chunkable_pages(c).select("page_id", "title", "locale", "slug", C.content_hash("text").alias("content_hash"))
+    bodies = c.select("page_id", "slug", "source_idx", "language_source", F.expr(T.DECORATED).alias("body"))
+    named = F.col("language_source") == "explicit"
+    by_id = bodies.filter(~named).select(F.col("page_id").alias("key"), "body")
+    first = best_per_group(bodies.filter(named & (F.col("slug") != "")), ["slug"], [F.col("source_idx")], ["page_id"])
+    by_slug = bodies.select("page_id", "body").join(first, "page_id").select(F.col("slug").alias("key"), "body")
     return K.attach_bodies(pages, by_id.unionByName(by_slug)).withColumnRenamed("body", "lines")
 
 
@@ -388,7 +388,7 @@ def emit_cleanup(spark, folder):
     return c.select("page_id", F.sha2(X.emit_body(F.col("body"), F.col("locale")), 256).alias("text_hash"))
 
 
-EMITTED = f"""WITH {ctes.PLAN}, b AS (SELECT page_id, has_body, body FROM corpus WHERE doc_id % 50 <> 7),
+EMITTED = f"""WITH {ctes.PLAN}, b AS (SELECT page_id, has_body, body FROM corpus WHERE section_order IS DISTINCT FROM 7),
 emitted AS (
   SELECT r.page_id, r.locale, CASE WHEN b.page_id IS NULL THEN 'missing' WHEN r.locale = 'en' OR b.has_body THEN 'published'
     WHEN e.has_body THEN 'fallback' ELSE 'skipped' END AS outcome, b.has_body, b.body, e.body AS en_body
@@ -397,7 +397,8 @@ emitted AS (
 
 def _emitted(spark, folder):
     routes = plan(spark, folder).routes.select("page_id", "locale", "en_fallback_id")
-    bodies = T.corpus(spark, folder).filter(F.col("doc_id") % 50 != 7).select(
+    fetched = ~F.col("section_order").eqNullSafe(F.lit(7))
+    bodies = T.corpus(spark, folder).filter(fetched).select(
         "page_id", F.when(F.col("has_body"), F.col("body")).otherwise("").alias("body")
     )
     return X.emit_pages(routes, bodies)

@@ -11,20 +11,17 @@ from ..functions import columns as C
 def write_documents(docs: DataFrame, path: str) -> None:
     """Canonical documents laid out by locale and section folder.
 
-    Rows are shuffled by folder and a hash of the page, so a folder holding a large
-    share of the corpus is still written by many tasks.
+    Rows are rebalanced by folder: small folders get one file each, and AQE splits a
+    folder that holds a large share of the corpus over as many tasks as its size asks for.
     """
     laid = docs.withColumn("section_dir", F.coalesce(C.non_empty(C.section_dir("section")), F.lit("_root")))
-    (
-        laid.repartition("locale", "section_dir", F.pmod(F.xxhash64("page_id"), F.lit(16)))
-        .write.mode("overwrite")
-        .partitionBy("locale", "section_dir")
-        .parquet(path)
-    )
+    laid = laid.hint("rebalance", "locale", "section_dir")
+    laid.write.mode("overwrite").partitionBy("locale", "section_dir").parquet(path)
 
 
 def write_chunks(chunks: DataFrame, path: str) -> None:
-    chunks.write.mode("overwrite").partitionBy("locale").parquet(path)
+    """Chunks by locale, rebalanced so that a large locale is split and files stay whole."""
+    chunks.hint("rebalance", "locale").write.mode("overwrite").partitionBy("locale").parquet(path)
 
 
 def chunk_manifest(chunks: DataFrame) -> DataFrame:

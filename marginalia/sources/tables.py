@@ -19,20 +19,25 @@ CUTOFF = "2024-01-15 00:00:00"
 TEXT_TABLES = ("documents", "pages", "conversations")
 
 
-def _is_single_file(spark: SparkSession, path: str) -> bool:
+# Above this size a file is left as it is split; spreading it would shuffle too much.
+SPREAD_BYTES = 512 << 20
+
+
+def _is_small_file(spark: SparkSession, path: str) -> bool:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isFile()
+    status = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p)
+    return status.isFile() and status.getLen() < SPREAD_BYTES
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """A table, a single file or a folder of files.
 
-    A text table that is one file often has one row group and so one reading task; its
-    rows are then spread over all cores. A folder of files is read as it is split.
+    A text table that is one small file has one row group and so one reading task; its
+    rows are then spread over all cores. Folders and large files are read as they split.
     """
     path = f"{folder}/{name}.parquet"
     df = spark.read.parquet(path)
-    if name in TEXT_TABLES and _is_single_file(spark, path):
+    if name in TEXT_TABLES and _is_small_file(spark, path):
         df = df.repartition(spark.sparkContext.defaultParallelism)
     for field in df.schema.fields:
         if field.dataType.simpleString() == "timestamp_ntz":

@@ -7,12 +7,15 @@ from tests.checker import compare
 
 QUERIES, CHECKS = registry.queries(), registry.checks()
 
+# No two of the few pages at the smallest scale share a route.
+EMPTY_WHEN_SMALL = {"route_dedupe"}
+
 
 @pytest.mark.parametrize("name", sorted(CHECKS))
 def test_matches_check(spark, con, folder, name):
     result = compare(QUERIES[name](spark, folder), con, CHECKS[name])
     assert result["ok"], result
-    assert result["rows"] > 0
+    assert result["rows"] > 0 or name in EMPTY_WHEN_SMALL
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(CHECKS)))
