@@ -67,6 +67,22 @@ def block_rollup(blocks: DataFrame, extra: tuple[str, ...] = (), max_depth: int
     return out.unionByName(level)
 
 
+def assemble_documents(rows: DataFrame, roots_per_part: int = 10_000) -> DataFrame:
+    """Document texts from the rows of ``block_rollup``.
+
+    A page is cut into parts of at most ``roots_per_part`` top-level blocks, so that no
+    group grows with the page; any ordinary page is one part, part 0. Top-level blocks
+    are set apart by an empty line, nested ones follow on the next line.
+    """
+    root = F.substring_index("path", "/", 1).cast("bigint")
+    spaced = F.concat(F.when(F.col("depth") == 0, "\n\n").otherwise("\n"), F.col("rendered"))
+    parts = rows.filter("rendered <> ''").select(
+        "page_id", F.floor(root / roots_per_part).alias("part"), "path", spaced.alias("text")
+    )
+    body = F.expr("listagg(text, '') WITHIN GROUP (ORDER BY path)")
+    return parts.groupBy("page_id", "part").agg(F.concat(F.ltrim(body, F.lit("\n")), F.lit("\n")).alias("body"))
+
+
 def type_census(blocks: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     counted = blocks.groupBy("type").agg(F.count(F.lit(1)).alias("blocks"))
     return counted.withColumn("supported", is_supported("type", extra))

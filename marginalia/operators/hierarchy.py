@@ -544,9 +544,10 @@ class HierarchyPlan:
         """page_id to the slug it is reachable under: own page first, then an alias."""
         own = self.routes.select("page_id", "canonical_slug", F.lit(0).alias("pass"))
         alias = self.route_aliases.select("page_id", "canonical_slug", F.lit(1).alias("pass"))
-        return best_per_group(
+        best = best_per_group(
             own.unionByName(alias), ["page_id"], [F.col("pass"), F.col("canonical_slug")], ["canonical_slug"]
         )
+        return written(best, "published")
 
     # -- navigation ------------------------------------------------------------------------------
 
@@ -654,12 +655,9 @@ def translation_messages(plan: HierarchyPlan) -> DataFrame:
     sections = english.filter((F.col("toggle_dir") == "") & (F.col("section_dir") != root_dir))
     toggles = english.filter("toggle_dir <> ''").join(toggles_in_use, "key", "left_semi")
     keys = sections.unionByName(toggles.select(*sections.columns))
-    # Each key once per locale: the locales travel with the key as a one-row array of
-    # distinct codes, so no cross join is needed.
+    # Each key once per locale. The distinct locale codes are one scalar value.
     locales = cats.filter(F.col("locale") != "en").agg(F.collect_set("locale").alias("locales"))
-    locales = locales.withColumn("__one", F.lit(1))
-    wanted = keys.withColumn("__one", F.lit(1)).join(F.broadcast(locales), "__one").drop("__one")
-    wanted = wanted.select("*", F.explode("locales").alias("locale")).drop("locales")
+    wanted = keys.select("*", F.explode(locales.scalar()).alias("locale"))
     own = slots.select("locale", "section_dir", "toggle_dir", "label")
     labelled = wanted.join(own, ["locale", "section_dir", "toggle_dir"], "left")
     key = F.concat(F.lit("sidebar.docsSidebar.category."), "key")
@@ -672,6 +670,6 @@ def translation_messages(plan: HierarchyPlan) -> DataFrame:
     return rows.unionByName(version)
 
 
-def stale_locales(published: DataFrame, nav: DataFrame) -> DataFrame:
-    """Locales published earlier that no longer appear in the navigation."""
-    return published.select("locale").distinct().join(nav.select("locale").distinct(), "locale", "left_anti")
+def stale_locales(published: DataFrame, current: DataFrame) -> DataFrame:
+    """Locales published earlier that have no navigation any more."""
+    return published.select("locale").distinct().join(current.select("locale").distinct(), "locale", "left_anti")

@@ -231,10 +231,10 @@ def nav_tree(spark, folder):
 
 
 @query("stale_locales", with_plan(
-    "SELECT DISTINCT lang AS locale FROM documents WHERE lang NOT IN (SELECT locale FROM routes)"))
+    "SELECT DISTINCT lang AS locale FROM documents WHERE lang NOT IN (SELECT locale FROM section_locales)"))
 def stale_locales(spark, folder):
     published_before = T.table(spark, folder, "documents").select(F.col("lang").alias("locale")).distinct()
-    return H.stale_locales(published_before, plan(spark, folder).nav_edges)
+    return H.stale_locales(published_before, plan(spark, folder).section_locales)
 
 
 @query(

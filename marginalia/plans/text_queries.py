@@ -440,6 +440,18 @@ def block_rollup(spark, folder):
     return B.block_rollup(T.blocks(spark, folder), KNOWN)
 
 
+@query(
+    "block_documents",
+    f"""WITH {ctes.BLOCKS}, r AS (
+  SELECT *, CASE WHEN type IN ('user', 'assistant') THEN text ELSE concat('> [!NOTE]', chr(10), '> Unsupported block: `', type, '`') END AS rendered FROM blocks),
+t AS (SELECT a.page_id, coalesce(p.pos, a.pos) AS root, CASE WHEN p.pos IS NULL THEN -1 ELSE a.pos END AS below,
+    concat(CASE WHEN p.pos IS NULL THEN chr(10) || chr(10) ELSE chr(10) END, a.rendered) AS text FROM r a LEFT JOIN r p ON p.block_id = a.parent_id WHERE a.rendered <> '')
+SELECT page_id, CAST(0 AS BIGINT) AS part, concat(ltrim(string_agg(text, '' ORDER BY root, below), chr(10)), chr(10)) AS body FROM t GROUP BY page_id""",
+)
+def block_documents(spark, folder):
+    return B.assemble_documents(B.block_rollup(T.blocks(spark, folder), KNOWN))
+
+
 @query("unsupported_census", f"WITH {ctes.BLOCKS} SELECT type, count(*) AS blocks, type IN ('user', 'assistant') AS supported FROM blocks GROUP BY type")
 def unsupported_census(spark, folder):
     return B.type_census(T.blocks(spark, folder), KNOWN)

@@ -13,7 +13,10 @@ EMPTY_WHEN_SMALL = {"route_dedupe"}
 
 @pytest.mark.parametrize("name", sorted(CHECKS))
 def test_matches_check(spark, con, folder, name):
-    result = compare(QUERIES[name](spark, folder), con, CHECKS[name])
+    df = QUERIES[name](spark, folder)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
+    result = compare(df, con, CHECKS[name])
     assert result["ok"], result
     assert result["rows"] > 0 or name in EMPTY_WHEN_SMALL
 
