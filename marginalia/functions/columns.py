@@ -172,7 +172,8 @@ def title_text(titles: Column | str, page_id: Column | str) -> Column:
 
 def names_or_default(names: Column | str, default: tuple[str, ...]) -> Column:
     kept = F.filter(col(names), lambda x: x.isNotNull() & (x != ""))
-    return F.when(F.size(kept) > 0, kept).otherwise(F.array(*[F.lit(d) for d in default]))
+    fallback = F.array(*[F.lit(d) for d in default]).cast("array<string>")
+    return F.when(F.size(kept) > 0, kept).otherwise(fallback)
 
 
 def display_date(iso: Column | str) -> Column:

@@ -10,6 +10,66 @@ from ..functions import fixed
 from ..functions.rows import array_rows
 
 
+# --- fixed values: property names of a source page --------------------------------
+ELEMENT_TYPE = "Element Type"
+PUBLISH_STATUS = "Publish Status"
+RELATED = "Sub-item"
+LANGUAGE = "Language"
+SECTION = "Content Section"
+ORDER = "Order"
+KEYWORDS = "Keywords"
+TAGS = "Tags"
+PUBLISHED = "Date Published"
+
+
+def extract_metadata(snapshots: DataFrame, default_keywords=fixed.DEFAULT_KEYWORDS, default_tags=()) -> DataFrame:
+    """Typed metadata of raw page snapshots.
+
+    ``snapshots`` has page_id, source_idx and ``snapshot``, the page's JSON as VARIANT
+    (see sources.scans.scan_snapshots). Every field is read by path, in one pass.
+    """
+    s = F.col("snapshot")
+
+    def prop(name: str) -> Column:
+        return F.try_variant_get(s, f'$.properties["{name}"]', "variant")
+
+    def names(name: str, field: str, part: str) -> Column:
+        items = F.try_variant_get(s, f'$.properties["{name}"].{field}', f"array<struct<{part}: string>>")
+        return F.coalesce(F.transform(items, lambda i: i[part]), F.expr("CAST(array() AS array<string>)"))
+
+    runs = "array<struct<plain_text: string>>"
+    # The first title property present decides, even when it holds no text.
+    title = F.lit(None).cast("string")
+    for name in reversed(fixed.TITLE_PROPERTIES):
+        held = F.try_variant_get(s, f'$.properties["{name}"].title', runs)
+        text = F.when(F.size(held) > 0, C.joined_runs(held))
+        title = F.when(prop(name).isNotNull(), text).otherwise(title)
+    language = C.property_text(prop(LANGUAGE))
+    label = C.property_text(prop(PUBLISH_STATUS))
+    order = F.regexp_extract(C.property_text(prop(ORDER)), r"^\s*([+-]?\d+)", 1)
+    listed = names(RELATED, "relation", "id")
+    return snapshots.select(
+        "page_id",
+        "source_idx",
+        F.coalesce(title, "page_id").alias("title"),
+        C.normalize_locale(language).alias("locale"),
+        C.property_text(prop(SECTION)).alias("section"),
+        F.when(order != "", order.cast("int")).alias("section_order"),
+        C.property_text(prop(ELEMENT_TYPE)).alias("element_type"),
+        label.alias("publish_status"),
+        C.status_of(label).alias("status"),
+        F.filter(listed, lambda i: i.isNotNull() & (i != "")).alias("sub_items"),
+        C.names_or_default(names(KEYWORDS, "multi_select", "name"), default_keywords).alias("keywords"),
+        C.names_or_default(names(TAGS, "multi_select", "name"), default_tags).alias("tags"),
+        F.try_variant_get(s, f'$.properties["{PUBLISHED}"].date.start', "string").alias("published_date"),
+        C.emoji_icon(
+            F.try_variant_get(s, "$.icon.type", "string"), F.try_variant_get(s, "$.icon.emoji", "string")
+        ).alias("icon"),
+        C.language_provenance(language).alias("language_source"),
+        F.try_variant_get(s, "$.last_edited_time", "string").alias("edited_at"),
+    )
+
+
 def manifest_docs(meta: DataFrame) -> DataFrame:
     """Metadata row to catalog row, 18 columns, dead pages included."""
     return meta.select(
