@@ -225,17 +225,16 @@ def chunkable_pages(docs: DataFrame, include_drafts: bool = False) -> DataFrame:
 
 
 def attach_bodies(pages: DataFrame, bodies: DataFrame) -> DataFrame:
-    """Body by page id, else the body filed under the page's slug.
+    """Body by page id, else the body filed under the page's slug; pages without either
+    drop out. ``bodies`` has key (unique) and body.
 
-    ``bodies`` has key and body. Only pages without a body under their id go through the
-    second join.
+    Which key a page uses is settled on keys alone, so bodies move through one join.
     """
-    by_id = bodies.select(F.col("key").alias("page_id"), "body")
-    direct = pages.join(by_id, "page_id", "left")
-    by_slug = bodies.select(F.col("key").alias("slug"), F.col("body").alias("__slug_body"))
-    missing = pages.join(bodies.select(F.col("key").alias("page_id")), "page_id", "left_anti")
-    filed = missing.join(by_slug, "slug").select(*pages.columns, F.col("__slug_body").alias("body"))
-    return direct.filter("body IS NOT NULL").unionByName(filed)
+    filed = bodies.select(F.col("key").alias("page_id"), F.lit(True).alias("__filed"))
+    keyed = pages.join(filed, "page_id", "left").withColumn(
+        "key", F.when(F.col("__filed"), F.col("page_id")).otherwise(F.col("slug"))
+    )
+    return keyed.drop("__filed").join(bodies.select("key", "body"), "key").drop("key")
 
 
 def chunk_stats(chunks: DataFrame) -> DataFrame:
