@@ -90,7 +90,7 @@ def language_provenance(label: Column | str) -> Column:
     present = non_empty(label)
     return (
         F.when(present.isNull(), "fallback")
-        .when(present.rlike(r"(?i)\bautomated\b"), "automated")
+        .when(present.rlike(fixed.AUTOMATED), "automated")
         .otherwise("explicit")
     )
 

@@ -95,7 +95,9 @@ SECTION_LABELS = {
 }
 
 # --- fixed values: title patterns ---------------------------------------------
-TEST_TITLE = r"(?i)^\s*[\[(]?\s*(testing|test|teste|prueba)\b"
+# Word ends are ASCII ones here: a letter with an accent ends the word before it.
+TEST_TITLE = r"(?i)^\s*[\[(]?\s*(testing|test|teste|prueba)(?![A-Za-z0-9_])"
+AUTOMATED = r"(?i)(?<![A-Za-z0-9_])automated(?![A-Za-z0-9_])"
 INTERNAL_TITLE = r"(?i)^\s*(new element|process checklist)\s*$"
 INTERNAL_MARKER = r"(?i)\[\s*(add content here|en title|insert content here)\s*\]"
 INTERNAL_NOTE = r"(?i)\((translating|translation|for translation|staging|do not publish|internal)[^)]*\)"

@@ -119,7 +119,7 @@ def paragraph_units(lines: Column) -> Column:
     and its first line, and emits spans.
     """
     def step(a: Column, l: Column) -> Column:
-        fence, table, blank = l.startswith(FENCE), l.startswith("|"), l.rlike(r"^\s*$")
+        fence, table, blank = l.startswith(FENCE), l.startswith("|"), trim_space(l) == ""
         kind, i = a["kind"], a["i"]
         in_block = kind == 3
         same = F.when(table, kind == 2).otherwise(kind == 1)
@@ -159,4 +159,4 @@ def paragraph_units(lines: Column) -> Column:
     ).otherwise(a["out"])
     spans = F.aggregate(lines, zero, step, finish)
     texts = F.transform(spans, lambda s: F.array_join(F.slice(lines, s["first"] + 1, s["n"]), "\n"))
-    return F.filter(texts, lambda t: t.rlike(r"\S"))
+    return F.filter(texts, lambda t: trim_space(t) != "")

@@ -69,7 +69,7 @@ def rewrite_assets(docs: DataFrame, pool: DataFrame, key: str, text: str) -> Dat
         )
         tagged = F.regexp_replace(
             named,
-            F.concat(F.lit("(?i)<img\\b[^>]*\\ssrc=([\"'])"), _quoted(u["url"]), F.lit("\\1[^>]*>")),
+            F.concat(F.lit("(?i)<img(?![A-Za-z0-9_])[^>]*\\ssrc=([\"'])"), _quoted(u["url"]), F.lit("\\1[^>]*>")),
             F.concat(F.lit("**[Image unavailable]**"), note),
         )
         return F.when(u["asset_key"].isNotNull(), F.replace(t, u["url"], u["asset_key"])).otherwise(tagged)
@@ -81,7 +81,7 @@ def rewrite_assets(docs: DataFrame, pool: DataFrame, key: str, text: str) -> Dat
 def static_images(text: Column | str) -> Column:
     """Relative tag sources become site-root paths; names with path parts are left."""
     return F.regexp_replace(
-        C.col(text), r'\bsrc="assets/((?:(?!\.\.)[^"/\\])+)"', f'src="{fixed.STATIC_IMAGE_PREFIX}$1"'
+        C.col(text), r'(?<![A-Za-z0-9_])src="assets/((?:(?!\.\.)[^"/\\])+)"', f'src="{fixed.STATIC_IMAGE_PREFIX}$1"'
     )
 
 
@@ -89,7 +89,7 @@ def referenced_assets(bodies: DataFrame, pool: DataFrame, key: str, text: str) -
     """Asset names in bodies with their state: present, missing or unsafe."""
     names = F.array_distinct(
         F.concat(
-            F.regexp_extract_all(text, F.lit(r'\bsrc="assets/([^"]+)"'), 1),
+            F.regexp_extract_all(text, F.lit(r'(?<![A-Za-z0-9_])src="assets/([^"]+)"'), 1),
             F.regexp_extract_all(text, F.lit(r"\]\(assets/([^)]+)\)"), 1),
         )
     )

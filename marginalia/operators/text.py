@@ -25,7 +25,7 @@ def break_after_bold(lines: Column) -> Column:
     def fixed_line(l: Column, i: Column) -> Column:
         following = F.try_element_at(lines, i + 2)
         alone = F.trim(l).rlike(r"^\s*\*\*[^*].*\*\*\s*$")
-        return F.when(alone & F.coalesce(following.rlike(r"\S"), F.lit(False)), F.concat(l, F.lit("\n"))).otherwise(l)
+        return F.when(alone & F.coalesce(C.trim_space(following) != "", F.lit(False)), F.concat(l, F.lit("\n"))).otherwise(l)
 
     return F.transform(lines, fixed_line)
 
@@ -173,7 +173,7 @@ def style_hazards(docs: DataFrame, key: str = "doc_id", lines: str = "lines") ->
     code = L.in_code(lines)
     rows = array_rows(docs, [key], F.arrays_zip(F.col(lines).alias("line"), code.alias("code")), "i", "r")
     shown = F.regexp_replace("r.line", "`[^`]*`", " ")
-    bad = ~F.col("r.code") & shown.rlike(r"\bstyle=(?!\{\{)")
+    bad = ~F.col("r.code") & shown.rlike(r"(?<![A-Za-z0-9_])style=(?!\{\{)")
     # The snippet shows the masked line, code spans blanked at their length.
     return rows.filter(bad).select(
         key,

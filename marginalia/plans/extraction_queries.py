@@ -265,7 +265,7 @@ def list_extract(spark, folder):
     return c.select(
         "page_id",
         F.array_join(C.names_or_default(names, fixed.DEFAULT_KEYWORDS), "|").alias("keywords"),
-        F.size(F.filter(F.concat("sub_items", F.array(F.lit(""))), lambda x: x != "")).alias("n_related"),
+        F.size(F.filter(F.concat("sub_items", F.array(F.lit(""))), lambda x: x != "")).cast("bigint").alias("n_related"),
     )
 
 
