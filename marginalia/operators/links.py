@@ -10,9 +10,6 @@ from ..functions import fixed
 from ..functions.ordered import best_per_group
 from ..functions.rows import array_rows
 
-# A broadcast is asked for only below this many rows; larger maps are shuffled by key.
-BROADCAST_ROWS = 200_000
-
 
 def slug_routes(docs: DataFrame, published: DataFrame) -> DataFrame:
     """Every slug an author may write to the published slug; own slugs win over title

@@ -78,3 +78,19 @@ def error_summary(errors: DataFrame, top: int = 5) -> DataFrame:
     by_msg = errors.groupBy("message").agg(one).orderBy(F.desc("n"), "message").limit(top)
     by_msg = by_msg.select(F.lit("message").alias("line"), F.col("message").alias("name"), "n")
     return total.unionByName(by_cat).unionByName(by_msg)
+
+
+def manifest_header(scanned: DataFrame) -> DataFrame:
+    """Counts of a catalog run: documents in all and per locale and status, blobs skipped,
+    blobs that could not be read. One aggregate over the outcome of ``scan_metadata``."""
+    page = F.col("outcome") == "page"
+    counts = scanned.groupBy(
+        "outcome", F.when(page, F.col("meta.locale")).alias("locale"), F.when(page, F.col("meta.status")).alias("status")
+    ).agg(F.count(F.lit(1)).alias("n"))
+    names = F.create_map(*[F.lit(x) for x in ("page", "docs", "skipped", "skipped", "read_error", "read_errors")])
+    per_group = counts.select(F.element_at(names, F.col("outcome")).alias("measure"), "locale", "status", "n")
+    none = F.lit(None).cast("string")
+    total = counts.filter("outcome = 'page'").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    return per_group.unionByName(
+        total.select(F.lit("docs_total").alias("measure"), none.alias("locale"), none.alias("status"), "n")
+    )

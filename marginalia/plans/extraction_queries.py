@@ -86,6 +86,24 @@ def metadata_scan(spark, folder):
     return found.select("event_id", "outcome", F.col("meta.k").alias("k"))
 
 
+@query(
+    "manifest_header",
+    with_corpus(
+        """, b AS (SELECT *, CASE WHEN doc_id % 97 = 0 THEN 'skipped' WHEN doc_id % 89 = 0 THEN 'read_errors' WHEN doc_id % 83 = 0 THEN 'skipped' ELSE 'docs' END AS measure FROM corpus)
+SELECT measure, CASE WHEN measure = 'docs' THEN locale END AS locale, CASE WHEN measure = 'docs' THEN status END AS status, count(*) AS n FROM b GROUP BY 1, 2, 3
+UNION ALL SELECT 'docs_total', NULL, NULL, count(*) FROM b WHERE measure = 'docs'"""
+    ),
+)
+def manifest_header(spark, folder):
+    d = F.col("doc_id")
+    title = F.when(d % 83 != 0, F.col("title"))
+    raw = F.to_json(F.struct("page_id", title.alias("title"), "locale", "status"))
+    blob = F.when(d % 97 == 0, F.left(raw, F.lit(9))).when(d % 89 != 0, raw)
+    blobs = T.corpus(spark, folder).select(blob.alias("raw"))
+    schema = "page_id string, title string, locale string, status string"
+    return Q.manifest_header(scans.scan_metadata(blobs, schema, ("page_id", "title", "locale", "status")))
+
+
 @query(
     "doc_scan",
     with_meta(

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..functions.ordered import best_per_group
 from ..operators import hierarchy as H
 from ..sources import tables as T
 from . import ctes

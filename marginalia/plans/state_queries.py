@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import columns as C
 from ..operators import quality as Q
 from ..operators import state as S
 from ..sources import sinks
