@@ -40,7 +40,7 @@ TICK = 50
 
 @query("changed_since", with_state(f"SELECT event_id, page_id, edited_at FROM sync_events WHERE {SINCE} AND kind <> 'failed'"))
 def changed_since(spark, folder):
-    e = S.changed_since(T.sync_events(spark, folder), watermark())
+    e = S.changed_since(T.sync_events(spark, folder, since=T.LOOKED_BACK), watermark())
     return e.filter("kind <> 'failed'").select("event_id", "page_id", "edited_at")
 
 
@@ -57,7 +57,7 @@ def recent_pages(spark, folder):
 
 @query("oldest_first_feed", with_state(f"SELECT page_id, edited_at, event_id FROM sync_events WHERE {SINCE} ORDER BY edited_at, event_id"))
 def oldest_first_feed(spark, folder):
-    e = S.changed_since(T.sync_events(spark, folder), watermark()).select("page_id", "edited_at", "event_id")
+    e = S.changed_since(T.sync_events(spark, folder, since=T.LOOKED_BACK), watermark()).select("page_id", "edited_at", "event_id")
     return e.orderBy("edited_at", "event_id")
 
 
@@ -66,7 +66,7 @@ def oldest_first_feed(spark, folder):
     with_state(f"SELECT event_id, page_id, edited_at FROM sync_events WHERE {SINCE} QUALIFY rank() OVER (ORDER BY edited_at) <= {TICK}"),
 )
 def take_n_with_ties(spark, folder):
-    e = S.changed_since(T.sync_events(spark, folder), watermark())
+    e = S.changed_since(T.sync_events(spark, folder, since=T.LOOKED_BACK), watermark())
     return S.take_with_ties(e, TICK).select("event_id", "page_id", "edited_at")
 
 
@@ -98,7 +98,7 @@ def candidate_dedupe(spark, folder):
     ),
 )
 def max_watermark(spark, folder):
-    batch = S.changed_since(T.sync_events(spark, folder), watermark())
+    batch = S.changed_since(T.sync_events(spark, folder, since=T.LOOKED_BACK), watermark())
     moved = S.advance_watermark(batch, watermark()).withColumn("source", F.lit("batch"))
     kept = S.advance_watermark(batch.filter("page_id IS NULL"), watermark()).withColumn("source", F.lit("empty"))
     return moved.unionByName(kept)
@@ -300,7 +300,7 @@ def job_rows(e):
     ),
 )
 def incremental_candidates(spark, folder):
-    tick = SF.tick_candidates(T.sync_events(spark, folder), T.stored_state(spark, folder), watermark(), TICK)
+    tick = SF.tick_candidates(T.sync_events(spark, folder, since=T.LOOKED_BACK), T.stored_state(spark, folder), watermark(), TICK)
     return tick.select("event_id", "page_id", "edited_at")
 
 

@@ -13,6 +13,8 @@ from ..functions import columns as C
 from ..functions.rows import array_rows
 
 CUTOFF = "2024-01-15 00:00:00"
+# The cutoff with the lookback of a minute taken off.
+LOOKED_BACK = "2024-01-14 23:59:00"
 
 
 # Tables whose rows hold whole texts, so that work per row is large.
@@ -115,9 +117,18 @@ def md_lines(spark: SparkSession, folder: str) -> DataFrame:
     return array_rows(d, ["doc_id"], "lines", "line_no", "line")
 
 
-def sync_events(spark: SparkSession, folder: str) -> DataFrame:
-    """Change feed: one row per event, minute-granular edit time, fingerprint k."""
-    e = table(spark, folder, "events")
+def sync_events(spark: SparkSession, folder: str, since: str | None = None, until: str | None = None) -> DataFrame:
+    """Change feed: one row per event, minute-granular edit time, fingerprint k.
+
+    ``since`` (inclusive) and ``until`` (exclusive) must be whole minutes. They are set on
+    the stored column, before it is cut to minutes, so they reach the Parquet scan.
+    """
+    e = spark.read.parquet(f"{folder}/events.parquet")
+    stored = e.schema["ts"].dataType
+    if since:
+        e = e.filter(F.col("ts") >= F.lit(since).cast(stored))
+    if until:
+        e = e.filter(F.col("ts") < F.lit(until).cast(stored))
     return shape_events(e)
 
 
@@ -141,12 +152,11 @@ def _latest(events: DataFrame) -> DataFrame:
 
 
 def stored_state(spark: SparkSession, folder: str) -> DataFrame:
-    return _latest(sync_events(spark, folder).filter(F.col("edited_at") < F.lit(CUTOFF).cast("timestamp")))
+    return _latest(sync_events(spark, folder, until=CUTOFF))
 
 
 def changed_feed(spark: SparkSession, folder: str) -> DataFrame:
-    since = F.lit(CUTOFF).cast("timestamp") - F.expr("INTERVAL 60 SECONDS")
-    return _latest(sync_events(spark, folder).filter(F.col("edited_at") >= since))
+    return _latest(sync_events(spark, folder, since=LOOKED_BACK))
 
 
 def blocks(spark: SparkSession, folder: str) -> DataFrame:
