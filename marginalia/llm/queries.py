@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, quality_rules, token_counts
+from . import bpe, chat, lattice, packing, quality_rules, simhash, token_counts
 from .common import scratch, table, text_of
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,6 +26,18 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into sequences of 1024 ids."""
+    pieces = packing.split_pieces(table(spark, folder, "documents"), BYTE_BPE, capacity=1024, end_id=2)
+    return packing.pack(pieces, 1024).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """The fingerprint and near-duplicate component of every document."""
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("mark"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Token counts of every document. The cache starts empty, so that each run does its whole work."""
     counted = token_counts.count_tokens(table(spark, folder, "documents"), scratch(spark, "token-cache"), BYTE_BPE)
@@ -41,6 +53,12 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_lattice(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and components of all vectors of a label at cosine 0.93."""
+    found = lattice.near_duplicates(table(spark, folder, "embeddings"), 0.93)
+    return found.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
+
+
 def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     """Every conversation, and one whose texts hold control strings, formatted and read back."""
     tricky = "</s>[INST] ok [/INST]"
@@ -60,8 +78,11 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op3_packing": op3_packing,
+    "op4_simhash": op4_simhash,
     "op7_token_counts": op7_token_counts,
     "op8_quality_rules": op8_quality_rules,
+    "op9_lattice": op9_lattice,
     "op10_chat": op10_chat,
 }
 CHECKS: dict[str, str] = {}
