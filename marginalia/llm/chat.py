@@ -13,7 +13,7 @@ of assistant texts in ``formatted``.
 
 Null texts and roles count as empty; a null conversation id is a conversation of its own. A node
 whose parent is missing is a root. Repeated (conversation, node) rows or a cycle are errors of
-the input: a cycle has no leaf and so gives no path. An empty table gives an empty result.
+the input: a cycle stops the run. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -59,29 +59,30 @@ def paths(tree: DataFrame, branches: int = 1) -> DataFrame:
     level = links.join(known, _meets("parent"), "left").select(
         "conv_id", "node", F.col("at").alias("up"), F.col("score").alias("total"), F.lit(1).cast("long").alias("depth")
     )
-    level, jumps = written(level, "jumps"), []
-    while True:
-        jumps.append(level)
-        if not level.filter("up is not null").head(1):
-            break
+    # Nodes whose path has reached its root are done; only the others are looked up further.
+    first = written(level, "jumps")
+    done, going = first.filter("up is null"), first.filter("up is not null")
+    jumps = []
+    while going.head(1):
         if len(jumps) > MAX_DOUBLINGS:
             raise ValueError("the replies form a cycle")
-        far = level.select(F.col("conv_id").alias("c"), F.col("node").alias("at"), F.col("up").alias("further"), F.col("total").alias("more"), F.col("depth").alias("deeper"))
-        level = written(
-            level.join(far, _meets("up"), "left").select(
-                "conv_id", "node", F.col("further").alias("up"),
-                (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"), (F.col("depth") + F.coalesce("deeper", F.lit(0))).alias("depth"),
-            ),
-            "jumps",
+        jumps.append(going)
+        far = going.unionByName(done).select(
+            F.col("conv_id").alias("c"), F.col("node").alias("at"), F.col("up").alias("further"), F.col("total").alias("more"), F.col("depth").alias("deeper")
         )
+        doubled = going.join(far, _meets("up")).select(
+            "conv_id", "node", F.col("further").alias("up"), (F.col("total") + F.col("more")).alias("total"), (F.col("depth") + F.col("deeper")).alias("depth")
+        )
+        level = written(doubled, "jumps")
+        done, going = done.unionByName(level.filter("up is null")), level.filter("up is not null")
     answered = links.filter("parent is not null").select(F.col("conv_id").alias("c"), F.col("parent").alias("at")).distinct()
-    leaves = level.join(answered, _meets("node"), "left_anti")
+    leaves = done.join(answered, _meets("node"), "left_anti")
     rank = F.row_number().over(Window.partitionBy("conv_id").orderBy(F.desc(F.col("total") / F.col("depth")), "node"))
     reached = leaves.select("conv_id", "node", rank.alias("branch")).filter(F.col("branch") <= branches).select(
         "conv_id", F.col("node").alias("leaf"), "branch", F.lit(0).cast("long").alias("hop"), "node"
     )
-    for k, jump in enumerate(jumps[:-1]):
-        step = jump.filter("up is not null").select(F.col("conv_id").alias("c"), F.col("node").alias("at"), "up")
+    for k, jump in enumerate(jumps):
+        step = jump.select(F.col("conv_id").alias("c"), F.col("node").alias("at"), "up")
         further = reached.join(step, _meets("node")).select(
             "conv_id", "leaf", "branch", (F.col("hop") + 2**k).alias("hop"), F.col("up").alias("node")
         )

@@ -75,17 +75,19 @@ def _repeated_words(words: Column, n: Column) -> Column:
     return F.when(n < WINDOW, 0).when(F.size(F.array_distinct(hashes)) == n - (WINDOW - 1), 0).otherwise(exact).cast("long")
 
 
-def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id`` and all measurements, one row per document."""
-    body = docs.select(F.col(doc_id).alias("doc_id"), text_of(F.col(text)).alias("body"))
+def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: bool = False) -> DataFrame:
+    """``doc_id`` and all measurements, one row per document; with ``carry``, the whole row as ``row``."""
+    own = [F.struct("*").alias("row")] if carry else []
+    body = docs.select(F.col(doc_id).alias("doc_id"), text_of(F.col(text)).alias("body"), *own)
+    row = ["row"] if carry else []
     split = body.select(
-        "doc_id", "body",
+        "doc_id", "body", *row,
         F.array_remove(F.split(F.translate("body", BLANKS, " " * len(BLANKS)), " "), "").alias("words"),
         F.filter(F.split("body", "\n"), lambda x: F.translate(x, BLANKS, "") != "").alias("lines"),
     )
     sized = split.withColumn("n", F.size("words")).withColumn("m", F.size("lines"))
     return sized.select(
-        "doc_id",
+        "doc_id", *row,
         F.col("n").cast("long").alias("n_words"),
         F.length(F.translate("body", BLANKS, "")).cast("long").alias("word_chars"),
         _count_of(F.col("body"), SYMBOLS).alias("n_symbols"),
@@ -97,13 +99,13 @@ def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     )
 
 
-def ledger(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def ledger(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: bool = False) -> DataFrame:
     """Measurements and ``failed``, the bits of all rules that the document breaks."""
     failed = reduce(
         lambda a, b: a.bitwiseOR(b),
         [F.when(F.expr(rule), F.lit(1 << k)).otherwise(F.lit(0)) for k, rule in enumerate(RULES.values())],
     )
-    return measure(docs, doc_id, text).withColumn("failed", failed.cast("long"))
+    return measure(docs, doc_id, text, carry).withColumn("failed", failed.cast("long"))
 
 
 def apply_policy(entries: DataFrame, policy: str = CURRENT) -> DataFrame:
@@ -123,3 +125,8 @@ def ablation(entries: DataFrame, policy: str = CURRENT) -> DataFrame:
         F.sum(F.when(F.col("mask").bitwiseAND(F.col("bit")) != 0, F.col("n")).otherwise(0)).alias("n_failed"),
         F.sum(F.when(F.col("mask") == F.col("bit"), F.col("n")).otherwise(0)).alias("n_alone"),
     )
+
+
+def keep_good(docs: DataFrame, policy: str = CURRENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that a policy keeps, as they are."""
+    return apply_policy(ledger(docs, doc_id, text, carry=True), policy).filter("kept").select("row.*")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, lattice, packing, quality_rules, simhash, token_counts
+from . import bpe, chat, html_extract, lattice, ordinal, packing, pii, quality_rules, simhash, token_counts
 from .common import scratch, table, text_of
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,6 +26,12 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_html(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page."""
+    done = html_extract.extract(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return done.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents packed into sequences of 1024 ids."""
     pieces = packing.split_pieces(table(spark, folder, "documents"), BYTE_BPE, capacity=1024, end_id=2)
@@ -38,6 +44,30 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("mark"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def rated(spark: SparkSession, folder: str) -> DataFrame:
+    """``doc_id, grade`` of the rated documents."""
+    return table(spark, folder, "labels").select("doc_id", ordinal.grade_of(F.col("quality"), F.col("toxic")).alias("grade"))
+
+
+def op5_ordinal(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected grade and verdict of every document."""
+    docs = table(spark, folder, "documents")
+    scored = ordinal.score(docs, ordinal.fit(docs, rated(spark, folder)))
+    return ordinal.select(scored).select("doc_id", "expected_grade", "tail", "kept")
+
+
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of every document."""
+    found, weights = pii.fit(table(spark, folder, "documents"))
+    done = pii.spans(found, weights)
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = map(count, pii.KINDS)
+    return done.select("doc_id", *counts, sha256_of(pii.listed(F.col("base"))).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"))
+
+
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Token counts of every document. The cache starts empty, so that each run does its whole work."""
     counted = token_counts.count_tokens(table(spark, folder, "documents"), scratch(spark, "token-cache"), BYTE_BPE)
@@ -78,8 +108,11 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_bpe": op1_bpe,
+    "op2_html": op2_html,
     "op3_packing": op3_packing,
     "op4_simhash": op4_simhash,
+    "op5_ordinal": op5_ordinal,
+    "op6_pii": op6_pii,
     "op7_token_counts": op7_token_counts,
     "op8_quality_rules": op8_quality_rules,
     "op9_lattice": op9_lattice,

@@ -205,8 +205,12 @@ def links(marks: DataFrame, threshold: int = THRESHOLD, pairwise: int = PAIRWISE
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
-    """``doc_id, mark, component_id``: one row per document with its fingerprint and smallest reachable id."""
-    marked = written(docs.select(F.col(doc_id).alias("doc_id"), fingerprint_column(F.col(text)).alias("mark")), "marks")
+    """``doc_id, content, mark, component_id``: one row per document with its fingerprint and smallest reachable id.
+
+    ``content`` is a hash of the text, which tells rows of a repeated id apart.
+    """
+    body = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("body"))
+    marked = written(body.select("doc_id", F.xxhash64("body").alias("content"), fingerprint_column(F.col("body")).alias("mark")), "marks")
     lowest = written(marked.groupBy("mark").agg(F.min("doc_id").alias("first_id")), "distinct-marks")
     parts = components(links(lowest, threshold))
     of_mark = lowest.join(parts.select(F.col("node").alias("mark"), "component"), "mark", "left").select(
@@ -214,4 +218,22 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
     ids = of_mark.groupBy("component").agg(F.min("first_id").alias("component_id"))
     named = of_mark.join(ids, "component").select("mark", "component_id")
-    return marked.join(named, "mark").select("doc_id", "mark", "component_id")
+    return marked.join(named, "mark").select("doc_id", "content", "mark", "component_id")
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the row of the smallest id stays.
+
+    Among rows of that id the text's hash decides, and of wholly equal rows one stays.
+    """
+    found = near_duplicates(docs, doc_id, text, threshold)
+    # Components without any id are told apart by a mark they hold.
+    key = F.when(F.col("component_id").isNull(), F.col("mark"))
+    rows = found.groupBy("component_id", key.alias("own"), "doc_id", "content").agg(F.count("*").alias("n"))
+    first = rows.groupBy("component_id", "own").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "content", "n")).alias("s"))
+    stay = written(first.select(F.col("s.doc_id").alias("__id"), F.col("s.content").alias("__content"), F.col("s.n").alias("__n")), "survivors")
+    met = F.col(doc_id).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text)) == F.col("__content"))
+    single = docs.join(stay.filter("__n = 1").hint("shuffle_hash"), met, "left_semi")
+    if not stay.filter("__n > 1").head(1):
+        return single
+    return single.unionByName(docs.join(stay.filter("__n > 1").hint("shuffle_hash"), met, "left_semi").dropDuplicates([doc_id, text]))
