@@ -47,7 +47,7 @@ STATUS_LABELS = {
 STATUS_PATTERNS = [
     ("archived", "deleted|inaccessible|unpl?ublished"),
     ("deprecated", "depreciated|deprecated|archive|remove"),
-    ("active", "done|validated|pre-publish|published|ready[ -]to[ -]publish"),
+    ("active", "done|validated|pre-publish|published|ready to publish|ready-to-publish"),
 ]
 DEAD_LABELS = ("Remove", "Unplublished")
 DEAD_STATUSES = ("deprecated", "archived")

@@ -1,8 +1,8 @@
 """Line-structure expressions over a document's array of lines.
 
 A document is one row, so its fences, headings and paragraphs are found inside the row:
-no line leaves its task, nothing is shuffled. Each expression is one ordered fold that
-keeps positions, and texts are cut from the lines at the end.
+no line leaves its task, nothing is shuffled. Ordered state (open fences, open headings) comes
+from scans that are linear in the lines; they keep positions, and texts are cut at the end.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .columns import col, trim_space
+from .folds import bound, running_sum, scan, where
 
 FENCE = "```"
 _HEADING = r"^(#{1,6})\s+(.+)"
@@ -24,19 +25,9 @@ def _sql(text: str, lines: str) -> Column:
 
 
 def _open_before(is_fence: str, lines: str) -> Column:
-    """For every line whether a fence is open before it. The fold collects one run of
-    lines per fence, so it stays linear in the lines; runs are spread out at the end."""
-    runs = _sql(
-        f"""aggregate($lines,
-             named_struct('open', false, 'n', 0, 'out', CAST(array() AS array<struct<open: boolean, n: int>>)),
-             (a, l) -> if({is_fence},
-                 named_struct('open', NOT a.open, 'n', 0,
-                              'out', concat(a.out, array(named_struct('open', a.open, 'n', a.n + 1)))),
-                 named_struct('open', a.open, 'n', a.n + 1, 'out', a.out)),
-             a -> concat(a.out, array(named_struct('open', a.open, 'n', a.n))))""",
-        lines,
-    )
-    return F.flatten(F.transform(runs, lambda r: F.array_repeat(r["open"], r["n"])))
+    """For every line whether a fence is open before it: an odd number of fences so far."""
+    marks = _sql(f"transform($lines, l -> if({is_fence}, 1, 0))", lines)
+    return bound(marks, lambda m: F.zip_with(running_sum(m), m, lambda s, f: (s - f) % 2 == 1))
 
 
 def fence_open(lines: str = "lines") -> Column:
@@ -54,45 +45,53 @@ def in_code(lines: str = "lines") -> Column:
     return F.zip_with(before, col(lines), lambda o, l: o | l.rlike(r"^\s*(```|~~~)"))
 
 
-def clean_heading(raw: str) -> str:
-    """SQL for a heading's title: no tags, no emphasis, single blanks; an image-only
-    heading is named by the image's alt text."""
-    return (
-        f"coalesce(nullif(trim(regexp_replace(regexp_replace(regexp_replace({raw}, '<[^>]+>', ' '), "
-        f"'[*][*]|`', ''), '\\\\s+', ' ')), ''), regexp_extract({raw}, 'alt=\"([^\"]*)\"', 1))"
-    )
+def clean_heading(raw: Column) -> Column:
+    """A heading's title: no tags, no emphasis, single blanks; an image-only heading is
+    named by the image's alt text."""
+    plain = F.regexp_replace(F.regexp_replace(F.regexp_replace(raw, "<[^>]+>", " "), "[*][*]|`", ""), r"\s+", " ")
+    return F.coalesce(F.nullif(F.trim(plain), F.lit("")), F.regexp_extract(raw, 'alt="([^"]*)"', 1))
 
 
-_LEVEL = r"length(regexp_extract(l, '^(#{1,6})\\s+(.+)', 1))"
-_PUSHED = (
-    "concat(filter(a.stack, h -> h.level < " + _LEVEL + "), array(named_struct('level', "
-    + _LEVEL + ", 'title', " + clean_heading(r"trim(regexp_extract(l, '^(#{1,6})\\s+(.+)', 2))") + ")))"
-)
-# The prefix test spares most lines the pattern.
-_IS_HEADING = r"(NOT a.open AND startswith(l, '#') AND l rlike '^#{1,6}\\s+.+')"
+_STACK = "array<struct<level:int,title:string>>"
 
 
 def section_spans(lines: str = "lines") -> Column:
-    """Spans between headings: array of (path, first line, line count), in order."""
-    span = (
-        "array(named_struct('path', transform(a.stack, h -> h.title), 'first', a.first, 'n', a.i - a.first))"
-    )
-    return _sql(
-        f"""aggregate($lines,
-             named_struct('open', false, 'i', 0, 'first', 0,
-                          'stack', CAST(array() AS array<struct<level: int, title: string>>),
-                          'out', CAST(array() AS array<struct<path: array<string>, first: int, n: int>>)),
-             (a, l) -> named_struct(
-                 'open', a.open <> startswith(l, '$fence'),
-                 'i', a.i + 1,
-                 'first', if({_IS_HEADING}, a.i, a.first),
-                 'stack', if({_IS_HEADING}, {_PUSHED}, a.stack),
-                 'out', if({_IS_HEADING}, concat(a.out, {span}), a.out)),
-             a -> concat(a.out, {span}))""",
-        lines,
+    """Spans between headings: array of (path, first line, line count), in order.
+
+    Only headings are scanned for their open ancestors; all other lines are merely counted.
+    """
+    # The prefix test spares most lines the pattern.
+    marked = F.zip_with(fence_open(lines), col(lines), lambda o, l: ~o & l.startswith("#") & l.rlike(r"^#{1,6}\s+.+"))
+    at = lambda i: F.get(col(lines), i)
+    named = F.transform(where(marked), lambda i: F.struct(i.alias("i"), at(i).alias("l")))
+    heads = F.transform(named, lambda h: F.struct(h["i"].alias("i"), *_heading_parts(h["l"])))
+
+    def push(stack: Column, h: Column) -> Column:
+        above = F.filter(stack, lambda x: x["level"] < h["level"])
+        return F.concat(above, F.array(F.struct(h["level"].alias("level"), h["title"].alias("title"))))
+
+    def emit(stack: Column, h: Column) -> Column:
+        return F.struct(F.transform(stack, lambda x: x["title"]).alias("path"), h["i"].alias("first"))
+
+    opened = scan(heads, F.array().cast(_STACK), push, emit, "struct<path:array<string>,first:int>")
+    lead = F.struct(F.array().cast("array<string>").alias("path"), F.lit(0).alias("first"))
+    total = F.size(col(lines))
+    return bound(
+        F.concat(F.array(lead), opened),
+        lambda o: F.transform(
+            o,
+            lambda s, k: F.struct(s["path"].alias("path"), s["first"].alias("first"), (F.coalesce(F.get(o, k + 1)["first"], total) - s["first"]).alias("n")),
+        ),
     )
 
 
+def _heading_parts(line: Column) -> list[Column]:
+    """Level and title of a heading line."""
+    level = F.length(F.regexp_extract(line, r"^(#{1,6})\s+(.+)", 1))
+    raw = F.trim(F.regexp_extract(line, r"^(#{1,6})\s+(.+)", 2))
+    return [level.alias("level"), clean_heading(raw).alias("title")]
+
+
 def heading_stacks(lines: str = "lines") -> Column:
     """For every line the titles of the open headings, a heading line included in its
     own path (array of arrays of text)."""
@@ -115,48 +114,31 @@ def sections(lines: str = "lines") -> Column:
 def paragraph_units(lines: Column) -> Column:
     """Paragraphs as array of text; a fenced block or a run of table lines is one unit.
 
-    The fold tracks the kind of the unit being built (0 none, 1 prose, 2 table, 3 code)
-    and its first line, and emits spans.
+    Every line gets a kind (0 none, 1 prose, 2 table, 3 code). A unit begins where the kind
+    changes, or at the fence that opens a block, and ends before the next beginning or gap.
     """
-    def step(a: Column, l: Column) -> Column:
-        fence, table, blank = l.startswith(FENCE), l.startswith("|"), trim_space(l) == ""
-        kind, i = a["kind"], a["i"]
-        in_block = kind == 3
-        same = F.when(table, kind == 2).otherwise(kind == 1)
-        # The unit built so far ends before this line ...
-        ends_before = ~in_block & (kind != 0) & (fence | blank | ~same)
-        # ... or with it, when the line closes a fence.
-        ends_with = in_block & fence
-        unit = lambda stop: F.array(
-            F.struct(a["first"].alias("first"), (stop - a["first"]).alias("n"))
-        )
-        out = (
-            F.when(ends_before, F.concat(a["out"], unit(i)))
-            .when(ends_with, F.concat(a["out"], unit(i + 1)))
-            .otherwise(a["out"])
-        )
-        new_kind = (
-            F.when(in_block, F.when(fence, 0).otherwise(3))
-            .when(fence, 3)
-            .when(blank, 0)
-            .when(table, 2)
-            .otherwise(1)
-        )
-        starts = ~in_block & ((kind == 0) | ends_before)
-        return F.struct(
-            (i + 1).alias("i"),
-            new_kind.alias("kind"),
-            F.when(starts, i).otherwise(a["first"]).alias("first"),
-            out.alias("out"),
+    return bound(lines, _units_of)
+
+
+def _units_of(lines: Column) -> Column:
+    def kinds(marks: Column) -> Column:
+        before = F.zip_with(running_sum(marks), marks, lambda s, f: (s - f) % 2 == 1)
+        typed = F.zip_with(
+            before, lines,
+            lambda o, l: F.when(o | l.startswith(FENCE), 3).when(trim_space(l) == "", 0).when(l.startswith("|"), 2).otherwise(1),
         )
+        return F.zip_with(typed, before, lambda k, o: F.struct(k.alias("k"), o.alias("inside")))
 
-    zero = F.expr(
-        "named_struct('i', 0, 'kind', 0, 'first', 0, 'out', CAST(array() AS array<struct<first: int, n: int>>))"
-    )
-    finish = lambda a: F.when(
-        a["kind"] != 0,
-        F.concat(a["out"], F.array(F.struct(a["first"].alias("first"), (a["i"] - a["first"]).alias("n")))),
-    ).otherwise(a["out"])
-    spans = F.aggregate(lines, zero, step, finish)
-    texts = F.transform(spans, lambda s: F.array_join(F.slice(lines, s["first"] + 1, s["n"]), "\n"))
-    return F.filter(texts, lambda t: trim_space(t) != "")
+    def begins(rows: Column, i: Column) -> Column:
+        now, last = F.get(rows, i), F.coalesce(F.get(rows, i - 1)["k"], F.lit(0))
+        return F.when(now["k"] == 3, ~now["inside"]).otherwise((now["k"] != 0) & (now["k"] != last))
+
+    def spans(rows: Column) -> Column:
+        index = F.transform(rows, lambda _, i: i)
+        first = F.filter(index, lambda i: begins(rows, i))
+        last = F.filter(index, lambda i: (F.get(rows, i)["k"] != 0) & ((F.coalesce(F.get(rows, i + 1)["k"], F.lit(0)) == 0) | begins(rows, i + 1)))
+        return F.zip_with(first, last, lambda a, b: F.array_join(F.slice(lines, a + 1, b - a + 1), "\n"))
+
+    marks = F.transform(lines, lambda l: F.when(l.startswith(FENCE), 1).otherwise(0))
+    units = bound(bound(marks, kinds), spans)
+    return F.filter(units, lambda t: trim_space(t) != "")

@@ -31,7 +31,7 @@ def is_supported(kind: Column | str, extra: tuple[str, ...] = ()) -> Column:
 
 def block_text(kind: Column, text: Column, extra: tuple[str, ...] = ()) -> Column:
     prefix = F.create_map(*[F.lit(x) for kv in PREFIX.items() for x in kv])
-    note = F.concat(F.lit("> [!NOTE]\n> Unsupported block: `"), kind, F.lit("`"))
+    note = F.concat(F.lit("> [!NOTE]\n> Unsupported Notion block: `"), kind, F.lit("`"))
     return F.when(is_supported(kind, extra), F.concat(F.coalesce(F.try_element_at(prefix, kind), F.lit("")), text)).otherwise(note)
 
 

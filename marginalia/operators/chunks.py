@@ -16,10 +16,9 @@ from ..functions import columns as C
 from ..functions import fixed
 from ..functions import lines as L
 from ..functions import repair
+from ..functions.folds import bound, scan, where
 from ..functions.rows import array_rows
 
-PIECES = "array<array<string>>"
-
 # The helper is shipped with the task, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(repair)
 
@@ -37,52 +36,49 @@ def coalesce_sections(sections: Column) -> Column:
     while it is under the minimum and the sum stays within the maximum."""
     real = F.filter(sections, lambda s: C.has_word_character(s["text"]))
     sized = F.transform(
-        real,
-        lambda s: F.struct(s["path"].alias("path"), F.array(s["text"]).alias("parts"), _units(s["text"]).alias("n")),
+        real, lambda s: F.struct(s["path"].alias("path"), s["text"].alias("text"), _units(s["text"]).alias("n"))
     )
 
-    def step(out: Column, s: Column) -> Column:
-        last = F.try_element_at(out, F.lit(-1))
-        have, more = _tokens_of(last["n"]), _tokens_of(s["n"])
-        fits = last.isNotNull() & (have < fixed.CHUNK_MIN) & (have + more <= fixed.CHUNK_MAX)
-        merged = F.struct(
-            last["path"].alias("path"),
-            F.concat(last["parts"], s["parts"]).alias("parts"),
-            (last["n"] + 2 + s["n"]).alias("n"),
-        )
-        return F.when(fits, F.concat(F.slice(out, F.lit(1), F.size(out) - 1), F.array(merged))).otherwise(
-            F.concat(out, F.array(s))
-        )
+    def step(a: Column, s: Column) -> Column:
+        have, more = _tokens_of(a["n"]), _tokens_of(s["n"])
+        fits = a["n"].isNotNull() & (have < fixed.CHUNK_MIN) & (have + more <= fixed.CHUNK_MAX)
+        return F.struct(F.when(fits, a["n"] + 2 + s["n"]).otherwise(s["n"]).cast("int").alias("n"), (~F.coalesce(fits, F.lit(False))).alias("new"))
 
-    zero = F.expr("CAST(array() AS array<struct<path: array<string>, parts: array<string>, n: int>>)")
-    folded = F.aggregate(sized, zero, step)
-    return F.transform(
-        folded,
-        lambda s: F.struct(
-            s["path"].alias("path"), F.array_join(s["parts"], "\n\n").alias("text"), _tokens_of(s["n"]).alias("tokens")
-        ),
+    zero = F.struct(F.lit(None).cast("int").alias("n"), F.lit(False).alias("new"))
+
+    def merged(own: Column) -> Column:
+        seen = scan(own, zero, step, lambda a, _: a, "struct<n:int,new:boolean>")
+        return bound(seen, lambda m: F.transform(_runs(F.transform(m, lambda x: x["new"])), lambda r: F.struct(
+            F.get(own, r["first"])["path"].alias("path"),
+            F.array_join(F.transform(F.slice(own, r["first"] + 1, r["n"]), lambda s: s["text"]), "\n\n").alias("text"),
+            _tokens_of(F.get(m, r["first"] + r["n"] - 1)["n"]).alias("tokens"),
+        )))
+
+    return bound(sized, merged)
+
+
+def _runs(begins: Column) -> Column:
+    """Runs of elements as (first, n); the first element always begins one."""
+    return bound(
+        where(begins),
+        lambda w: F.transform(w, lambda i, k: F.struct(i.alias("first"), (F.coalesce(F.get(w, k + 1), F.size(begins)) - i).alias("n"))),
     )
 
 
 def pack(units: Column) -> Column:
     """Pack paragraphs in order into pieces of at most the maximum; a larger paragraph
     makes a piece of its own."""
-    def step(a: Column, u: Column) -> Column:
-        t = C.token_estimate(u)
-        full = (a["n"] + t > fixed.CHUNK_MAX) & (F.size(a["piece"]) > 0)
-        return F.struct(
-            F.when(full, F.concat(a["out"], F.array(a["piece"]))).otherwise(a["out"]).alias("out"),
-            F.when(full, F.array(u)).otherwise(F.concat(a["piece"], F.array(u))).alias("piece"),
-            F.when(full, t).otherwise(a["n"] + t).alias("n"),
-        )
+    def step(a: Column, t: Column) -> Column:
+        full = a["n"].isNull() | (a["n"] + t > fixed.CHUNK_MAX)
+        return F.struct(F.when(full, t).otherwise(a["n"] + t).cast("int").alias("n"), full.alias("new"))
 
-    zero = F.expr(f"named_struct('out', CAST(array() AS {PIECES}), 'piece', CAST(array() AS array<string>), 'n', 0)")
-    return F.aggregate(
-        units,
-        zero,
-        step,
-        lambda a: F.when(F.size(a["piece"]) > 0, F.concat(a["out"], F.array(a["piece"]))).otherwise(a["out"]),
-    )
+    zero = F.struct(F.lit(None).cast("int").alias("n"), F.lit(False).alias("new"))
+
+    def cut(own: Column) -> Column:
+        new = scan(F.transform(own, C.token_estimate), zero, step, lambda a, _: a["new"], "boolean")
+        return F.transform(bound(new, _runs), lambda r: F.slice(own, r["first"] + 1, r["n"]))
+
+    return bound(units, cut)
 
 
 def piece_tokens(piece: Column) -> Column:

@@ -111,7 +111,7 @@ def frontmatter_rows(meta: DataFrame, author: str = "editors") -> DataFrame:
         return line(key, C.yaml_scalar(c))
 
     updated = F.concat(
-        F.lit("last_update:\n  "), F.lit("date: "), C.display_date("published_date"), F.lit(f"\n  author: {author}")
+        F.lit("last_update:\n  "), F.lit("date: "), C.display_date(F.coalesce(C.non_empty("published_date"), F.col("edited_at"))), F.lit(f"\n  author: {author}")
     )
     icon = F.concat(F.lit("sidebar_custom_props:\n  icon: "), F.col("icon"))
     rows = F.array(

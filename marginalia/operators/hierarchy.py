@@ -267,6 +267,7 @@ class HierarchyPlan:
         grouped = self.families.filter(~F.col("family_is_content")).select(
             "family_id", "parent_title", "parent_type", "canonical_section", "flow_order",
             F.coalesce("en_idx", "parent_idx").alias("event_idx"),
+            F.lit(False).alias("alone"), "parent_idx",
         )
         alone = self.standalone_structural.select(
             F.col("page_id").alias("family_id"),
@@ -275,6 +276,7 @@ class HierarchyPlan:
             F.coalesce(C.non_empty("section"), F.lit(fixed.UNCATEGORIZED)).alias("canonical_section"),
             order.alias("flow_order"),
             F.col("source_idx").alias("event_idx"),
+            F.lit(True).alias("alone"), F.col("source_idx").alias("parent_idx"),
         )
         return grouped.unionByName(alone)
 
@@ -407,10 +409,22 @@ class HierarchyPlan:
 
     @cached_property
     def section_positions(self) -> DataFrame:
-        """Sections numbered by numeric prefix, counted in two levels."""
-        sections = self.section_locales.select("canonical_section").distinct()
-        ranked = sections.withColumns({"rank": C.section_rank("canonical_section"), "__all": F.lit(0)})
-        out = bounded_row_number(ranked, ["__all"], [F.col("rank")], ["rank", "canonical_section"], "position")
+        """Sections numbered by numeric prefix, equal ones by first appearance: structural
+        rows before pages, families before standalone rows, then the input index."""
+        seen = self.structural.join(self.structural_members.select("family_id").distinct(), "family_id", "left_semi").select(
+            "canonical_section", F.struct(F.lit(0).alias("kind"), "alone", F.col("parent_idx").alias("idx")).alias("at")
+        )
+        pages = self.pages.select(
+            "canonical_section", F.struct(F.lit(1).alias("kind"), F.col("family_id").isNull().alias("alone"), F.col("parent_idx").alias("idx")).alias("at")
+        )
+        sections = seen.unionByName(pages).groupBy("canonical_section").agg(F.min("at").alias("at"))
+        ranked = sections.select(
+            "canonical_section", C.section_rank("canonical_section").alias("rank"), F.lit(0).alias("__all"), "at.kind", "at.alone", "at.idx"
+        )
+        out = bounded_row_number(
+            ranked, ["__all"], [F.col("rank"), F.col("kind"), F.col("alone"), block_of("idx")],
+            ["rank", "kind", "alone", "idx", "canonical_section"], "position",
+        )
         return out.select("canonical_section", "rank", F.col("position").cast("int").alias("position"))
 
     @cached_property
@@ -567,28 +581,29 @@ class HierarchyPlan:
         )
         sections = self.section_categories.filter(F.col("canonical_section") != root).select(
             "locale", F.lit("").alias("parent_key"), F.col("section_dir").alias("node_key"),
-            F.lit("section").alias("kind"), "label", F.col("position").alias("ord"), F.lit(0).cast("bigint").alias("tie"),
+            F.lit("section").alias("kind"), "label", F.col("position").alias("ord"), F.lit(False).alias("alone"), F.lit(0).cast("bigint").alias("tie"),
         )
         root_dir = C.section_dir(F.lit(root))
         under = F.when(F.col("section_dir") == root_dir, "").otherwise(F.col("section_dir"))
         toggles = first_toggle.select(
             "locale", under.alias("parent_key"), F.concat_ws("/", "section_dir", "toggle_dir").alias("node_key"),
-            F.lit("toggle").alias("kind"), "t.label", F.col("t.position").alias("ord"), F.lit(-1).cast("bigint").alias("tie"),
+            F.lit("toggle").alias("kind"), "t.label", F.col("t.position").alias("ord"), F.lit(False).alias("alone"), F.lit(-1).cast("bigint").alias("tie"),
         )
         leaf = pages.select(
             "locale",
             F.when(F.col("route_toggle") != "", F.concat_ws("/", "section_dir", "route_toggle")).otherwise(under).alias("parent_key"),
             C.route_path("canonical_section", "route_toggle", "canonical_slug").alias("node_key"),
             F.lit("page").alias("kind"), F.col("title").alias("label"),
-            F.col("canonical_order").alias("ord"), F.col("source_idx").alias("tie"),
+            # Pages of equal order stand as in the plan: those of families in the order of their parents, then standalone ones.
+            F.col("canonical_order").alias("ord"), F.col("family_id").isNull().alias("alone"), F.col("parent_idx").alias("tie"),
         )
         edges = sections.unionByName(toggles).unionByName(leaf)
         kind_rank = F.when(F.col("kind") == "section", 0).when(F.col("kind") == "toggle", 1).otherwise(2)
         last = (F.col("parent_key") == "") & (F.col("kind") != "section")
         edges = edges.withColumns({"rank": kind_rank, "last": last.cast("int")})
         placed = bounded_row_number(
-            edges, ["locale", "parent_key"], [F.col("last"), F.col("ord"), F.col("rank"), block_of("tie")],
-            ["last", "ord", "rank", "tie", "node_key"], "position",
+            edges, ["locale", "parent_key"], [F.col("last"), F.col("ord"), F.col("rank"), F.col("alone"), block_of("tie")],
+            ["last", "ord", "rank", "alone", "tie", "node_key"], "position",
         )
         return placed.select("locale", "parent_key", "node_key", "kind", "label", F.col("position").cast("bigint").alias("position"))
 

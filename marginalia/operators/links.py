@@ -23,8 +23,8 @@ def slug_routes(docs: DataFrame, published: DataFrame) -> DataFrame:
 
 
 def id_routes(published: DataFrame) -> DataFrame:
-    """Dashless page id, padded to the 32 digits it has in a link, to the published slug."""
-    return published.select(F.lpad(C.undashed("page_id"), 32, "0").alias("key"), "canonical_slug")
+    """Dashless page id, as links name it, to the published slug."""
+    return published.select(C.undashed("page_id").alias("key"), "canonical_slug")
 
 
 def _parts(target: Column | str) -> dict[str, Column]:
@@ -37,6 +37,7 @@ def _parts(target: Column | str) -> dict[str, Column]:
     hex_id = F.lower(F.regexp_extract(path, "^/([0-9a-fA-F]{32})", 1))
     return {
         "link": t,
+        "same_page": F.trim(C.col(target)).startswith("#"),
         "anchor": F.when(anchor != "", F.concat(F.lit("#"), C.anchor_slug(anchor))).otherwise(""),
         "slug_key": F.when(t.startswith("/") & in_docs, C.slugify(decoded)),
         "id_key": F.when(t.startswith("/") & ~in_docs, C.non_empty(hex_id)),
@@ -55,10 +56,10 @@ def resolve_links(links: DataFrame, slugs: DataFrame, ids: DataFrame) -> DataFra
     rows = rows.join(by_slug, "slug_key", "left").join(by_id, "id_key", "left")
     found = F.coalesce("__s", "__i")
     prefix = F.when(F.col("locale").isin(*fixed.PREFIXED_LOCALES), F.concat(F.lit("/"), "locale")).otherwise("")
-    resolved = F.when(F.col("link").startswith("#"), F.nullif(F.col("anchor"), F.lit("#"))).when(
+    resolved = F.when(F.col("same_page"), F.nullif(F.col("anchor"), F.lit("#"))).when(
         found.isNotNull(), F.concat(prefix, F.lit("/docs/"), found, F.col("anchor"))
     )
-    return rows.withColumn("resolved", resolved).drop("__s", "__i", "slug_key", "id_key", "anchor")
+    return rows.withColumn("resolved", resolved).drop("__s", "__i", "slug_key", "id_key", "anchor", "same_page")
 
 
 def broken_links(resolved: DataFrame) -> DataFrame:

@@ -58,17 +58,21 @@ def fix_headings(text: Column) -> Column:
 # --- rules over the text of a document ---------------------------------------------------
 
 
+def _unwrap(text: Column, inner: str, passes: int) -> Column:
+    out = text
+    for _ in range(passes):
+        out = F.regexp_replace(out, rf"({_KEPT})|\{{(?!{_EMOJI_STYLE}){inner}\}}", "$1$2")
+    return F.when(text.contains("{"), out).otherwise(text)
+
+
 def strip_braces(text: Column) -> Column:
     """Unwrap braces outside code, from the inside out; style objects are kept."""
-    def unwrap(t: Column, inner: str) -> Column:
-        return F.regexp_replace(t, rf"({_KEPT})|\{{(?!{_EMOJI_STYLE}){inner}\}}", "$1$2")
+    return _unwrap(text, r"\s*([^{}]*?)\s*", 5)
 
-    out = text
-    for _ in range(5):
-        out = unwrap(out, r"\s*([^{}]*?)\s*")
-    for _ in range(3):
-        out = unwrap(out, r"([^{}]*)")
-    return F.when(text.contains("{"), out).otherwise(text)
+
+def strip_left_braces(text: Column) -> Column:
+    """Unwrap what is left or has come up since, white space included."""
+    return _unwrap(text, r"([^{}]*)", 3)
 
 
 def _outside_code(text: Column, rule) -> Column:
@@ -147,7 +151,7 @@ def clean_corpus(docs: DataFrame) -> DataFrame:
     steps = [
         ("__t1", lambda: fix_headings(F.col("__t0"))),
         ("__t2", lambda: strip_braces(F.col("__t1"))),
-        ("__t3", lambda: fix_tags(F.col("__t2"))),
+        ("__t3", lambda: strip_left_braces(fix_tags(F.col("__t2")))),
         ("__t4", lambda: clean_images(F.col("__t3"))),
         ("__t5", lambda: drop_image_notes(F.col("__t4"))),
         ("__t6", lambda: drop_duplicate_title(F.col("__t5"), F.col("title"))),

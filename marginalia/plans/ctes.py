@@ -67,10 +67,10 @@ DOC_LINES = """doc_lines AS (
 MD_LINES = DOC_LINES + """,
 md_lines AS (
   SELECT doc_id, CAST(line_no AS INT) AS line_no, CASE
-    WHEN line_no % 12 = 0 THEN concat('## ', left(raw, 40))
-    WHEN line_no % 12 = 5 THEN concat('### ', left(raw, 40))
-    WHEN line_no % 12 IN (7, 9) THEN '```'
-    WHEN line_no % 12 IN (10, 11) THEN concat('| ', left(raw, 20), ' |')
+    WHEN line_no % 12 = 0 THEN concat('## ', raw)
+    WHEN line_no % 12 = 5 THEN concat('### ', raw)
+    WHEN line_no % 12 IN (7, 9) THEN concat('```', raw)
+    WHEN line_no % 12 IN (10, 11) THEN concat('| ', raw, ' |')
     ELSE raw END AS line FROM doc_lines)"""
 
 FENCED = MD_LINES + """,
@@ -95,10 +95,11 @@ changed_feed AS (
   QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY edited_at DESC, event_id DESC) = 1)"""
 
 BLOCKS = """blocks AS (
-  SELECT conv_id AS page_id, conv_id * 1000 + turn AS block_id,
-    CASE WHEN role = 'assistant' THEN conv_id * 1000 + max(CASE WHEN role = 'user' THEN turn END) OVER (
-      PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) END AS parent_id,
-    turn AS pos, role AS type, text FROM conversations)"""
+  SELECT conv_id AS page_id, concat(conv_id, '-', turn) AS block_id,
+    CASE WHEN role = 'assistant' AND asked IS NOT NULL THEN concat(conv_id, '-', asked) END AS parent_id,
+    turn AS pos, role AS type, text
+  FROM (SELECT *, max(CASE WHEN role = 'user' THEN turn END) OVER (
+      PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS asked FROM conversations))"""
 
 XLINKS = CORPUS + """,
 xlinks AS (
@@ -186,10 +187,10 @@ pages_plan AS (
     coalesce(nullif(slug, ''), nullif({_slug('title')}, ''), left(page_id, 8)), coalesce(nullif(section, ''), 'Uncategorized'),
     coalesce(section_order, 9999), coalesce(section_order, 9999), NULL, source_idx, NULL, NULL FROM alone_content),
 srows AS (
-  SELECT family_id, parent_title, parent_type, canonical_section, flow_order, coalesce(en_idx, parent_idx) AS event_idx
+  SELECT family_id, parent_title, parent_type, canonical_section, flow_order, coalesce(en_idx, parent_idx) AS event_idx, false AS alone, parent_idx
   FROM families WHERE NOT is_content
   UNION ALL
-  SELECT page_id, title, lower(element_type), coalesce(nullif(section, ''), 'Uncategorized'), coalesce(section_order, 9999), source_idx FROM alone_rows),
+  SELECT page_id, title, lower(element_type), coalesce(nullif(section, ''), 'Uncategorized'), coalesce(section_order, 9999), source_idx, true, source_idx FROM alone_rows),
 smembers AS (
   SELECT family_id, locale, title AS member_title FROM selected WHERE NOT fam_content
   UNION ALL SELECT page_id, locale, title FROM alone_rows),
@@ -231,10 +232,13 @@ ranked AS (
       CASE WHEN regexp_matches(title, '[-_]\\d{{4}}-\\d{{2}}-\\d{{2}}\\s*translation', 'i') THEN 1 ELSE 0 END,
       canonical_order, source_idx)),
 routes AS (SELECT * REPLACE (coalesce(nullif(heading, ''), any_heading) AS heading) FROM ranked WHERE route_rank = 1),
-sections AS (SELECT DISTINCT canonical_section FROM section_locales),
+seen AS (
+  SELECT canonical_section, 0 AS kind, alone, parent_idx AS idx FROM srows WHERE family_id IN (SELECT family_id FROM smembers)
+  UNION ALL SELECT canonical_section, 1, family_id IS NULL, parent_idx FROM pages_plan),
+sections AS (SELECT * FROM seen QUALIFY row_number() OVER (PARTITION BY canonical_section ORDER BY kind, alone, idx) = 1),
 section_positions AS (
-  SELECT canonical_section, rank, CAST(row_number() OVER (ORDER BY rank, canonical_section) AS INT) AS position FROM (
-    SELECT canonical_section, CASE WHEN canonical_section = 'Uncategorized' THEN 9999
+  SELECT canonical_section, rank, CAST(row_number() OVER (ORDER BY rank, kind, alone, idx, canonical_section) AS INT) AS position FROM (
+    SELECT *, CASE WHEN canonical_section = 'Uncategorized' THEN 9999
       WHEN regexp_matches(canonical_section, '^\\d') THEN CAST(regexp_extract(canonical_section, '^(\\d+)', 1) AS INT) ELSE -1 END AS rank FROM sections)),
 other_section AS (
   SELECT canonical_section, locale, section AS other FROM pages_plan WHERE section <> '' AND section <> canonical_section
@@ -287,7 +291,7 @@ slug_map AS (
     UNION ALL SELECT {_slug('c.title')}, p.canonical_slug, 2, c.source_idx FROM corpus c JOIN published p USING (page_id)
     UNION ALL SELECT {_slug('p.canonical_slug')}, p.canonical_slug, 3, c.source_idx FROM corpus c JOIN published p USING (page_id))
   WHERE key <> '' QUALIFY row_number() OVER (PARTITION BY key ORDER BY pass, source_idx) = 1),
-id_map AS (SELECT lpad(replace(page_id, '-', ''), 32, '0') AS key, canonical_slug FROM published),
+id_map AS (SELECT replace(page_id, '-', '') AS key, canonical_slug FROM published),
 xl AS (
   SELECT page_id, locale, target, regexp_replace(trim(target), '^https?://(www\\.)?notion\\.so', '', 'i') AS t FROM xlinks),
 xl2 AS (
@@ -299,8 +303,8 @@ xl3 AS (
     CASE WHEN raw_anchor <> '' THEN concat('#', replace(regexp_replace(lower(trim(raw_anchor)), '[^\\p{{L}}\\p{{M}}\\p{{N}}_\\- ]', '', 'g'), ' ', '-')) ELSE '' END AS anchor
   FROM xl2),
 resolved AS (
-  SELECT x.page_id, x.locale, x.target, x.t, CASE WHEN starts_with(x.t, '#') THEN nullif(x.anchor, '#')
+  SELECT x.page_id, x.locale, x.target, x.t, CASE WHEN starts_with(trim(x.target), '#') THEN nullif(x.anchor, '#')
     WHEN coalesce(s.canonical_slug, i.canonical_slug) IS NOT NULL
       THEN concat(CASE WHEN x.locale IN ('es', 'pt') THEN concat('/', x.locale) ELSE '' END, '/docs/', coalesce(s.canonical_slug, i.canonical_slug), x.anchor) END AS resolved
-  FROM xl3 x LEFT JOIN slug_map s ON s.key = x.slug_key LEFT JOIN id_map i ON i.key = x.id_key)"""
+  FROM xl3 x LEFT JOIN slug_map s ON s.key = x.slug_key LEFT JOIN id_map i ON lpad(i.key, 32, '0') = x.id_key)"""
 ALIASES = ALIASES.replace(",\nfam_members AS", XLINKS[len(CORPUS):] + ",\nfam_members AS", 1)

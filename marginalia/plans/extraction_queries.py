@@ -34,7 +34,7 @@ META = ctes.CORPUS + """,
 meta AS (
   SELECT *, concat('sha256:', sha256(body)) AS content_hash,
     concat('2024-02-', lpad(CAST(1 + doc_id % 28 AS VARCHAR), 2, '0'), 'T00:00:00.000Z') AS edited_at,
-    concat('2024-01-', lpad(CAST(1 + doc_id % 28 AS VARCHAR), 2, '0')) AS published_date,
+    CASE WHEN doc_id % 9 <> 4 THEN concat('2024-01-', lpad(CAST(1 + doc_id % 28 AS VARCHAR), 2, '0')) END AS published_date,
     CASE WHEN doc_id % 10 = 0 THEN '🌱' END AS icon,
     CASE WHEN section IS NULL THEN ['docs'] ELSE string_split(section, ' ') END AS keywords,
     CASE WHEN doc_id % 2 = 0 THEN [locale, status] ELSE [] END AS tags FROM corpus)"""
@@ -48,7 +48,7 @@ def meta(spark, folder):
         {
             "content_hash": C.content_hash("body"),
             "edited_at": F.concat(F.lit("2024-02-"), day, F.lit("T00:00:00.000Z")),
-            "published_date": F.concat(F.lit("2024-01-"), day),
+            "published_date": F.when(F.col("doc_id") % 9 != 4, F.concat(F.lit("2024-01-"), day)),
             "icon": C.emoji_icon(F.when(F.col("doc_id") % 10 == 0, "emoji").otherwise("external"), F.lit("🌱")),
             "keywords": C.names_or_default(F.coalesce(F.split("section", " "), F.array()), fixed.DEFAULT_KEYWORDS),
             "tags": F.when(F.col("doc_id") % 2 == 0, F.array("locale", "status")).otherwise(
@@ -472,7 +472,7 @@ FRONTMATTER = f"""header0 AS (
     {{'key': 'section', 'line': 'section: "' || section || '"'}},
     {{'key': 'keywords', 'line': concat('keywords: [', array_to_string(list_transform(keywords, lambda v: {_yaml('v')}), ', '), ']')}},
     {{'key': 'tags', 'line': CASE WHEN len(tags) > 0 THEN concat('tags: [', array_to_string(tags, ', '), ']') END}},
-    {{'key': 'last_update', 'line': concat('last_update:', chr(10), '  date: 1/', CAST(1 + doc_id % 28 AS VARCHAR), '/2024', chr(10), '  author: editors')}},
+    {{'key': 'last_update', 'line': concat('last_update:', chr(10), '  date: ', CASE WHEN doc_id % 9 = 4 THEN '2/' ELSE '1/' END, CAST(1 + doc_id % 28 AS VARCHAR), '/2024', chr(10), '  author: editors')}},
     {{'key': 'sidebar_custom_props', 'line': 'sidebar_custom_props:' || chr(10) || '  icon: ' || icon}}]) AS r,
     unnest(range(0, 18)) AS pos, icon FROM meta),
 headers AS (

@@ -210,17 +210,17 @@ NAV_CHECK = with_plan(
   SELECT locale, section_dir, toggle_dir, label, position FROM filled
   QUALIFY row_number() OVER (PARTITION BY locale, section_dir, toggle_dir ORDER BY position, event_idx) = 1),
 edges AS (
-  SELECT locale, '' AS parent_key, section_dir AS node_key, 'section' AS kind, label, 0 AS last, position AS ord, 0 AS rank, 0 AS tie
+  SELECT locale, '' AS parent_key, section_dir AS node_key, 'section' AS kind, label, 0 AS last, position AS ord, 0 AS rank, false AS alone, 0 AS tie
   FROM section_cats WHERE canonical_section <> 'Uncategorized'
   UNION ALL SELECT locale, CASE WHEN section_dir = 'uncategorized' THEN '' ELSE section_dir END, concat(section_dir, '/', toggle_dir),
-    'toggle', label, CASE WHEN section_dir = 'uncategorized' THEN 1 ELSE 0 END, position, 1, -1 FROM t
+    'toggle', label, CASE WHEN section_dir = 'uncategorized' THEN 1 ELSE 0 END, position, 1, false, -1 FROM t
   UNION ALL SELECT locale, CASE WHEN route_toggle <> '' THEN concat({ctes.folder('canonical_section')}, '/', route_toggle)
       WHEN canonical_section = 'Uncategorized' THEN '' ELSE {ctes.folder('canonical_section')} END,
     concat(CASE WHEN canonical_section = 'Uncategorized' THEN '' ELSE concat({ctes.folder('canonical_section')}, '/') END,
       CASE WHEN route_toggle = '' THEN '' ELSE concat(route_toggle, '/') END, canonical_slug),
-    'page', title, CASE WHEN route_toggle = '' AND canonical_section = 'Uncategorized' THEN 1 ELSE 0 END, canonical_order, 2, source_idx FROM routes)
+    'page', title, CASE WHEN route_toggle = '' AND canonical_section = 'Uncategorized' THEN 1 ELSE 0 END, canonical_order, 2, family_id IS NULL, parent_idx FROM routes)
 SELECT locale, parent_key, node_key, kind, label,
-  row_number() OVER (PARTITION BY locale, parent_key ORDER BY last, ord, rank, tie, node_key) AS position FROM edges"""
+  row_number() OVER (PARTITION BY locale, parent_key ORDER BY last, ord, rank, alone, tie, node_key) AS position FROM edges"""
 )
 
 

@@ -31,7 +31,9 @@ def with_aliases(body: str) -> str:
 
 def _maps(spark, folder):
     p = plan(spark, folder)
-    return K.slug_routes(p.docs, p.published_slugs), K.id_routes(p.published_slugs)
+    # Page ids of these tables are short numbers; links name them by 32 digits.
+    ids = K.id_routes(p.published_slugs).withColumn("key", F.lpad("key", 32, "0"))
+    return K.slug_routes(p.docs, p.published_slugs), ids
 
 
 @query(

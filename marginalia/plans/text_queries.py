@@ -431,7 +431,7 @@ KNOWN = ("user", "assistant")
 @query(
     "block_rollup",
     f"""WITH {ctes.BLOCKS}, r AS (
-  SELECT *, CASE WHEN type IN ('user', 'assistant') THEN text ELSE concat('> [!NOTE]', chr(10), '> Unsupported block: `', type, '`') END AS rendered,
+  SELECT *, CASE WHEN type IN ('user', 'assistant') THEN text ELSE concat('> [!NOTE]', chr(10), '> Unsupported Notion block: `', type, '`') END AS rendered,
     lpad(CAST(pos AS VARCHAR), 10, '0') AS here FROM blocks)
 SELECT a.page_id, a.block_id, CASE WHEN p.block_id IS NULL THEN 0 ELSE 1 END AS depth, concat_ws('/', p.here, a.here) AS path, a.type, a.rendered
 FROM r a LEFT JOIN r p ON p.block_id = a.parent_id""",
@@ -443,7 +443,7 @@ def block_rollup(spark, folder):
 @query(
     "block_documents",
     f"""WITH {ctes.BLOCKS}, r AS (
-  SELECT *, CASE WHEN type IN ('user', 'assistant') THEN text ELSE concat('> [!NOTE]', chr(10), '> Unsupported block: `', type, '`') END AS rendered FROM blocks),
+  SELECT *, CASE WHEN type IN ('user', 'assistant') THEN text ELSE concat('> [!NOTE]', chr(10), '> Unsupported Notion block: `', type, '`') END AS rendered FROM blocks),
 t AS (SELECT a.page_id, coalesce(p.pos, a.pos) AS root, CASE WHEN p.pos IS NULL THEN -1 ELSE a.pos END AS below,
     concat(CASE WHEN p.pos IS NULL THEN chr(10) || chr(10) ELSE chr(10) END, a.rendered) AS text FROM r a LEFT JOIN r p ON p.block_id = a.parent_id WHERE a.rendered <> '')
 SELECT page_id, CAST(0 AS BIGINT) AS part, concat(ltrim(string_agg(text, '' ORDER BY root, below), chr(10)), chr(10)) AS body FROM t GROUP BY page_id""",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,11 +34,13 @@ def chunk_manifest(chunks: DataFrame) -> DataFrame:
 class SnapshotStore:
     """Versioned snapshots of a table below one folder.
 
-    A version is written completely before the pointer table names it, so a reader sees
-    either the old or the new version. Each publish appends one pointer row.
+    Each publish writes a folder of its own, counts it, and only then appends a pointer
+    row that names it: a reader sees the old or the new rows, and a refused publish
+    touches nothing that is published, whatever its version is called. The last pointer
+    row counts; a version published again points to its new folder.
     """
 
-    POINTER = "version string, n_rows bigint"
+    POINTER = "version string, n_rows bigint, folder string, published_at timestamp"
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -50,8 +54,11 @@ class SnapshotStore:
             return self.spark.createDataFrame([], self.POINTER)
         return self.spark.read.schema(self.POINTER).parquet(f"{self.root}/pointer")
 
+    def _last(self):
+        return self._pointer().agg(F.max(F.struct("version", "published_at", "n_rows", "folder")).alias("v")).first()["v"]
+
     def latest(self) -> tuple[str, int] | None:
-        row = self._pointer().agg(F.max(F.struct("version", "n_rows")).alias("v")).first()["v"]
+        row = self._last()
         return (row["version"], row["n_rows"]) if row else None
 
     def publish(self, table: DataFrame, version: str, read_errors: int = 0) -> str:
@@ -59,23 +66,22 @@ class SnapshotStore:
         result over a non-empty one. Returns written, read_errors or clobbered."""
         if read_errors:
             return "read_errors"
-        path = f"{self.root}/version={version}"
-        table.write.mode("overwrite").parquet(path)
-        n = self.spark.read.schema(table.schema).parquet(path).count()
+        folder = f"version={version}/{uuid.uuid4().hex}"
+        table.write.parquet(f"{self.root}/{folder}")
+        n = self.spark.read.schema(table.schema).parquet(f"{self.root}/{folder}").count()
         before = self.latest()
         if n == 0 and before and before[1] > 0:
             return "clobbered"
-        self.spark.createDataFrame([(version, n)], self.POINTER).coalesce(1).write.mode("append").parquet(
-            f"{self.root}/pointer"
-        )
+        row = self.spark.createDataFrame([(version, n, folder)], "version string, n_rows bigint, folder string")
+        row.withColumn("published_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{self.root}/pointer")
         return "written"
 
     def read(self, schema) -> DataFrame:
         """The latest published version, an empty table when there is none."""
-        now = self.latest()
+        now = self._last()
         if now is None:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.root}/version={now[0]}")
+        return self.spark.read.schema(schema).parquet(f"{self.root}/{now['folder']}")
 
 
 def append_failures(failures: DataFrame, path: str) -> None:

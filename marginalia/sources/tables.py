@@ -17,30 +17,9 @@ CUTOFF = "2024-01-15 00:00:00"
 LOOKED_BACK = "2024-01-14 23:59:00"
 
 
-# Tables whose rows hold whole texts, so that work per row is large.
-TEXT_TABLES = ("documents", "pages", "conversations")
-
-
-# Above this size a file is left as it is split; spreading it would shuffle too much.
-SPREAD_BYTES = 512 << 20
-
-
-def _is_small_file(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    status = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p)
-    return status.isFile() and status.getLen() < SPREAD_BYTES
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table, a single file or a folder of files.
-
-    A text table that is one small file has one row group and so one reading task; its
-    rows are then spread over all cores. Folders and large files are read as they split.
-    """
-    path = f"{folder}/{name}.parquet"
-    df = spark.read.parquet(path)
-    if name in TEXT_TABLES and _is_small_file(spark, path):
-        df = df.repartition(spark.sparkContext.defaultParallelism)
+    """A table, a single file or a folder of files, read as its files split."""
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
     for field in df.schema.fields:
         if field.dataType.simpleString() == "timestamp_ntz":
             df = df.withColumn(field.name, F.col(field.name).cast("timestamp"))
@@ -98,10 +77,10 @@ def pages_meta(spark: SparkSession, folder: str) -> DataFrame:
 # Decorates lines by position so that prose gains headings, fences and table rows.
 DECORATED = """
     transform(split(text, '\\n'), (line, i) -> CASE
-        WHEN i % 12 = 0 THEN concat('## ', left(line, 40))
-        WHEN i % 12 = 5 THEN concat('### ', left(line, 40))
-        WHEN i % 12 IN (7, 9) THEN '```'
-        WHEN i % 12 IN (10, 11) THEN concat('| ', left(line, 20), ' |')
+        WHEN i % 12 = 0 THEN concat('## ', line)
+        WHEN i % 12 = 5 THEN concat('### ', line)
+        WHEN i % 12 IN (7, 9) THEN concat('```', line)
+        WHEN i % 12 IN (10, 11) THEN concat('| ', line, ' |')
         ELSE line END)
 """
 
@@ -163,7 +142,7 @@ def blocks(spark: SparkSession, folder: str) -> DataFrame:
     """Conversation turns as a block tree: an answer hangs under the turn it answers.
 
     An assistant turn's parent is the nearest earlier user turn; a turn's block id is
-    conv_id * 1000 + turn.
+    its conversation and number.
     """
     from ..functions.ordered import block_of, latest_before
 
@@ -177,8 +156,8 @@ def blocks(spark: SparkSession, folder: str) -> DataFrame:
     )
     return hung.select(
         F.col("conv_id").alias("page_id"),
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("block_id"),
-        F.when(F.col("role") == "assistant", F.col("conv_id") * 1000 + F.col("asked.turn")).alias("parent_id"),
+        F.concat_ws("-", "conv_id", "turn").alias("block_id"),
+        F.when((F.col("role") == "assistant") & F.col("asked.turn").isNotNull(), F.concat_ws("-", "conv_id", "asked.turn")).alias("parent_id"),
         F.col("turn").alias("pos"),
         F.col("role").alias("type"),
         "text",
