@@ -35,10 +35,13 @@ def scan(values: Column, zero: Column, step: Callable[[Column, Column], Column],
         inner = F.aggregate(b, pair(a["state"], F.array().cast(f"array<{kind}>")), one)
         return bound(inner, lambda i: pair(i["state"], F.concat(a["out"], F.array(i["out"]))))
 
-    starts = F.sequence(F.lit(1), F.size(values), F.lit(BLOCK))
-    blocks = F.when(F.size(values) > 0, F.transform(starts, lambda i: F.slice(values, i, BLOCK)))
-    done = F.aggregate(blocks, pair(zero, F.array().cast(f"array<array<{kind}>>")), block, lambda a: F.flatten(a["out"]))
-    return F.when(F.size(values) > 0, done).otherwise(F.array().cast(f"array<{kind}>"))
+    def run(own: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(own), F.lit(BLOCK))
+        blocks = F.when(F.size(own) > 0, F.transform(starts, lambda i: F.slice(own, i, BLOCK)))
+        done = F.aggregate(blocks, pair(zero, F.array().cast(f"array<array<{kind}>>")), block, lambda a: F.flatten(a["out"]))
+        return F.when(F.size(own) > 0, done).otherwise(F.array().cast(f"array<{kind}>"))
+
+    return bound(values, run)
 
 
 def running_sum(values: Column) -> Column:

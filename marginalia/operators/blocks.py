@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import fixed
 from ..functions.lineage import written
 
-MAX_DEPTH = 10
-
 # Line prefix per block type; anything not listed renders as plain text or a note.
 PREFIX = {
     "heading_1": "# ",
@@ -35,52 +33,65 @@ def block_text(kind: Column, text: Column, extra: tuple[str, ...] = ()) -> Colum
     return F.when(is_supported(kind, extra), F.concat(F.coalesce(F.try_element_at(prefix, kind), F.lit("")), text)).otherwise(note)
 
 
-def block_rollup(blocks: DataFrame, extra: tuple[str, ...] = (), max_depth: int = MAX_DEPTH) -> DataFrame:
+def block_rollup(blocks: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """Document text of block trees as ordered rows.
 
     Every block becomes one row with its depth and a sortable path of positions, found
-    level by level from the roots. Reading a page's rows in path order gives its text;
-    no page is gathered into one task. Each level is one join on the parent id, written
-    out so that lineage does not grow with the depth.
+    level by level from the roots until a level is empty. A block whose parent is not
+    there is kept as a root of its own and marked ``orphan``. Reading a page's rows in path
+    order gives its text; no page is gathered into one task. Each level is one join on the
+    parent, written out so that lineage does not grow with the depth. Blocks that hang on
+    each other in a ring have no root: they stop the run, none is dropped.
     """
-    here = F.lpad(F.col("pos").cast("string"), 10, "0")
+    here = F.concat(F.lpad(F.col("pos").cast("string"), 19, "0"), F.lit("."), F.col("block_id").cast("string"))
     shaped = blocks.select(
         "page_id", "block_id", "parent_id", "type", here.alias("here"),
         block_text(F.col("type"), F.col("text"), extra).alias("rendered"),
     )
     shaped = written(shaped, "blocks")
-    cols = ["page_id", "block_id", "depth", "path", "type", "rendered"]
-    roots = shaped.filter("parent_id IS NULL").withColumns({"depth": F.lit(0), "path": F.col("here")}).select(*cols)
-    level, out = written(roots, "level-0"), None
-    nested = shaped.filter("parent_id IS NOT NULL")
-    for depth in range(1, max_depth + 1):
+    cols = ["page_id", "block_id", "depth", "path", "type", "rendered", "orphan"]
+    known = shaped.select(F.col("page_id").alias("__page"), F.col("block_id").alias("__up")).distinct()
+    hung = shaped.join(known, (F.col("page_id") == F.col("__page")) & (F.col("parent_id") == F.col("__up")), "left")
+    hung = written(hung.withColumn("orphan", F.col("parent_id").isNotNull() & F.col("__up").isNull()).drop("__page"), "hung")
+    roots = hung.filter("__up IS NULL").withColumns({"depth": F.lit(0), "path": F.col("here")}).select(*cols)
+    level, out, depth, placed = written(roots, "level-0"), None, 0, 0
+    nested = hung.filter("__up IS NOT NULL")
+    total = hung.count()
+    while n := level.count():
+        placed += n
         out = level if out is None else out.unionByName(level)
-        above = level.select(F.col("block_id").alias("parent_id"), F.col("path").alias("above"))
+        depth += 1
+        above = level.select("page_id", F.col("block_id").alias("__up"), F.col("path").alias("above"))
         level = written(
-            nested.join(above, "parent_id")
+            nested.join(above, ["page_id", "__up"])
             .withColumns({"depth": F.lit(depth), "path": F.concat_ws("/", "above", "here")})
             .select(*cols),
             f"level-{depth}",
         )
-        if level.isEmpty():
-            return out
-    return out.unionByName(level)
+    if placed < total:
+        raise ValueError(f"{total - placed} blocks hang on each other in a ring")
+    return level if out is None else out
 
 
-def assemble_documents(rows: DataFrame, roots_per_part: int = 10_000) -> DataFrame:
+def assemble_documents(rows: DataFrame, part_chars: int = 4_000_000) -> DataFrame:
     """Document texts from the rows of ``block_rollup``.
 
-    A page is cut into parts of at most ``roots_per_part`` top-level blocks, so that no
-    group grows with the page; any ordinary page is one part, part 0. Top-level blocks
-    are set apart by an empty line, nested ones follow on the next line.
+    A page's text is cut into parts wherever ``part_chars`` characters have come together,
+    counted along the path, so no group grows with the page, however its blocks nest; any
+    ordinary page is one part, part 0. Joining the parts of a page in order, without
+    anything between them, gives its text. Top-level blocks are set apart by an empty line,
+    nested ones follow on the next line.
     """
-    root = F.substring_index("path", "/", 1).cast("bigint")
     spaced = F.concat(F.when(F.col("depth") == 0, "\n\n").otherwise("\n"), F.col("rendered"))
-    parts = rows.filter("rendered <> ''").select(
-        "page_id", F.floor(root / roots_per_part).alias("part"), "path", spaced.alias("text")
-    )
+    along = Window.partitionBy("page_id").orderBy("path")
+    before = F.sum(F.length("text").cast("bigint")).over(along.rowsBetween(Window.unboundedPreceding, -1))
+    placed = rows.filter("rendered <> ''").select("page_id", "path", spaced.alias("text"))
+    placed = placed.withColumns({"__before": F.coalesce(before, F.lit(0)), "__last": F.lead("path").over(along).isNull()})
+    parts = placed.select("page_id", F.floor(F.col("__before") / part_chars).alias("part"), "path", "text", "__last")
     body = F.expr("listagg(text, '') WITHIN GROUP (ORDER BY path)")
-    return parts.groupBy("page_id", "part").agg(F.concat(F.ltrim(body, F.lit("\n")), F.lit("\n")).alias("body"))
+    gathered = parts.groupBy("page_id", "part").agg(body.alias("body"), F.max("__last").alias("__last"))
+    opened = F.when(F.col("part") == 0, F.ltrim("body", F.lit("\n"))).otherwise(F.col("body"))
+    return gathered.select("page_id", "part", F.concat(opened, F.when(F.col("__last"), "\n").otherwise("")).alias("body"))
 
 
 def type_census(blocks: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -151,9 +162,7 @@ def table_lines(rows: DataFrame, table: str, row_no: str, cells: list[str]) -> D
     clean = lambda c: F.replace(F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))), F.lit("\n"), F.lit("<br />"))
     line = F.concat(F.lit("| "), F.concat_ws(" | ", *[clean(c) for c in cells]), F.lit(" |"))
     separator = "| " + " | ".join(["---"] * len(cells)) + " |"
-    first = rows.groupBy(table).agg(F.min(row_no).alias("__first"))
-    marked = rows.join(first, table)
-    lines = F.when(F.col(row_no) == F.col("__first"), F.array(line, F.lit(separator))).otherwise(F.array(line))
-    out = marked.select(table, row_no, "__first", F.posexplode(lines).alias("__i", "line"))
-    # Line order: row number, then the separator behind the header.
-    return out.select(table, F.col(row_no).alias("row_no"), F.col("__i").alias("part"), "line")
+    lines = rows.select(table, F.col(row_no).alias("row_no"), F.lit(0).alias("part"), line.alias("line"))
+    # One separator per table, behind its first row; the rows themselves are not shuffled.
+    first = rows.groupBy(table).agg(F.min(row_no).alias("row_no"))
+    return lines.unionByName(first.select(table, "row_no", F.lit(1).alias("part"), F.lit(separator).alias("line")))

@@ -116,6 +116,16 @@ def with_repair(df: DataFrame, packed: str, out: str) -> DataFrame:
 # --- overlap ------------------------------------------------------------------------------
 
 
+def last_units(text: Column, n: Column) -> Column:
+    """The end of a text in UTF-16 code units, as token estimates count them; a pair whose
+    first half falls outside is left out."""
+    coded = F.encode(text, "UTF-16BE")
+    size = F.least(n, (F.octet_length(coded) / 2).cast("int"))
+    tail = F.substring(coded, F.octet_length(coded) - 2 * size + 1, 2 * size)
+    half = F.hex(F.substring(tail, F.lit(1), F.lit(1))).between("DC", "DF")
+    return F.decode(F.when(half, F.substring(tail, F.lit(3), 2 * size - 2)).otherwise(tail), "UTF-16BE")
+
+
 def tail_overlap(units: Column) -> Column:
     """Text carried over from the end of a piece: whole paragraphs up to the maximum,
     topped up with the end of the paragraph before when short. Fences and tables are
@@ -139,10 +149,10 @@ def tail_overlap(units: Column) -> Column:
         before = F.try_element_at(backwards, n + 1)
         atomic = before.startswith(L.FENCE) | before.startswith("|")
         short = (a["tokens"] < fixed.OVERLAP_FLOOR) & before.isNotNull() & ~atomic
-        cut = F.right(before, (fixed.OVERLAP_TARGET - a["tokens"]) * 4)
+        cut = last_units(before, (fixed.OVERLAP_TARGET - a["tokens"]) * 4)
         joined = F.array_join(F.when(short, F.concat(F.array(cut), whole)).otherwise(whole), "\n\n")
         return F.when(
-            n == 0, F.when(atomic, "").otherwise(F.right(before, F.lit(fixed.OVERLAP_TARGET * 4)))
+            n == 0, F.when(atomic, "").otherwise(last_units(before, F.lit(fixed.OVERLAP_TARGET * 4)))
         ).otherwise(joined)
 
     return F.aggregate(backwards, zero, step, finish)

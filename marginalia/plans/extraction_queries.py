@@ -187,27 +187,31 @@ def doc_sink(spark, folder):
 
 @query("manifest_snapshot", with_corpus("SELECT page_id, title, slug, status FROM corpus"))
 def manifest_snapshot(spark, folder):
-    """Publishes the catalog, then tries an empty one and one with read errors, which the
-    store refuses; reading back gives the first version."""
+    """Publishes the catalog, then tries an empty one under the same name and one with read
+    errors, which the store refuses; reading back gives what was published."""
     import uuid
 
     store = sinks.SnapshotStore(spark, f"{shared_dir(spark)}/manifest-{uuid.uuid4().hex}")
     docs = T.corpus(spark, folder).select("page_id", "title", "slug", "status")
     store.publish(docs, "2024-01-01T00-00-00Z")
-    store.publish(docs.filter("page_id IS NULL"), "2024-01-02T00-00-00Z")
-    store.publish(docs, "2024-01-03T00-00-00Z", read_errors=1)
+    store.publish(docs.filter("page_id IS NULL"), "2024-01-01T00-00-00Z")
+    store.publish(docs, "2024-01-02T00-00-00Z", read_errors=1)
     return store.read(docs.schema)
 
 
 @query(
     "manifest_read",
-    with_corpus("SELECT page_id, slug, section_order AS version FROM corpus WHERE section_order = (SELECT max(section_order) FROM corpus)"),
+    with_corpus("SELECT page_id, slug, status FROM corpus WHERE status = 'active'"),
 )
 def manifest_read(spark, folder):
-    from ..operators.state import latest_version
+    """Publishes the whole catalog, then its live pages as a newer version, and reads by pointer."""
+    import uuid
 
-    versions = T.corpus(spark, folder).select("page_id", "slug", F.col("section_order").alias("version"))
-    return latest_version(versions, "version")
+    store = sinks.SnapshotStore(spark, f"{shared_dir(spark)}/manifest-{uuid.uuid4().hex}")
+    docs = T.corpus(spark, folder).select("page_id", "slug", "status")
+    store.publish(docs, "2024-01-01T00-00-00Z")
+    store.publish(docs.filter("status = 'active'"), "2024-01-02T00-00-00Z")
+    return store.read(docs.schema)
 
 
 @query(

@@ -367,7 +367,7 @@ def event_stream(spark, folder):
 @query("event_dedupe", with_state("SELECT event_id, page_id, edited_at FROM sync_events"))
 def event_dedupe(spark, folder):
     events = SF.with_repeats(SF.open_events(spark, folder))
-    out = SF.run_to_table(SF.deliver_once(SF.shape(events)), "event_dedupe")
+    out = SF.run_once_each(SF.shape(events), "event_dedupe")
     return out.select("event_id", "page_id", "edited_at")
 
 

@@ -432,8 +432,8 @@ KNOWN = ("user", "assistant")
     "block_rollup",
     f"""WITH {ctes.BLOCKS}, r AS (
   SELECT *, CASE WHEN type IN ('user', 'assistant') THEN text ELSE concat('> [!NOTE]', chr(10), '> Unsupported Notion block: `', type, '`') END AS rendered,
-    lpad(CAST(pos AS VARCHAR), 10, '0') AS here FROM blocks)
-SELECT a.page_id, a.block_id, CASE WHEN p.block_id IS NULL THEN 0 ELSE 1 END AS depth, concat_ws('/', p.here, a.here) AS path, a.type, a.rendered
+    concat(lpad(CAST(pos AS VARCHAR), 19, '0'), '.', block_id) AS here FROM blocks)
+SELECT a.page_id, a.block_id, CASE WHEN p.block_id IS NULL THEN 0 ELSE 1 END AS depth, concat_ws('/', p.here, a.here) AS path, a.type, a.rendered, false AS orphan
 FROM r a LEFT JOIN r p ON p.block_id = a.parent_id""",
 )
 def block_rollup(spark, folder):

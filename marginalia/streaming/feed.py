@@ -47,9 +47,41 @@ def with_repeats(events: DataFrame, every: int = 20) -> DataFrame:
     return events.select("*", F.explode(copies).alias("delivery")).drop("delivery")
 
 
-def deliver_once(changes: DataFrame, horizon: str = "1 hour") -> DataFrame:
-    """One effect per event id; state is dropped behind the watermark."""
-    return changes.withWatermark("ts", horizon).dropDuplicatesWithinWatermark(["event_id"])
+def deliver_once(batch: DataFrame, batch_id: int, root: str) -> None:
+    """Write the events of a micro-batch that no earlier batch wrote; one effect per event id.
+
+    Ids are compared with everything written before, however late an event comes. They lie by
+    day of the event, and only the days of the batch are read. A repeated batch overwrites its
+    own folder.
+    """
+    spark = batch.sparkSession
+    day = F.coalesce(F.to_date("ts"), F.lit("1970-01-01").cast("date"))
+    rows = batch.dropDuplicates(["event_id"]).withColumn("day", day)
+    schema = batch.schema.simpleString()[len("struct<"):-1].replace(":", " ")
+    earlier = _below(spark, root, f"{schema}, batch bigint, day date").filter(F.col("batch") < batch_id).select("day", "event_id")
+    rows.join(earlier, ["day", "event_id"], "left_anti").write.mode("overwrite").partitionBy("day").parquet(f"{root}/batch={batch_id}")
+
+
+def run_once_each(stream: DataFrame, name: str) -> DataFrame:
+    """Run a stream of events over all available input, each event once, and return the table."""
+    base = f"{shared_dir(stream.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    run = (
+        stream.writeStream.foreachBatch(lambda batch, batch_id: deliver_once(batch, batch_id, f"{base}/rows"))
+        .option("checkpointLocation", f"{base}/offsets")
+        .trigger(availableNow=True)
+        .start()
+    )
+    run.awaitTermination()
+    schema = stream.schema.simpleString()[len("struct<"):-1].replace(":", " ")
+    return _below(stream.sparkSession, f"{base}/rows", f"{schema}, batch bigint, day date").select(*stream.columns)
+
+
+def _below(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A table that may not have been written yet."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def run_to_table(stream: DataFrame, name: str) -> DataFrame:
@@ -89,6 +121,7 @@ def apply_tick(
 
 
 STATE_SCHEMA = "page_id bigint, edited_at timestamp, k bigint"
+LATE_SCHEMA = "event_id bigint, page_id bigint, edited_at timestamp, k bigint, batch bigint"
 COMMIT_SCHEMA = "batch_id bigint, watermark timestamp"
 
 
@@ -105,11 +138,7 @@ class IncrementalState:
         self.spark, self.root = spark, root.rstrip("/")
 
     def _read(self, part: str, schema: str) -> DataFrame:
-        path = f"{self.root}/{part}"
-        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        if not p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
+        return _below(self.spark, f"{self.root}/{part}", schema)
 
     def commits(self) -> DataFrame:
         return self._read("commits", COMMIT_SCHEMA)
@@ -123,31 +152,44 @@ class IncrementalState:
         last = self.last_commit(before)
         if last is None:
             return self.spark.createDataFrame([], STATE_SCHEMA)
-        base = self._read("bases", "upto bigint").filter(F.col("upto") <= last["batch_id"]).agg(F.max("upto")).first()[0]
+        newest = F.max(F.struct("upto", "folder")).alias("b")
+        base = self._read("bases", "upto bigint, folder string").filter(F.col("upto") <= last["batch_id"]).agg(newest).first()["b"]
         rows = self._read("changes", STATE_SCHEMA + ", batch bigint").filter(F.col("batch") <= last["batch_id"])
         if base is not None:
-            folded = self.spark.read.schema(STATE_SCHEMA).parquet(f"{self.root}/base-{base}")
-            rows = rows.filter(F.col("batch") > base).unionByName(folded.withColumn("batch", F.lit(base)))
+            folded = self.spark.read.schema(STATE_SCHEMA).parquet(f"{self.root}/{base['folder']}")
+            rows = rows.filter(F.col("batch") > base["upto"]).unionByName(folded.withColumn("batch", F.lit(base["upto"])))
         newest = F.max_by(F.struct("edited_at", "k"), F.struct("edited_at", "batch")).alias("s")
         return rows.groupBy("page_id").agg(newest).select("page_id", "s.edited_at", "s.k")
 
     def compact(self) -> None:
+        """Fold all committed changes into a base of its own folder, then point to it."""
         last = self.last_commit()
         if last is None:
             return
-        upto = last["batch_id"]
-        self.current().write.mode("overwrite").parquet(f"{self.root}/base-{upto}")
-        self.spark.createDataFrame([(upto,)], "upto bigint").coalesce(1).write.mode("append").parquet(f"{self.root}/bases")
+        upto, folder = last["batch_id"], f"base-{last['batch_id']}-{uuid.uuid4().hex}"
+        self.current().write.parquet(f"{self.root}/{folder}")
+        row = self.spark.createDataFrame([(upto, folder)], "upto bigint, folder string")
+        row.coalesce(1).write.mode("append").parquet(f"{self.root}/bases")
+
+    def late(self) -> DataFrame:
+        """Changes older than what was stored when they came: kept here, not applied."""
+        return self._read("late", LATE_SCHEMA)
 
     def apply(self, batch: DataFrame, batch_id: int, start: str) -> None:
-        """One tick: due and not yet processed changes, newest per page, then the commit."""
+        """One tick: changes newer than what is stored of their page, newest per page, then
+        the commit. The watermark is recorded, it filters nothing: the feed is delivered
+        once, so a change left out would be lost."""
         before = self.last_commit(batch_id)
         mark = F.lit(before["watermark"] if before else start).cast("timestamp")
-        due = S.changed_since(batch, mark)
-        fresh = S.drop_processed(due, self.current(batch_id))
+        pages = batch.select("page_id").distinct()
+        stored = self.current(batch_id).join(pages, "page_id", "left_semi").select("page_id", F.col("edited_at").alias("__stored"))
+        known = batch.join(stored, "page_id", "left")
+        fresh = known.filter(F.col("__stored").isNull() | (F.col("edited_at") > F.col("__stored")))
         rows = S.newest_per_page(fresh).select("page_id", "edited_at", "k")
         rows.write.mode("overwrite").parquet(f"{self.root}/changes/batch={batch_id}")
-        advanced = due.agg(F.greatest(mark, F.max("edited_at")).alias("watermark"))
+        behind = known.filter(F.col("edited_at") < F.col("__stored")).select("event_id", "page_id", "edited_at", "k")
+        behind.write.mode("overwrite").parquet(f"{self.root}/late/batch={batch_id}")
+        advanced = batch.agg(F.greatest(mark, F.max("edited_at")).alias("watermark"))
         advanced.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "watermark").coalesce(1).write.mode(
             "append"
         ).parquet(f"{self.root}/commits")

@@ -34,6 +34,7 @@ def test_snapshot_store_refuses_empty_and_partial_results(spark):
     assert store.publish(spark.range(3), "v1") == "written"
     assert store.publish(empty, "v2") == "clobbered"
     assert store.publish(spark.range(9), "v3", read_errors=2) == "read_errors"
+    assert store.publish(empty, "v1") == "clobbered"
     assert store.latest() == ("v1", 3)
     assert store.read(spark.range(1).schema).count() == 3
 
@@ -45,7 +46,8 @@ def test_incremental_state_over_batches(spark):
     state.apply(feed(spark, (1, 1, "2024-01-01 00:05:00", 10), (2, 2, "2024-01-01 00:06:00", 20)), 0, start)
     second = feed(spark, (3, 1, "2024-01-01 00:07:00", 11), (4, 2, "2024-01-01 00:06:00", 20), (5, 3, "2024-01-01 00:01:00", 30))
     state.apply(second, 1, start)
-    want = {1: 11, 2: 20}
+    # Page 3 is new, however old its change.
+    want = {1: 11, 2: 20, 3: 30}
     assert {r["page_id"]: r["k"] for r in state.current().collect()} == want
     # The same batch again has no further effect.
     state.apply(second, 1, start)
@@ -54,7 +56,25 @@ def test_incremental_state_over_batches(spark):
     state.compact()
     assert {r["page_id"]: r["k"] for r in state.current().collect()} == want
     state.apply(feed(spark, (6, 2, "2024-01-01 00:09:00", 21)), 2, start)
-    assert {r["page_id"]: r["k"] for r in state.current().collect()} == {1: 11, 2: 21}
+    assert {r["page_id"]: r["k"] for r in state.current().collect()} == {1: 11, 2: 21, 3: 30}
+    # A change older than what is stored is kept aside, not lost and not applied.
+    state.apply(feed(spark, (7, 1, "2024-01-01 00:02:00", 9)), 3, start)
+    assert {r["page_id"]: r["k"] for r in state.current().collect()} == {1: 11, 2: 21, 3: 30}
+    assert [(r["event_id"], r["batch"]) for r in state.late().collect()] == [(7, 3)]
+    state.compact()
+    state.compact()
+    assert {r["page_id"]: r["k"] for r in state.current().collect()} == {1: 11, 2: 21, 3: 30}
+
+
+def test_late_distinct_events_are_delivered(spark):
+    root = fresh(spark, "once")
+    rows = lambda *xs: spark.createDataFrame([(i, t) for i, t in xs], "event_id long, at string").select("event_id", F.col("at").cast("timestamp").alias("ts"))
+    SF.deliver_once(rows((1, "2024-01-02 10:00:00"), (2, "2024-01-02 11:00:00"), (2, "2024-01-02 11:00:00")), 0, root)
+    SF.deliver_once(rows((3, "2024-01-02 12:00:00"), (1, "2024-01-02 10:00:00")), 1, root)
+    for _ in range(2):
+        SF.deliver_once(rows((4, "2024-01-01 07:00:00"), (2, "2024-01-02 11:00:00")), 2, root)
+    got = spark.read.parquet(root).select("event_id").collect()
+    assert sorted(r["event_id"] for r in got) == [1, 2, 3, 4]
 
 
 def test_stream_keeps_state_current(spark, folder):
