@@ -31,6 +31,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def kept_rows(df: DataFrame, kept: str, row: str) -> DataFrame:
+    """The fields of ``row`` where ``kept`` holds.
+
+    A filter would be pushed below the columns it is computed from, with all of them written
+    out in it again; behind an outer generator each of them is computed once.
+    """
+    one = F.when(F.col(kept), F.array(row))
+    out = df.select(F.posexplode_outer(one).alias("__pos", "__row"))
+    return out.filter("__pos is not null").select("__row.*")
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a folder below the shared one, wherever that lives."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

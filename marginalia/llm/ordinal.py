@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import blocks
-from .common import text_of
+from .common import kept_rows, text_of
 
 PLACES = 1 << 24
 SAMPLE = 6000  # rated documents of a fit
@@ -161,4 +161,4 @@ def select(scored: DataFrame, above: int = 1, least: float = LEAST) -> DataFrame
 def keep_good(docs: DataFrame, ratings: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that a model fitted to their ratings selects, as they are."""
     model = fit(docs, ratings, doc_id=doc_id, text=text)
-    return select(score(docs, model, doc_id, text, carry=True)).filter("kept").select("row.*")
+    return kept_rows(select(score(docs, model, doc_id, text, carry=True)), "kept", "row")

@@ -70,14 +70,17 @@ def _sums(values: Column) -> Column:
         empty = F.struct(base.alias("at"), F.array().cast("array<bigint>").alias("out"))
         return F.aggregate(block, empty, lambda a, x: F.struct((a["at"] + x).alias("at"), F.concat(a["out"], F.array(a["at"] + x)).alias("out")))
 
-    blocks = F.transform(F.sequence(F.lit(0), F.greatest(F.size(values) - 1, F.lit(0)), F.lit(BLOCK)), lambda i: F.slice(values, i + 1, BLOCK))
-    empty = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<array<bigint>>").alias("out"))
+    def run(own: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.greatest(F.size(own) - 1, F.lit(0)), F.lit(BLOCK)), lambda i: F.slice(own, i + 1, BLOCK))
+        empty = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<array<bigint>>").alias("out"))
+        return F.aggregate(blocks, empty, add, lambda a: F.flatten(a["out"]))
 
     def add(a: Column, block: Column) -> Column:
         # Bound once: the block's own sums are both its result and its end.
         return F.transform(F.array(within(block, a["at"])), lambda w: F.struct(w["at"].alias("at"), F.concat(a["out"], F.array(w["out"])).alias("out")))[0]
 
-    return F.aggregate(blocks, empty, add, lambda a: F.flatten(a["out"]))
+    # Bound once: every block cuts from the same array.
+    return F.transform(F.array(values), run)[0]
 
 
 def _cut(body: Column, pattern: str, sign: str) -> Column:

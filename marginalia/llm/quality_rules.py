@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import kept_rows, text_of
 
 BLANKS = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -129,4 +129,4 @@ def ablation(entries: DataFrame, policy: str = CURRENT) -> DataFrame:
 
 def keep_good(docs: DataFrame, policy: str = CURRENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that a policy keeps, as they are."""
-    return apply_policy(ledger(docs, doc_id, text, carry=True), policy).filter("kept").select("row.*")
+    return kept_rows(apply_policy(ledger(docs, doc_id, text, carry=True), policy), "kept", "row")
