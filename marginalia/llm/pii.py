@@ -171,7 +171,7 @@ def _judged(cut: Column) -> Column:
             rf"\(?[0-9]{{3}}\)?[ .-][0-9]{{3}}[ .-][0-9]{{4}}|(?:{TITLES})\.? .+)\z"
         )
         listed = h.rlike(rf"\A(?:{KEYS})|\b(?:{GIVEN})\b")
-        harmless = h.rlike(r"\A(?:(?:19|20)[0-9]{2}[-/.][0-9]{1,2}[-/.][0-9]{1,2}.*|[0-9]{1,2}[-/.][0-9]{1,2}[-/.](?:19|20)[0-9]{2}|97[89][ -]?[0-9].*|[0-9]+[.][0-9]+|(?:.)\1*|[A-Za-z-]+[0-9]{1,4})\z")
+        harmless = h.rlike(r"\A(?:(?:19|20)[0-9]{2}[-/.][0-9]{1,2}[-/.][0-9]{1,2}.*|[0-9]{1,2}[-/.][0-9]{1,2}[-/.](?:19|20)[0-9]{2}|97[89][ -]?[0-9].*|[0-9]+[.][0-9]+|(.)\1*|[A-Za-z-]+[0-9]{1,4})\z")
         kinds_of = F.size(F.array_distinct(F.split(h, "")))
         return F.struct(
             kind.alias("kind"), F.least(F.lit(SIZES - 1), F.floor(F.log2(F.length(h))).cast("int") - 1).alias("size"),

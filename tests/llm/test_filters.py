@@ -117,7 +117,7 @@ def slow_base(text):
 TRICKY = [
     "a@b.c.d@e.f x_y@q.w", "a@b.c_d@e.f", "é🙂a.b+c@x-y.co.uk, 1.2.3.4.5.6.7.8 256.1.1.1 0001.02.3.255", "4111 1111 1111 1111 and 4111-1111-1111-1111, 4111  1111",
     "+1 (234) 567-8901 ++49 170 1234567. +1.2 +123456789012345678", "1.2.3.4@5.6", "4539578763621486" * 3, "0" * 15, "+1 4111 1111 1111 1111", "@@ a@ @b.c a@b a@.c",
-    "x" * 60000 + "@", "1" * 60000, "1." * 30000, "+1" + "(" * 60000, "a@b.cc " * 1500, "key = 9f86d081884c7d659a2feaa0c55ad015 on 2024-01-02, Dr Anna Smith",
+    "x" * 6000 + "@", "1" * 6000, "1." * 3000, "+1" + "(" * 6000, "a@b.cc " * 1500, "key = 9f86d081884c7d659a2feaa0c55ad015 on 2024-01-02, Dr Anna Smith",
 ]
 
 
