@@ -163,6 +163,10 @@ def table_lines(rows: DataFrame, table: str, row_no: str, cells: list[str]) -> D
     line = F.concat(F.lit("| "), F.concat_ws(" | ", *[clean(c) for c in cells]), F.lit(" |"))
     separator = "| " + " | ".join(["---"] * len(cells)) + " |"
     lines = rows.select(table, F.col(row_no).alias("row_no"), F.lit(0).alias("part"), line.alias("line"))
-    # One separator per table, behind its first row; the rows themselves are not shuffled.
-    first = rows.groupBy(table).agg(F.min(row_no).alias("row_no"))
-    return lines.unionByName(first.select(table, "row_no", F.lit(1).alias("part"), F.lit(separator).alias("line")))
+    # A separator behind the first row, or each of them where several share its number. Only
+    # table and number are shuffled, never the cells.
+    sizes = rows.groupBy(table, F.col(row_no).alias("row_no")).agg(F.count(F.lit(1)).cast("int").alias("n"))
+    first = sizes.groupBy(table).agg(F.min(F.struct("row_no", "n")).alias("f"))
+    return lines.unionByName(
+        first.select(table, "f.row_no", F.lit(1).alias("part"), F.explode(F.array_repeat(F.lit(separator), F.col("f.n"))).alias("line"))
+    )

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions.lineage import written
 from ..operators import assets, chunks, extraction, hierarchy, links, quality, text
-from ..sources import sinks
+from ..sources import scans, sinks
 
 
 def build_catalog(snapshots: DataFrame, bodies: DataFrame) -> DataFrame:
@@ -81,17 +81,26 @@ def write_published(run: Published, root: str) -> None:
 
 
 def build_chunks(catalog: DataFrame, bodies: DataFrame, include_drafts: bool = False) -> DataFrame:
-    """Retrieval chunks of all publishable content pages."""
+    """Retrieval chunks of all publishable content pages.
+
+    A stored text may begin with its header. Chunks are cut from what follows it, and the
+    title, locale, slug and hash that the header names win over the catalog's.
+    """
     pages = chunks.chunkable_pages(catalog, include_drafts).select("page_id", "title", "locale", "slug", "content_hash")
     docs = chunks.attach_bodies(pages, bodies.select(F.col("page_id").alias("key"), "body"))
+    docs = scans.split_document(docs.withColumn("path", F.concat(F.lit("/"), "slug")), "body")
+    named = {
+        c: F.coalesce(C.non_empty(F.try_element_at("frontmatter", F.lit(c))), F.col(c)) for c in ("title", "locale", "slug", "content_hash")
+    }
+    docs = docs.withColumns(named).drop("frontmatter")
     rows = chunks.chunk_rows(docs.withColumn("lines", F.split("body", "\n")).drop("body"))
     return rows.withColumns(
         {
             "source_url": F.concat(F.lit(extraction.fixed.SOURCE_URL), C.undashed("page_id")),
-            "docusaurus_path": F.concat(F.lit("/"), "slug"),
+            "docusaurus_path": F.col("path"),
             "status": F.lit("active"),
         }
-    )
+    ).drop("path")
 
 
 def validate(catalog: DataFrame, version: str = "1.0") -> DataFrame:

@@ -255,15 +255,15 @@ def chunk_sink(spark, folder):
 MESSY = """
     transform(split(text, '\\n'), (line, i) -> CASE
         WHEN i = 0 AND doc_id % 3 = 0 THEN concat('# ', line)
-        WHEN i % 14 = 1 THEN concat('**', left(line, 20), '**')
-        WHEN i % 14 = 3 THEN concat('{x {', left(line, 10), ' }}')
-        WHEN i % 14 = 4 THEN concat('![a]( b c.png ) ', left(line, 10))
-        WHEN i % 14 = 5 THEN '![a](undefined)'
+        WHEN i % 14 = 1 THEN concat('**', line, '**')
+        WHEN i % 14 = 3 THEN concat('{x {', line, ' }}')
+        WHEN i % 14 = 4 THEN concat('![a]( b c.png ) ', line)
+        WHEN i % 14 = 5 THEN concat('![a](undefined)', line)
         WHEN i % 14 = 6 THEN '[Image: http://x]'
-        WHEN i % 14 = 8 THEN concat('# ', left(line, 20))
+        WHEN i % 14 = 8 THEN concat('# ', line)
         WHEN i % 14 = 9 THEN '##'
-        WHEN i % 14 IN (11, 13) THEN '```'
-        WHEN i % 14 = 12 THEN '{keep} # x'
+        WHEN i % 14 IN (11, 13) THEN concat('```', line)
+        WHEN i % 14 = 12 THEN concat('{keep} # x', line)
         ELSE line END)
 """
 
@@ -273,10 +273,10 @@ MESSY = """
     """WITH raw AS (
   SELECT doc_id, split_part(text, chr(10), 1) AS title, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents),
 m AS (SELECT doc_id, title, i, CASE
-    WHEN i = 0 AND doc_id % 3 = 0 THEN concat('# ', line) WHEN i % 14 = 1 THEN concat('**', left(line, 20), '**')
-    WHEN i % 14 = 3 THEN concat('{x {', left(line, 10), ' }}') WHEN i % 14 = 4 THEN concat('![a]( b c.png ) ', left(line, 10))
-    WHEN i % 14 = 5 THEN '![a](undefined)' WHEN i % 14 = 6 THEN '[Image: http://x]'
-    WHEN i % 14 = 8 THEN concat('# ', left(line, 20)) WHEN i % 14 = 9 THEN '##' WHEN i % 14 IN (11, 13) THEN '```' WHEN i % 14 = 12 THEN '{keep} # x' ELSE line END AS line FROM raw),
+    WHEN i = 0 AND doc_id % 3 = 0 THEN concat('# ', line) WHEN i % 14 = 1 THEN concat('**', line, '**')
+    WHEN i % 14 = 3 THEN concat('{x {', line, ' }}') WHEN i % 14 = 4 THEN concat('![a]( b c.png ) ', line)
+    WHEN i % 14 = 5 THEN concat('![a](undefined)', line) WHEN i % 14 = 6 THEN '[Image: http://x]'
+    WHEN i % 14 = 8 THEN concat('# ', line) WHEN i % 14 = 9 THEN '##' WHEN i % 14 IN (11, 13) THEN concat('```', line) WHEN i % 14 = 12 THEN concat('{keep} # x', line) ELSE line END AS line FROM raw),
 n AS (SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS next_line, max(i) OVER (PARTITION BY doc_id) AS last_i,
     row_number() OVER (PARTITION BY doc_id, regexp_matches(line, '^\\s{0,3}#\\s*[^#\\s]') AND i % 14 <> 12 ORDER BY i) AS nth FROM m),
 a AS (SELECT *, i % 14 = 12 AND last_i > i AS in_code, regexp_matches(line, '^\\s{0,3}#\\s*[^#\\s]') AND i % 14 <> 12 AS top,
@@ -284,8 +284,8 @@ a AS (SELECT *, i % 14 = 12 AND last_i > i AS in_code, regexp_matches(line, '^\\
 b AS (SELECT *, CASE WHEN bold THEN line || chr(10) ELSE line END AS l1 FROM a),
 c AS (SELECT *, CASE WHEN in_code THEN l1 WHEN i % 14 = 9 THEN '' WHEN top AND nth > 1 THEN concat('## ', trim(regexp_extract(l1, '^\\s{0,3}#\\s*(.*)$', 1)))
     ELSE l1 END AS l2 FROM b),
-d AS (SELECT *, CASE WHEN in_code THEN l2 WHEN i % 14 = 3 THEN concat('x ', trim(left(trim(substr(l2, 5, length(l2) - 6)), 10))) WHEN i % 14 = 12 THEN replace(replace(l2, '{', ''), '}', '') ELSE l2 END AS l3 FROM c),
-e AS (SELECT *, CASE WHEN i % 14 = 5 THEN '' WHEN i % 14 = 4 THEN replace(l3, '( b c.png )', '(bc.png)') ELSE l3 END AS l4 FROM d),
+d AS (SELECT *, CASE WHEN in_code THEN l2 WHEN i % 14 = 3 THEN concat('x ', trim(substr(l2, 5, length(l2) - 6))) WHEN i % 14 = 12 THEN replace(replace(l2, '{', ''), '}', '') ELSE l2 END AS l3 FROM c),
+e AS (SELECT *, CASE WHEN i % 14 = 5 THEN substr(l3, 16) WHEN i % 14 = 4 THEN replace(l3, '( b c.png )', '(bc.png)') ELSE l3 END AS l4 FROM d),
 f AS (SELECT *, CASE WHEN i % 14 = 6 THEN '' ELSE l4 END AS l5 FROM e),
 g AS (SELECT doc_id, any_value(title) AS title, bool_or(l1 <> line) AS bold_breaks, bool_or(l2 <> l1) AS headings, bool_or(l3 <> l2) AS braces,
     string_agg(l3, chr(10) ORDER BY i) AS t3, regexp_replace(string_agg(l4, chr(10) ORDER BY i), chr(10) || '{3,}', chr(10) || chr(10), 'g') AS t4,
@@ -326,7 +326,7 @@ def duplicate_title(spark, folder):
 @query(
     "heading_levels",
     f"""WITH {ctes.MD_LINES}, h AS (
-  SELECT doc_id, line_no, CASE WHEN line_no % 12 = 2 THEN concat('# ', left(line, 30)) WHEN line_no % 12 = 3 THEN ' ##  ' WHEN line_no % 12 = 8 THEN '# code' ELSE line END AS line,
+  SELECT doc_id, line_no, CASE WHEN line_no % 12 = 2 THEN concat('# ', line) WHEN line_no % 12 = 3 THEN ' ##  ' WHEN line_no % 12 = 8 THEN concat('# code', line) ELSE line END AS line,
     max(line_no) OVER (PARTITION BY doc_id) AS last_no FROM md_lines),
 t AS (SELECT *, line_no % 12 = 8 AND last_no > line_no AS code, regexp_matches(line, '^\\s{{0,3}}#\\s*[^#\\s]') AS h1 FROM h),
 n AS (SELECT *, row_number() OVER (PARTITION BY doc_id, h1 AND NOT code ORDER BY line_no) AS nth FROM t)
@@ -338,8 +338,8 @@ def heading_levels(spark, folder):
         "doc_id",
         F.array_join(
             F.expr(
-                "transform(lines, (l, i) -> CASE WHEN i % 12 = 2 THEN concat('# ', left(l, 30)) WHEN i % 12 = 3 THEN ' ##  ' "
-                "WHEN i % 12 = 8 THEN '# code' ELSE l END)"
+                "transform(lines, (l, i) -> CASE WHEN i % 12 = 2 THEN concat('# ', l) WHEN i % 12 = 3 THEN ' ##  ' "
+                "WHEN i % 12 = 8 THEN concat('# code', l) ELSE l END)"
             ),
             "\n",
         ).alias("text"),

@@ -97,6 +97,16 @@ def test_chunks(inputs, catalog):
     assert {r["page_id"] for r in got.collect()} == {"a1", "a2", "a3", "b1"}
 
 
+def test_chunks_of_headed_documents(spark, inputs, catalog):
+    head = '---\ntitle: "Own title"\nlocale: pt\nslug: own-slug\n---\n'
+    bodies = inputs[1].withColumn("body", F.when(F.col("page_id") == "a1", F.concat(F.lit(head), "body")).otherwise(F.col("body")))
+    plain = {r["page_id"]: r for r in jobs.build_chunks(catalog, inputs[1]).collect()}
+    got = {r["page_id"]: r for r in jobs.build_chunks(catalog, bodies).collect()}
+    assert (got["a1"]["title"], got["a1"]["locale"], got["a1"]["slug"]) == ("Own title", "pt", "own-slug")
+    assert got["a1"]["text"] == plain["a1"]["text"] and got["a1"]["docusaurus_path"] == plain["a1"]["docusaurus_path"]
+    assert got["b1"] == plain["b1"]
+
+
 def test_validation(catalog):
     assert {(r["violation"], r["subject"]) for r in jobs.validate(catalog).collect()} == {("missing-content-hash", "d1")}
 
