@@ -118,4 +118,28 @@ QUERIES = {
     "op9_lattice": op9_lattice,
     "op10_chat": op10_chat,
 }
-CHECKS: dict[str, str] = {}
+
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _without(text: str, characters: str) -> str:
+    return f"length(translate({text}, {characters}, ''))"
+
+
+CHECKS = {
+    "op8_quality_rules": f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(string_split(translate(t, {_BLANKS}, '      '), ' '), lambda x: x <> '') AS ws,
+  list_filter(string_split(t, chr(10)), lambda x: translate(x, {_BLANKS}, '') <> '') AS ls FROM d),
+wins AS (SELECT rid, i, concat_ws(' ', ws[i], ws[i + 1], ws[i + 2]) AS g FROM (SELECT rid, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+often AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM wins),
+covered AS (SELECT rid, count(DISTINCT i + k) AS n FROM often, (VALUES (0), (1), (2)) v(k) WHERE c > 1 GROUP BY rid),
+m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, {_without('t', _BLANKS)} AS word_chars,
+    length(t) - {_without('t', "'#*$%&|<>'")} AS n_symbols, CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+    coalesce(c.n, 0) AS n_repeat_words, length(t) - {_without('t', "'ABCDEFGHIJKLMNOPQRSTUVWXYZÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝ'")} AS n_capitals,
+    length(t) - {_without('t', "'!'")} AS n_exclamations FROM w LEFT JOIN covered c USING (rid)),
+f AS (SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END) + (CASE WHEN 2 * n_repeat_words > n_words THEN 2 ELSE 0 END)
+    + (CASE WHEN 5 * n_symbols > n_words THEN 4 ELSE 0 END) + (CASE WHEN 2 * n_capitals > word_chars THEN 8 ELSE 0 END)
+    + (CASE WHEN 10 * n_dup_lines > 3 * n_lines THEN 16 ELSE 0 END) + (CASE WHEN word_chars > 25 * n_words THEN 32 ELSE 0 END)
+    + (CASE WHEN 5 * n_exclamations > n_words THEN 64 ELSE 0 END) AS mask FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, mask % 4 <> 0 AS base_failed, mask = 0 AS kept, CAST(mask AS BIGINT) AS failed FROM f""",
+}

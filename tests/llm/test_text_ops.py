@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from marginalia.llm import bpe, chat, quality_rules, queries, token_counts
+from tests.checker import compare
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ODD = [
@@ -139,6 +140,11 @@ def test_rules_equal_plain_python(spark, folder, odd):
             assert not (r.failed & 3 and r.kept)
 
 
+def test_rules_equal_their_sql(spark, folder, con):
+    result = compare(queries.op8_quality_rules(spark, folder), con, queries.CHECKS["op8_quality_rules"])
+    assert result["ok"] and result["rows"] > 0, result
+
+
 def test_ablation_adds_up(spark, folder):
     entries = quality_rules.ledger(spark.read.parquet(f"{folder}/documents.parquet"))
     rows = entries.collect()
