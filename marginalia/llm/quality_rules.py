@@ -30,7 +30,7 @@ RULES: dict[str, str] = {
     "repeated_windows": "100 * n_repeat_words > 50 * n_words",
     "symbols": "100 * n_symbols > 20 * n_words",
     "capitals": "100 * n_capitals > 50 * word_chars",
-    "repeated_lines": "100 * n_dup_lines > 30 * n_lines",
+    "repeated_lines": "100 * n_dup_lines > 60 * n_lines",
     "long_words": "word_chars > 25 * n_words",
     "exclamations": "100 * n_exclamations > 20 * n_words",
 }

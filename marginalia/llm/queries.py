@@ -139,7 +139,7 @@ m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, {_without('t', _BLANKS)
     length(t) - {_without('t', "'!'")} AS n_exclamations FROM w LEFT JOIN covered c USING (rid)),
 f AS (SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END) + (CASE WHEN 2 * n_repeat_words > n_words THEN 2 ELSE 0 END)
     + (CASE WHEN 5 * n_symbols > n_words THEN 4 ELSE 0 END) + (CASE WHEN 2 * n_capitals > word_chars THEN 8 ELSE 0 END)
-    + (CASE WHEN 10 * n_dup_lines > 3 * n_lines THEN 16 ELSE 0 END) + (CASE WHEN word_chars > 25 * n_words THEN 32 ELSE 0 END)
+    + (CASE WHEN 10 * n_dup_lines > 6 * n_lines THEN 16 ELSE 0 END) + (CASE WHEN word_chars > 25 * n_words THEN 32 ELSE 0 END)
     + (CASE WHEN 5 * n_exclamations > n_words THEN 64 ELSE 0 END) AS mask FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, mask % 4 <> 0 AS base_failed, mask = 0 AS kept, CAST(mask AS BIGINT) AS failed FROM f""",
 }
