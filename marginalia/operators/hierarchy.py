@@ -287,7 +287,7 @@ class HierarchyPlan:
         from_rows = self.structural.select("family_id", "canonical_section").join(
             self.structural_members.select("family_id", "locale"), "family_id"
         )
-        return written(from_pages.unionByName(from_rows.drop("family_id")).distinct(), "section-locales")
+        return from_pages.unionByName(from_rows.drop("family_id")).distinct()
 
     @cached_property
     def structural_events(self) -> DataFrame:
@@ -451,7 +451,7 @@ class HierarchyPlan:
             F.max("position").alias("position"),
             F.min_by("canonical_section", first).alias("canonical_section"),
         )
-        return written(cats, "sections")
+        return cats
 
     @cached_property
     def toggle_categories(self) -> DataFrame:
@@ -478,7 +478,7 @@ class HierarchyPlan:
             "locale", C.section_dir("canonical_section").alias("section_dir"), F.col("route_toggle").alias("toggle_dir")
         )
         filled = self.toggle_categories.join(used.distinct(), ["locale", "section_dir", "toggle_dir"], "left_semi")
-        return written(filled, "toggles")
+        return filled
 
     @cached_property
     def categories(self) -> DataFrame:
