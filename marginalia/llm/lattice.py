@@ -35,7 +35,7 @@ PROBES = 3  # neighbouring cells each vector is also looked for in
 SCALE = 0.7  # length of a unit vector's projection, per dimension, in units of the lattice
 SEED = 20250
 BLOCK = 1024  # vectors of a block
-ROWS = 20_000  # mean rows of a comparing task
+ROWS = 8_000  # mean rows of a comparing task
 DIM = 8
 
 
