@@ -67,4 +67,6 @@ def count_tokens(docs: DataFrame, cache: str, path: str, doc_id: str = "doc_id",
     # Rows that repeat id and text meet here again.
     counted = counted.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
     counted.write.mode("append").parquet(f"{cache}/tokenizer={version(path)}")
-    return keys.join(stored_counts(spark, cache, path), "digest").select("doc_id", "digest", "n_bytes", "n_tokens")
+    # Written, so that no aggregate keeps the join from splitting a digest of very many copies.
+    counts = written(stored_counts(spark, cache, path), "counts")
+    return keys.join(counts, "digest").select("doc_id", "digest", "n_bytes", "n_tokens")
