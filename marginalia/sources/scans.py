@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..functions import fixed
 
 METADATA_SCHEMA = """page_id string, title string, source_url string, notion_last_edited_time string,
     content_hash string, raw_hash string, locale string, section string, section_order int,
@@ -18,12 +19,17 @@ REQUIRED = (
     "locale", "slug", "docusaurus_id", "status", "assets",
 )
 
+# Fields that hold one of a few values; an absent optional one is sound.
+ALLOWED = {"status": fixed.STATUSES, "language_source": fixed.LANGUAGE_SOURCES}
 
-def scan_metadata(blobs: DataFrame, schema: str, required: tuple[str, ...], raw: str = "raw") -> DataFrame:
+
+def scan_metadata(
+    blobs: DataFrame, schema: str, required: tuple[str, ...], raw: str = "raw", allowed: dict[str, tuple[str, ...]] | None = None
+) -> DataFrame:
     """Parse JSON blobs in one pass and label each row page, skipped or read_error.
 
     A missing blob is a read error (transient); malformed JSON and rows that break the
-    schema are skipped (permanent). Parsed fields are under ``meta``.
+    schema, its enumerations included, are skipped (permanent). Parsed fields are under ``meta``.
     """
     broken = "__broken"
     parsed = F.from_json(
@@ -33,6 +39,8 @@ def scan_metadata(blobs: DataFrame, schema: str, required: tuple[str, ...], raw:
     complete = F.lit(True)
     for name in required:
         complete = complete & F.col(f"meta.{name}").isNotNull()
+    for name, values in (allowed or {}).items():
+        complete = complete & F.coalesce(F.col(f"meta.{name}").isin(*values), F.lit(True))
     outcome = (
         F.when(F.col(raw).isNull(), "read_error")
         .when(F.col(f"meta.{broken}").isNotNull() | ~complete, "skipped")
@@ -45,7 +53,7 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     """Metadata blobs of a folder, one file each. Read once and pack the result."""
     blobs = spark.read.text(path, wholetext=True, pathGlobFilter="*metadata.json", recursiveFileLookup=True)
     blobs = blobs.select(F.col("value").alias("raw"), F.col("_metadata.file_path").alias("key"))
-    return scan_metadata(blobs, METADATA_SCHEMA, REQUIRED)
+    return scan_metadata(blobs, METADATA_SCHEMA, REQUIRED, allowed=ALLOWED)
 
 
 def split_document(docs: DataFrame, content: str = "content") -> DataFrame:

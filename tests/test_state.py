@@ -103,10 +103,10 @@ def test_metadata_files(spark):
 
     path = fresh(spark, "pages")
     good = {n: "x" for n in scans.REQUIRED if n != "assets"} | {"assets": [], "status": "active"}
-    for name, raw in {"a": json.dumps(good), "b": "{bad", "c": json.dumps({"page_id": "c"})}.items():
+    for name, raw in {"a": json.dumps(good), "b": "{bad", "c": json.dumps({"page_id": "c"}), "d": json.dumps(good | {"status": "live"})}.items():
         os.makedirs(f"{path}/{name}")
         with open(f"{path}/{name}/metadata.json", "w") as f:
             f.write(raw)
     got = {r["key"].split("/")[-2]: r["outcome"] for r in scans.read_metadata(spark, path).collect()}
-    assert got == {"a": "page", "b": "skipped", "c": "skipped"}
-    assert scans.list_prefix(spark, path, "metadata.json").count() == 3
+    assert got == {"a": "page", "b": "skipped", "c": "skipped", "d": "skipped"}
+    assert scans.list_prefix(spark, path, "metadata.json").count() == 4
