@@ -27,10 +27,37 @@ def is_supported(kind: Column | str, extra: tuple[str, ...] = ()) -> Column:
     return C.col(kind).isin(*fixed.SUPPORTED_BLOCKS, *extra)
 
 
-def block_text(kind: Column, text: Column, extra: tuple[str, ...] = ()) -> Column:
+# Types without a text of their own; what is nested in them still shows.
+SILENT = (
+    "child_database", "breadcrumb", "table_of_contents", "table_row", "synced_block", "column_list", "column",
+    "unsupported", "ai_block",
+)
+
+
+def _own_form(kind: Column, text: Column, checked: Column, language: Column) -> Column:
+    """Types whose form is more than a prefix; NULL for all others."""
+    mark = F.when(F.coalesce(checked, F.lit(False)), "[x]").otherwise("[ ]")
+    return (
+        F.when(kind == "to_do", F.concat(F.lit("- "), mark, F.lit(" "), text))
+        .when(kind == "code", F.concat(F.lit("```"), F.coalesce(language, F.lit("")), F.lit("\n"), text, F.lit("\n```")))
+        .when(kind == "divider", F.lit("\n---"))
+        .when(kind == "equation", F.when(text == "", "").otherwise(F.concat(F.lit("$$"), text, F.lit("$$"))))
+        .when(kind == "child_page", F.concat(F.lit("📄 "), F.when(text == "", "child page").otherwise(text)))
+        .when(kind.isin(*SILENT), "")
+    )
+
+
+def block_text(
+    kind: Column, text: Column, extra: tuple[str, ...] = (), checked: Column | None = None, language: Column | None = None
+) -> Column:
+    """A block's own text. ``checked`` of to-dos and ``language`` of code may be given."""
     prefix = F.create_map(*[F.lit(x) for kv in PREFIX.items() for x in kv])
+    text = F.coalesce(text, F.lit(""))
+    none = F.lit(None)
+    own = _own_form(kind, text, none.cast("boolean") if checked is None else checked, none.cast("string") if language is None else language)
     note = F.concat(F.lit("> [!NOTE]\n> Unsupported Notion block: `"), kind, F.lit("`"))
-    return F.when(is_supported(kind, extra), F.concat(F.coalesce(F.try_element_at(prefix, kind), F.lit("")), text)).otherwise(note)
+    plain = F.concat(F.coalesce(F.try_element_at(prefix, kind), F.lit("")), text)
+    return F.when(is_supported(kind, extra), F.coalesce(own, plain)).otherwise(note)
 
 
 def block_rollup(blocks: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -46,7 +73,10 @@ def block_rollup(blocks: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     here = F.concat(F.lpad(F.col("pos").cast("string"), 19, "0"), F.lit("."), F.col("block_id").cast("string"))
     shaped = blocks.select(
         "page_id", "block_id", "parent_id", "type", here.alias("here"),
-        block_text(F.col("type"), F.col("text"), extra).alias("rendered"),
+        block_text(
+            F.col("type"), F.col("text"), extra,
+            F.col("checked") if "checked" in blocks.columns else None, F.col("language") if "language" in blocks.columns else None,
+        ).alias("rendered"),
     )
     shaped = written(shaped, "blocks")
     cols = ["page_id", "block_id", "depth", "path", "type", "rendered", "orphan"]
@@ -136,10 +166,23 @@ def _marked(segment: Column, run: Column) -> Column:
     )
 
 
-def render_runs(runs: Column) -> Column:
+# --- fixed value: how an inline emoji image is written -------------------------------
+EMOJI_STYLE = 'className="emoji" style={{display:"inline",height:"1.2em",width:"auto",verticalAlign:"text-bottom",margin:"0 0.1em"}} />'
+
+
+def emoji_image(url: Column, name: Column) -> Column:
+    named = F.replace(F.coalesce(F.nullif(name, F.lit("")), F.lit("emoji")), F.lit('"'), F.lit("&quot;"))
+    return F.concat(F.lit('<img src="'), url, F.lit('" alt="'), named, F.lit('" '), F.lit(EMOJI_STYLE))
+
+
+def render_runs(runs: Column, mentions: bool = False) -> Column:
     """Inline runs to text. Markers open and close on the same line; a link wraps the
-    plain text of its run, except in code."""
+    plain text of its run, except in code. With ``mentions``, runs have ``emoji_url`` and
+    ``emoji_name``, and those with a URL become an inline image."""
     def render(r: Column) -> Column:
+        return F.when(F.coalesce(r["emoji_url"], F.lit("")) != "", emoji_image(r["emoji_url"], r["emoji_name"])).otherwise(worded(r)) if mentions else worded(r)
+
+    def worded(r: Column) -> Column:
         text = F.coalesce(r["plain_text"], F.lit(""))
         styled = F.array_join(F.transform(F.split(text, "\n"), lambda s: _marked(s, r)), "\n")
         core = F.regexp_replace(text, r"^\s+|\s+$", "")

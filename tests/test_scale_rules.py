@@ -69,3 +69,24 @@ def test_overlap_stays_within_its_bounds_on_astral_text(spark):
     assert units(got.even) == 400 and got.even == "🌱" * 200
     assert units(got.odd) == 399 and got.odd == "🌱" * 199 + "x"
     assert got.short == "ab"
+
+
+def test_forms_of_blocks(spark):
+    kinds = [
+        ("to_do", "task", True, None, "- [x] task"), ("to_do", "task", None, None, "- [ ] task"), ("code", "a\nb", None, "py", "```py\na\nb\n```"),
+        ("divider", None, None, None, "\n---"), ("equation", "x^2", None, None, "$$x^2$$"), ("equation", "", None, None, ""), ("child_page", "Title", None, None, "📄 Title"),
+        ("child_page", None, None, None, "📄 child page"), ("breadcrumb", "x", None, None, ""), ("child_database", "x", None, None, ""), ("quote", "q", None, None, "> q"),
+        ("odd", "x", None, None, "> [!NOTE]\n> Unsupported Notion block: `odd`"),
+    ]
+    rows = [(1, str(i), None, i, k, t, c, lang) for i, (k, t, c, lang, _) in enumerate(kinds)]
+    df = spark.createDataFrame(rows, SCHEMA + ", checked boolean, language string")
+    got = {int(r.block_id): r.rendered for r in B.block_rollup(df).collect()}
+    assert got == {i: k[-1] for i, k in enumerate(kinds)}
+
+
+def test_emoji_mentions(spark):
+    fields = ["plain_text", "bold", "italic", "strikethrough", "underline", "code", "color", "href", "emoji_url", "emoji_name"]
+    base = {"plain_text": "hi ", "bold": True, "italic": False, "strikethrough": False, "underline": False, "code": False, "color": "default", "href": "", "emoji_url": "", "emoji_name": ""}
+    make = lambda **k: F.struct(*[F.lit((base | k)[f]).alias(f) for f in fields])
+    out = spark.range(1).select(B.render_runs(F.array(make(), make(plain_text=":p:", emoji_url="https://x.org/p.png", emoji_name='p"q')), mentions=True).alias("t")).first().t
+    assert out == '**hi** <img src="https://x.org/p.png" alt="p&quot;q" className="emoji" style={{display:"inline",height:"1.2em",width:"auto",verticalAlign:"text-bottom",margin:"0 0.1em"}} />'
