@@ -38,8 +38,8 @@ SPLIT = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\
 SETTLED = re.compile("[^\x00-ͷΑ-ΡΣ-ԯ -⁤₠-₿　-〿ぁ-ゖァ-ヺ一-龥가-힣]")
 # A blank between two characters that are no blanks always begins a new word.
 UNEVEN = re.compile(r"\s | \s|^\s|\s$")
-REMEMBERED = 250_000  # chunks in each of the two generations of a worker's memory
-BLOCK_CHARS = 1_000_000  # characters split before new words are verified together
+REMEMBERED = 80_000  # chunks in each of the two generations of a worker's memory
+BLOCK_CHARS = 500_000  # characters split before new words are verified together
 NEVER = np.int64(1) << 40
 SHORT = 48  # bytes up to which merging keeps the ranks in a plain list
 
