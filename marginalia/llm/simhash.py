@@ -32,6 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import shingles
 from .bpe import blocks
 from .common import text_of, written
 from .components import components
@@ -204,15 +205,21 @@ def links(marks: DataFrame, threshold: int = THRESHOLD, pairwise: int = PAIRWISE
     return within.unionByName(hung)
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, similar: bool = False) -> DataFrame:
     """``doc_id, content, mark, component_id``: one row per document with its fingerprint and smallest reachable id.
 
-    ``content`` is a hash of the text, which tells rows of a repeated id apart.
+    ``content`` is a hash of the text, which tells rows of a repeated id apart. With ``similar``,
+    texts are linked too whose sets of five-word shingles have a Jaccard similarity of 0.8 or more,
+    however far their fingerprints are from each other.
     """
     body = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("body"))
-    marked = written(body.select("doc_id", F.xxhash64("body").alias("content"), fingerprint_column(F.col("body")).alias("mark")), "marks")
+    node = shingles.node_column(F.col("body")) if similar else F.lit(0).cast("long")
+    marked = written(body.select("doc_id", F.xxhash64("body").alias("content"), fingerprint_column(F.col("body")).alias("mark"), node.alias("node")), "marks")
     lowest = written(marked.groupBy("mark").agg(F.min("doc_id").alias("first_id")), "distinct-marks")
-    parts = components(links(lowest, threshold))
+    found = links(lowest, threshold)
+    if similar:
+        found = found.unionByName(_similar(body, marked))
+    parts = components(found)
     of_mark = lowest.join(parts.select(F.col("node").alias("mark"), "component"), "mark", "left").select(
         "mark", "first_id", F.coalesce("component", "mark").alias("component")
     )
@@ -221,12 +228,25 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return marked.join(named, "mark").select("doc_id", "content", "mark", "component_id")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+def _similar(body: DataFrame, marked: DataFrame) -> DataFrame:
+    """``a, b``: links between the marks of texts with equal or similar sets of shingles."""
+    texts = body.select("body", F.xxhash64("body").alias("content"))
+    nodes = marked.select("content", "node").distinct()
+    found = shingles.links(texts, nodes)
+    held = marked.filter("node <> 0").select("node", "mark").distinct()
+    first = held.groupBy("node").agg(F.min("mark").alias("first"))
+    equal = held.join(first, "node").filter("mark <> first").select(F.col("mark").alias("a"), F.col("first").alias("b"))
+    of_a, of_b = (first.select(F.col("node").alias(c), F.col("first").alias(f"of_{c}")) for c in "ab")
+    near = found.join(of_a, "a").join(of_b, "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    return equal.unionByName(near).filter("a <> b")
+
+
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, similar: bool = False) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the row of the smallest id stays.
 
     Among rows of that id the text's hash decides, and of wholly equal rows one stays.
     """
-    found = near_duplicates(docs, doc_id, text, threshold)
+    found = near_duplicates(docs, doc_id, text, threshold, similar)
     # Components without any id are told apart by a mark they hold.
     key = F.when(F.col("component_id").isNull(), F.col("mark"))
     rows = found.groupBy("component_id", key.alias("own"), "doc_id", "content").agg(F.count("*").alias("n"))

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from marginalia.llm import components, lattice, packing, queries, simhash
+from marginalia.llm import components, lattice, packing, queries, shingles, simhash
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -185,6 +185,38 @@ def test_odd_documents(spark):
     assert simhash.near_duplicates(df.filter("false")).count() == 0
 
 
+def slow_shingles(text):
+    words = text.encode("utf-8", "surrogatepass").lower().split()
+    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+@pytest.mark.parametrize("few", [20, 2])
+def test_similar_texts_are_linked_however_far_their_marks(spark, few, monkeypatch):
+    monkeypatch.setattr(shingles.links, "__defaults__", (few,))
+    rng = np.random.default_rng(4)
+    passage = [f"p{k}" for k in range(40)]
+    texts = ["", "one two", "ONE two", "one two three four five", "one two three four six"]
+    for seed in range(12):
+        source = [f"w{x}" for x in rng.integers(0, 5000, int(rng.integers(40, 400)))]
+        texts += [" ".join(source), " ".join(source + passage)]
+        for _ in range(6):
+            copy = list(source)
+            for k in rng.integers(0, len(copy), int(rng.integers(1, 1 + len(copy) // 40 + 1))).tolist():
+                copy[k] = f"x{rng.integers(0, 10**9)}"
+            texts.append(" ".join(copy))
+        texts.append(" ".join(source[: int(len(source) * 0.85)]))
+    sets = [slow_shingles(t) for t in texts]
+    marks = np.array([slow_fingerprint(t) for t in texts], np.uint64)
+    similar = [(a, b) for a in range(len(texts)) for b in range(a) if sets[a] and 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    near = list(zip(*np.nonzero(np.bitwise_count(marks[:, None] ^ marks[None, :]) <= 2)))
+    want = groups_of(len(texts), [*near, *similar])
+    assert want != groups_of(len(texts), near)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicates(df, similar=True).collect()} == dict(enumerate(want))
+    assert {r.doc_id for r in simhash.keep_one(df, similar=True).collect()} == set(want)
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicates(df).collect()} == dict(enumerate(groups_of(len(texts), near)))
+
+
 # --- vectors ---
 
 
