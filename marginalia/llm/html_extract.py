@@ -4,8 +4,10 @@ Markup is stripped to lines: block tags end a line, and the border of a containe
 empty lines as the window is long. Over the weights of the lines, which are their lengths without
 links, and zero inside menus, forms and other furniture, the sums of a sliding window rise where
 running text begins (surge) and fall to nothing where it ends (dive). The text between such
-points is a passage. Passages inside an article or main element are kept; on a page without one,
-the passage of largest sum is, with those that reach a share of it.
+points is a passage. Passages inside an article or main element are kept. On a page without one,
+the passage of largest sum and those that reach a share of it tell where the text stands: all lines
+are kept of the outermost containers that hold these passages, and of what lies between them.
+Sections stay together, and a heading before the text belongs to it.
 
 A null or empty page, and one without text, gives an empty text. Pages are read whole; broken
 markup (tags that are never closed, cut pages) is read as far as it makes sense. Ids and extra
@@ -18,6 +20,7 @@ import html
 import re
 from collections.abc import Iterator
 from itertools import accumulate
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -27,7 +30,7 @@ from .bpe import blocks
 from .common import text_of
 
 WINDOW = 3  # lines of a window
-SHARE = 0.2  # of the largest passage, from which others count as text too
+SHARE = 0.2  # of the largest passage, from which others tell where text stands
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -42,7 +45,16 @@ LINE_TAGS = frozenset(
     "hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
 CONTAINERS = frozenset("article aside body dialog div fieldset footer form header main menu nav section table ul ol dl".split())
+# Tags whose end tag may be left out, and those that the next one ends.
+CELLS = frozenset({"td", "th"})
+ROWS = CELLS | {"tr"}
+TERMS = frozenset({"dt", "dd"})
+OPTIONAL = {
+    "p": frozenset({"p"}), "li": frozenset({"li"}), "dt": TERMS, "dd": TERMS, "td": CELLS, "th": CELLS, "tr": ROWS,
+    "thead": ROWS | {"thead"}, "tbody": ROWS | {"thead", "tbody"}, "tfoot": ROWS | {"tbody"}, "option": frozenset({"option"}),
+}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+LISTS = frozenset("ul ol dl table".split())
 ARTICLE = frozenset({"article", "main"})
 FURNITURE = frozenset("nav header footer aside form menu button dialog head search label fieldset".split())
 ROLE = re.compile(r"\brole\s*=\s*[\"']?(?:navigation|banner|contentinfo|complementary|search|form|menu|menubar|alert|dialog|alertdialog)\b", re.I)
@@ -59,24 +71,88 @@ NAMED = re.compile(
 def _is_furniture(name: str, rest: str) -> bool:
     if name in FURNITURE or ROLE.search(rest):
         return True
-    return name not in ARTICLE and name != "body" and any(NAMED.search(" ".join(filter(None, m))) for m in NAMES.findall(rest))
+    return name not in ARTICLE and name != "body" and _is_named(rest)
 
 
-def lines_of(page: str) -> list[tuple[str, int, bool]]:
-    """Lines as (text, weight, inside an article). Furniture has no text; borders are empty lines."""
-    lines: list[tuple[str, int, bool]] = []
-    open_tags: list[tuple[str, bool]] = []
+def _is_named(rest: str) -> bool:
+    return any(NAMED.search(" ".join(filter(None, m))) for m in NAMES.findall(rest))
+
+
+class Line(NamedTuple):
+    text: str
+    weight: int
+    inside: bool  # an article
+    top: int = 0  # the outermost container: where its tag begins, plus one; 0 outside of any
+    section: bool = False  # that container is a section
+    title: bool = False  # a heading of the first level
+
+
+def _left_open(page: str) -> set[int]:
+    """Where the tags begin that have no end tag of their own, and those whose end tag may be that of an outer one left open."""
+    out: set[int] = set()
+    stack: list[tuple[str, int]] = []
+    inner: list[tuple[str, int, list[int]]] = []
+
+    for m in TOKEN.finditer(page):
+        name = (m["name"] or "").lower()
+        if name not in LINE_TAGS and name not in FURNITURE or name in OPTIONAL or name == "hr":
+            continue
+        if not m["end"]:
+            if not m["rest"].endswith("/"):
+                stack.append((name, m.start()))
+                inner.append((name, m.start(), [at for t, at in stack[:-1] if t == name]))
+        elif any(t == name for t, _ in stack):
+            while True:
+                t, at = stack.pop()
+                if t == name:
+                    break
+                out.add(at)
+    out |= {at for _, at in stack}
+    return out | {at for _, at, around in inner if not out.isdisjoint(around)}
+
+
+def lines_of(page: str, strict: bool = True) -> list[Line]:
+    """Lines of the page. Furniture has no text; borders are empty lines.
+
+    An article that opens in furniture known by its names only is part of it, unless that furniture
+    was left open or ``strict`` is off.
+    """
+    lines: list[Line] = []
+    open_tags: list[tuple[str, bool, int]] = []
     furniture = articles = links = linked = 0
+    title = False
     parts: list[str] = []
+    unclosed: set[int] | None = None
 
     def flush() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split()) if parts else ""
         if text:
-            lines.append((text, max(1, len(text) - linked), articles > 0))
+            top, section = next(((at + 1, t == "section") for t, own, at in open_tags if t in CONTAINERS and t != "body" and t not in LISTS), (0, False))
+            lines.append(Line(text, max(1, len(text) - linked), articles > 0, top, section, title))
         parts.clear()
         linked = 0
 
+    def close(name: str) -> None:
+        nonlocal furniture, articles
+        while True:
+            t, own, _ = open_tags.pop()
+            furniture -= own
+            articles -= t in ARTICLE
+            if t == name:
+                return
+
+    def resets(name: str, rest: str) -> bool:
+        """Whether furniture that was never closed ends here, where an article begins."""
+        nonlocal unclosed
+        if name not in ARTICLE or not furniture or any(own and t in FURNITURE for t, own, _ in open_tags):
+            return False
+        if not strict:
+            return True
+        if unclosed is None:
+            unclosed = _left_open(page)
+        return not _is_named(rest) and all(at in unclosed for _, own, at in open_tags if own)
+
     for m in TOKEN.finditer(page):
         if (text := m["text"]) is not None:
             if not furniture:
@@ -96,40 +172,46 @@ def lines_of(page: str) -> list[tuple[str, int, bool]]:
         if name not in LINE_TAGS and name not in FURNITURE:
             continue
         flush()
+        if open_tags and open_tags[-1][0] == "p" and not m["end"]:
+            close("p")  # its end tag may be left out before any block
         if name in CONTAINERS:
-            lines += [("", 0, articles > 0)] * (WINDOW if name not in ("ul", "ol", "dl", "table") or not articles else 1)
+            lines += [Line("", 0, articles > 0)] * (WINDOW if name not in LISTS or not articles else 1)
         if name == "hr":
             continue
+        title = name == "h1" and not m["end"]
         if m["end"]:
-            if any(t == name for t, _ in open_tags):
-                while True:
-                    t, own = open_tags.pop()
-                    furniture -= own
-                    articles -= t in ARTICLE
-                    if t == name:
-                        break
+            if any(t == name for t, _, _ in open_tags):
+                close(name)
         elif not m["rest"].endswith("/"):
-            if name in ARTICLE and furniture and not any(own and t in FURNITURE for t, own in open_tags) or name == "body":
-                # Furniture that was never closed ends where an article begins.
-                furniture, open_tags = 0, [(t, False) for t, _ in open_tags]
-            own = _is_furniture(name, m["rest"])
+            if name in OPTIONAL:
+                # A list item or cell whose end tag is left out ends at the next one of its list or row.
+                for t, _, _ in reversed(open_tags):
+                    if t in OPTIONAL[name]:
+                        close(t)
+                        break
+                    if t in CONTAINERS and t != "div":
+                        break
+            if resets(name, m["rest"]) or name == "body":
+                furniture, open_tags = 0, [(t, False, at) for t, _, at in open_tags]
+            # An article's names count inside another one and inside furniture.
+            own = _is_furniture(name, m["rest"]) or strict and name in ARTICLE and (articles or furniture) and _is_named(m["rest"])
             # Headings of an article stay, whoever wraps them.
-            own = own and not (name == "header" and articles)
+            own = bool(own and not (name == "header" and articles))
             furniture += own
             articles += name in ARTICLE
             if name in CONTAINERS or own or name in FURNITURE or name in ARTICLE:
-                open_tags.append((name, own))
+                open_tags.append((name, own, m.start()))
     flush()
     return lines
 
 
-def passages(lines: list[tuple[str, int, bool]]) -> list[tuple[int, int]]:
+def passages(lines: list[Line]) -> list[tuple[int, int]]:
     """Spans of lines between surge and dive points of the window sums."""
-    total = [0, *accumulate(w for _, w, _ in lines)]
+    total = [0, *accumulate(line.weight for line in lines)]
     sums = [total[min(i + WINDOW, len(lines))] - total[i] for i in range(len(lines))]
     out, begin = [], None
     for i, s in enumerate(sums):
-        if begin is None and s > 0 and lines[i][1] > 0:
+        if begin is None and s > 0 and lines[i].weight > 0:
             begin = i  # surge: text from here on
         elif begin is not None and s == 0:
             out.append((begin, i))  # dive: nothing for a whole window
@@ -139,14 +221,16 @@ def passages(lines: list[tuple[str, int, bool]]) -> list[tuple[int, int]]:
     return out
 
 
-def main_text(page: str) -> str:
-    lines = lines_of(page)
-    found = [(sum(w for _, w, _ in lines[a:b]), any(inside for _, w, inside in lines[a:b] if w), a, b) for a, b in passages(lines)]
-    if any(inside for _, inside, _, _ in found):
-        kept = [f for f in found if f[1]]
-        return "\n".join(t for _, _, a, b in kept for t, w, inside in lines[a:b] if w and inside)
+def main_text(page: str, strict: bool = True) -> str:
+    lines = lines_of(page, strict)
+    spans = passages(lines)
+    if any(line.inside for a, b in spans for line in lines[a:b] if line.weight):
+        return "\n".join(line.text for a, b in spans for line in lines[a:b] if line.weight and line.inside)
+    found = [(sum(line.weight for line in lines[a:b]), a, b) for a, b in spans]
     most = max((f[0] for f in found), default=0)
-    return "\n".join(t for s, _, a, b in found if s >= SHARE * most for t, w, _ in lines[a:b] if w)
+    text = "\n".join(line.text for w, a, b in found if w >= SHARE * most for line in lines[a:b] if line.weight)
+    # All text stands in articles that names around them call furniture: then these are the text.
+    return text or (main_text(page, False) if strict else "")
 
 
 def main_text_column(page: Column) -> Column:

@@ -32,6 +32,10 @@ def test_page_without_article_element():
     assert html_extract.main_text(page) == "\n".join(["Head"] + [f"Sentence number {i} of the running text is long enough." for i in range(9)])
 
 
+LONG = [f"Sentence number {i} of the running text is long enough." for i in range(9)]
+PARAS = "".join(f"<p>{t}</p>" for t in LONG)
+
+
 @pytest.mark.parametrize("page", ["", " ", "<", "<p", "a < b", "<!-- open", "<script>x", "</p></div>", "<nav>x</nav>", "<article>", "<p class='x>y"])
 def test_broken_pages_do_not_crash(page):
     assert isinstance(html_extract.main_text(page), str)
@@ -42,6 +46,30 @@ def test_unclosed_furniture_ends_at_the_article():
     assert html_extract.main_text("<article><p>cut off he") == "cut off he"
 
 
+COMMENTS = '<div id=comments><ol class=comment-list><li><article class=comment-body><p>%s</p></article></li><li><article><p>Me too</p></article></li></ol></div>' % ("I liked it. " * 30)
+CARDS = "<div class=related><article class=card><h2>Teaser</h2><p>Read this one</p></article></div>"
+
+
+def test_articles_inside_furniture_are_no_text():
+    text = "\n".join(LONG)
+    for extra in (COMMENTS, CARDS, COMMENTS + CARDS):
+        assert html_extract.main_text(f"<body><div id=content>{PARAS}</div>{extra}</body>") == text
+        assert html_extract.main_text(f"<body><article>{PARAS}{extra}</article></body>") == text
+        assert html_extract.main_text(f"<body><article>{PARAS}</article>{extra}</body>") == text
+    assert html_extract.main_text(f"<body><article>{PARAS}<article class=comment><p>Me</p></article></article>") == text
+    # Furniture left open within a wrapper, and a page whose only text stands in such an article.
+    assert html_extract.main_text(f"<body><div id=page><div class=ad>Buy<article>{PARAS}</article></div></body>") == text
+    assert html_extract.main_text(f"<body><div class=widget><article>{PARAS}</article></div></body>") == text
+
+
+def test_furniture_without_end_tag_ends_at_the_next_block():
+    assert html_extract.main_text("<article><p class=ad>Buy<p>One.<p>Two.</article>") == "One.\nTwo."
+    assert html_extract.main_text("<article><p class=ad>Buy<div>One.</div><h2>Two</h2></article>") == "One.\nTwo"
+    assert html_extract.main_text("<article><ul><li class=share>Share<li>One<li><p>Two</ul><p>Three</article>") == "One\nTwo\nThree"
+    assert html_extract.main_text("<article><ul><li class=share><ul><li>X</ul><div>Y</div><li>One</ul></article>") == "One"
+    assert html_extract.main_text("<article><table><tr><td class=ad>Buy<td>One<tr><td>Two</table></article>") == "One\nTwo"
+
+
 def test_pages_hold_their_documents(spark, folder):
     squeeze = lambda t: "".join((t or "").split())
     texts = {squeeze(r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
