@@ -175,7 +175,7 @@ def lines_of(page: str, strict: bool = True) -> list[Line]:
         if open_tags and open_tags[-1][0] == "p" and not m["end"]:
             close("p")  # its end tag may be left out before any block
         if name in CONTAINERS:
-            lines += [Line("", 0, articles > 0)] * (WINDOW if name not in LISTS or not articles else 1)
+            lines += [Line("", 0, articles > 0)] * (1 if name in LISTS else WINDOW)
         if name == "hr":
             continue
         title = name == "h1" and not m["end"]
@@ -221,14 +221,28 @@ def passages(lines: list[Line]) -> list[tuple[int, int]]:
     return out
 
 
+def extent(lines: list[Line], found: list[tuple[int, int, int]]) -> tuple[int, int]:
+    """First and last line (exclusive) of the text on a page without article, from its passages (sum, begin, end)."""
+    most = max((f[0] for f in found), default=0)
+    strong = [line for s, a, b in found if s >= SHARE * most for line in lines[a:b] if line.weight]
+    tops = {line.top for line in strong}
+    if not tops or 0 in tops:
+        return 0, len(lines)
+    sections = any(line.section for line in strong)
+    at = [i for i, line in enumerate(lines) if line.weight and (line.top in tops or sections and line.section)]
+    first, last = at[0], at[-1] + 1
+    if not any(line.title for line in lines[first:last]):
+        first = next((i for i in range(first - 1, -1, -1) if lines[i].title), first)
+    return first, last
+
+
 def main_text(page: str, strict: bool = True) -> str:
     lines = lines_of(page, strict)
     spans = passages(lines)
     if any(line.inside for a, b in spans for line in lines[a:b] if line.weight):
         return "\n".join(line.text for a, b in spans for line in lines[a:b] if line.weight and line.inside)
-    found = [(sum(line.weight for line in lines[a:b]), a, b) for a, b in spans]
-    most = max((f[0] for f in found), default=0)
-    text = "\n".join(line.text for w, a, b in found if w >= SHARE * most for line in lines[a:b] if line.weight)
+    first, last = extent(lines, [(sum(line.weight for line in lines[a:b]), a, b) for a, b in spans])
+    text = "\n".join(line.text for line in lines[first:last] if line.weight)
     # All text stands in articles that names around them call furniture: then these are the text.
     return text or (main_text(page, False) if strict else "")
 

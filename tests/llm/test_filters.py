@@ -36,6 +36,21 @@ LONG = [f"Sentence number {i} of the running text is long enough." for i in rang
 PARAS = "".join(f"<p>{t}</p>" for t in LONG)
 
 
+@pytest.mark.parametrize(
+    "body, want",
+    [
+        (f"<div id=content><div><h1>Head</h1></div>{PARAS}<ul><li>a<li>b</ul><p>Short end.</p></div><div><p>Tiny</p></div>", ["Head", *LONG, "a", "b", "Short end."]),
+        (f"<div id=content><div><div>{PARAS}</div></div><table><tr><td>x<td>y</table><div><p>Short end.</p></div></div>", [*LONG, "x", "y", "Short end."]),
+        (f"<section><h2>One</h2><p>Brief.</p></section><section>{PARAS}</section><section><p>Last.</p></section>", ["One", "Brief.", *LONG, "Last."]),
+        (f"<div><h1>Head</h1></div><div>{PARAS}</div><div><p>Tiny</p></div>", ["Head", *LONG]),
+        (f"<div>{PARAS}</div><div><p>Between.</p></div><div>{PARAS}</div>", [*LONG, "Between.", *LONG]),
+        (f"<h1>Head</h1>{PARAS}<div><dl><dt>t<dd>d</dl></div><p>End.</p>", ["Head", *LONG, "t", "d", "End."]),
+    ],
+)
+def test_pages_of_div_and_section_keep_short_parts(body, want):
+    assert html_extract.main_text(FURNITURE % "x" + body + TAIL).split("\n") == want
+
+
 @pytest.mark.parametrize("page", ["", " ", "<", "<p", "a < b", "<!-- open", "<script>x", "</p></div>", "<nav>x</nav>", "<article>", "<p class='x>y"])
 def test_broken_pages_do_not_crash(page):
     assert isinstance(html_extract.main_text(page), str)
