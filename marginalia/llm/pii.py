@@ -46,7 +46,7 @@ NAME = rf"(?:{TITLES})\.?\x20\p{{Lu}}\p{{Ll}}++(?:\x20\p{{Lu}}\p{{Ll}}++)?"
 CODE = r"(?=[A-Za-z_-]*+[0-9])(?=[0-9_-]*+[A-Za-z])[A-Za-z0-9_-]{16,}+"
 NUMBER = r"[0-9](?:[\x20()./-]?[0-9]){6,}+"
 CANDIDATE = rf"(?<![\p{{L}}\p{{N}}_-])(?:{NAME}|{CODE}|{NUMBER})"
-HINT = rf"[0-9]{{2}}|[A-Za-z_-][0-9]|\b(?:{TITLES})\b"
+HINT = rf"[0-9]|(?:{TITLES})\.?\x20"  # without these no candidate
 # Gazetteer: given names, and beginnings of keys that services hand out.
 GIVEN = "Anna|Maria|John|James|Mary|Peter|Paul|Thomas|Michael|David|Sarah|Laura|Julia|Hans|Pierre|Jean|Marie|José|Juan|Carlos|Ana|Luis"
 KEYS = "AKIA|ASIA|ghp_|gho_|xox[bap]-|sk_live|sk-|pk_live|AIza|eyJ"

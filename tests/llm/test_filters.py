@@ -223,6 +223,17 @@ def test_redaction_leaves_no_base_span(spark, folder):
     assert pii.redact(df, weights).columns == df.columns
 
 
+def test_every_candidate_passes_the_hint(spark):
+    texts = ["7KqwErtyUiopasDfghZx", "1 2 3 4 5 6 7 8 9", "a key: 7KqwErtyUiopasDfghZx.", "(1.2.3.4/5 6 7)", "Mr. Ömer Ünal", "Señora Ana", "-_Qwertyuiopasdfgh_1", "Abcdefghijklmnopqrst9"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = df.select("text", F.col("text").rlike(pii.CANDIDATE).alias("candidate"), F.col("text").rlike(pii.HINT).alias("hint")).collect()
+    assert sum(r.candidate for r in found) >= 7 and all(r.hint for r in found if r.candidate)
+    # Whether a span is found does not depend on what else stands in the text.
+    cut = lambda t: pii._cut(t, pii.CANDIDATE, pii.HINT)["hits"]
+    for r in df.select("text", cut(F.col("text")).alias("alone"), cut(F.concat("text", F.lit(" ; 12"))).alias("beside")).collect():
+        assert (r.alone or []) == r.beside
+
+
 def test_personal_data_stays_native(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     for df in (pii.find(docs), pii.redact(docs, {"secret": 1.0})):
