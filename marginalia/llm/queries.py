@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, html_extract, lattice, ordinal, packing, pii, quality_rules, simhash, token_counts
+from . import bpe, centroids, chat, html_extract, huffman, lattice, lexical, ordinal, packing, pii, quality_rules, simhash, token_counts
 from .common import scratch, table, text_of
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -106,6 +106,26 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The ids of all documents, written under one Huffman code and read back."""
+    width = huffman.width_of(BYTE_BPE)
+    docs = table(spark, folder, "documents").select("doc_id", huffman.ids_column(F.col("text"), BYTE_BPE, 0, width).alias("ids"))
+    files = scratch(spark, "token-files")
+    huffman.write_ids(docs, files, width)
+    return huffman.read_ids(spark, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    """Eight clusters of all vectors of 64 components after ten rounds."""
+    return centroids.describe(*centroids.cluster(table(spark, folder, "embeddings"), width=64, k=8, rounds=10, salt="3:"))
+
+
+def op13_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    """The twenty best documents of every benchmark item."""
+    index = lexical.build_index(table(spark, folder, "documents"), scratch(spark, "lexical-index"))
+    return lexical.search(index, table(spark, folder, "benchmark"), 20)
+
+
 QUERIES = {
     "op1_bpe": op1_bpe,
     "op2_html": op2_html,
@@ -117,6 +137,9 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_lattice": op9_lattice,
     "op10_chat": op10_chat,
+    "op11_token_files": op11_token_files,
+    "op12_centroids": op12_centroids,
+    "op13_lexical": op13_lexical,
 }
 
 _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -126,6 +149,27 @@ def _without(text: str, characters: str) -> str:
     return f"length(translate({text}, {characters}, ''))"
 
 
+def _clusters_sql(width: int, k: int, rounds: int) -> str:
+    near = "SELECT v.rid, any_value(v.vec_id) AS vec_id, any_value(v.v) AS v, min(row(list_sum(list_transform(list_zip(v.v, c.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), c.k)) AS b FROM v CROSS JOIN {c} c GROUP BY v.rid"
+    parts = [
+        f"""WITH v AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {width} AND len(embedding) = {width}),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS k, v AS c FROM v QUALIFY k < {k})"""
+    ]
+    for i in range(rounds):
+        parts += [
+            f"a{i} AS MATERIALIZED ({near.format(c=f'c{i}')})",
+            f"""m{i} AS MATERIALIZED (SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM (
+  SELECT b[2] AS k, i, sum(x) AS s, count(*) AS n FROM (SELECT b, unnest(v) AS x, unnest(range(1, {width + 1})) AS i FROM a{i}) GROUP BY ALL) GROUP BY k)""",
+            f"c{i + 1} AS MATERIALIZED (SELECT c.k, coalesce(m.c, c.c) AS c FROM c{i} c LEFT JOIN m{i} m ON m.k = c.k)",
+        ]
+    last = f"c{rounds}"
+    parts.append(f"e AS MATERIALIZED (SELECT vec_id, CAST(b[2] AS INTEGER) AS cluster, CAST(b[1] AS BIGINT) AS distance FROM ({near.format(c=last)}))")
+    return ",\n".join(parts) + f"""
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(list_transform(c.c, lambda x: CAST(x AS VARCHAR)), ',')) AS centroid_sha256 FROM e JOIN {last} c ON c.k = e.cluster"""
+
+
 CHECKS = {
     "op8_quality_rules": f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT *, list_filter(string_split(translate(t, {_BLANKS}, '      '), ' '), lambda x: x <> '') AS ws,
@@ -142,4 +186,15 @@ f AS (SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END) + (CASE WHEN 2 * n_re
     + (CASE WHEN 10 * n_dup_lines > 6 * n_lines THEN 16 ELSE 0 END) + (CASE WHEN word_chars > 25 * n_words THEN 32 ELSE 0 END)
     + (CASE WHEN 5 * n_exclamations > n_words THEN 64 ELSE 0 END) AS mask FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, mask % 4 <> 0 AS base_failed, mask = 0 AS kept, CAST(mask AS BIGINT) AS failed FROM f""",
+    "op12_centroids": _clusters_sql(64, 8, 10),
+    "op13_lexical": """WITH t AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+d AS (SELECT rid, doc_id, ws, CAST(len(ws) AS BIGINT) AS n FROM t WHERE len(ws) > 0),
+g AS (SELECT count(*) AS big_n, CAST(sum(n) AS BIGINT) AS big_l FROM d),
+p AS (SELECT rid, w, count(*) AS tf FROM (SELECT rid, unnest(ws) AS w FROM d) GROUP BY rid, w),
+df AS (SELECT w, CAST(floor(1000 * ln((2 * (SELECT big_n FROM g) + 2) / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS weight FROM p GROUP BY w),
+q AS (SELECT iid, item_id, w, count(*) AS times FROM (SELECT row_number() OVER () AS iid, item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS w FROM benchmark) GROUP BY iid, item_id, w),
+s AS (SELECT q.iid, q.item_id, d.rid, d.doc_id, CAST(sum(q.times * df.weight * ((1000000000 * p.tf) // (1000 * p.tf + 12 * (75 + (25 * d.n * g.big_n) // g.big_l)))) AS BIGINT) AS score
+  FROM q JOIN p ON q.w = p.w JOIN df ON q.w = df.w JOIN d ON d.rid = p.rid CROSS JOIN g GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 20""",
 }
