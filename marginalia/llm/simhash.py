@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from . import shingles
 from .bpe import blocks
-from .common import text_of, written
+from .common import drop_path, scratch, text_of, written
 from .components import components
 
 SEED = 42
@@ -213,12 +213,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     however far their fingerprints are from each other.
     """
     body = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("body"))
-    node = shingles.node_column(F.col("body")) if similar else F.lit(0).cast("long")
-    marked = written(body.select("doc_id", F.xxhash64("body").alias("content"), fingerprint_column(F.col("body")).alias("mark"), node.alias("node")), "marks")
+    columns = ["doc_id", F.xxhash64("body").alias("content"), fingerprint_column(F.col("body")).alias("mark")]
+    if similar:
+        marked, similar_links = _similar(body, columns)
+    else:
+        marked = written(body.select(*columns), "marks")
     lowest = written(marked.groupBy("mark").agg(F.min("doc_id").alias("first_id")), "distinct-marks")
     found = links(lowest, threshold)
     if similar:
-        found = found.unionByName(_similar(body, marked))
+        found = found.unionByName(similar_links)
     parts = components(found)
     of_mark = lowest.join(parts.select(F.col("node").alias("mark"), "component"), "mark", "left").select(
         "mark", "first_id", F.coalesce("component", "mark").alias("component")
@@ -228,17 +231,26 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return marked.join(named, "mark").select("doc_id", "content", "mark", "component_id")
 
 
-def _similar(body: DataFrame, marked: DataFrame) -> DataFrame:
-    """``a, b``: links between the marks of texts with equal or similar sets of shingles."""
-    texts = body.select("body", F.xxhash64("body").alias("content"))
-    nodes = marked.select("content", "node").distinct()
-    found = shingles.links(texts, nodes)
-    held = marked.filter("node <> 0").select("node", "mark").distinct()
-    first = held.groupBy("node").agg(F.min("mark").alias("first"))
-    equal = held.join(first, "node").filter("mark <> first").select(F.col("mark").alias("a"), F.col("first").alias("b"))
+def _similar(body: DataFrame, columns: list) -> tuple[DataFrame, DataFrame]:
+    """The marks of all texts, and ``a, b`` links between the marks of those with equal or similar sets of shingles."""
+    spark = body.sparkSession
+    common = shingles.common_tokens(body.select("body"))
+    both = body.select(*columns, shingles.described(F.col("body"), common).alias("set"))
+    path = scratch(spark, "described")
+    both.write.parquet(path)
+    both = spark.read.schema(both.schema).parquet(path)
+    marked = written(both.select("doc_id", "content", "mark", F.col("set.node").alias("node")), "marks")
+    # Rows of one node agree in all of these but the content and the mark.
+    chosen = ("content", "mark"), ("set.n", "set.bits", "set.prefix")
+    nodes = both.filter("set.n > 0").groupBy("set.node").agg(*(F.min(c).alias(c) for c in chosen[0]), *(F.max(c).alias(c.removeprefix("set.")) for c in chosen[1]))
+    nodes = written(nodes, "nodes")
+    drop_path(spark, path)
+    found = shingles.links(body.select("body", F.xxhash64("body").alias("content")), nodes, common)
+    first = nodes.select("node", F.col("mark").alias("first"))
+    equal = marked.join(first, "node").filter("mark <> first").select(F.col("mark").alias("a"), F.col("first").alias("b")).distinct()
     of_a, of_b = (first.select(F.col("node").alias(c), F.col("first").alias(f"of_{c}")) for c in "ab")
     near = found.join(of_a, "a").join(of_b, "b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
-    return equal.unionByName(near).filter("a <> b")
+    return marked, equal.unionByName(near).filter("a <> b")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, similar: bool = False) -> DataFrame:
@@ -251,9 +263,15 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresh
     key = F.when(F.col("component_id").isNull(), F.col("mark"))
     rows = found.groupBy("component_id", key.alias("own"), "doc_id", "content").agg(F.count("*").alias("n"))
     first = rows.groupBy("component_id", "own").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "content", "n")).alias("s"))
-    stay = written(first.select(F.col("s.doc_id").alias("__id"), F.col("s.content").alias("__content"), F.col("s.n").alias("__n")), "survivors")
-    met = F.col(doc_id).eqNullSafe(F.col("__id")) & (F.xxhash64(F.col(text)) == F.col("__content"))
-    single = docs.join(stay.filter("__n = 1").hint("shuffle_hash"), met, "left_semi")
-    if not stay.filter("__n > 1").head(1):
-        return single
-    return single.unionByName(docs.join(stay.filter("__n > 1").hint("shuffle_hash"), met, "left_semi").dropDuplicates([doc_id, text]))
+    stay = written(first.select("s.doc_id", "s.content", "s.n"), "survivors")
+    # The row travels as one field, so that no column of the user meets one of ours.
+    body = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("content"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    same = lambda own: body["doc_id"].eqNullSafe(own["doc_id"]) & (body["content"] == own["content"])
+    single = stay.filter("n = 1")
+    kept = body.join(single, same(single), "left_semi").select("row.*")
+    several = stay.filter("n > 1")
+    if not several.head(1):
+        return kept
+    # Of several rows of one id and text the smallest stays, compared as a whole.
+    again = body.join(several, same(several), "left_semi").groupBy("doc_id", "content").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return kept.unionByName(again.select("row.*"))

@@ -190,9 +190,11 @@ def slow_shingles(text):
     return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
 
 
-@pytest.mark.parametrize("few", [20, 2])
-def test_similar_texts_are_linked_however_far_their_marks(spark, few, monkeypatch):
+@pytest.mark.parametrize("few, sizes", [(20, {}), (2, {}), (2, {"RUN": 3, "BLOCK": 4, "SET_TOKENS": 200, "SCREEN": 64})])
+def test_similar_texts_are_linked_however_far_their_marks(spark, few, sizes, monkeypatch):
     monkeypatch.setattr(shingles.links, "__defaults__", (few,))
+    for name, value in sizes.items():
+        monkeypatch.setattr(shingles, name, value)
     rng = np.random.default_rng(4)
     passage = [f"p{k}" for k in range(40)]
     texts = ["", "one two", "ONE two", "one two three four five", "one two three four six"]
@@ -217,6 +219,18 @@ def test_similar_texts_are_linked_however_far_their_marks(spark, few, monkeypatc
     assert {r.doc_id: r.component_id for r in simhash.near_duplicates(df).collect()} == dict(enumerate(groups_of(len(texts), near)))
 
 
+def test_keep_one_with_clashing_names_and_repeated_rows(spark):
+    rows = [(1, "a b c d e f", "x", 1), (1, "a b c d e f", "y", 2), (2, "A b c d e f", "z", 3), (3, None, None, None), (4, "", "q", 0), (None, "other words", "n", 1), (5, "m n o p", "n", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, content string, n long")
+    for old, new in (("content", "__id"), ("content", "row"), ("content", "mark"), ("content", "a.b")):
+        named = df.withColumnRenamed(old, new)
+        for similar in (False, True):
+            got = simhash.keep_one(named, similar=similar)
+            assert got.columns == named.columns
+            assert sorted(map(tuple, got.collect()), key=repr) == sorted([rows[0], rows[3], rows[5], rows[6]], key=repr)
+    assert simhash.keep_one(df.filter("false"), similar=True).columns == df.columns
+
+
 # --- vectors ---
 
 
