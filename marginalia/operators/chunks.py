@@ -1,28 +1,19 @@
 """Retrieval chunks: sections, coalescing, packing, size repair, overlap.
 
-The whole chain works inside the document's row and shuffles nothing. Only sections in
-which packing left a piece under the minimum are sent to Python, as Arrow batches.
+The whole chain works inside the document's row, in the JVM, and shuffles nothing.
 """
 
 from __future__ import annotations
 
-import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import columns as C
 from ..functions import fixed
 from ..functions import lines as L
-from ..functions import repair
-from ..functions.folds import bound, scan, where
+from ..functions.folds import bound, running_sum, scan, where
 from ..functions.rows import array_rows
 
-# The helper is shipped with the task, so executors need no copy of this package.
-cloudpickle.register_pickle_by_value(repair)
-
-
 def _units(text: Column) -> Column:
     return C.utf16_length(text)
 
@@ -89,28 +80,97 @@ def needs_repair(pieces: Column) -> Column:
     return (F.size(pieces) > 1) & F.exists(pieces, lambda p: piece_tokens(p) < fixed.CHUNK_MIN)
 
 
-# --- size repair, the one data-dependent loop ----------------------------------------
+# --- size repair ----------------------------------------------------------------------------
+
+# Paragraphs of the piece before the one at hand, of that one, and of a piece that is settled.
+_SPANS = "struct<pa:int,pb:int,ca:int,cb:int,oa:int,ob:int>"
+
+
+def _spans(pa, pb, ca, cb, oa=None, ob=None) -> Column:
+    named = {"pa": pa, "pb": pb, "ca": ca, "cb": cb, "oa": oa, "ob": ob}
+    return F.struct(*(F.lit(v).cast("int").alias(k) for k, v in named.items()))
 
 
-def _repair(packed: Column) -> Column:
-    """Repair the packed sections of each row; NULL sections stay NULL."""
-    fix = repair.repair_sections
-    nested = pa.list_(pa.list_(pa.list_(pa.string())))
+def _pass(spans: Column, sizes: Column, estimates: Column) -> Column:
+    """One pass of size repair over pieces given as spans of paragraphs.
+
+    ``sizes`` and ``estimates`` are running sums over the paragraphs, so that any span is measured
+    by two looks. A piece under the minimum joins the piece before it, else the one after it, when
+    the two fit; else it shares paragraphs with the larger of them, at the most even border that
+    leaves both sides large enough; else it stays. Each element read settles at most one piece, so
+    a pass is one scan, with two empty elements at its end to settle the last two.
+    """
+    upto = lambda sums, i: F.coalesce(F.get(sums, i), F.lit(0))
+    between = lambda sums, a, b: upto(sums, b) - upto(sums, a - 1)
+    tokens = lambda a, b: _tokens_of(between(sizes, a, b) + 2 * (b - a))
+
+    def border(a: Column, b: Column) -> Column:
+        """Last paragraph of the first side, at the first of the most even borders."""
+        gap = lambda k: F.abs(2 * between(estimates, a, k) - between(estimates, a, b))
+        return F.array_min(F.transform(F.sequence(a, b - 1), lambda k: F.struct(gap(k).alias("gap"), k.alias("k"))))["k"]
+
+    def step(s: Column, x: Column) -> Column:
+        pa, pb, ca, cb, xa, xb = s["pa"], s["pb"], s["ca"], s["cb"], x["a"], x["b"]
+        small = ca.isNotNull() & (tokens(ca, cb) < fixed.CHUNK_MIN)
+        fits = lambda a, b, side: side.isNotNull() & (tokens(a, b) <= fixed.CHUNK_MERGE_MAX)
+        following = xa.isNotNull() & (pa.isNull() | (tokens(xa, xb) >= tokens(pa, pb)))
+        first, last = F.when(following, ca).otherwise(pa), F.when(following, xb).otherwise(cb)
+        several = F.when(following, xb > xa).otherwise(pb > pa)
+        enough = several & (between(estimates, first, last) >= 2 * fixed.CHUNK_MIN)
+        shared = F.when(enough, bound(border(first, last), lambda k: F.when(F.least(tokens(first, k), tokens(k + 1, last)) >= fixed.CHUNK_MIN, k)))
+        go_on = _spans(ca, cb, xa, xb, pa, pb)
+
+        def share(k: Column) -> Column:
+            ahead = _spans(ca, k, k + 1, xb, pa, pb)
+            behind = _spans(k + 1, cb, xa, xb, pa, k)
+            return F.when(k.isNull(), go_on).when(following, ahead).otherwise(behind)
+
+        return (
+            F.when(~small, go_on)
+            .when(fits(pa, cb, pa), _spans(pa, cb, xa, xb))
+            .when(fits(ca, xb, xa), _spans(pa, pb, ca, xb))
+            .otherwise(bound(shared, share))
+        )
+
+    none = F.struct(F.lit(None).cast("int").alias("a"), F.lit(None).cast("int").alias("b"))
+    settled = scan(
+        F.concat(spans, F.array(none, none)), _spans(None, None, None, None), step,
+        lambda s, _: F.struct(s["oa"].alias("a"), s["ob"].alias("b")), "struct<a:int,b:int>",
+    )
+    return F.filter(settled, lambda o: o["a"].isNotNull())
 
-    def batches(batch: pa.Array) -> pa.Array:
-        return pa.array([fix(row) for row in batch.to_pylist()], type=nested)
 
-    return F.arrow_udf(batches, T.ArrayType(T.ArrayType(T.ArrayType(T.StringType()))))(packed)
+def _measured(pieces: Column) -> Column:
+    """Of pieces in need of repair their paragraphs, running sums over them, and the pieces as spans."""
+
+    def spans(counts: Column) -> Column:
+        return F.zip_with(running_sum(counts), counts, lambda end, n: F.struct((end - n).alias("a"), (end - 1).alias("b")))
+
+    texts = F.flatten(pieces)
+    fields = F.struct(
+        texts.alias("texts"), running_sum(F.transform(texts, _units)).alias("size"),
+        running_sum(F.transform(texts, C.token_estimate)).alias("estimate"), spans(F.transform(pieces, F.size)).alias("spans"),
+    )
+    return F.when(needs_repair(pieces), fields)
 
 
 def with_repair(df: DataFrame, packed: str, out: str) -> DataFrame:
-    """Repair an array of packed sections. Sections that need it travel to Python, all
-    others and whole rows without any pass as NULL and keep their packing."""
-    sent = df.withColumn("__sent", F.transform(packed, lambda p: F.when(needs_repair(p), p)))
-    some = F.exists("__sent", lambda p: p.isNotNull())
-    fixed_up = sent.withColumn("__fixed", _repair(F.when(some, F.col("__sent")))).drop("__sent")
-    chosen = F.transform(packed, lambda p, i: F.coalesce(F.try_element_at("__fixed", i + 1), p))
-    return fixed_up.withColumn(out, chosen).drop("__fixed")
+    """Bring pieces under the minimum up to size, in two passes, in every section of ``packed``.
+
+    Most sections need no repair and keep their packing. Each step is a column of its own: nested
+    in one expression, the steps are too deep to be analyzed.
+    """
+    once = lambda m: F.when(m.isNotNull(), _pass(m["spans"], m["size"], m["estimate"]))
+    twice = lambda m, i: F.when(m.isNotNull(), _pass(F.get("__once", i), m["size"], m["estimate"]))
+
+    def pieces(p: Column, i: Column) -> Column:
+        texts = F.get("__measured", i)["texts"]
+        cut = F.transform(F.get("__twice", i), lambda s: F.slice(texts, s["a"] + 1, s["b"] - s["a"] + 1))
+        return F.coalesce(cut, p)
+
+    steps = df.withColumn("__measured", F.transform(packed, _measured))
+    steps = steps.withColumn("__once", F.transform("__measured", once)).withColumn("__twice", F.transform("__measured", twice))
+    return steps.withColumn(out, F.transform(packed, pieces)).drop("__measured", "__once", "__twice")
 
 
 # --- overlap ------------------------------------------------------------------------------
@@ -205,12 +265,11 @@ def chunk_rows(docs: DataFrame, key: str = "page_id", content_hash: str = "conte
     """
     keep = [c for c in docs.columns if c != "lines"]
     cut = docs.select(*keep, coalesce_sections(L.sections("lines")).alias("__s"))
-    cut = cut.withColumn("__p", F.transform("__s", lambda s: packed_text(s["text"], s["tokens"])))
-    cut = with_repair(cut, "__p", "__r")
+    cut = with_repair(cut.withColumn("__p", F.transform("__s", lambda s: packed_text(s["text"], s["tokens"]))), "__p", "__r")
     texts = F.transform(
         "__s",
         lambda s, i: F.transform(
-            chunk_texts(s["text"], F.try_element_at("__r", i + 1)),
+            chunk_texts(s["text"], F.get("__r", i)),
             lambda t: F.struct(s["path"].alias("path"), t.alias("text")),
         ),
     )
@@ -243,13 +302,22 @@ def attach_bodies(pages: DataFrame, bodies: DataFrame) -> DataFrame:
     return keyed.drop("__filed").join(bodies.select("key", "body"), "key").drop("key")
 
 
-def chunk_stats(chunks: DataFrame) -> DataFrame:
-    """Chunk count, median and share of small chunks per locale."""
-    sized = chunks.select("locale", C.token_estimate("text").alias("tokens"))
-    small = F.count_if(F.col("tokens") < 50)
-    return sized.groupBy("locale").agg(
-        F.count(F.lit(1)).alias("chunks"),
-        F.expr("percentile(tokens, 0.5)").alias("median_tokens"),
-        small.alias("small"),
-        F.round(small / F.count(F.lit(1)), 6).alias("small_share"),
+def chunk_stats(pages: DataFrame, chunks: DataFrame) -> DataFrame:
+    """Per locale of ``pages`` its pages and those without any chunk; chunk count, median and share of small chunks.
+
+    Each page counts its own chunks first, so that no locale's chunks meet in one task but as numbers.
+    """
+    sized = chunks.groupBy("page_id", C.token_estimate("text").alias("tokens")).agg(F.count("*").alias("n"))
+    joined = pages.join(sized, "page_id", "left")
+    held = F.col("tokens").isNotNull()
+    per_size = joined.groupBy("locale", "tokens").agg(F.sum("n").alias("n"), F.count("*").alias("rows"))
+    per_page = pages.join(chunks.select("page_id").distinct().withColumn("has", F.lit(True)), "page_id", "left")
+    counted = per_page.groupBy("locale").agg(F.count("*").alias("pages"), F.count_if(F.col("has").isNull()).alias("pages_without_chunks"))
+    small = F.coalesce(F.sum(F.when(F.col("tokens") < 50, F.col("n"))), F.lit(0))
+    total = F.coalesce(F.sum("n"), F.lit(0))
+    stats = per_size.filter(held).groupBy("locale").agg(
+        total.alias("chunks"), F.expr("percentile(tokens, 0.5, n)").alias("median_tokens"), small.alias("small"), F.round(small / total, 6).alias("small_share")
     )
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    stats = stats.withColumnRenamed("locale", "of")
+    return counted.join(stats, counted["locale"].eqNullSafe(stats["of"]), "left").select("locale", "pages", zero("chunks"), "median_tokens", zero("small"), "small_share", "pages_without_chunks")

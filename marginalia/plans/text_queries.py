@@ -159,7 +159,67 @@ def greedy_pack(spark, folder):
     )
 
 
-@query("min_size_repair")
+def repair_sql(paras: str, packed: str) -> str:
+    """CTEs that repair sizes one step at a time: ``pieced`` with sid, piece_no and the first and last paragraph.
+
+    ``paras`` has sid, i, u (size), t (estimate); ``packed`` sid, i, piece_no. The state is the list of the pieces'
+    first paragraphs, the place in it, and whether this pass changed anything.
+    """
+    tokens = lambda a, b: f"CAST(ceil((us[{b}] - coalesce(us[{a} - 1], 0) + 2 * ({b} - ({a}))) / 4.0) AS BIGINT)"
+    total = lambda a, b: f"(es[{b}] - coalesce(es[{a} - 1], 0))"
+    return f"""sums AS (
+  SELECT sid, list(cu ORDER BY i) AS us, list(ce ORDER BY i) AS es, count(*) AS m FROM (
+    SELECT sid, i, CAST(sum(u) OVER w AS BIGINT) AS cu, CAST(sum(t) OVER w AS BIGINT) AS ce FROM {paras} WINDOW w AS (PARTITION BY sid ORDER BY i)) GROUP BY sid),
+rep AS (
+  SELECT sid, 1 AS pass, CAST(1 AS BIGINT) AS i, false AS changed, list(first ORDER BY first) AS s, false AS done
+  FROM (SELECT sid, piece_no, CAST(min(i) AS BIGINT) AS first FROM {packed} GROUP BY 1, 2) GROUP BY sid
+  UNION ALL
+  SELECT sid, CASE WHEN act = 'end' THEN pass + 1 ELSE pass END, CASE WHEN act = 'end' THEN 1 WHEN act IN ('prev', 'join') OR shared THEN i ELSE i + 1 END,
+    act <> 'end' AND (changed OR act IN ('prev', 'join') OR shared),
+    CASE WHEN act = 'prev' THEN list_concat(s[1:i - 1], s[i + 1:]) WHEN act = 'join' THEN list_concat(s[1:i], s[i + 2:])
+      WHEN shared THEN list_concat(list_append(s[1:CASE WHEN ahead THEN i ELSE i - 1 END], border + 1), s[CASE WHEN ahead THEN i + 2 ELSE i + 1 END:]) ELSE s END,
+    act = 'end' AND (pass = 2 OR NOT changed)
+  FROM (SELECT *, coalesce(act = 'even' AND many >= 2 AND {total('ea', 'eb')} >= 800 AND {tokens('ea', 'border')} >= 400 AND {tokens('border + 1', 'eb')} >= 400, false) AS shared
+    FROM (SELECT *, CASE WHEN act = 'even' AND eb > ea THEN list_min(list_transform(range(ea, eb), lambda k: row(abs(2 * (es[k] - coalesce(es[ea - 1], 0)) - {total('ea', 'eb')}), k)))[2] END AS border
+      FROM (SELECT *, CASE WHEN i > n THEN 'end' WHEN tc >= 400 THEN 'next' WHEN tpc <= 960 THEN 'prev' WHEN tcn <= 960 THEN 'join' ELSE 'even' END AS act,
+          CASE WHEN ahead THEN ca ELSE pa END AS ea, CASE WHEN ahead THEN nb ELSE cb END AS eb, CASE WHEN ahead THEN nb - cb ELSE ca - pa END AS many
+        FROM (SELECT *, tn IS NOT NULL AND (tp IS NULL OR tn >= tp) AS ahead
+          FROM (SELECT *, {tokens('ca', 'cb')} AS tc, CASE WHEN i > 1 THEN {tokens('pa', 'ca - 1')} END AS tp, CASE WHEN i < n THEN {tokens('cb + 1', 'nb')} END AS tn,
+              CASE WHEN i > 1 THEN {tokens('pa', 'cb')} END AS tpc, CASE WHEN i < n THEN {tokens('ca', 'nb')} END AS tcn
+            FROM (SELECT r.*, a.us, a.es, a.m, len(s) AS n, s[i] AS ca, coalesce(s[i + 1] - 1, m) AS cb, s[i - 1] AS pa, coalesce(s[i + 2] - 1, m) AS nb
+              FROM rep r JOIN sums a USING (sid) WHERE NOT done)))))) z),
+pieced AS (
+  SELECT sid, k - 1 AS piece_no, s[k] AS a, coalesce(s[k + 1] - 1, m) AS b
+  FROM (SELECT sid, s, m, unnest(range(1, len(s) + 1)) AS k FROM rep JOIN sums USING (sid) WHERE done))"""
+
+
+def overlap_sql(paras: str) -> str:
+    """CTEs that lead every piece of ``pieced`` but the first by the end of the one before: ``led`` with sid, piece_no, text."""
+    return f"""placed AS (
+  SELECT p.sid, p.piece_no, q.i, q.text, q.t, sum(q.t) OVER (PARTITION BY p.sid, p.piece_no ORDER BY q.i DESC) AS back,
+    row_number() OVER (PARTITION BY p.sid, p.piece_no ORDER BY q.i DESC) AS from_end FROM pieced p JOIN {paras} q ON q.sid = p.sid AND q.i BETWEEN p.a AND p.b),
+bodies AS (SELECT sid, piece_no, string_agg(text, chr(10) || chr(10) ORDER BY i) AS body FROM placed GROUP BY 1, 2),
+tails AS (
+  SELECT sid, piece_no, string_agg(text, chr(10) || chr(10) ORDER BY i) FILTER (back <= 120) AS whole,
+    CAST(coalesce(max(back) FILTER (back <= 120), 0) AS INT) AS have, count(*) FILTER (back <= 120) AS n FROM placed GROUP BY 1, 2),
+leads AS (
+  SELECT t.sid, t.piece_no, t.n, t.have, t.whole, p.text AS older, starts_with(p.text, '|') OR starts_with(p.text, '```') AS atomic
+  FROM tails t LEFT JOIN placed p ON p.sid = t.sid AND p.piece_no = t.piece_no AND p.from_end = t.n + 1),
+leads2 AS (
+  SELECT sid, piece_no + 1 AS piece_no, CASE WHEN n = 0 AND atomic THEN '' WHEN n = 0 THEN right(older, 400)
+    WHEN have < 80 AND older IS NOT NULL AND NOT atomic THEN concat(right(older, (100 - have) * 4), chr(10), chr(10), whole) ELSE whole END AS lead FROM leads),
+led AS (
+  SELECT p.sid, p.piece_no, CASE WHEN coalesce(o.lead, '') = '' THEN p.body ELSE concat(o.lead, chr(10), chr(10), p.body) END AS text
+  FROM bodies p LEFT JOIN leads2 o ON o.sid = p.sid AND o.piece_no = p.piece_no)"""
+
+
+@query(
+    "min_size_repair",
+    f"""WITH {PACKED}, own AS (SELECT doc_id AS sid, i, text, {ctes.utf16('text')} AS u, t FROM paras), packs AS (SELECT doc_id AS sid, i, piece_no FROM packed),
+{repair_sql('own', 'packs')}
+SELECT sid AS doc_id, CAST(piece_no AS INT) AS piece_no, text, {ctes.tokens('text')} AS tokens FROM (
+  SELECT p.sid, p.piece_no, string_agg(q.text, chr(10) || chr(10) ORDER BY q.i) AS text FROM pieced p JOIN own q ON q.sid = p.sid AND q.i BETWEEN p.a AND p.b GROUP BY 1, 2)""",
+)
 def min_size_repair(spark, folder):
     p = packed_docs(spark, folder).withColumn("s", F.array("pieces"))
     r = array_rows(K.with_repair(p, "s", "r"), ["doc_id"], F.col("r")[0], "piece_no", "piece")
@@ -228,17 +288,73 @@ def _chunks(spark, folder):
     )
 
 
-@query("rag_chunks")
+# All chunks of published pages, by the folds above. A section over the maximum is cut again into its own lines.
+CHUNKS = f"""{SECTION_FOLD[:SECTION_FOLD.rindex('SELECT f.doc_id')].rstrip()},
+wide AS (
+  SELECT f.doc_id, f.section_no, concat(f.doc_id, '-', f.section_no) AS sid, any_value(f.path) AS path, string_agg(r.text, chr(10) || chr(10) ORDER BY f.i) AS text, max(f.n) AS n
+  FROM fold f JOIN real r ON r.doc_id = f.doc_id AND r.i = f.i GROUP BY 1, 2),
+long_lines AS (
+  SELECT sid, line_no, line, starts_with(line, '```') AS is_fence,
+    coalesce(sum(CASE WHEN starts_with(line, '```') THEN 1 ELSE 0 END) OVER (PARTITION BY sid ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) % 2 = 1 AS in_fence
+  FROM (SELECT sid, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM wide WHERE ceil(n / 4.0) > 800)),
+long_kinds AS (
+  SELECT *, CASE WHEN is_fence OR in_fence THEN 3 WHEN trim(line, ' ' || chr(9) || chr(10) || chr(13)) = '' THEN 0 WHEN starts_with(line, '|') THEN 2 ELSE 1 END AS kind FROM long_lines),
+long_starts AS (
+  SELECT *, CASE WHEN kind = 3 THEN is_fence AND NOT in_fence WHEN kind = 0 THEN false
+    ELSE kind <> coalesce(lag(kind) OVER (PARTITION BY sid ORDER BY line_no), -1) END AS begins FROM long_kinds),
+long_units AS (
+  SELECT sid, unit, string_agg(line, chr(10) ORDER BY line_no) AS text FROM (
+    SELECT *, sum(CASE WHEN begins THEN 1 ELSE 0 END) OVER (PARTITION BY sid ORDER BY line_no) AS unit FROM long_starts WHERE kind <> 0) GROUP BY 1, 2),
+own AS (
+  SELECT sid, row_number() OVER (PARTITION BY sid ORDER BY unit) AS i, text, {ctes.utf16('text')} AS u, {ctes.tokens('text')} AS t FROM long_units),
+packs AS (
+  SELECT sid, i, 0 AS piece_no, t AS n FROM own WHERE i = 1
+  UNION ALL
+  SELECT p.sid, q.i, CASE WHEN p.n + q.t > 800 THEN p.piece_no + 1 ELSE p.piece_no END, CASE WHEN p.n + q.t > 800 THEN q.t ELSE p.n + q.t END
+  FROM packs p JOIN own q ON q.sid = p.sid AND q.i = p.i + 1),
+{repair_sql('own', 'packs')},
+{overlap_sql('own')},
+cuts AS (
+  SELECT w.doc_id, w.section_no, l.piece_no, w.path, l.text FROM wide w JOIN led l USING (sid)
+  UNION ALL SELECT doc_id, section_no, 0, path, text FROM wide WHERE ceil(n / 4.0) <= 800),
+{ctes.CORPUS},
+filed AS (
+  SELECT page_id AS key, doc_id FROM corpus WHERE language_source <> 'explicit'
+  UNION ALL (SELECT slug, doc_id FROM corpus WHERE language_source = 'explicit' AND slug <> '' QUALIFY row_number() OVER (PARTITION BY slug ORDER BY source_idx, page_id) = 1)),
+gated AS (
+  SELECT c.page_id, c.title, c.locale, c.slug, concat('sha256:', sha256(c.body)) AS content_hash,
+    CASE WHEN EXISTS (SELECT 1 FROM filed f WHERE f.key = c.page_id) THEN c.page_id ELSE c.slug END AS key
+  FROM corpus c WHERE c.status = 'active' AND c.element_type = 'Page'),
+rag AS (
+  SELECT concat('sha256:', sha256(concat_ws(':', page_id, content_hash, path, CAST(chunk_index AS VARCHAR)))) AS chunk_id, *,
+    concat('https://notion.so/', replace(page_id, '-', '')) AS source_url, concat('/', slug) AS docusaurus_path, 'active' AS status
+  FROM (SELECT g.page_id, g.title, g.locale, g.slug, g.content_hash, CAST(row_number() OVER (PARTITION BY g.page_id ORDER BY c.section_no, c.piece_no) - 1 AS INT) AS chunk_index,
+      c.path AS heading_path, trim(c.text, ' ' || chr(9) || chr(10) || chr(13)) AS text, c.path AS path
+    FROM gated g JOIN filed f ON f.key = g.key JOIN cuts c ON c.doc_id = f.doc_id))"""
+
+
+@query("rag_chunks", f"WITH {CHUNKS} SELECT * EXCLUDE (path) FROM rag")
 def rag_chunks(spark, folder):
     return _chunks(spark, folder).withColumn("heading_path", F.array_join("heading_path", "/"))
 
 
-@query("chunk_stats")
+@query(
+    "chunk_stats",
+    f"""WITH {CHUNKS}, sized AS (SELECT locale, page_id, {ctes.tokens('text')} AS t FROM rag),
+per AS (SELECT locale, count(*) AS chunks, median(t) AS median_tokens, count(*) FILTER (t < 50) AS small FROM sized GROUP BY locale),
+bare AS (SELECT locale, count(*) AS pages, count(*) FILTER (page_id NOT IN (SELECT page_id FROM sized)) AS without FROM gated GROUP BY locale)
+SELECT locale, pages, coalesce(chunks, 0) AS chunks, CAST(median_tokens AS DOUBLE) AS median_tokens, coalesce(small, 0) AS small, round(small / chunks, 6) AS small_share,
+  without AS pages_without_chunks FROM bare LEFT JOIN per USING (locale)""",
+)
 def chunk_stats(spark, folder):
-    return K.chunk_stats(_chunks(spark, folder).select("locale", "text"))
+    pages = K.chunkable_pages(T.corpus(spark, folder)).select("page_id", "locale")
+    return K.chunk_stats(pages, _chunks(spark, folder).select("page_id", "text"))
 
 
-@query("chunk_sink")
+@query(
+    "chunk_sink",
+    f"WITH {CHUNKS} SELECT locale, '1.0' AS schema_version, count(*) AS chunks FROM rag GROUP BY locale UNION ALL SELECT '', '1.0', count(*) FROM rag",
+)
 def chunk_sink(spark, folder):
     import uuid
 

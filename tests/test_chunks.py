@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marginalia.functions import lines as L
-from marginalia.functions.repair import repair_pieces
+from tests.slow_repair import repair_pieces
 from marginalia.operators import chunks as K
 
 
@@ -151,3 +151,41 @@ def test_paragraph_units(spark):
     text = "a\nb\n\n| t |\n| u |\nprose\n```\ncode\n\n| x |\n```\nafter\n```\nopen"
     got = spark.range(1).select(L.paragraph_units(F.split(F.lit(text), "\n")).alias("u")).first()["u"]
     assert got == ["a\nb", "| t |\n| u |", "prose", "```\ncode\n\n| x |\n```", "after", "```\nopen"]
+
+
+def test_repair_in_expressions_equals_the_loop(spark):
+    r = random.Random(11)
+    rows = []
+    for k in range(300):
+        big = r.choice([300, 700, 1000])
+        rows.append([["pé" * (2 * r.randint(1, big)) + "😀" * r.randint(0, 2) for _ in range(r.randint(1, 5))] for _ in range(r.randint(1, 9))])
+    rows += [[["x" * 1200, "y" * 1200, "z" * 800], ["w" * 800]], units(900, 100), units(10), [["a"] * 700, ["b" * 100]]]
+    df = spark.createDataFrame([(i, [p, None]) for i, p in enumerate(rows)], "i int, p array<array<array<string>>>")
+    got = {r.i: (r.r, r.p) for r in K.with_repair(df, "p", "r").collect()}
+    changed = 0
+    for i, pieces in enumerate(rows):
+        assert [list(p) for p in got[i][0][0]] == repair_pieces(pieces)
+        assert got[i][0][1] is None
+        changed += repair_pieces(pieces) != pieces
+    assert changed > 100
+
+
+def test_repair_of_many_pieces_is_linear(spark):
+    import time
+
+    def seconds(n):
+        df = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.array(F.repeat(F.lit("x"), 1000 + 900 * (i % 3)), F.repeat(F.lit("y"), 600))).alias("p"))
+        out = K.with_repair(df.select(F.array("p").alias("p")), "p", "r").select(F.aggregate(F.col("r")[0], F.lit(0), lambda a, p: a + F.size(p)).alias("n"))
+        begin = time.perf_counter()
+        assert out.first()["n"] == 2 * n
+        return time.perf_counter() - begin
+
+    seconds(200)
+    assert seconds(8_000) < 8 * max(seconds(2_000), 0.5)
+
+
+def test_chunk_stats_count_pages_without_chunks(spark):
+    pages = spark.createDataFrame([("a", "en"), ("b", "en"), ("c", "pt"), ("d", None)], "page_id string, locale string")
+    chunks = spark.createDataFrame([("a", "x" * 40), ("a", "x" * 400), ("a", "x" * 800)], "page_id string, text string")
+    got = {r.locale: tuple(r)[1:] for r in K.chunk_stats(pages, chunks).collect()}
+    assert got["en"] == (2, 3, 100.0, 1, 0.333333, 1) and got["pt"] == (1, 0, None, 0, None, 1)
