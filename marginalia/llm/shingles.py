@@ -6,11 +6,11 @@ meet at those. Rare tokens come first: a sample of the texts tells which ones ar
 sample decides the order only, and any order loses nothing.
 
 Equal sets are one node. The tokens at which nodes meet are shuffled once and read in order, run
-by run. A pair goes on only if its sizes, and its places in both orders, leave room for enough
-common tokens. A run of few nodes compares all of them. One of many compares each with the middle
-one; of what is then still apart from that one, blocks of nodes are compared by a parity bitmap
-of their sets, which bounds the overlap from above, so that few pairs besides the true ones
-become rows. A token known to be very common is dealt to several runs, and its blocks meet
+by run. A pair goes on only if its sizes, its places in both orders and a parity bitmap of both sets,
+which bounds the overlap from above, leave room for enough common tokens; few besides the true
+ones pass. A run of few nodes compares all of them. One of many compares each with the middle
+one; what is then still apart from that one is compared in blocks of nodes, by bitmap again before
+pairs become rows. A token known to be very common is dealt to several runs, and its blocks meet
 across them. Every pair that goes on is verified on the whole sets: nodes are dealt to buckets,
 and each set travels once to each pair of buckets in which it is needed.
 
@@ -39,8 +39,8 @@ KNOWN = 200_000  # common tokens sent to the tasks
 FEW = 48  # up to so many nodes of a run are all compared
 RUN = 100_000  # nodes from which a token is dealt to several runs
 BLOCK = 1_024  # nodes of a block of a large run
-BITS = 256  # of the parity bitmap
-SET_TOKENS = 2_000_000  # tokens of the sets of a bucket
+BITS = 1_024  # of the parity bitmap
+SET_TOKENS = 4_000_000  # tokens of the sets of a bucket
 SCREEN = 1 << 24  # hash values of the screen in front of the texts whose sets are wanted
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
@@ -94,6 +94,16 @@ def described(text: Column, common: tuple[np.ndarray, np.ndarray]) -> Column:
     return describe(text_of(text))
 
 
+def packed(own: np.ndarray) -> bytes:
+    """The first 40 bits of each token: two tokens of a pair of sets that share them by chance are one in a million pairs."""
+    return (own >> 32).astype("<i4").tobytes() + ((own >> 24) & 255).astype(np.uint8).tobytes()
+
+
+def unpacked(held: bytes) -> np.ndarray:
+    n = len(held) // 5
+    return np.frombuffer(held, "<i4", n).astype(np.int64) << 8 | np.frombuffer(held, np.uint8, n, 4 * n)
+
+
 def _sets_of(texts: DataFrame, keys: list[str], screen: np.ndarray | None = None) -> DataFrame:
     """``keys`` and packed ``tokens`` of the rows of ``texts`` (its last column) whose first key passes the screen."""
 
@@ -103,7 +113,7 @@ def _sets_of(texts: DataFrame, keys: list[str], screen: np.ndarray | None = None
                 batch = batch.filter(pa.array(screen[batch.column(0).to_numpy() % SCREEN]))
             for i in range(0, batch.num_rows, 64):
                 some = batch.slice(i, 64)
-                sets = [tokens(t).tobytes() for t in some.column(len(keys)).to_pylist()]
+                sets = [packed(tokens(t)) for t in some.column(len(keys)).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*(some.column(c) for c in range(len(keys))), pa.array(sets, pa.binary())], [*keys, "tokens"])
 
     body = texts.columns[-1]
@@ -120,9 +130,10 @@ def common_tokens(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.frombuffer(t, np.int64) for t in batch.column(0).to_pylist()] or [np.zeros(0, np.int64)]))], ["token"])
+            for b in blocks(batch.column(0), 64):
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([tokens(t) for t in b]))], ["token"])
 
-    found = _sets_of(some, []).mapInArrow(spread, "token long").groupBy("token").agg(F.count("*").alias("n"))
+    found = some.select(text_of(F.col(body))).mapInArrow(spread, "token long").groupBy("token").agg(F.count("*").alias("n"))
     rows = found.filter("n > 2").orderBy(F.desc("n"), "token").limit(KNOWN).toArrow()
     known, counts = (rows.column(c).to_numpy().astype(np.int64) for c in ("token", "n"))
     order = np.argsort(known)
@@ -260,20 +271,37 @@ def _wanted_sets(texts: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataF
     for k, bits in zip(rows.column("k").to_pylist(), rows.column("bits").to_pylist()):
         screen[(k - 1) * 32768 : k * 32768] = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").astype(bool)
     sets = _sets_of(texts.select("content", "body"), ["content"], screen)
-    once = chosen.join(sets, "content").select("node", "tokens")
-    return once.groupBy("node").agg(F.max("tokens").alias("tokens"))
+    # Copies of one text have one set; what they are grouped by is what they are joined on.
+    return chosen.join(sets.groupBy("content").agg(F.max("tokens").alias("tokens")), "content").select("node", "tokens")
+
+
+def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs whose bitmaps leave room for enough common tokens."""
+    side = lambda c: nodes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"))
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(c).to_numpy() for c in (2, 3))
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, BITS // 64) for c in (4, 5))
+            good = _room(n, m, (n + m - np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)) // 2)
+            yield batch.select(["a", "b"]).filter(pa.array(good))
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+    return both.mapInArrow(check, "a long, b long")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, buckets: int) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, kept) -> DataFrame:
     """The pairs whose sets are similar."""
     part, whole = SIMILAR
+    sets = kept(_wanted_sets(texts, nodes, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()), "sets")
+    buckets = max(1, -(-(sets.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0) // (5 * SET_TOKENS)))
     bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(buckets))
     dealt = pairs.select("a", "b", F.least(bucket("a"), bucket("b")).alias("g"), F.greatest(bucket("a"), bucket("b")).alias("h"))
     needed = dealt.select(F.explode(F.array("a", "b")).alias("node"), F.col("g").alias("p"), F.col("h").alias("q")).distinct()
     shipped = needed.join(sets, "node")
 
     def check(pairs: pa.Table, sets: pa.Table) -> pa.Table:
-        held = {k: np.frombuffer(t, np.int64) for k, t in zip(sets.column("node").to_pylist(), sets.column("tokens").to_pylist())}
+        held = {k: unpacked(t) for k, t in zip(sets.column("node").to_pylist(), sets.column("tokens").to_pylist())}
         out = []
         for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist()):
             x, y = held[a], held[b]
@@ -303,22 +331,17 @@ def links(texts: DataFrame, nodes: DataFrame, common: tuple[np.ndarray, np.ndarr
         return spark.read.schema(df.schema).parquet(paths[-1])
 
     met = kept(_meet(_rows(nodes, common), few), "meetings")
-    first = kept(met.filter("a <> b").select("a", "b").distinct(), "first-pairs")
+    first = kept(_possible(met.filter("a <> b").select("a", "b").distinct(), nodes), "first-pairs")
     large = met.filter("a = b").select("token", "n", "node", "place")
-    some = first.select(F.explode(F.array("a", "b")).alias("node")).unionByName(large.select("node")).distinct()
-    sets = kept(_wanted_sets(texts, nodes, some), "sets")
-    total = sets.agg(F.sum(F.octet_length("tokens"))).first()[0] or 0
-    buckets = max(1, -(-total // (8 * SET_TOKENS)))
-    found = _verified(first, sets, buckets)
+    path = scratch(spark, "first-links")
+    _verified(first, texts, nodes, kept).write.parquet(path)
+    found = spark.read.schema("a long, b long").parquet(path)
     if large.head(1):
-        path = scratch(spark, "first-links")
-        found.write.parquet(path)
-        found = spark.read.schema(found.schema).parquet(path)
         parts = components(found).distinct().withColumnRenamed("component", "part")
         more = kept(_across(large, parts, nodes), "second-pairs")
-        found = found.unionByName(_verified(more, sets, buckets))
-    path = scratch(spark, "similar-links")
-    found.write.parquet(path)
+        path = scratch(spark, "second-links")
+        _verified(more, texts, nodes, kept).write.parquet(path)
+        found = found.unionByName(spark.read.schema("a long, b long").parquet(path))
     for p in paths:
         drop_path(spark, p)
-    return spark.read.schema(found.schema).parquet(path)
+    return found
