@@ -20,9 +20,10 @@ import json
 import re
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -41,7 +42,8 @@ UNEVEN = re.compile(r"\s | \s|^\s|\s$")
 REMEMBERED = 80_000  # chunks in each of the two generations of a worker's memory
 BLOCK_CHARS = 500_000  # characters split before new words are verified together
 NEVER = np.int64(1) << 40
-SHORT = 48  # bytes up to which merging keeps the ranks in a plain list
+WIDTHS = (8, 16, 32, 64)  # bytes of the words that are merged together; longer ones are merged on their own
+BORDER = b"\xff"  # between words; no byte of UTF-8
 
 
 def _byte_letters() -> dict[str, int]:
@@ -81,8 +83,7 @@ class BytePairs:
         keys = left * self.size + right
         order = np.argsort(keys)
         self.keys, self.key_rank = keys[order], order.astype(np.int64)
-        self.merge_of = {(a, b): r for r, (a, b) in enumerate(zip(left.tolist(), right.tolist()))}
-        self.made = made.tolist()
+        self.made, self.sides = made.tolist(), (left, right)
         self.byte_id = [vocab[c] for c, _ in sorted(letters.items(), key=lambda x: x[1])]
         # The test below needs merges to come after those that made their parts, and one merge per token.
         ordered = bool((np.maximum(self.rank[left], self.rank[right]) < np.arange(len(made))).all()) and len(set(made.tolist())) == len(made)
@@ -91,15 +92,30 @@ class BytePairs:
         if ordered:
             whole[made] = self.compatible(left, right, np.arange(len(made)))
         # Entries that are their own encoding; only these are worth guessing.
-        self.guess = {self.bytes_of[i]: i for i in np.flatnonzero(whole).tolist()}
-        self.longest: dict[bytes, int] = {}
-        for token in self.guess:
-            self.longest[token[:3]] = max(self.longest.get(token[:3], 1), len(token))
+        self.own = np.flatnonzero(whole)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.merged_words = 0
         self.starts = {" ", *map(chr, range(ord("A"), ord("Z") + 1)), *map(chr, range(ord("a"), ord("z") + 1))}
 
+    # Needed by those who encode only.
+    @cached_property
+    def guess(self) -> dict[bytes, int]:
+        return {self.bytes_of[i]: i for i in self.own.tolist()}
+
+    @cached_property
+    def matcher(self) -> ahocorasick.Automaton:
+        out = ahocorasick.Automaton()
+        for token, i in self.guess.items():
+            if token and BORDER not in token:
+                out.add_word(token.decode("latin-1"), i)
+        out.make_automaton()
+        return out
+
+    @cached_property
+    def merge_of(self) -> dict[tuple[int, int], int]:
+        return {pair: rank for rank, pair in enumerate(zip(*(side.tolist() for side in self.sides)))}
+
     def _merge_rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         k = a * self.size + b
         at = np.minimum(np.searchsorted(self.keys, k), len(self.keys) - 1)
@@ -130,33 +146,54 @@ class BytePairs:
             until_b[j], b[j] = self.rank[y[~first]], self.left[y[~first]]
         return good
 
-    def _propose(self, word: bytes) -> list[int]:
-        guess, longest, out, i, n = self.guess, self.longest, [], 0, len(word)
-        while i < n:
-            j = min(n, i + longest.get(word[i : i + 3], 2))
-            while (t := guess.get(word[i:j])) is None:
-                j -= 1
-            out.append(t)
-            i = j
-        return out
+    def _propose(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Greedy longest matches of all words, and the word that each is of."""
+        joined = BORDER.join(words)
+        found = np.fromiter(chain.from_iterable(self.matcher.iter_long(joined.decode("latin-1"))), np.int64).reshape(-1, 2)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+        return found[:, 1], np.searchsorted(ends, found[:, 0], side="right")
 
-    def _merge(self, word: bytes) -> list[int]:
-        """Exact merging: lowest rank first, leftmost among equals."""
-        self.merged_words += 1
-        ids, rank_of, made = [self.byte_id[b] for b in word], self.merge_of.get, self.made
-        if len(ids) > SHORT:
-            return self._merge_long(ids)
-        never = len(made)
-        ranks = [rank_of(p, never) for p in zip(ids, ids[1:])]
-        while ranks and (low := min(ranks)) < never:
-            i = ranks.index(low)
-            ids[i] = made[low]
-            del ids[i + 1], ranks[i]
-            if i:
-                ranks[i - 1] = rank_of((ids[i - 1], ids[i]), never)
-            if i < len(ranks):
-                ranks[i] = rank_of((ids[i], ids[i + 1]), never)
-        return ids
+    def _merge_all(self, words: list[bytes]) -> list[tuple[list[int], np.ndarray]]:
+        """Exact merging of many words at once, lowest rank first, leftmost among equals.
+
+        Gives groups of words (their places in ``words``) with a row of ids each, filled up with -1.
+        A round does one merge in every word that has one left; words of like length share a group.
+        """
+        self.merged_words += len(words)
+        out, made, byte_id = [], np.array(self.made, np.int64), np.array(self.byte_id, np.int64)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        for least, most in zip((0, *WIDTHS), WIDTHS):
+            at = np.flatnonzero((lengths > least) & (lengths <= most))
+            if not len(at):
+                continue
+            ids = np.full((len(at), most), -1, np.int64)
+            column = np.arange(most)
+            ids[column < lengths[at][:, None]] = byte_id[np.frombuffer(b"".join([words[i] for i in at.tolist()]), np.uint8)]
+            done, live = ids.copy(), np.arange(len(at))
+            rank = np.where(ids[:, 1:] >= 0, self._merge_rank(ids[:, :-1], ids[:, 1:]), NEVER)
+            while True:
+                place = rank.argmin(axis=1)
+                low = rank[np.arange(len(live)), place]
+                go = low < NEVER
+                done[live[~go]] = ids[~go]
+                if not go.any():
+                    break
+                live, ids, rank, place, low = live[go], ids[go], rank[go], place[go], low[go]
+                row = np.arange(len(live))
+                ids[row, place] = made[low]
+                after = column > place[:, None]
+                ids = np.take_along_axis(ids, np.minimum(column + after, most - 1), axis=1)
+                ids[:, -1] = -1
+                rank = np.take_along_axis(rank, np.minimum(column[:-1] + after[:, :-1], most - 2), axis=1)
+                rank[:, -1] = NEVER
+                for side in (place - 1, place):
+                    here = np.flatnonzero((side >= 0) & (side < most - 1))
+                    x, y = ids[here, side[here]], ids[here, side[here] + 1]
+                    rank[here, side[here]] = np.where(y >= 0, self._merge_rank(x, y), NEVER)
+            out.append((at.tolist(), done))
+        for i in np.flatnonzero(lengths > WIDTHS[-1]).tolist():
+            out.append(([i], np.array([self._merge_long([self.byte_id[b] for b in words[i]])], np.int64)))
+        return out
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same over a heap and a linked list, so that long runs stay near linear."""
@@ -177,27 +214,38 @@ class BytePairs:
                     heapq.heappush(heap, (r, k))
         return [t for t in ids if t >= 0]
 
-    def _words(self, words: list[bytes]) -> list[list[int]]:
-        """The ids of each word: all guesses are verified together, failing words are merged."""
-        guesses = [self._propose(w) for w in words]
-        counts = np.fromiter(map(len, guesses), np.int64, len(guesses))
-        flat = np.fromiter(chain.from_iterable(guesses), np.int64, int(counts.sum()))
-        owner = np.repeat(np.arange(len(words)), counts)
+    def _words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words one after another, and how many each has. All guesses are verified together, failing words are merged."""
+        flat, owner = self._propose(words)
+        counts = np.bincount(owner, minlength=len(words))
         at = np.flatnonzero(owner[1:] == owner[:-1])
         pairs, where = np.unique(flat[at] * self.size + flat[at + 1], return_inverse=True)
         good = self.compatible(pairs // self.size, pairs % self.size)
-        for i in np.unique(owner[at[~good[where]]]).tolist():
-            guesses[i] = self._merge(words[i])
-        return guesses
+        failed = np.unique(owner[at[~good[where]]])
+        if not len(failed):
+            return flat, counts
+        merged = self._merge_all([words[i] for i in failed.tolist()])
+        stays = np.ones(len(words), bool)
+        stays[failed] = False
+        for places, ids in merged:
+            counts[failed[places]] = (ids >= 0).sum(axis=1)
+        begins = np.cumsum(counts) - counts
+        out = np.empty(int(counts.sum()), np.int64)
+        out[np.repeat(stays, counts)] = flat[stays[owner]]
+        for places, ids in merged:
+            filled = ids >= 0
+            out[(begins[failed[places]][:, None] + np.arange(ids.shape[1]))[filled]] = ids[filled]
+        return out, counts
 
     def _learn(self, chunks: list[str]) -> None:
         """Put the ids of new chunks of text into the memory, and those of their words."""
         known, words = self.young, [self._split(c) for c in chunks]
         new = [w for w in dict.fromkeys(chain.from_iterable(words)) if w not in known]
-        packed = np.array(list(chain.from_iterable(ids := self._words([w.encode() for w in new]))), "<u4").tobytes()
-        end = 0
-        for w, n in zip(new, map(len, ids)):
-            known[w] = packed[end : (end := end + 4 * n)]
+        if new:
+            ids, counts = self._words([w.encode() for w in new])
+            packed, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
+            for w, a, b in zip(new, [0, *ends], ends):
+                known[w] = packed[a:b]
         for c, ws in zip(chunks, words):
             if len(ws) > 1:
                 known[c] = b"".join(map(known.__getitem__, ws))
