@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import functions as F
 
 from ..operators import quality as Q
@@ -9,6 +11,7 @@ from ..operators import state as S
 from ..sources import sinks
 from ..sources import tables as T
 from ..streaming import feed as SF
+from ..streaming import ticks as ST
 from . import ctes
 
 QUERIES = {}
@@ -224,12 +227,24 @@ def classify_failures(events):
     return rows.withColumn("category", Q.error_category("status_code", "message", "failure"))
 
 
-@query("failure_log", with_state("SELECT event_id, page_id, ts FROM sync_events WHERE kind = 'failed'"))
+# Ticks of the streamed queries; the first one begins before the first event, or before the cut of the stored state.
+DAYS, BEGIN, RESUME = 5, datetime(2024, 1, 1), datetime(2024, 1, 14)
+
+
+def tick_sql(start: datetime) -> str:
+    return f"CAST(floor((floor(epoch(ts)) - epoch(TIMESTAMP '{start}')) / {DAYS * 86400}) AS INTEGER)"
+
+
+def run_ticks(stream, name, start, step, more=0):
+    return ST.run(stream, name, start, timedelta(days=DAYS), step, more)
+
+
+@query("failure_log", with_state(f"SELECT event_id, page_id, ts, {tick_sql(BEGIN)} AS tick FROM sync_events WHERE kind = 'failed'"))
 def failure_log(spark, folder):
-    failed = T.sync_events(spark, folder).filter("kind = 'failed'")
-    earlier = failed.filter(F.col("ts") < watermark()).select("event_id", "page_id", "ts")
-    new = failed.filter(F.col("ts") >= watermark()).select("event_id", "page_id", "ts")
-    return sinks.merge_failures(earlier, new)
+    stream = SF.shape(SF.open_events(spark, folder))
+    failed = lambda rows: rows.filter("kind = 'failed'").select("event_id", "page_id", "ts")
+    t = run_ticks(stream, "failure_log", BEGIN, ST.log_failures(failed))
+    return t.every("failures", "event_id bigint, page_id bigint, ts timestamp")
 
 
 @query("error_classify", with_state(f"{FAILED} SELECT category, category IN ('network', 'timeout', 'rate_limit', 'http_5xx') AS retryable, count(*) AS n FROM classified GROUP BY 1, 2"))
@@ -291,45 +306,93 @@ def job_rows(e):
 # --- ticks -------------------------------------------------------------------------
 
 
+RESUMED = f""", resumed AS (SELECT *, {tick_sql(RESUME)} AS tick FROM sync_events WHERE edited_at >= TIMESTAMP '{T.LOOKED_BACK}')"""
+
+
+def seeded(spark, folder):
+    """State before the first tick, with the ids of its events unknown."""
+    stored = stored_rows(spark, folder).withColumns({"event_id": F.lit(None).cast("bigint"), "effect": F.lit("kept")})
+    return stored.withColumn("status", F.col("status").cast("bigint"))
+
+
+def resumed(spark, folder):
+    """The feed from the looked-back watermark on, as a stream."""
+    return SF.shape(SF.open_events(spark, folder)).filter(F.col("edited_at") >= F.lit(T.LOOKED_BACK).cast("timestamp"))
+
+
 @query(
     "incremental_candidates",
-    with_state(
-        f"""SELECT event_id, page_id, edited_at FROM (
-    SELECT * FROM sync_events WHERE {SINCE} QUALIFY rank() OVER (ORDER BY edited_at) <= {TICK}) e
-  WHERE NOT EXISTS (SELECT 1 FROM stored_state s WHERE s.page_id = e.page_id AND s.edited_at = e.edited_at)"""
-    ),
+    f"""WITH RECURSIVE {ctes.STATE}{RESUMED},
+cuts AS (
+  SELECT -1 AS n, TIMESTAMP '2000-01-01 00:00:00' AS cut
+  UNION ALL
+  SELECT n, coalesce(max(e), any_value(cut)) FROM (
+    SELECT c.n + 1 AS n, c.cut, unnest(list_sort(list(r.edited_at) FILTER (r.edited_at > c.cut AND r.tick <= c.n + 1))[1:{TICK}]) AS e
+    FROM cuts c CROSS JOIN resumed r WHERE c.n < (SELECT max(tick) FROM resumed) GROUP BY c.n, c.cut) GROUP BY n)
+SELECT e.event_id, e.page_id, e.edited_at, c.n AS tick FROM cuts c JOIN cuts p ON p.n = c.n - 1 JOIN resumed e ON e.edited_at > p.cut AND e.edited_at <= c.cut
+WHERE NOT EXISTS (SELECT 1 FROM stored_state s WHERE s.k >= 20 AND s.page_id = e.page_id AND s.edited_at = e.edited_at)""",
 )
 def incremental_candidates(spark, folder):
-    tick = SF.tick_candidates(T.sync_events(spark, folder, since=T.LOOKED_BACK), T.stored_state(spark, folder), watermark(), TICK)
-    return tick.select("event_id", "page_id", "edited_at")
+    t = run_ticks(resumed(spark, folder), "candidates", RESUME, ST.sync_pages(seeded(spark, folder), incoming_rows, TICK))
+    return t.every("candidates", ST.CANDIDATES).select("event_id", "page_id", "edited_at", "tick")
 
 
 @query(
     "incremental_upsert",
     with_state(
-        f"""{CHANGES}, merged AS (
-  SELECT page_id, CASE WHEN change = 'unchanged' THEN 'touched' ELSE 'written' END AS effect, edited_at, k, status, location FROM classed
-  UNION ALL SELECT page_id, 'kept', edited_at, k, status, location FROM old WHERE page_id NOT IN (SELECT page_id FROM inc))
-SELECT * FROM merged"""
+        f"""{RESUMED},
+news AS (SELECT page_id, tick, edited_at, event_id, k FROM resumed QUALIFY row_number() OVER (PARTITION BY page_id, tick ORDER BY edited_at DESC, event_id DESC) = 1),
+versions AS (
+  SELECT page_id, -1 AS tick, edited_at, k, page_id % 10 <> 3 AS present FROM stored_state WHERE k >= 20
+  UNION ALL SELECT page_id, tick, edited_at, k, true FROM news n
+  WHERE NOT EXISTS (SELECT 1 FROM stored_state s WHERE s.k >= 20 AND s.page_id = n.page_id AND s.edited_at = n.edited_at)),
+told AS (
+  SELECT *, k % 3 AS status, concat('docs/', CAST(k % 5 AS VARCHAR)) AS location, row_number() OVER w AS nth, lag(k) OVER w AS old_k, lag(present) OVER w AS old_present,
+    row_number() OVER (PARTITION BY page_id ORDER BY tick DESC) = 1 AS last FROM versions WINDOW w AS (PARTITION BY page_id ORDER BY tick))
+SELECT tick, page_id, edited_at, k, status, location, CASE WHEN nth > 1 AND old_k = k AND old_present THEN 'touched' ELSE 'written' END AS effect FROM told WHERE tick >= 0
+UNION ALL SELECT (SELECT max(tick) FROM resumed), page_id, edited_at, k, status, location, 'kept' FROM told WHERE last AND tick < (SELECT max(tick) FROM resumed)"""
     ),
 )
 def incremental_upsert(spark, folder):
-    incoming, stored = incoming_rows(T.changed_feed(spark, folder)), stored_rows(spark, folder)
-    return SF.apply_tick(incoming, stored, "page_id", ["status"], "k", "location").drop("artifact_present")
+    t = run_ticks(resumed(spark, folder), "upsert", RESUME, ST.sync_pages(seeded(spark, folder), incoming_rows))
+    rows = t.every("state", ST.STATE)
+    last = rows.agg(F.max("tick").alias("tick"))
+    shown = rows.join(last.withColumnRenamed("tick", "last")).filter("effect <> 'kept' OR tick = last")
+    return shown.select("tick", "page_id", "edited_at", "k", "status", "location", "effect")
+
+
+def rare_changes(rows):
+    return rows.filter("kind <> 'failed' AND event_id % 1700 = 11")
+
+
+def refusals(rows):
+    return rows.filter("kind = 'failed' AND event_id % 900 = 5")
+
+
+# Rebuilds by tick: dirty while a change has come since the last tick that rebuilt.
+REBUILT = f""", timed AS (SELECT *, {tick_sql(BEGIN)} AS tick FROM sync_events),
+per_tick AS (
+  SELECT n AS tick, TIMESTAMP '{BEGIN}' + INTERVAL {DAYS} DAY * (n + 1) AS ends,
+    (SELECT max(edited_at) FROM timed WHERE tick <= n AND kind <> 'failed' AND event_id % 1700 = 11) AS newest,
+    (SELECT count(*) FROM timed WHERE tick = n AND kind <> 'failed' AND event_id % 1700 = 11) AS changes,
+    (SELECT count(*) FROM timed WHERE tick = n AND kind = 'failed' AND event_id % 900 = 5) > 0 AS refused
+  FROM (SELECT unnest(range((SELECT max(tick) FROM timed) + 1 + $more)) AS n)),
+rebuilds AS (
+  SELECT -1 AS tick, CAST(NULL AS TIMESTAMP) AS newest, CAST(0 AS BIGINT) AS changes, CAST(NULL AS TIMESTAMP) AS last_started, false AS rebuild, CAST(NULL AS TIMESTAMP) AS started
+  UNION ALL
+  SELECT p.tick, p.newest, p.changes, r.started, p.newest IS NOT NULL AND (r.started IS NULL OR p.newest > r.started) AND NOT p.refused,
+    CASE WHEN p.newest IS NOT NULL AND (r.started IS NULL OR p.newest > r.started) AND NOT p.refused THEN p.ends ELSE r.started END
+  FROM rebuilds r JOIN per_tick p ON p.tick = r.tick + 1)"""
 
 
 @query(
     "dirty_rebuild",
-    with_state(
-        f"""SELECT max(edited_at) AS newest, count(*) AS changes, max(edited_at) > TIMESTAMP '{T.CUTOFF}' AS rebuild, 'after' AS run FROM sync_events WHERE kind <> 'failed'
-UNION ALL SELECT max(edited_at), count(*), max(edited_at) > TIMESTAMP '2024-03-01 00:00:00', 'quiet' FROM sync_events WHERE kind <> 'failed'"""
-    ),
+    f"WITH RECURSIVE {ctes.STATE}{REBUILT.replace('$more', '0')} SELECT CAST(tick AS INTEGER) AS tick, newest, changes, last_started, rebuild FROM rebuilds WHERE tick >= 0",
 )
 def dirty_rebuild(spark, folder):
-    changes = T.sync_events(spark, folder).filter("kind <> 'failed'").withColumnRenamed("edited_at", "changed_at")
-    after = S.rebuild_needed(changes, watermark()).withColumn("run", F.lit("after"))
-    quiet = S.rebuild_needed(changes, F.lit("2024-03-01 00:00:00").cast("timestamp")).withColumn("run", F.lit("quiet"))
-    return after.unionByName(quiet)
+    stream = SF.shape(SF.open_events(spark, folder))
+    t = run_ticks(stream, "rebuild", BEGIN, ST.rebuild_when_changed(rare_changes, refusals))
+    return t.every("rebuilds", ST.REBUILDS).select("tick", "newest", "changes", "last_started", "rebuild")
 
 
 @query(
@@ -371,19 +434,39 @@ def event_dedupe(spark, folder):
     return out.select("event_id", "page_id", "edited_at")
 
 
+def queued_keys(rows):
+    return rows.filter("kind = 'failed'").select(F.concat(F.lit("docs/"), (F.col("event_id") % 200).cast("string")).alias("key"), F.col("edited_at").alias("queued_at"))
+
+
+def page_homes(rows):
+    """A page lives at its key while its newest change has an even fingerprint."""
+    changed = rows.filter("kind <> 'failed'")
+    return changed.select("page_id", F.concat(F.lit("docs/"), F.col("page_id").cast("string")).alias("key"), F.col("edited_at").alias("at"), "event_id", (F.col("k") % 2 == 0).alias("owns"))
+
+
 @query(
     "two_phase_retire",
-    with_state(
-        """, q AS (SELECT concat('docs/', CAST(event_id % 400 AS VARCHAR)) AS key, max(edited_at) AS queued_at,
-    bool_or(EXISTS (SELECT 1 FROM stored_state s WHERE s.page_id = event_id % 400)) AS owned
-  FROM sync_events WHERE kind = 'failed' GROUP BY 1)
-SELECT key, CASE WHEN owned THEN 'dequeue' ELSE 'sweep' END AS action, 1 AS tick FROM q
-UNION ALL SELECT key, 'confirm', 2 FROM q WHERE NOT owned"""
-    ),
+    f"""WITH RECURSIVE {ctes.STATE}{REBUILT.replace('$more', '2')},
+queued AS (SELECT concat('docs/', CAST(event_id % 200 AS VARCHAR)) AS key, tick, max(edited_at) AS since FROM timed WHERE kind = 'failed' GROUP BY ALL),
+homes AS (
+  SELECT concat('docs/', CAST(page_id AS VARCHAR)) AS key, page_id, tick, k % 2 = 0 AS owns FROM timed WHERE kind <> 'failed'
+  QUALIFY row_number() OVER (PARTITION BY page_id, tick ORDER BY edited_at DESC, event_id DESC) = 1),
+owned AS (
+  SELECT p.tick, h.key, h.page_id FROM per_tick p JOIN homes h ON h.tick <= p.tick
+  QUALIFY row_number() OVER (PARTITION BY p.tick, h.page_id ORDER BY h.tick DESC) = 1 AND h.owns),
+walk AS (
+  SELECT key, -1 AS tick, CAST(NULL AS VARCHAR) AS state, CAST(NULL AS TIMESTAMP) AS since, CAST(NULL AS VARCHAR) AS was, CAST(NULL AS VARCHAR) AS action, CAST(NULL AS BIGINT) AS owner
+  FROM (SELECT DISTINCT key FROM queued)
+  UNION ALL
+  SELECT key, tick, CASE WHEN action = 'sweep' THEN 'swept' WHEN action IS NULL THEN now END, CASE WHEN action IS NULL THEN since END, CASE WHEN action IS NOT NULL THEN now END, action,
+    CASE WHEN action IS NOT NULL THEN page_id END
+  FROM (SELECT *, CASE WHEN now = 'swept' AND page_id IS NOT NULL THEN 'resync' WHEN now = 'swept' THEN 'confirm'
+      WHEN now = 'queued' AND since < started AND page_id IS NOT NULL THEN 'dequeue' WHEN now = 'queued' AND since < started THEN 'sweep' END AS action
+    FROM (SELECT w.key, r.tick, CASE WHEN q.since IS NOT NULL THEN 'queued' ELSE w.state END AS now, coalesce(q.since, w.since) AS since, r.started, o.page_id
+      FROM walk w JOIN rebuilds r ON r.tick = w.tick + 1 LEFT JOIN queued q ON q.key = w.key AND q.tick = r.tick LEFT JOIN owned o ON o.key = w.key AND o.tick = r.tick) z) y)
+SELECT CAST(tick AS INTEGER) AS tick, key, was AS state, action, owner FROM walk WHERE action IS NOT NULL""",
 )
 def two_phase_retire(spark, folder):
-    queue = retire_queue(T.sync_events(spark, folder)).withColumn("state", F.lit("queued"))
-    owners = T.stored_state(spark, folder).select(
-        F.concat(F.lit("docs/"), F.col("page_id").cast("string")).alias("key"), "page_id"
-    )
-    return SF.retire_two_ticks(queue, owners, F.lit("2024-03-01 00:00:00").cast("timestamp"))
+    stream = SF.shape(SF.open_events(spark, folder))
+    step = ST.in_turn(ST.rebuild_when_changed(rare_changes, refusals), ST.retire(queued_keys, page_homes))
+    return run_ticks(stream, "retire", BEGIN, step, more=2).every("actions", ST.ACTIONS).select("tick", "key", "state", "action", "owner")

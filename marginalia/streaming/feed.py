@@ -2,8 +2,7 @@
 
 A tick reads the feed from the watermark minus the lookback, keeps ties at its size
 limit, drops what is already processed and advances the watermark after success. The
-same functions run in ``foreachBatch``; a batch id written with each result makes a
-repeated batch replace its own output.
+ticks of a stream are in ``ticks``.
 """
 
 from __future__ import annotations
@@ -13,7 +12,6 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.lineage import written
 from ..operators import state as S
 from ..session import shared_dir
 from ..sources.tables import shape_events
@@ -58,7 +56,7 @@ def deliver_once(batch: DataFrame, batch_id: int, root: str) -> None:
     day = F.coalesce(F.to_date("ts"), F.lit("1970-01-01").cast("date"))
     rows = batch.dropDuplicates(["event_id"]).withColumn("day", day)
     schema = batch.schema.simpleString()[len("struct<"):-1].replace(":", " ")
-    earlier = _below(spark, root, f"{schema}, batch bigint, day date").filter(F.col("batch") < batch_id).select("day", "event_id")
+    earlier = below(spark, root, f"{schema}, batch bigint, day date").filter(F.col("batch") < batch_id).select("day", "event_id")
     rows.join(earlier, ["day", "event_id"], "left_anti").write.mode("overwrite").partitionBy("day").parquet(f"{root}/batch={batch_id}")
 
 
@@ -73,10 +71,10 @@ def run_once_each(stream: DataFrame, name: str) -> DataFrame:
     )
     run.awaitTermination()
     schema = stream.schema.simpleString()[len("struct<"):-1].replace(":", " ")
-    return _below(stream.sparkSession, f"{base}/rows", f"{schema}, batch bigint, day date").select(*stream.columns)
+    return below(stream.sparkSession, f"{base}/rows", f"{schema}, batch bigint, day date").select(*stream.columns)
 
 
-def _below(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def below(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A table that may not have been written yet."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
@@ -120,92 +118,6 @@ def apply_tick(
     return done.unionByName(kept)
 
 
-STATE_SCHEMA = "page_id bigint, edited_at timestamp, k bigint"
-LATE_SCHEMA = "event_id bigint, page_id bigint, edited_at timestamp, k bigint, batch bigint"
-COMMIT_SCHEMA = "batch_id bigint, watermark timestamp"
-
-
-class IncrementalState:
-    """Page state kept current from micro-batches, as a log of changes below one folder.
-
-    A batch writes its changed rows to ``changes/batch=<id>`` and then its commit row,
-    which holds the advanced watermark. Only committed batches are read, and a repeated
-    batch overwrites its own folder, so it has its effect once. ``compact`` folds the log
-    into a base, so that reading does not slow down with the number of batches.
-    """
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def _read(self, part: str, schema: str) -> DataFrame:
-        return _below(self.spark, f"{self.root}/{part}", schema)
-
-    def commits(self) -> DataFrame:
-        return self._read("commits", COMMIT_SCHEMA)
-
-    def last_commit(self, before: int | None = None):
-        rows = self.commits() if before is None else self.commits().filter(F.col("batch_id") < before)
-        return rows.agg(F.max_by(F.struct("batch_id", "watermark"), "batch_id").alias("c")).first()["c"]
-
-    def current(self, before: int | None = None) -> DataFrame:
-        """Newest committed row per page."""
-        last = self.last_commit(before)
-        if last is None:
-            return self.spark.createDataFrame([], STATE_SCHEMA)
-        newest = F.max(F.struct("upto", "folder")).alias("b")
-        base = self._read("bases", "upto bigint, folder string").filter(F.col("upto") <= last["batch_id"]).agg(newest).first()["b"]
-        rows = self._read("changes", STATE_SCHEMA + ", batch bigint").filter(F.col("batch") <= last["batch_id"])
-        if base is not None:
-            folded = self.spark.read.schema(STATE_SCHEMA).parquet(f"{self.root}/{base['folder']}")
-            rows = rows.filter(F.col("batch") > base["upto"]).unionByName(folded.withColumn("batch", F.lit(base["upto"])))
-        newest = F.max_by(F.struct("edited_at", "k"), F.struct("edited_at", "batch")).alias("s")
-        return rows.groupBy("page_id").agg(newest).select("page_id", "s.edited_at", "s.k")
-
-    def compact(self) -> None:
-        """Fold all committed changes into a base of its own folder, then point to it."""
-        last = self.last_commit()
-        if last is None:
-            return
-        upto, folder = last["batch_id"], f"base-{last['batch_id']}-{uuid.uuid4().hex}"
-        self.current().write.parquet(f"{self.root}/{folder}")
-        row = self.spark.createDataFrame([(upto, folder)], "upto bigint, folder string")
-        row.coalesce(1).write.mode("append").parquet(f"{self.root}/bases")
-
-    def late(self) -> DataFrame:
-        """Changes older than what was stored when they came: kept here, not applied."""
-        return self._read("late", LATE_SCHEMA)
-
-    def apply(self, batch: DataFrame, batch_id: int, start: str) -> None:
-        """One tick: changes newer than what is stored of their page, newest per page, then
-        the commit. The watermark is recorded, it filters nothing: the feed is delivered
-        once, so a change left out would be lost."""
-        before = self.last_commit(batch_id)
-        mark = F.lit(before["watermark"] if before else start).cast("timestamp")
-        pages = batch.select("page_id").distinct()
-        stored = self.current(batch_id).join(pages, "page_id", "left_semi").select("page_id", F.col("edited_at").alias("__stored"))
-        known = batch.join(stored, "page_id", "left")
-        fresh = known.filter(F.col("__stored").isNull() | (F.col("edited_at") > F.col("__stored")))
-        rows = S.newest_per_page(fresh).select("page_id", "edited_at", "k")
-        rows.write.mode("overwrite").parquet(f"{self.root}/changes/batch={batch_id}")
-        behind = known.filter(F.col("edited_at") < F.col("__stored")).select("event_id", "page_id", "edited_at", "k")
-        behind.write.mode("overwrite").parquet(f"{self.root}/late/batch={batch_id}")
-        advanced = batch.agg(F.greatest(mark, F.max("edited_at")).alias("watermark"))
-        advanced.select(F.lit(batch_id).cast("bigint").alias("batch_id"), "watermark").coalesce(1).write.mode(
-            "append"
-        ).parquet(f"{self.root}/commits")
-
-
-def run_incremental(stream: DataFrame, root: str, start: str, checkpoint: str):
-    """Keep an ``IncrementalState`` current from a stream of changes."""
-    state = IncrementalState(stream.sparkSession, root)
-    return (
-        stream.writeStream.foreachBatch(lambda batch, batch_id: state.apply(batch, batch_id, start))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
 def late_events(feed: DataFrame, watermark: Column) -> DataFrame:
     """Events at or before the looked-back watermark, which a tick ignores, by kind."""
     late = feed.filter(F.col("edited_at") <= S.lookback(watermark))
@@ -222,15 +134,3 @@ def tick_counts(feed: DataFrame, stored: DataFrame) -> DataFrame:
         F.count_if(F.col("__done").isNotNull()).alias("deduped"),
     )
     return per_tick.select(F.col("w.start").alias("tick"), "candidates", "enqueued", "deduped")
-
-
-def retire_two_ticks(queue: DataFrame, owners: DataFrame, rebuilt: Column) -> DataFrame:
-    """Sweep on the first tick, confirm on the second. Actions of both ticks."""
-    first = written(S.retire_artifacts(queue, owners, rebuilt), "retire")
-    swept = first.filter("action = 'sweep'").select(
-        "key", F.lit("swept").alias("state"), F.lit(None).cast("timestamp").alias("queued_at")
-    )
-    second = S.retire_artifacts(swept, owners, rebuilt)
-    return first.select("key", "action", F.lit(1).alias("tick")).unionByName(
-        second.select("key", "action", F.lit(2).alias("tick"))
-    )

@@ -39,33 +39,6 @@ def test_snapshot_store_refuses_empty_and_partial_results(spark):
     assert store.read(spark.range(1).schema).count() == 3
 
 
-def test_incremental_state_over_batches(spark):
-    root = fresh(spark, "state")
-    state = SF.IncrementalState(spark, root)
-    start = "2024-01-01 00:00:00"
-    state.apply(feed(spark, (1, 1, "2024-01-01 00:05:00", 10), (2, 2, "2024-01-01 00:06:00", 20)), 0, start)
-    second = feed(spark, (3, 1, "2024-01-01 00:07:00", 11), (4, 2, "2024-01-01 00:06:00", 20), (5, 3, "2024-01-01 00:01:00", 30))
-    state.apply(second, 1, start)
-    # Page 3 is new, however old its change.
-    want = {1: 11, 2: 20, 3: 30}
-    assert {r["page_id"]: r["k"] for r in state.current().collect()} == want
-    # The same batch again has no further effect.
-    state.apply(second, 1, start)
-    assert {r["page_id"]: r["k"] for r in state.current().collect()} == want
-    assert str(state.last_commit()["watermark"]) == "2024-01-01 00:07:00"
-    state.compact()
-    assert {r["page_id"]: r["k"] for r in state.current().collect()} == want
-    state.apply(feed(spark, (6, 2, "2024-01-01 00:09:00", 21)), 2, start)
-    assert {r["page_id"]: r["k"] for r in state.current().collect()} == {1: 11, 2: 21, 3: 30}
-    # A change older than what is stored is kept aside, not lost and not applied.
-    state.apply(feed(spark, (7, 1, "2024-01-01 00:02:00", 9)), 3, start)
-    assert {r["page_id"]: r["k"] for r in state.current().collect()} == {1: 11, 2: 21, 3: 30}
-    assert [(r["event_id"], r["batch"]) for r in state.late().collect()] == [(7, 3)]
-    state.compact()
-    state.compact()
-    assert {r["page_id"]: r["k"] for r in state.current().collect()} == {1: 11, 2: 21, 3: 30}
-
-
 def test_late_distinct_events_are_delivered(spark):
     root = fresh(spark, "once")
     rows = lambda *xs: spark.createDataFrame([(i, t) for i, t in xs], "event_id long, at string").select("event_id", F.col("at").cast("timestamp").alias("ts"))
@@ -77,18 +50,6 @@ def test_late_distinct_events_are_delivered(spark):
     assert sorted(r["event_id"] for r in got) == [1, 2, 3, 4]
 
 
-def test_stream_keeps_state_current(spark, folder):
-    root = fresh(spark, "stream")
-    stream = SF.page_changes(SF.open_events(spark, folder))
-    SF.run_incremental(stream, root, "2020-01-01 00:00:00", f"{root}/offsets").awaitTermination()
-    from marginalia.sources import tables as T
-
-    events = T.sync_events(spark, folder).filter("kind <> 'failed'")
-    want = {r["page_id"]: r["edited_at"] for r in S.newest_per_page(events).collect()}
-    got = {r["page_id"]: r["edited_at"] for r in SF.IncrementalState(spark, root).current().collect()}
-    assert got == want
-
-
 def test_documents_round_trip(spark):
     path = fresh(spark, "md")
     text = '---\ntitle: "A: b"\nslug: x\n---\nbody\n---\nmore'
