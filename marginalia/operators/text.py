@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions import fixed
 from ..functions import lines as L
+from ..functions.folds import bound
 from ..functions.rows import array_rows
 
 # Code that no rule may touch, and JSX style objects which must keep their braces.
@@ -24,7 +25,7 @@ def break_after_bold(lines: Column) -> Column:
     """An empty line after a line that is only bold text and is followed by text."""
     def fixed_line(l: Column, i: Column) -> Column:
         following = F.try_element_at(lines, i + 2)
-        alone = F.trim(l).rlike(r"^\s*\*\*[^*].*\*\*\s*$")
+        alone = l.contains("**") & F.trim(l).rlike(r"^\s*\*\*[^*].*\*\*\s*$")
         return F.when(alone & F.coalesce(C.trim_space(following) != "", F.lit(False)), F.concat(l, F.lit("\n"))).otherwise(l)
 
     return F.transform(lines, fixed_line)
@@ -37,32 +38,39 @@ def fix_headings(text: Column) -> Column:
     """
     parts = F.split(F.regexp_replace(text, r"(```[\s\S]*?```)", f"{_MARK}$1{_MARK}"), _MARK)
     folded = F.transform(parts, lambda p, i: F.when(i % 2 == 1, F.replace(p, F.lit("\n"), F.lit(_FOLD))).otherwise(p))
-    lines = F.split(F.array_join(folded, ""), "\n")
+    lines = F.split(F.when(text.contains("```"), F.array_join(folded, "")).otherwise(text), "\n")
     top, code = r"^\s{0,3}#(?!#)\s*\S", "```.*```"
-    first = F.array_position(F.transform(lines, lambda l: l.rlike(top) & ~l.rlike(code)), F.lit(True))
+    first = F.array_position(F.transform(lines, lambda l: l.contains("#") & l.rlike(top) & ~l.rlike(code)), F.lit(True))
 
     def fixed_line(l: Column, i: Column) -> Column:
         demoted = F.concat(
             F.regexp_extract(l, r"^(\s{0,3})#", 1), F.lit("## "), F.trim(F.regexp_extract(l, r"^\s{0,3}#\s*(.*)$", 1))
         )
         return (
-            F.when(l.rlike(code), l)
+            F.when(~l.contains("#") | l.rlike(code), l)
             .when(l.rlike(r"^\s{0,3}#{1,6}\s*$"), "")
             .when(l.rlike(top) & (i + 1 != first), demoted)
             .otherwise(l)
         )
 
-    return F.replace(F.array_join(F.transform(lines, fixed_line), "\n"), F.lit(_FOLD), F.lit("\n"))
+    fixed = F.replace(F.array_join(F.transform(lines, fixed_line), "\n"), F.lit(_FOLD), F.lit("\n"))
+    return F.when(text.contains("#"), fixed).otherwise(text)
 
 
 # --- rules over the text of a document ---------------------------------------------------
 
 
 def _unwrap(text: Column, inner: str, passes: int) -> Column:
-    out = text
-    for _ in range(passes):
-        out = F.regexp_replace(out, rf"({_KEPT})|\{{(?!{_EMOJI_STYLE}){inner}\}}", "$1$2")
-    return F.when(text.contains("{"), out).otherwise(text)
+    """At most ``passes`` passes; one that changes nothing is the last."""
+    pattern = rf"({_KEPT})|\{{(?!{_EMOJI_STYLE}){inner}\}}"
+    pair = lambda t, more: F.struct(t.alias("t"), more.alias("more"))
+
+    def once(s: Column, _: Column) -> Column:
+        new = bound(F.regexp_replace(s["t"], pattern, "$1$2"), lambda n: pair(n, n != s["t"]))
+        return F.when(s["more"], new).otherwise(s)
+
+    unwrapped = F.aggregate(F.sequence(F.lit(1), F.lit(passes)), pair(text, F.lit(True)), once, lambda s: s["t"])
+    return F.when(text.contains("{") & text.contains("}"), unwrapped).otherwise(text)
 
 
 def strip_braces(text: Column) -> Column:
@@ -89,15 +97,13 @@ def fix_tags(text: Column) -> Column:
         dotted = r"[^>.\s]*\s*\.[.\s]*[^>]*"
         spaced = r"[^>.\s=]*\s* \s*[^>]*"
         broken = rf"<(?!(?i:img)\s[^>]*className=\"emoji\")([a-zA-Z][a-zA-Z0-9]*)\s+(?:{dotted}|{spaced})>"
+        # One pass marks them all; each is then replaced where it stands.
+        pieces = F.split(F.regexp_replace(p, f"({broken})", f"{_FOLD}$1{_FOLD}"), _FOLD)
         tag = lambda m: F.regexp_extract(m, "^<([a-zA-Z0-9]+)", 1)
-        found = F.array_distinct(F.regexp_extract_all(p, F.lit(broken), 0))
-        return F.aggregate(
-            found,
-            p,
-            lambda t, m: F.replace(t, m, F.concat(F.lit("["), tag(m), F.lit("](#"), F.lower(tag(m)), F.lit(")"))),
-        )
+        link = lambda m: F.concat(F.lit("["), tag(m), F.lit("](#"), F.lower(tag(m)), F.lit(")"))
+        return F.array_join(F.transform(pieces, lambda m, i: F.when(i % 2 == 1, link(m)).otherwise(m)), "")
 
-    return F.when(text.contains("<"), _outside_code(text, rule)).otherwise(text)
+    return F.when(text.contains("<"), _outside_code(text, lambda p: F.when(p.contains("<"), rule(p)).otherwise(p))).otherwise(text)
 
 
 def collapse_blank_lines(text: Column) -> Column:

@@ -36,19 +36,34 @@ def _maps(spark, folder):
     return K.slug_routes(p.docs, p.published_slugs), ids
 
 
+BODY_LINES = """body_lines AS (
+  SELECT doc_id, page_id, unnest(string_split(body, chr(10))) AS line, generate_subscripts(string_split(body, chr(10)), 1) - 1 AS i FROM corpus)"""
+
+
+def whole_bodies(spark, folder, line: str):
+    """All bodies with markup put around their lines: ``line`` is SQL over line, i and the columns of the corpus."""
+    c = T.corpus(spark, folder).select("doc_id", "page_id", "locale", "body")
+    return c.withColumn("body", F.array_join(F.expr(f"transform(split(body, '\\n'), (line, i) -> {line})"), "\n"))
+
+
 @query(
     "link_resolution",
     with_aliases(
-        "SELECT page_id, concat('See [one](', coalesce(resolved, target), '), ![pic](', target, ') and [out](https://x.org/a).') AS body FROM resolved"
+        f""", {BODY_LINES}, linked AS (
+  SELECT b.*, r.target, coalesce(r.resolved, r.target) AS route FROM body_lines b LEFT JOIN resolved r USING (page_id))
+SELECT page_id, sha256(string_agg(CASE WHEN target IS NULL THEN line WHEN i % 4 = 0 THEN concat('[', line, '](', route, ')') WHEN i % 4 = 1 THEN concat('![', line, '](', target, ')')
+  WHEN i % 4 = 2 THEN concat(line, ' [out](https://x.org/a) [again](', route, ').') ELSE line END, chr(10) ORDER BY i)) AS body_hash FROM linked GROUP BY page_id"""
     ),
 )
 def link_resolution(spark, folder):
-    x = T.xlinks(spark, folder)
-    docs = x.select(
-        "page_id", "locale",
-        F.concat(F.lit("See [one]("), "target", F.lit("), ![pic]("), "target", F.lit(") and [out](https://x.org/a).")).alias("body"),
+    links = T.xlinks(spark, folder).select("page_id", "target")
+    line = (
+        "CASE WHEN target IS NULL THEN line WHEN i % 4 = 0 THEN concat('[', line, '](', target, ')') WHEN i % 4 = 1 THEN concat('![', line, '](', target, ')') "
+        "WHEN i % 4 = 2 THEN concat(line, ' [out](https://x.org/a) [again](', target, ').') ELSE line END"
     )
-    return K.rewrite_links(docs, *_maps(spark, folder)).select("page_id", "body")
+    c = T.corpus(spark, folder).select("page_id", "locale", "body").join(links, "page_id", "left")
+    docs = c.withColumn("body", F.array_join(F.expr(f"transform(split(body, '\\n'), (line, i) -> {line})"), "\n"))
+    return K.rewrite_links(docs, *_maps(spark, folder)).select("page_id", F.sha2("body", 256).alias("body_hash"))
 
 
 @query(
@@ -59,6 +74,20 @@ def broken_links(spark, folder):
     return K.broken_links(K.resolve_links(T.xlinks(spark, folder), *_maps(spark, folder)))
 
 
+# What would end or break the syntaxes of images, as it is written in a URL.
+ENCODED = {" ": "%20", "(": "%28", ")": "%29", "''": "%27", "\\t": "%09", "\\n": "%0A", "\\r": "%0D"}
+
+
+def encoded(href: str, spark: bool = False) -> str:
+    for character, code in ENCODED.items():
+        if not spark and character in ("\\t", "\\n", "\\r"):
+            character, quote = f"chr({ {'t': 9, 'n': 10, 'r': 13}[character[-1]] })", ""
+        else:
+            quote = "'"
+        href = f"replace({href}, {quote}{character}{quote}, '{code}')"
+    return href
+
+
 HREFS = """hrefs AS (
   SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS href,
     generate_subscripts(regexp_extract_all(html, 'href="([^"]*)"', 1), 1) - 1 AS pos FROM pages)"""
@@ -67,8 +96,7 @@ HREFS = """hrefs AS (
 @query(
     "distinct_assets",
     f"""WITH {HREFS}, u AS (
-  SELECT page_id, concat('https://', CASE pos % 2 WHEN 0 THEN 'files.amazonaws.com' ELSE 'img.example' END, href) AS url, pos % 3 AS syntax, pos FROM hrefs
-  WHERE href <> '' AND NOT regexp_matches(href, '[()''\\s]')),
+  SELECT page_id, concat('https://', CASE pos % 2 WHEN 0 THEN 'files.amazonaws.com' ELSE 'img.example' END, {encoded('href')}) AS url, pos % 3 AS syntax, pos FROM hrefs),
 f AS (SELECT page_id, url, min(CASE syntax WHEN 2 THEN 1 ELSE 0 END * 1000000 + CASE syntax WHEN 0 THEN 0 WHEN 1 THEN 500000 ELSE 0 END + pos) AS k FROM u GROUP BY 1, 2)
 SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY k) - 1 AS INT) AS ord, url, contains(url, '//files.amazonaws.com') AS managed FROM f""",
 )
@@ -81,10 +109,9 @@ def image_texts(spark, folder):
     p = T.table(spark, folder, "pages")
     hrefs = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), 1)
     image = (
-        "transform(hrefs, (h, i) -> CASE WHEN h = '' OR h rlike '[()''\\\\s]' THEN '' ELSE "
-        "CASE i % 3 WHEN 0 THEN concat('[![a](', host(i), h, ')](https://x.org)') "
-        "WHEN 1 THEN concat('![b](', host(i), h, ')') ELSE concat('<img class=\"c\" src=\"', host(i), h, '\">') END END)"
-    ).replace("host(i)", "concat('https://', CASE i % 2 WHEN 0 THEN 'files.amazonaws.com' ELSE 'img.example' END)")
+        "transform(hrefs, (h, i) -> CASE i % 3 WHEN 0 THEN concat('[![a](', host(i), url(h), ')](https://x.org)') "
+        "WHEN 1 THEN concat('![b](', host(i), url(h), ')') ELSE concat('<img class=\"c\" src=\"', host(i), url(h), '\">') END)"
+    ).replace("host(i)", "concat('https://', CASE i % 2 WHEN 0 THEN 'files.amazonaws.com' ELSE 'img.example' END)").replace("url(h)", encoded("h", spark=True))
     return p.select("page_id", hrefs.alias("hrefs")).select("page_id", F.array_join(F.expr(image), "\n").alias("text"))
 
 
@@ -111,24 +138,28 @@ def asset_extract(spark, folder):
 
 @query(
     "asset_rewrite",
-    """WITH u AS (SELECT page_id, concat('https://files.amazonaws.com/', CAST(page_id % 40 AS VARCHAR)) AS base, page_id % 40 AS slot FROM pages),
-v AS (SELECT page_id, base, CASE WHEN slot % 3 = 0 THEN NULL ELSE concat('assets/', sha256(concat(base, '.png?sig=1')), '.png') END AS a,
-    CASE WHEN slot % 5 = 0 THEN NULL ELSE concat('assets/', sha256(concat(base, '.png?sig=1&v=2')), '.png') END AS b FROM u)
-SELECT page_id, concat('x ', CASE WHEN a IS NULL THEN concat('**[Image unavailable: alt]**', chr(10), '<!-- failed-asset: ', base, '.png -->') ELSE concat('![alt](', a, ')') END, ' y ',
-  CASE WHEN b IS NULL THEN concat('**[Image unavailable]**', chr(10), '<!-- failed-asset: ', base, '.png -->') ELSE concat('![ ](', b, ')') END, ' z ![k](https://x.org/k.png)') AS text FROM v""",
+    f"""WITH {ctes.CORPUS}, {BODY_LINES},
+u AS (SELECT *, doc_id % 40 AS slot, concat('https://files.amazonaws.com/', CAST(doc_id % 40 AS VARCHAR)) AS base FROM body_lines),
+v AS (SELECT *, CASE WHEN slot % 3 = 0 THEN NULL ELSE concat('assets/', sha256(concat(base, '.png?sig=1')), '.png') END AS a,
+    CASE WHEN slot % 5 = 0 THEN NULL ELSE concat('assets/', sha256(concat(base, '.png?sig=1&v=2')), '.png') END AS b, concat(chr(10), '<!-- failed-asset: ', base, '.png -->') AS note FROM u)
+SELECT page_id, sha256(string_agg(CASE i % 5
+  WHEN 0 THEN CASE WHEN a IS NOT NULL THEN concat('![', line, '](', a, ')') WHEN regexp_matches(line, '^\\s*$') THEN concat('**[Image unavailable]**', note) ELSE concat('**[Image unavailable: ', line, ']**', note) END
+  WHEN 1 THEN concat(CASE WHEN b IS NOT NULL THEN concat('![ ](', b, ')') ELSE concat('**[Image unavailable]**', note) END, ' ', line)
+  WHEN 2 THEN concat(CASE WHEN a IS NOT NULL THEN concat('<img alt="x" src="', a, '">') ELSE concat('**[Image unavailable]**', note) END, line)
+  WHEN 3 THEN concat('![k](https://x.org/k.png) ', line) ELSE line END, chr(10) ORDER BY i)) AS text_hash FROM v GROUP BY page_id""",
 )
 def asset_rewrite(spark, folder):
-    p = T.table(spark, folder, "pages").select("page_id", (F.col("page_id") % 40).alias("slot"))
-    url = F.concat(F.lit("https://files.amazonaws.com/"), F.col("slot").cast("string"), F.lit(".png?sig=1"))
-    longer = F.concat(url, F.lit("&v=2"))
-    docs = p.select(
-        "page_id",
-        F.concat(F.lit("x ![alt]("), url, F.lit(") y ![ ]("), longer, F.lit(") z ![k](https://x.org/k.png)")).alias("text"),
+    url = "concat('https://files.amazonaws.com/', CAST(doc_id % 40 AS STRING), '.png?sig=1')"
+    docs = whole_bodies(
+        spark, folder,
+        f"CASE i % 5 WHEN 0 THEN concat('![', line, '](', {url}, ')') WHEN 1 THEN concat('![ ](', {url}, '&v=2) ', line) "
+        f"WHEN 2 THEN concat('<img alt=\"x\" src=\"', {url}, '\">', line) WHEN 3 THEN concat('![k](https://x.org/k.png) ', line) ELSE line END",
     )
-    have = F.array(F.when(F.col("slot") % 3 != 0, url), F.when(F.col("slot") % 5 != 0, longer))
-    pool = p.select(F.explode(have).alias("url")).filter("url IS NOT NULL").distinct()
+    slot = F.col("doc_id") % 40
+    have = F.array(F.when(slot % 3 != 0, F.expr(url)), F.when(slot % 5 != 0, F.concat(F.expr(url), F.lit("&v=2"))))
+    pool = T.table(spark, folder, "documents").select(F.explode(have).alias("url")).filter("url IS NOT NULL").distinct()
     pool = pool.withColumn("asset_key", F.concat(F.lit("assets/"), F.sha2("url", 256), F.lit(".png")))
-    return A.rewrite_assets(docs, pool, "page_id", "text")
+    return A.rewrite_assets(docs, pool, "page_id", "body").select("page_id", F.sha2("body", 256).alias("text_hash"))
 
 
 REFS = ctes.IMAGE_SLOTS + """,
@@ -139,17 +170,20 @@ pool AS (SELECT replace(name, 'assets/', '') AS name FROM image_slots WHERE ord
 
 @query(
     "referenced_assets",
-    f"""WITH {REFS} SELECT page_id, name, CASE WHEN contains(name, '..') THEN 'unsafe' WHEN name IN (SELECT name FROM pool) THEN 'present' ELSE 'missing' END AS state FROM refs""",
+    f"""WITH {ctes.CORPUS}, {BODY_LINES},
+refs AS (SELECT DISTINCT page_id, CASE i % 4 WHEN 2 THEN concat('../', page_id, '.png') ELSE concat(page_id, '-', CAST(i % 8 AS VARCHAR), '.png') END AS name FROM body_lines WHERE i % 4 < 3)
+SELECT page_id, name, CASE WHEN contains(name, '..') THEN 'unsafe' WHEN name IN (SELECT concat(page_id, k, '.png') FROM corpus, (VALUES ('-0'), ('-1')) v(k)) THEN 'present' ELSE 'missing' END AS state FROM refs""",
 )
 def referenced_assets(spark, folder):
-    s = T.image_slots(spark, folder)
-    body = (
-        F.when(F.col("kind") == "placeholder", F.concat(F.lit('<img src="assets/../'), "page_id", F.lit('.png">')))
-        .when(F.col("ord") % 2 == 0, F.concat(F.lit('<img src="'), "name", F.lit('">')))
-        .otherwise(F.concat(F.lit("![a]("), "name", F.lit(")")))
+    name = "concat(page_id, '-', CAST(i % 8 AS STRING), '.png')"
+    bodies = whole_bodies(
+        spark, folder,
+        f"CASE i % 4 WHEN 0 THEN concat('<img src=\"assets/', {name}, '\">', line) WHEN 1 THEN concat('![', line, '](assets/', {name}, ')') "
+        "WHEN 2 THEN concat('<img src=\"assets/../', page_id, '.png\"> ', line) ELSE line END",
     )
-    pool = s.filter("ord < 2").select(F.replace("name", F.lit("assets/"), F.lit("")).alias("name"))
-    return A.referenced_assets(s.select("page_id", body.alias("body")), pool, "page_id", "body")
+    ends = F.array(F.lit("-0.png"), F.lit("-1.png"))
+    pool = T.corpus(spark, folder).select(F.explode(F.transform(ends, lambda e: F.concat("page_id", e))).alias("name"))
+    return A.referenced_assets(bodies, pool, "page_id", "body")
 
 
 @query(

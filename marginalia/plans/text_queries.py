@@ -368,57 +368,72 @@ def chunk_sink(spark, folder):
 
 # --- cleaning ---------------------------------------------------------------------------------
 
+# Markup around whole lines, and lines of markup between them; no character of a text is left out.
 MESSY = """
-    transform(split(text, '\\n'), (line, i) -> CASE
-        WHEN i = 0 AND doc_id % 3 = 0 THEN concat('# ', line)
-        WHEN i % 14 = 1 THEN concat('**', line, '**')
-        WHEN i % 14 = 3 THEN concat('{x {', line, ' }}')
-        WHEN i % 14 = 4 THEN concat('![a]( b c.png ) ', line)
-        WHEN i % 14 = 5 THEN concat('![a](undefined)', line)
-        WHEN i % 14 = 6 THEN '[Image: http://x]'
-        WHEN i % 14 = 8 THEN concat('# ', line)
-        WHEN i % 14 = 9 THEN '##'
-        WHEN i % 14 IN (11, 13) THEN concat('```', line)
-        WHEN i % 14 = 12 THEN concat('{keep} # x', line)
-        ELSE line END)
+    flatten(transform(split(text, '\\n'), (line, i) -> CASE
+        WHEN i = 0 AND doc_id % 3 = 0 THEN array(concat('# ', line))
+        WHEN i % 14 = 1 THEN array(concat('**', line, '**'))
+        WHEN i % 14 = 2 THEN array(concat(line, ' <b one two> or <link to section.>'))
+        WHEN i % 14 = 3 THEN array(concat('{x {', line, ' }}'))
+        WHEN i % 14 = 4 THEN array(concat('![a]( b c.png ) ', line))
+        WHEN i % 14 = 5 THEN array(concat('![a](undefined)', line))
+        WHEN i % 14 = 6 THEN array('[Image: http://x]', line)
+        WHEN i % 14 = 8 THEN array(concat('# ', line))
+        WHEN i % 14 = 9 THEN array('##', line)
+        WHEN i % 14 IN (11, 13) THEN array(concat('```', line))
+        WHEN i % 14 = 12 THEN array(concat('{keep} # x', line))
+        ELSE array(line) END))
 """
 
 
+def messy_docs(spark, folder):
+    return T.table(spark, folder, "documents").select(
+        "doc_id", F.substring_index("text", "\n", 1).alias("title"), F.array_join(F.expr(MESSY), "\n").alias("text")
+    )
+
+
 @query(
     "clean_corpus",
     """WITH raw AS (
   SELECT doc_id, split_part(text, chr(10), 1) AS title, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents),
-m AS (SELECT doc_id, title, i, CASE
-    WHEN i = 0 AND doc_id % 3 = 0 THEN concat('# ', line) WHEN i % 14 = 1 THEN concat('**', line, '**')
+m AS (SELECT doc_id, title, i, i % 14 IN (6, 9) AS plain, i % 14 = 9 AS after_empty, CASE
+    WHEN i = 0 AND doc_id % 3 = 0 THEN concat('# ', line) WHEN i % 14 = 1 THEN concat('**', line, '**') WHEN i % 14 = 2 THEN concat(line, ' <b one two> or <link to section.>')
     WHEN i % 14 = 3 THEN concat('{x {', line, ' }}') WHEN i % 14 = 4 THEN concat('![a]( b c.png ) ', line)
-    WHEN i % 14 = 5 THEN concat('![a](undefined)', line) WHEN i % 14 = 6 THEN '[Image: http://x]'
-    WHEN i % 14 = 8 THEN concat('# ', line) WHEN i % 14 = 9 THEN '##' WHEN i % 14 IN (11, 13) THEN concat('```', line) WHEN i % 14 = 12 THEN concat('{keep} # x', line) ELSE line END AS line FROM raw),
-n AS (SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS next_line, max(i) OVER (PARTITION BY doc_id) AS last_i,
-    row_number() OVER (PARTITION BY doc_id, regexp_matches(line, '^\\s{0,3}#\\s*[^#\\s]') AND i % 14 <> 12 ORDER BY i) AS nth FROM m),
+    WHEN i % 14 = 5 THEN concat('![a](undefined)', line)
+    WHEN i % 14 = 8 THEN concat('# ', line) WHEN i % 14 IN (11, 13) THEN concat('```', line) WHEN i % 14 = 12 THEN concat('{keep} # x', line) ELSE line END AS line, 1 AS sub FROM raw
+  UNION ALL SELECT doc_id, title, i, false, false, CASE i % 14 WHEN 6 THEN '[Image: http://x]' ELSE '##' END, 0 FROM raw WHERE i % 14 IN (6, 9)),
+n AS (SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY i, sub) AS next_line, max(i) OVER (PARTITION BY doc_id) AS last_i,
+    row_number() OVER (PARTITION BY doc_id, regexp_matches(line, '^\\s{0,3}#\\s*[^#\\s]') AND i % 14 <> 12 ORDER BY i, sub) AS nth FROM m),
 a AS (SELECT *, i % 14 = 12 AND last_i > i AS in_code, regexp_matches(line, '^\\s{0,3}#\\s*[^#\\s]') AND i % 14 <> 12 AS top,
     regexp_matches(trim(line), '^\\s*\\*\\*[^*].*\\*\\*\\s*$') AND coalesce(regexp_matches(next_line, '\\S'), false) AS bold FROM n),
 b AS (SELECT *, CASE WHEN bold THEN line || chr(10) ELSE line END AS l1 FROM a),
-c AS (SELECT *, CASE WHEN in_code THEN l1 WHEN i % 14 = 9 THEN '' WHEN top AND nth > 1 THEN concat('## ', trim(regexp_extract(l1, '^\\s{0,3}#\\s*(.*)$', 1)))
+c AS (SELECT *, CASE WHEN in_code THEN l1 WHEN i % 14 = 9 AND sub = 0 THEN '' WHEN top AND nth > 1 THEN concat('## ', trim(regexp_extract(l1, '^\\s{0,3}#\\s*(.*)$', 1)))
     ELSE l1 END AS l2 FROM b),
 d AS (SELECT *, CASE WHEN in_code THEN l2 WHEN i % 14 = 3 THEN concat('x ', trim(substr(l2, 5, length(l2) - 6))) WHEN i % 14 = 12 THEN replace(replace(l2, '{', ''), '}', '') ELSE l2 END AS l3 FROM c),
-e AS (SELECT *, CASE WHEN i % 14 = 5 THEN substr(l3, 16) WHEN i % 14 = 4 THEN replace(l3, '( b c.png )', '(bc.png)') ELSE l3 END AS l4 FROM d),
-f AS (SELECT *, CASE WHEN i % 14 = 6 THEN '' ELSE l4 END AS l5 FROM e),
-g AS (SELECT doc_id, any_value(title) AS title, bool_or(l1 <> line) AS bold_breaks, bool_or(l2 <> l1) AS headings, bool_or(l3 <> l2) AS braces,
-    string_agg(l3, chr(10) ORDER BY i) AS t3, regexp_replace(string_agg(l4, chr(10) ORDER BY i), chr(10) || '{3,}', chr(10) || chr(10), 'g') AS t4,
-    regexp_replace(regexp_replace(string_agg(l5, chr(10) ORDER BY i), chr(10) || '{3,}', chr(10) || chr(10), 'g'), chr(10) || '{3,}', chr(10) || chr(10), 'g') AS t5 FROM f GROUP BY doc_id),
+d2 AS (SELECT *, CASE WHEN i % 14 = 2 THEN replace(l3, ' <b one two> or <link to section.>', ' [b](#b) or [link to section](#section)') ELSE l3 END AS l3b FROM d),
+e AS (SELECT *, CASE WHEN i % 14 = 5 THEN substr(l3b, 16) WHEN i % 14 = 4 THEN replace(l3b, '( b c.png )', '(bc.png)') ELSE l3b END AS l4 FROM d2),
+f AS (SELECT *, CASE WHEN i % 14 = 6 AND sub = 0 THEN '' ELSE l4 END AS l5 FROM e),
+g AS (SELECT doc_id, any_value(title) AS title, bool_or(l1 <> line) AS bold_breaks, bool_or(l2 <> l1) AS headings, bool_or(l3 <> l2) AS braces, bool_or(l3b <> l3) AS tags,
+    string_agg(l3b, chr(10) ORDER BY i, sub) AS t3, regexp_replace(string_agg(l4, chr(10) ORDER BY i, sub), chr(10) || '{3,}', chr(10) || chr(10), 'g') AS t4,
+    regexp_replace(regexp_replace(string_agg(l5, chr(10) ORDER BY i, sub), chr(10) || '{3,}', chr(10) || chr(10), 'g'), chr(10) || '{3,}', chr(10) || chr(10), 'g') AS t5 FROM f GROUP BY doc_id),
 h AS (SELECT *, trim(substr(split_part(t5, chr(10), 1), 3)) AS h1 FROM g)
-SELECT doc_id, bold_breaks, headings, braces, t4 <> t3 AS images, t5 <> t4 AS image_notes,
+SELECT doc_id, bold_breaks, headings, braces, tags, t4 <> t3 AS images, t5 <> t4 AS image_notes,
   starts_with(t5, '# ') AND (contains(title, h1) OR contains(h1, title)) AS titles,
   sha256(CASE WHEN starts_with(t5, '# ') AND (contains(title, h1) OR contains(h1, title)) THEN regexp_replace(t5, '^[^' || chr(10) || ']*' || chr(10) || '*', '') ELSE t5 END) AS text_hash FROM h""",
 )
 def clean_corpus(spark, folder):
-    d = T.table(spark, folder, "documents").select(
-        "doc_id", F.substring_index("text", "\n", 1).alias("title"), F.array_join(F.expr(MESSY), "\n").alias("text")
-    )
-    out = X.clean_corpus(d)
-    return out.select(
-        "doc_id", "bold_breaks", "headings", "braces", "images", "image_notes", "titles", F.sha2("cleaned", 256).alias("text_hash")
-    )
+    out = X.clean_corpus(messy_docs(spark, folder))
+    return out.select("doc_id", *X.CLEANING, F.sha2("cleaned", 256).alias("text_hash"))
+
+
+@query(
+    "clean_counts",
+    """SELECT rule, count(*) AS documents FROM (UNPIVOT (SELECT doc_id, bold_breaks, headings, braces, tags, images, image_notes, titles FROM ($clean)) ON COLUMNS(* EXCLUDE doc_id) INTO NAME rule VALUE hit) WHERE hit GROUP BY rule""".replace(
+        "$clean", CHECKS["clean_corpus"]
+    ),
+)
+def clean_counts(spark, folder):
+    return X.rule_counts(X.clean_corpus(messy_docs(spark, folder)))
 
 
 @query(
@@ -442,11 +457,12 @@ def duplicate_title(spark, folder):
 @query(
     "heading_levels",
     f"""WITH {ctes.MD_LINES}, h AS (
-  SELECT doc_id, line_no, CASE WHEN line_no % 12 = 2 THEN concat('# ', line) WHEN line_no % 12 = 3 THEN ' ##  ' WHEN line_no % 12 = 8 THEN concat('# code', line) ELSE line END AS line,
-    max(line_no) OVER (PARTITION BY doc_id) AS last_no FROM md_lines),
+  SELECT doc_id, line_no, 1 AS sub, CASE WHEN line_no % 12 = 2 THEN concat('# ', line) WHEN line_no % 12 = 8 THEN concat('# code', line) ELSE line END AS line,
+    max(line_no) OVER (PARTITION BY doc_id) AS last_no FROM md_lines
+  UNION ALL SELECT doc_id, line_no, 0, ' ##  ', line_no + 1 FROM md_lines WHERE line_no % 12 = 3),
 t AS (SELECT *, line_no % 12 = 8 AND last_no > line_no AS code, regexp_matches(line, '^\\s{{0,3}}#\\s*[^#\\s]') AS h1 FROM h),
-n AS (SELECT *, row_number() OVER (PARTITION BY doc_id, h1 AND NOT code ORDER BY line_no) AS nth FROM t)
-SELECT doc_id, CAST(line_no AS INT) AS line_no, CASE WHEN code THEN line WHEN regexp_matches(line, '^\\s{{0,3}}#{{1,6}}\\s*$') THEN ''
+n AS (SELECT *, row_number() OVER (PARTITION BY doc_id, h1 AND NOT code ORDER BY line_no, sub) AS nth FROM t)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY line_no, sub) - 1 AS INT) AS line_no, CASE WHEN code THEN line WHEN regexp_matches(line, '^\\s{{0,3}}#{{1,6}}\\s*$') THEN ''
   WHEN h1 AND nth > 1 THEN concat('## ', trim(regexp_extract(line, '^\\s{{0,3}}#\\s*(.*)$', 1))) ELSE line END AS line FROM n""",
 )
 def heading_levels(spark, folder):
@@ -454,8 +470,8 @@ def heading_levels(spark, folder):
         "doc_id",
         F.array_join(
             F.expr(
-                "transform(lines, (l, i) -> CASE WHEN i % 12 = 2 THEN concat('# ', l) WHEN i % 12 = 3 THEN ' ##  ' "
-                "WHEN i % 12 = 8 THEN concat('# code', l) ELSE l END)"
+                "flatten(transform(lines, (l, i) -> CASE WHEN i % 12 = 2 THEN array(concat('# ', l)) WHEN i % 12 = 3 THEN array(' ##  ', l) "
+                "WHEN i % 12 = 8 THEN array(concat('# code', l)) ELSE array(l) END))"
             ),
             "\n",
         ).alias("text"),
