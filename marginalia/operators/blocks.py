@@ -9,6 +9,10 @@ from ..functions import columns as C
 from ..functions import fixed
 from ..functions.lineage import written
 
+LIST_ITEMS = ("bulleted_list_item", "numbered_list_item")
+INDENT = "  "  # of a list item inside another one
+AFTER = "~"  # sorts behind every place in a path
+
 # Line prefix per block type; anything not listed renders as plain text or a note.
 PREFIX = {
     "heading_1": "# ",
@@ -41,6 +45,7 @@ def _own_form(kind: Column, text: Column, checked: Column, language: Column) ->
         F.when(kind == "to_do", F.concat(F.lit("- "), mark, F.lit(" "), text))
         .when(kind == "code", F.concat(F.lit("```"), F.coalesce(language, F.lit("")), F.lit("\n"), text, F.lit("\n```")))
         .when(kind == "divider", F.lit("\n---"))
+        .when(kind == "toggle", F.concat(F.lit("<details>\n<summary>"), text, F.lit("</summary>\n")))
         .when(kind == "equation", F.when(text == "", "").otherwise(F.concat(F.lit("$$"), text, F.lit("$$"))))
         .when(kind == "child_page", F.concat(F.lit("📄 "), F.when(text == "", "child page").otherwise(text)))
         .when(kind.isin(*SILENT), "")
@@ -60,15 +65,24 @@ def block_text(
     return F.when(is_supported(kind, extra), F.coalesce(own, plain)).otherwise(note)
 
 
+def _in_context(rendered: Column, kind: Column, nest: Column, quote: Column) -> Column:
+    """A block's text where it stands: list items indented, every line behind the quotes it is in."""
+    indented = F.when(kind.isin(*LIST_ITEMS), F.concat(F.repeat(F.lit(INDENT), nest), rendered)).otherwise(rendered)
+    return F.when((quote == "") | (rendered == ""), indented).otherwise(F.concat(quote, F.replace(indented, F.lit("\n"), F.concat(F.lit("\n"), quote))))
+
+
 def block_rollup(blocks: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     """Document text of block trees as ordered rows.
 
     Every block becomes one row with its depth and a sortable path of positions, found
-    level by level from the roots until a level is empty. A block whose parent is not
-    there is kept as a root of its own and marked ``orphan``. Reading a page's rows in path
-    order gives its text; no page is gathered into one task. Each level is one join on the
-    parent, written out so that lineage does not grow with the depth. Blocks that hang on
-    each other in a ring have no root: they stop the run, none is dropped.
+    level by level from the roots until a level is empty. What a block's place asks for is
+    carried down the levels: a list item in a list item is indented once more, whatever stands
+    in a quote has its mark on every line, and a toggle has a second row behind all that is
+    in it, which closes it. A block whose parent is not there is kept as a root of its own and
+    marked ``orphan``. Reading a page's rows in path order gives its text; no page is gathered
+    into one task. Each level is one join on the parent, written out so that lineage does not
+    grow with the depth. Blocks that hang on each other in a ring have no root: they stop the
+    run, none is dropped.
     """
     here = F.concat(F.lpad(F.col("pos").cast("string"), 19, "0"), F.lit("."), F.col("block_id").cast("string"))
     shaped = blocks.select(
@@ -79,45 +93,57 @@ def block_rollup(blocks: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
         ).alias("rendered"),
     )
     shaped = written(shaped, "blocks")
-    cols = ["page_id", "block_id", "depth", "path", "type", "rendered", "orphan"]
+    cols = ["page_id", "block_id", "depth", "path", "type", "rendered", "orphan", "nest", "quote"]
     known = shaped.select(F.col("page_id").alias("__page"), F.col("block_id").alias("__up")).distinct()
     hung = shaped.join(known, (F.col("page_id") == F.col("__page")) & (F.col("parent_id") == F.col("__up")), "left")
     hung = written(hung.withColumn("orphan", F.col("parent_id").isNotNull() & F.col("__up").isNull()).drop("__page"), "hung")
-    roots = hung.filter("__up IS NULL").withColumns({"depth": F.lit(0), "path": F.col("here")}).select(*cols)
-    level, out, depth, placed = written(roots, "level-0"), None, 0, 0
+    first = {"depth": F.lit(0), "path": F.col("here"), "nest": F.lit(0), "quote": F.lit("")}
+    level, out, depth, placed = written(hung.filter("__up IS NULL").withColumns(first).select(*cols), "level-0"), None, 0, 0
     nested = hung.filter("__up IS NOT NULL")
     total = hung.count()
     while n := level.count():
         placed += n
         out = level if out is None else out.unionByName(level)
         depth += 1
-        above = level.select("page_id", F.col("block_id").alias("__up"), F.col("path").alias("above"))
-        level = written(
-            nested.join(above, ["page_id", "__up"])
-            .withColumns({"depth": F.lit(depth), "path": F.concat_ws("/", "above", "here")})
-            .select(*cols),
-            f"level-{depth}",
-        )
+        # Only an item right below an item is nested; any other block begins lists anew.
+        below = F.when(F.col("type").isin(*LIST_ITEMS), F.col("nest") + 1).otherwise(0)
+        marked = F.when(F.col("type") == "quote", F.concat("quote", F.lit("> "))).otherwise(F.col("quote"))
+        above = level.select("page_id", F.col("block_id").alias("__up"), F.col("path").alias("above"), below.alias("nest"), marked.alias("quote"))
+        path = F.concat_ws("/", "above", "here")
+        level = written(nested.join(above, ["page_id", "__up"]).withColumns({"depth": F.lit(depth), "path": path}).select(*cols), f"level-{depth}")
     if placed < total:
         raise ValueError(f"{total - placed} blocks hang on each other in a ring")
-    return level if out is None else out
+    rows = level if out is None else out
+    parents = nested.select("page_id", F.col("__up").alias("block_id")).distinct().withColumn("__full", F.lit(True))
+    ends = rows.filter("type = 'toggle'").join(parents, ["page_id", "block_id"], "left")
+    close = F.when(F.col("__full"), "\n</details>").otherwise("</details>")
+    ends = ends.withColumns({"depth": F.col("depth") + 1, "path": F.concat_ws("/", "path", F.lit(AFTER)), "rendered": close}).select(*cols)
+    placed_text = _in_context(F.col("rendered"), F.col("type"), F.col("nest"), F.col("quote"))
+    return rows.unionByName(ends).withColumn("rendered", placed_text).drop("nest", "quote")
 
 
 def assemble_documents(rows: DataFrame, part_chars: int = 4_000_000) -> DataFrame:
     """Document texts from the rows of ``block_rollup``.
 
-    A page's text is cut into parts wherever ``part_chars`` characters have come together,
-    counted along the path, so no group grows with the page, however its blocks nest; any
-    ordinary page is one part, part 0. Joining the parts of a page in order, without
+    The rows are ranged by page and path, and lengths are summed within each range and, one
+    number a range, over the ranges of a page; so no task grows with a page. A page's text is
+    cut into parts wherever ``part_chars`` characters have come together, counted along the
+    path; any ordinary page is one part, part 0. Joining the parts of a page in order, without
     anything between them, gives its text. Top-level blocks are set apart by an empty line,
     nested ones follow on the next line.
     """
     spaced = F.concat(F.when(F.col("depth") == 0, "\n\n").otherwise("\n"), F.col("rendered"))
-    along = Window.partitionBy("page_id").orderBy("path")
-    before = F.sum(F.length("text").cast("bigint")).over(along.rowsBetween(Window.unboundedPreceding, -1))
-    placed = rows.filter("rendered <> ''").select("page_id", "path", spaced.alias("text"))
-    placed = placed.withColumns({"__before": F.coalesce(before, F.lit(0)), "__last": F.lead("path").over(along).isNull()})
-    parts = placed.select("page_id", F.floor(F.col("__before") / part_chars).alias("part"), "path", "text", "__last")
+    texts = rows.filter("rendered <> ''").select("page_id", "path", spaced.alias("text"))
+    ranged = written(texts.repartitionByRange("page_id", "path").withColumn("__range", F.spark_partition_id()), "ranged")
+    size = F.length("text").cast("bigint")
+    sums = ranged.groupBy("page_id", "__range").agg(F.sum(size).alias("n"), F.max("path").alias("last"))
+    over_ranges = Window.partitionBy("page_id").orderBy("__range")
+    earlier = F.coalesce(F.sum("n").over(over_ranges.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    begins = sums.select("page_id", "__range", earlier.alias("__earlier"), F.when(F.lead("last").over(over_ranges).isNull(), F.col("last")).alias("__end"))
+    inside = F.sum(size).over(Window.partitionBy("page_id", "__range").orderBy("path").rowsBetween(Window.unboundedPreceding, -1))
+    placed = ranged.withColumn("__inside", F.coalesce(inside, F.lit(0))).join(begins, ["page_id", "__range"])
+    before, last = F.col("__earlier") + F.col("__inside"), F.coalesce(F.col("path") == F.col("__end"), F.lit(False))
+    parts = placed.select("page_id", F.floor(before / part_chars).alias("part"), "path", "text", last.alias("__last"))
     body = F.expr("listagg(text, '') WITHIN GROUP (ORDER BY path)")
     gathered = parts.groupBy("page_id", "part").agg(body.alias("body"), F.max("__last").alias("__last"))
     opened = F.when(F.col("part") == 0, F.ltrim("body", F.lit("\n"))).otherwise(F.col("body"))

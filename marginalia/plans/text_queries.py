@@ -584,6 +584,58 @@ def block_documents(spark, folder):
     return B.assemble_documents(B.block_rollup(T.blocks(spark, folder), KNOWN))
 
 
+# Every line of a document as a block: trees of nineteen, up to thirteen deep, of all kinds that nest or have a form.
+OUTLINE_TYPES = (
+    "bulleted_list_item", "numbered_list_item", "bulleted_list_item", "quote", "numbered_list_item", "toggle", "paragraph", "to_do", "column", "code", "heading_2", "mystery",
+)
+
+
+def outline_blocks(spark, folder):
+    """Blocks of all documents, most of them list items in list items."""
+    kinds = F.array(*map(F.lit, OUTLINE_TYPES))
+    lines = array_rows(T.table(spark, folder, "documents"), ["doc_id"], F.split("text", "\n"), "i", "line")
+    k = F.col("i") % 19
+    up = F.when(k > 0, F.col("i") - 1 - F.when((k > 1) & (k % 3 == 2), 1).otherwise(0))
+    # Four in a row are of one kind, so that lists nest.
+    kind = F.element_at(kinds, ((F.floor(F.col("i") / 4) * 5 + F.col("doc_id")) % len(OUTLINE_TYPES) + 1).cast("int"))
+    name = lambda i: F.concat_ws("-", "doc_id", i)
+    return lines.select(
+        F.col("doc_id").alias("page_id"), name(F.col("i")).alias("block_id"), F.when(up.isNotNull(), name(up)).alias("parent_id"), F.col("i").alias("pos"),
+        kind.alias("type"), F.col("line").alias("text"), (F.col("i") % 2 == 0).alias("checked"), F.lit("txt").alias("language"),
+    )
+
+
+@query(
+    "nested_documents",
+    f"""WITH RECURSIVE lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents),
+b AS (
+  SELECT doc_id, i, line, CASE WHEN i % 19 > 0 THEN i - 1 - CASE WHEN i % 19 > 1 AND (i % 19) % 3 = 2 THEN 1 ELSE 0 END END AS up,
+    {list(OUTLINE_TYPES)}[CAST(((i // 4) * 5 + doc_id) % {len(OUTLINE_TYPES)} + 1 AS INT)] AS kind FROM lines),
+f AS (
+  SELECT *, CASE kind WHEN 'bulleted_list_item' THEN concat('- ', line) WHEN 'numbered_list_item' THEN concat('1. ', line) WHEN 'quote' THEN concat('> ', line)
+      WHEN 'toggle' THEN concat('<details>', chr(10), '<summary>', line, '</summary>', chr(10)) WHEN 'to_do' THEN concat('- ', CASE WHEN i % 2 = 0 THEN '[x] ' ELSE '[ ] ' END, line)
+      WHEN 'column' THEN '' WHEN 'code' THEN concat('```txt', chr(10), line, chr(10), '```') WHEN 'heading_2' THEN concat('## ', line)
+      WHEN 'mystery' THEN concat('> [!NOTE]', chr(10), '> Unsupported Notion block: `mystery`') ELSE line END AS form FROM b),
+t AS (
+  SELECT doc_id, i, kind, form, 0 AS depth, lpad(CAST(i AS VARCHAR), 9, '0') AS path, 0 AS nest, '' AS quote FROM f WHERE up IS NULL
+  UNION ALL
+  SELECT f.doc_id, f.i, f.kind, f.form, t.depth + 1, concat(t.path, '/', lpad(CAST(f.i AS VARCHAR), 9, '0')), CASE WHEN t.kind LIKE '%list_item' THEN t.nest + 1 ELSE 0 END,
+    CASE WHEN t.kind = 'quote' THEN concat(t.quote, '> ') ELSE t.quote END FROM t JOIN f ON f.doc_id = t.doc_id AND f.up = t.i),
+r AS (
+  SELECT doc_id, path, depth, quote, concat(CASE WHEN kind LIKE '%list_item' THEN repeat('  ', nest) ELSE '' END, form) AS text FROM t
+  UNION ALL SELECT doc_id, concat(path, '/~'), depth + 1, quote, CASE WHEN EXISTS (SELECT 1 FROM b WHERE b.doc_id = t.doc_id AND b.up = t.i) THEN concat(chr(10), '</details>') ELSE '</details>' END FROM t WHERE kind = 'toggle'),
+q AS (SELECT doc_id, path, concat(CASE WHEN depth = 0 THEN chr(10) || chr(10) ELSE chr(10) END, quote, replace(text, chr(10), chr(10) || quote)) AS text FROM r WHERE text <> '')
+SELECT doc_id AS page_id, sha256(concat(ltrim(string_agg(text, '' ORDER BY path), chr(10)), chr(10))) AS body_hash, max(length(path) - length(replace(path, '/', ''))) AS depth FROM q GROUP BY doc_id""",
+)
+def nested_documents(spark, folder):
+    rows = B.block_rollup(outline_blocks(spark, folder))
+    deep = rows.filter("rendered <> ''").groupBy("page_id").agg(F.max("depth").cast("bigint").alias("depth"))
+    whole = B.assemble_documents(rows)
+    parts = F.sha2(F.expr("listagg(body, '') WITHIN GROUP (ORDER BY part)"), 256)
+    return whole.groupBy("page_id").agg(parts.alias("body_hash")).join(deep, "page_id")
+
+
 @query("unsupported_census", f"WITH {ctes.BLOCKS} SELECT type, count(*) AS blocks, type IN ('user', 'assistant') AS supported FROM blocks GROUP BY type")
 def unsupported_census(spark, folder):
     return B.type_census(T.blocks(spark, folder), KNOWN)
