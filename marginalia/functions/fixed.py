@@ -162,3 +162,9 @@ CHUNK_MERGE_MAX = 960
 OVERLAP_TARGET = 100
 OVERLAP_FLOOR = 80
 OVERLAP_MAX = 120
+
+# --- fixed values: image slots of a body ----------------------------------------------
+# A note that stands for an image lost in translation, and an image that is there.
+LOST_IMAGE = r":::note 🖼️\n(?:static/images/[^\n]+|\[[^\]\n]+\])\n\n:::"
+STORED_IMAGE = r"!\[[^\]]*\]\(assets/[^)]+\)"
+LOST_IMAGE_START = ":::note 🖼️"

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import fixed
+from ..functions.folds import bound
 from ..functions.ordered import block_of, bounded_row_number
 from ..functions.rows import array_rows
 
+_MARK = "\u0001"
 _LINKED = r"\[!\[[^\]]*\]\(([^)]+)\)\]\([^)]+\)"
 _PLAIN = r"!\[[^\]]*\]\(([^)]+)\)"
 _HTML = r"(?i)<img\s[^>]*src=([\"'])([^\"']+)\1[^>]*>"
@@ -117,3 +119,34 @@ def repair_image_slots(slots: DataFrame, siblings: DataFrame) -> DataFrame:
     rows = rows.join(real, ["en_page_id", "n"], "left")
     take = (F.col("kind") == "placeholder") & (F.col("locale") != "en") & F.col("en_name").isNotNull()
     return rows.select("page_id", "ord", "kind", "name", F.when(take, F.col("en_name")).otherwise(F.col("name")).alias("repaired"))
+
+
+def with_repaired_images(body: Column, english: Column) -> Column:
+    """``body`` with each note for a lost image replaced by the image of the same number in ``english``.
+
+    All image slots of the body count, notes and images alike, so an image that is still there
+    keeps the ones behind it in step. A note beyond the English images stays.
+    """
+    images = F.regexp_extract_all(english, F.lit(fixed.STORED_IMAGE), 0)
+    pieces = F.split(F.regexp_replace(body, f"({fixed.LOST_IMAGE}|{fixed.STORED_IMAGE})", f"{_MARK}$1{_MARK}"), _MARK)
+
+    def piece(own: Column, have: Column) -> Column:
+        slot = lambda p, i: F.coalesce(F.when(p.startswith(fixed.LOST_IMAGE_START), F.get(have, ((i - 1) / 2).cast("int"))), p)
+        return F.array_join(F.transform(own, lambda p, i: F.when(i % 2 == 1, slot(p, i)).otherwise(p)), "")
+
+    return bound(pieces, lambda own: bound(images, lambda have: piece(own, have)))
+
+
+def repair_images(docs: DataFrame, bodies: DataFrame, sibling: str = "en_sibling_id", body: str = "body") -> DataFrame:
+    """``docs`` with lost images of translations put back from their English siblings.
+
+    Needs page_id, locale and ``sibling``; ``bodies`` has page_id and body, one row a page. Only
+    rows that hold a note for a lost image take part in the join, each with the one body it needs.
+    """
+    lost = F.col(body).contains(fixed.LOST_IMAGE_START) & (F.col("locale") != "en") & F.col(sibling).isNotNull()
+    held = F.coalesce(lost, F.lit(False))
+    some = docs.filter(held)
+    english = bodies.select(F.col("page_id").alias("__en"), F.col("body").alias("__en_body")).filter(F.col("__en_body").contains("](assets/"))
+    joined = some.join(english, some[sibling] == english["__en"], "left")
+    fixed_up = F.when(F.col("__en_body").isNotNull(), with_repaired_images(F.col(body), F.col("__en_body"))).otherwise(F.col(body))
+    return docs.filter(~held).unionByName(joined.withColumn(body, fixed_up).select(*docs.columns))

@@ -46,9 +46,10 @@ def publish(catalog: DataFrame, bodies: DataFrame, include_drafts: bool = False)
     plan = hierarchy.HierarchyPlan(catalog, include_drafts)
     routes = plan.routes
     emitted = text.emit_pages(
-        routes.select("page_id", "locale", "en_fallback_id", "title", "canonical_section", "route_toggle", "canonical_slug"),
+        routes.select("page_id", "locale", "en_fallback_id", "en_sibling_id", "title", "canonical_section", "route_toggle", "canonical_slug"),
         bodies.select("page_id", "body"),
     )
+    emitted = assets.repair_images(emitted, bodies.select("page_id", "body")).drop("en_sibling_id")
     emitted = written(emitted, "emitted")
     slugs, ids = links.slug_routes(plan.docs, plan.published_slugs), links.id_routes(plan.published_slugs)
     slugs, ids = written(slugs, "slug-routes"), written(ids, "id-routes")

@@ -157,3 +157,15 @@ def test_rewritten_links_are_not_rewritten_again(spark):
     ids = spark.createDataFrame([], "key string, canonical_slug string")
     docs = spark.createDataFrame([("p", "en", "[x](/docs/a) [y](/docs/b)")], "page_id string, locale string, body string")
     assert K.rewrite_links(docs, slugs, ids).first()["body"] == "[x](/docs/b) [y](/docs/c)"
+
+
+def test_lost_images_come_back_by_number(spark):
+    note = lambda t: f":::note 🖼️\n{t}\n\n:::"
+    english = "![a](assets/1.png) text ![b](assets/2.png)\n![far](https://x.org/x.png) ![c](assets/3.png)"
+    body = f"{note('[Marcador]')} x ![eigen](assets/own.png)\n{note('static/images/n_0.png')}\n{note('[more]')} {note('a real note')}"
+    want = f"![a](assets/1.png) x ![eigen](assets/own.png)\n![c](assets/3.png)\n{note('[more]')} {note('a real note')}"
+    rows = [("p", "pt", "e", body), ("q", "en", "e", body), ("r", "pt", None, body), ("s", "pt", "gone", body), ("t", "es", "e", None), ("u", "es", "e", "plain")]
+    docs = spark.createDataFrame(rows, "page_id string, locale string, en_sibling_id string, body string")
+    bodies = spark.createDataFrame([("e", english), ("gone2", "x")], "page_id string, body string")
+    got = {r.page_id: r.body for r in A.repair_images(docs, bodies).collect()}
+    assert got == {"p": want, "q": body, "r": body, "s": body, "t": None, "u": "plain"}
