@@ -36,9 +36,10 @@ SHINGLE = 5
 SIMILAR = (4, 5)  # 0.8, in whole numbers
 SAMPLE = 10_000  # texts whose tokens are counted for the order
 KNOWN = 200_000  # common tokens sent to the tasks
-FEW = 48  # up to so many nodes of a run are all compared
+FEW = 8  # up to so many nodes of a run are all compared
 RUN = 100_000  # nodes from which a token is dealt to several runs
 BLOCK = 1_024  # nodes of a block of a large run
+ROWS = 100_000  # mean rows of a task that compares blocks
 BITS = 1_024  # of the parity bitmap
 SET_TOKENS = 4_000_000  # tokens of the sets of a bucket
 SCREEN = 1 << 24  # hash values of the screen in front of the texts whose sets are wanted
@@ -240,19 +241,28 @@ def _across(large: DataFrame, parts: DataFrame, nodes: DataFrame) -> DataFrame:
     right = still.select(*carried, j.alias("j"), i.alias("i"), F.lit(False).alias("rest"))
 
     def compare(group: pa.Table) -> pa.Table:
-        n, node, place, part, rest = (group.column(c).to_numpy() for c in ("n", "node", "place", "part", "rest"))
+        token, i, j, n, node, place, part, rest = (group.column(c).to_numpy() for c in ("token", "i", "j", "n", "node", "place", "part", "rest"))
         bits = np.frombuffer(b"".join(group.column("bits").to_pylist()), np.uint64).reshape(-1, BITS // 64)
-        right = np.flatnonzero(~rest)
+        order = np.lexsort((rest, j, i, token))
+        key = np.stack([token, i, j])[:, order]
+        heads = np.flatnonzero(np.r_[True, (key[:, 1:] != key[:, :-1]).any(axis=0)])
         a, b = [], []
-        for x in np.flatnonzero(rest).tolist():
-            common = (n[x] + n[right] - np.bitwise_count(bits[right] ^ bits[x]).sum(axis=1, dtype=np.int64)) // 2
-            y = right[_room(n[x], n[right], np.minimum(common, np.minimum(n[x] - place[x], n[right] - place[right]))) & (part[right] != part[x])]
-            a.append(np.minimum(node[x], node[y]))
-            b.append(np.maximum(node[x], node[y]))
+        for begin, end in zip(heads.tolist(), [*heads[1:].tolist(), len(order)]):
+            own = order[begin:end]
+            split = int(np.searchsorted(rest[own], True))
+            right = own[:split]
+            for x in own[split:].tolist():
+                common = (n[x] + n[right] - np.bitwise_count(bits[right] ^ bits[x]).sum(axis=1, dtype=np.int64)) // 2
+                y = right[_room(n[x], n[right], np.minimum(common, np.minimum(n[x] - place[x], n[right] - place[right]))) & (part[right] != part[x])]
+                a.append(np.minimum(node[x], node[y]))
+                b.append(np.maximum(node[x], node[y]))
         pairs = np.unique(np.stack([np.concatenate(c) if c else np.zeros(0, np.int64) for c in (a, b)]), axis=1)
         return pa.table({"a": pairs[0], "b": pairs[1]})
 
-    return left.unionByName(right).groupBy("token", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    # Blocks of many tokens share a task.
+    tasks = max(1, -(-2 * large.count() // ROWS))
+    both = left.unionByName(right).withColumn("task", F.pmod(F.xxhash64("token", "i", "j"), F.lit(tasks)))
+    return both.groupBy("task").applyInArrow(compare, "a long, b long").distinct()
 
 
 # --- verifying --------------------------------------------------------------------------------
