@@ -12,8 +12,9 @@ string can appear there, and ``unescape`` gives the text back. ``loss_spans`` ar
 of assistant texts in ``formatted``.
 
 Null texts and roles count as empty; a null conversation id is a conversation of its own. A node
-whose parent is missing is a root. Repeated (conversation, node) rows or a cycle are errors of
-the input: a cycle stops the run. An empty table gives an empty result.
+whose parent is missing is a root. Of rows that repeat (conversation, node) the smallest by
+(parent, score, role, text) counts. A cycle is an error of the input and stops the run. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,6 +36,15 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"([\\<\[])\\", "$1")
 
 
+def escape_role(role: Column) -> Column:
+    """Bars as well, since one ends the mark of a turn."""
+    return F.regexp_replace(role, r"([\\<\[|])", r"$1\\")
+
+
+def unescape_role(role: Column) -> Column:
+    return F.regexp_replace(role, r"([\\<\[|])\\", "$1")
+
+
 def linear_tree(rows: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
     """Turns of linear conversations as trees: each row answers the one before it.
 
@@ -90,16 +100,24 @@ def paths(tree: DataFrame, branches: int = 1) -> DataFrame:
     return reached
 
 
-def format_paths(tree: DataFrame, branches: int = 1) -> DataFrame:
+def one_per_node(tree: DataFrame) -> DataFrame:
+    """One row of each (conversation, node), and no other columns than those of a tree."""
+    own = F.struct("parent", "score", "role", "text")
+    return tree.groupBy("conv_id", "node").agg(F.min(own).alias("own")).select("conv_id", "node", "own.*")
+
+
+def format_paths(tree: DataFrame, branches: int = 1, unique: bool = False) -> DataFrame:
     """``conv_id, leaf, branch, n_turns, formatted, loss_spans``: one row per chosen path.
 
     ``loss_spans``: array of (turn from 0, start, end) in code points of ``formatted``.
+    ``unique``: no (conversation, node) is repeated, as in what ``linear_tree`` gives.
     """
+    tree = tree if unique else written(one_per_node(tree), "nodes")
     nodes = paths(tree, branches)
     words = tree.select(F.col("conv_id").alias("c"), F.col("node").alias("at"), F.coalesce("role", F.lit("")).alias("role"), text_of(F.col("text")).alias("text"))
     turns = nodes.join(words, _meets("node")).select(
         "conv_id", "leaf", "branch", "hop", "role",
-        F.concat(F.lit("<|"), escape(F.col("role")), F.lit("|>\n")).alias("head"), escape(F.col("text")).alias("said"),
+        F.concat(F.lit("<|"), escape_role(F.col("role")), F.lit("|>\n")).alias("head"), escape(F.col("text")).alias("said"),
     )
     path = Window.partitionBy("conv_id", "leaf").orderBy(F.desc("hop"))
     size = F.length("head") + F.length("said") + len(END)
@@ -122,7 +140,7 @@ def read_turns(formatted: Column) -> Column:
     return F.transform(
         F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(0))),
         lambda p: F.struct(
-            unescape(F.regexp_extract(p, r"(?s)\A<\|(.*?)\|>\n", 1)).alias("role"), unescape(F.regexp_replace(p, r"(?s)\A<\|.*?\|>\n", "")).alias("text")
+            unescape_role(F.regexp_extract(p, r"(?s)\A<\|(.*?)\|>\n", 1)).alias("role"), unescape(F.regexp_replace(p, r"(?s)\A<\|.*?\|>\n", "")).alias("text")
         ),
     )
 

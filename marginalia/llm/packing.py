@@ -221,9 +221,11 @@ def _round(items: DataFrame, cohorts: int, capacity: int, salt: int) -> DataFram
 
 def pack(pieces: DataFrame, capacity: int, length: str = "length", rounds: int = 2) -> DataFrame:
     """``pieces`` with ``sequence_id`` and ``offset``: sequences of at most ``capacity``, as few as can be found."""
-    taken = {"sequence_id", "offset", "pack_row"}
-    rows = written(pieces.select(*[c for c in pieces.columns if c not in taken], F.monotonically_increasing_id().alias("pack_row")), "pieces")
-    open_rows = rows.filter(F.col(length) < capacity).select(F.col("pack_row").alias("row"), F.col(length).cast("long").alias("length"))
+    kept = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    # The piece travels as one field, so that no column of the user meets one of ours.
+    piece = F.struct(*(F.col(f"`{c}`") for c in kept)) if kept else F.struct(F.lit(0).alias("none"))
+    rows = written(pieces.select(piece.alias("piece"), F.col(f"`{length}`").cast("long").alias("length"), F.monotonically_increasing_id().alias("at")), "pieces")
+    open_rows = rows.filter(F.col("length") < capacity).select(F.col("at").alias("row"), "length")
     placed, base = [], 0
     for number in range(rounds):
         n = open_rows.count()
@@ -240,11 +242,9 @@ def pack(pieces: DataFrame, capacity: int, length: str = "length", rounds: int =
     found = placed[0]
     for more in placed[1:]:
         found = found.unionByName(more)
-    joined = rows.join(found, rows["pack_row"] == found["row"], "left")
-    return joined.select(
-        *[c for c in rows.columns if c != "pack_row"],
-        F.coalesce("sequence_id", 2 * F.col("pack_row")).alias("sequence_id"), F.coalesce("offset", F.lit(0)).cast("long").alias("offset"),
-    )
+    joined = rows.join(found, rows["at"] == found["row"], "left")
+    placed = F.coalesce("sequence_id", 2 * F.col("at")), F.coalesce("offset", F.lit(0)).cast("long")
+    return joined.select(*(F.col(f"piece.`{c}`") for c in kept), placed[0].alias("sequence_id"), placed[1].alias("offset"))
 
 
 def sequences(packed: DataFrame, ids: str = "ids") -> DataFrame:

@@ -138,7 +138,9 @@ def _spans(cut: Column, kind: str, order: int) -> Column:
 
 def _put(cut: Column, body: Column, new: Callable[[Column, Column], Column]) -> Column:
     """The text with ``new(hit, position)`` for each hit; untouched without hits."""
-    parts = F.transform(cut["gaps"], lambda g, i: F.concat(g, F.coalesce(new(F.get(cut["hits"], i), i), F.lit(""))))
+    # The last gap has no hit behind it.
+    hit = lambda i: F.get(cut["hits"], i)
+    parts = F.transform(cut["gaps"], lambda g, i: F.concat(g, F.coalesce(F.when(hit(i).isNotNull(), new(hit(i), i)), F.lit(""))))
     return F.when(cut.isNull() | (F.size(cut["hits"]) == 0), body).otherwise(F.array_join(parts, ""))
 
 
@@ -314,7 +316,8 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[Da
 
 def redact(docs: DataFrame, weights: dict[str, float], text: str = "text", least: float = LEAST) -> DataFrame:
     """``docs`` with each span replaced by its kind in angle brackets. Null texts stay null."""
-    df = docs.withColumn("__body", text_of(F.col(text)))
+    # The row travels as one field, so that no column of the user meets one of ours.
+    df = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), text_of(F.col(f"`{text}`")).alias("__body"))
     df = _each_kind(df, "__body", lambda kind, _: F.lit(f"<{kind.upper()}>"))
     df = df.withColumn("__cut", _cut(F.col("__body"), CANDIDATE, HINT)).withColumn("__facts", _judged(F.col("__cut")))
 
@@ -322,5 +325,5 @@ def redact(docs: DataFrame, weights: dict[str, float], text: str = "text", least
         facts = F.get(F.col("__facts"), i)
         return F.when(chance(facts, weights) >= least, F.concat(F.lit("<"), F.upper(facts["kind"]), F.lit(">"))).otherwise(hit)
 
-    cleaned = _put(F.col("__cut"), F.col("__body"), new)
-    return df.withColumn(text, F.when(F.col(text).isNull(), None).otherwise(cleaned)).drop("__body", "__cut", "__facts")
+    cleaned = F.when(F.col(f"row.`{text}`").isNotNull(), _put(F.col("__cut"), F.col("__body"), new))
+    return df.select(*(cleaned.alias(c) if c == text else F.col(f"row.`{c}`").alias(c) for c in docs.columns))

@@ -94,7 +94,7 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     tricky = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], "conv_id long, turn long, role string, text string")
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    done = chat.format_paths(chat.linear_tree(rows, "conv_id", "turn", "role", "text"))
+    done = chat.format_paths(chat.linear_tree(rows, "conv_id", "turn", "role", "text"), unique=True)
     read = done.select(
         "conv_id", F.length("formatted").cast("long").alias("formatted_chars"), chat.read_turns(F.col("formatted")).alias("turns"),
         F.array_join(chat.read_loss(F.col("formatted"), F.col("loss_spans")), "").alias("loss"),

@@ -285,3 +285,35 @@ def test_pipeline_on_odd_rows(spark, folder):
     assert kept.columns == docs.columns
     assert kept.filter("doc_id = 4").count() == 1 and kept.filter("doc_id is null").count() == 0
     assert quality_rules.keep_good(docs).columns == docs.columns
+
+
+def test_many_open_tags_are_read_in_linear_time():
+    import time
+
+    def seconds(n):
+        page = "<div class=ad>" * n + "<article><h1>Head</h1>" + "<p>Text of the page.</p>" * n + "</article>"
+        begin = time.perf_counter()
+        assert html_extract.main_text(page).split("\n")[:2] == ["Head", "Text of the page."]
+        return time.perf_counter() - begin
+
+    seconds(1_000)
+    assert seconds(40_000) < 12 * max(seconds(8_000), 0.05)
+
+
+def test_formulas_stay():
+    page = "<article><p>Before the formula <math><mi>x</mi><mo>=</mo><mn>1</mn></math> and after it.</p></article>"
+    assert html_extract.main_text(page) == "Before the formula x=1 and after it."
+
+
+def test_redact_with_clashing_names(spark):
+    rows = [("write to a.b@example.org now", "b", 1, "c", "f"), (None, "b", 2, None, "f"), ("nothing", None, 3, "c", None)]
+    df = spark.createDataFrame(rows, "text string, __body string, row long, __cut string, __facts string")
+    got = sorted(map(tuple, pii.redact(df, {}).collect()), key=lambda r: r[2])
+    assert got == [("write to <EMAIL> now", "b", 1, "c", "f"), rows[1], rows[2]]
+    assert pii.redact(df, {}).columns == df.columns
+
+
+def test_private_data_without_a_length_column(spark, folder):
+    docs = spark.createDataFrame([(1, "call +49 170 1234567 now"), (2, None)], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.private_data(spark, docs, folder).collect()}
+    assert got == {1: "call <PHONE> now", 2: None}

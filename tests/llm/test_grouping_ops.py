@@ -296,3 +296,12 @@ def test_lattice_points_are_nearest():
     d = np.linalg.norm(got - x[:, None], axis=2)
     assert d[:, 0].max() <= 1.0 + 1e-9 and (np.diff(d, axis=1) >= -1e-9).all()
     assert all(len({tuple(p) for p in ps}) == 4 for ps in got)
+
+
+def test_packing_keeps_columns_of_any_name(spark):
+    rows = [(i, 10 + i % 50, "x", i, "p", "a") for i in range(60)] + [(99, 100, None, 0, None, None)]
+    df = spark.createDataFrame(rows, "row long, length long, cohort string, at long, piece string, sequence_id string")
+    got = packing.pack(df, 100).collect()
+    assert sorted((r.row, r["length"], r.cohort, r["at"], r.piece) for r in got if r.row < 99) == [r[:5] for r in rows[:-1]]
+    assert packing.pack(df, 100).columns == ["row", "length", "cohort", "at", "piece", "sequence_id", "offset"]
+    assert packing.pack(df.filter("false"), 100).count() == 0

@@ -198,3 +198,19 @@ def test_long_conversation_takes_few_joins(spark):
     rows = spark.range(300).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.col("id").cast("string").alias("text"))
     out = chat.format_paths(chat.linear_tree(rows, "conv_id", "turn", "role", "text")).withColumn("turns", chat.read_turns(F.col("formatted"))).collect()
     assert [t.text for t in out[0].turns] == [str(i) for i in range(300)]
+
+
+def test_roles_and_texts_are_read_back_whatever_they_hold(spark):
+    odd = ["a|>\nb", "<|user|>", "|", "\\", "[x]<y|\\|", "", "assistant"]
+    rows = [(1, i, r, f"{r} says") for i, r in enumerate(odd)]
+    df = spark.createDataFrame(rows, "conv long, turn long, role string, text string")
+    done = chat.format_paths(chat.linear_tree(df, "conv", "turn", "role", "text"), unique=True)
+    got = done.select(chat.read_turns(F.col("formatted")).alias("t"), chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("l")).first()
+    assert [(t.role, t.text) for t in got.t] == [(r[2], r[3]) for r in rows] and got.l == ["assistant says"]
+
+
+def test_repeated_nodes_count_once(spark):
+    rows = [(1, 1, None, "user", "b", 0.0), (1, 1, None, "user", "a", 0.0), (1, 2, 1, "assistant", "x", 0.5), (1, 2, 1, "assistant", "x", 0.5), (None, 1, None, "user", "n", None)]
+    tree = spark.createDataFrame(rows, "conv_id long, node long, parent long, role string, text string, score double").withColumn("turn", F.lit("extra"))
+    got = {r.conv_id: [(t.role, t.text) for t in r.t] for r in chat.format_paths(tree).select("conv_id", chat.read_turns(F.col("formatted")).alias("t")).collect()}
+    assert got == {1: [("user", "a"), ("assistant", "x")], None: [("user", "n")]}
