@@ -3,6 +3,11 @@
 Each stage takes the documents its predecessor kept and returns documents again; the last one
 returns the packed pieces. ``run`` writes every stage's result as Parquet to the shared folder
 and reads it back, so a lost executor costs at most the tasks of one stage.
+
+Null and empty texts fail the rules of quality and go with the first stage; texts of any length
+are taken whole. Repeated rows are judged alike, and one of them survives the near-duplicates.
+An empty table gives an empty result. Further columns pass through all stages but the last,
+whatever their names; the length column is optional.
 """
 
 from __future__ import annotations
@@ -34,6 +39,8 @@ def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """All documents, personal data replaced by its kind and the length brought up to date."""
     _, weights = pii.fit(docs)
     clean = pii.redact(docs, weights)
+    if "n_chars" not in docs.columns:
+        return clean
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
