@@ -356,8 +356,8 @@ UNION ALL SELECT (SELECT max(tick) FROM resumed), page_id, edited_at, k, status,
 def incremental_upsert(spark, folder):
     t = run_ticks(resumed(spark, folder), "upsert", RESUME, ST.sync_pages(seeded(spark, folder), incoming_rows))
     rows = t.every("state", ST.STATE)
-    last = rows.agg(F.max("tick").alias("tick"))
-    shown = rows.join(last.withColumnRenamed("tick", "last")).filter("effect <> 'kept' OR tick = last")
+    last = rows.agg(F.max("tick").alias("tick")).scalar()
+    shown = rows.filter((F.col("effect") != "kept") | (F.col("tick") == last))
     return shown.select("tick", "page_id", "edited_at", "k", "status", "location", "effect")
 
 

@@ -162,9 +162,9 @@ def rebuild_when_changed(changes: Callable[[DataFrame], DataFrame], refused: Cal
 
     def step(t: Tables, n: int, rows: DataFrame, end: datetime) -> None:
         own = changes(rows).agg(F.max("edited_at").alias("newest"), F.count("*").alias("changes"))
-        past = t.every("rebuilds", REBUILDS).filter(F.col("tick") < n).agg(F.max("newest").alias("older"), F.max("started_at").alias("last_started"))
-        stop = refused(rows).agg((F.count("*") > 0).alias("stop"))
-        seen = own.join(past).join(stop).withColumn("newest", F.greatest("newest", "older"))
+        past = t.every("rebuilds", REBUILDS).filter(F.col("tick") < n)
+        one = {"older": past.agg(F.max("newest")).scalar(), "last_started": past.agg(F.max("started_at")).scalar(), "stop": refused(rows).agg(F.count("*") > 0).scalar()}
+        seen = own.withColumns(one).withColumn("newest", F.greatest("newest", "older"))
         dirty = F.col("newest").isNotNull() & (F.col("last_started").isNull() | (F.col("newest") > F.col("last_started")))
         rebuild = dirty & ~F.col("stop")
         start = F.when(F.col("rebuild"), F.lit(end).cast("timestamp"))
