@@ -649,6 +649,9 @@ def unique_slugs(docs: DataFrame) -> DataFrame:
     return based.join(first, "base").select("page_id", "base", F.when(own, F.col("base")).otherwise(suffixed).alias("slug"))
 
 
+KEY_SLICES = 64  # over which message keys are dealt to meet the locales
+
+
 def translation_messages(plan: HierarchyPlan) -> DataFrame:
     """Message keys per non-English locale. English categories define the keys; a locale
     without a label of its own shows the English one."""
@@ -670,16 +673,18 @@ def translation_messages(plan: HierarchyPlan) -> DataFrame:
     sections = english.filter((F.col("toggle_dir") == "") & (F.col("section_dir") != root_dir))
     toggles = english.filter("toggle_dir <> ''").join(toggles_in_use, "key", "left_semi")
     keys = sections.unionByName(toggles.select(*sections.columns))
-    # Each key once per locale. The distinct locale codes are one scalar value.
-    locales = cats.filter(F.col("locale") != "en").agg(F.collect_set("locale").alias("locales"))
-    wanted = keys.select("*", F.explode(locales.scalar()).alias("locale"))
+    # Each key once per locale: keys are dealt to slices, and every locale has a row in each slice.
+    locales = cats.filter(F.col("locale") != "en").select("locale").distinct()
+    sliced = locales.select("locale", F.explode(F.sequence(F.lit(0), F.lit(KEY_SLICES - 1))).alias("__slice"))
+    own_slice = F.pmod(F.xxhash64("key"), F.lit(KEY_SLICES)).cast("int")
+    wanted = keys.withColumn("__slice", own_slice).join(sliced, "__slice").drop("__slice")
     own = slots.select("locale", "section_dir", "toggle_dir", "label")
     labelled = wanted.join(own, ["locale", "section_dir", "toggle_dir"], "left")
     key = F.concat(F.lit("sidebar.docsSidebar.category."), "key")
     text = F.coalesce("label", "en_label")
     both = F.array(key, F.concat(key, F.lit(".link.generated-index.title")))
     rows = labelled.select("locale", F.explode(both).alias("message_key"), text.alias("message"))
-    version = locales.select(F.explode("locales").alias("locale")).select(
+    version = locales.select(
         "locale", F.lit("version.label").alias("message_key"), F.lit("Latest").alias("message")
     )
     return rows.unionByName(version)
