@@ -8,6 +8,7 @@ from ..functions import columns as C
 from ..functions import fixed
 from ..operators import extraction as X
 from ..operators import quality as Q
+from ..operators import schemas as SC
 from ..session import shared_dir
 from ..sources import scans, sinks
 from ..sources import tables as T
@@ -650,6 +651,61 @@ def schema_validity(spark, folder):
     return Q.metadata_rules(c)
 
 
+# A chunk's record of every document, and a manifest of one document each, with faults by number.
+CHUNK_FAULTS = (
+    (7, '"status":"active"', '"status":"live"', "$.status", "is none of the known values"),
+    (11, '"slug":', '"slug_":', "$.slug", "is missing"),
+    (13, '"heading_path":["a"]', '"heading_path":["a",7,null]', "$.heading_path[1]", "is no text"),
+    (13, '"heading_path":["a"]', '"heading_path":["a",7,null]', "$.heading_path[2]", "is no text"),
+    (17, '"locale":', '"locale":5,"locale_":', "$.locale", "is no text"),
+)
+MANIFEST_FAULTS = (
+    (7, '"schema_version":"1.0"', '"schema_version":"2.0"', "$.schema_version", "is none of the known values"),
+    (11, '"section_order":1', '"section_order":"1"', "$.docs[0].section_order", "is no number"),
+    (13, '"items":["b"]', '"items":["b",{"type":"category","label":"x"}]', "$.sidebars.en[1].items[1].items", "is missing"),
+    (17, '"source":{', '"source":{"type":"other"},"source_":{', "$.source.type", "is none of the known values"),
+    (17, '"source":{', '"source":{"type":"other"},"source_":{', "$.source.database_id", "is missing"),
+    (17, '"source":{', '"source":{"type":"other"},"source_":{', "$.source.data_source_id", "is missing"),
+    (19, '"rag":{', '"rag":null,"rag_":{', "$.rag", "is no record"),
+)
+
+
+def with_faults(spark, folder, json: str, known: tuple):
+    """``page_id, json``: records of the documents; every nineteenth or so has one of the known faults, every 23rd is cut."""
+    c = meta(spark, folder).join(T.table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    out = F.expr(json)
+    for n, good, bad in dict.fromkeys(k[:3] for k in known):
+        out = F.when(F.col("doc_id") % n == 0, F.replace(out, F.lit(good), F.lit(bad))).otherwise(out)
+    return c.select("page_id", F.when(F.col("doc_id") % 23 == 0, F.left(out, F.lit(40))).otherwise(out).alias("json"))
+
+
+def faults_sql(known: tuple) -> str:
+    rows = [f"SELECT page_id, '{path}' AS path, '{problem}' AS problem FROM corpus WHERE doc_id % {n} = 0 AND doc_id % 23 <> 0" for n, _, _, path, problem in known]
+    return with_corpus(" UNION ALL ".join([*rows, "SELECT page_id, '$', 'is no JSON' FROM corpus WHERE doc_id % 23 = 0"]))
+
+
+@query("chunk_schema_validity", faults_sql(CHUNK_FAULTS))
+def chunk_schema_validity(spark, folder):
+    fields = "to_json(named_struct('chunk_id', page_id, 'page_id', page_id, 'title', title, 'locale', locale, 'slug', slug, 'heading_path', array('a'), 'text', text, 'source_url', 'u', 'docusaurus_path', 'p', 'content_hash', 'h', 'status', 'active'))"
+    return SC.violations(with_faults(spark, folder, fields, CHUNK_FAULTS), SC.CHUNK, "page_id", "json")
+
+
+@query("manifest_schema_validity", faults_sql(MANIFEST_FAULTS))
+def manifest_schema_validity(spark, folder):
+    doc = (
+        "named_struct('page_id', page_id, 'title', title, 'locale', locale, 'section', coalesce(section, 's'), 'section_order', 1, 'element_type', element_type, 'drafting_status', 'd', 'slug', slug, "
+        "'docusaurus_id', 'i', 'docusaurus_path', 'p', 'r2_doc_key', 'k', 'r2_metadata_key', 'm', 'source_url', 'u', 'notion_last_edited_time', 't', 'content_hash', 'h', 'status', status, "
+        "'sub_items', array(page_id), 'language_source', language_source)"
+    )
+    fields = (
+        f"to_json(named_struct('schema_version', '1.0', 'generated_at', 'now', 'source', named_struct('type', 'notion', 'database_id', 'd', 'data_source_id', 's'), 'docs', array({doc}), "
+        "'sidebars', map('en', from_json('[]', 'array<string>')), 'rag', named_struct('chunks_manifest_key', 'k')))"
+    )
+    sidebars = '"sidebars":{"en":["a",{"type":"category","label":"l","collapsed":true,"items":["b"]}]}'
+    whole = f"""replace({fields}, '"sidebars":{{"en":[]}}', '{sidebars}')"""
+    return SC.violations(with_faults(spark, folder, whole, MANIFEST_FAULTS), SC.MANIFEST, "page_id", "json")
+
+
 @query(
     "word_character_filter",
     f"WITH {ctes.MD_LINES} SELECT doc_id, line_no, line FROM md_lines WHERE regexp_matches(line, '[\\p{{L}}\\p{{N}}]')",
