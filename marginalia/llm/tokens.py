@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from array import array
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 from .bpe import SETTLED, SPLIT, BytePairs
 
@@ -14,12 +14,18 @@ class JsonTokenizer:
     library, which gives the same ids faster; any other file or alphabet runs on the library itself."""
 
     def __init__(self, path: str):
+        self.path = path
+        self.ranked, self.special = self._ranked(path)
+
+    @cached_property
+    def whole(self):
+        """The library itself, loaded by the first text that needs it."""
         from tokenizers import Tokenizer
 
-        self.whole = Tokenizer.from_file(path)
-        self.whole.no_truncation()
-        self.whole.no_padding()
-        self.ranked, self.special = self._ranked(path)
+        out = Tokenizer.from_file(self.path)
+        out.no_truncation()
+        out.no_padding()
+        return out
 
     @staticmethod
     def _ranked(path: str):
