@@ -2,12 +2,16 @@
 
 Markup is stripped to lines: block tags end a line, and the border of a container leaves as many
 empty lines as the window is long. Over the weights of the lines, which are their lengths without
-links, and zero inside menus, forms and other furniture, the sums of a sliding window rise where
-running text begins (surge) and fall to nothing where it ends (dive). The text between such
-points is a passage. Passages inside an article or main element are kept. On a page without one,
-the passage of largest sum and those that reach a share of it tell where the text stands: all lines
-are kept of the outermost containers that hold these passages, and of what lies between them.
-Sections stay together, and a heading before the text belongs to it.
+links, the sums of a sliding window rise where running text begins (surge) and fall to nothing
+where it ends (dive). What stands between such points is a passage. The passage of largest sum and
+those that reach a share of it tell where the text stands, on every page alike: all lines are kept
+of the containers that hold these passages, and of what lies between them. Sections stay together,
+as do articles, and a heading before the text belongs to it.
+
+Tags only set borders and weights. Menus, forms and other furniture weigh nothing and leave no
+text. An article or main element bounds its text as the outermost container does elsewhere, and its
+lines weigh more. Inside furniture known by its names only, they weigh less with each such name
+around them, so they are the text of pages that have no other.
 
 A null or empty page, and one without text, gives an empty text. Pages are read whole; broken
 markup (tags that are never closed, cut pages) is read as far as it makes sense, in time linear in
@@ -22,7 +26,6 @@ import html
 import re
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -34,6 +37,8 @@ from .common import text_of
 
 WINDOW = 3  # lines of a window
 SHARE = 0.2  # of the largest passage, from which others tell where text stands
+ARTICLE_WEIGHT = 10  # of a line in an article or main element
+NAMED_WEIGHT = 1e-6  # for each furniture name around its article
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -83,11 +88,14 @@ def _is_named(rest: str) -> bool:
 
 class Line(NamedTuple):
     text: str
-    weight: int
-    inside: bool  # an article
-    top: int = 0  # the outermost container: where its tag begins, plus one; 0 outside of any
-    section: bool = False  # that container is a section
+    weight: float
+    top: int = 0  # the outermost article, or container: where its tag begins, plus one; 0 outside of any
+    kind: str = ""  # "section" or "article" if that is one
     title: bool = False  # a heading of the first level
+    named: int = 0  # pieces of furniture, known by their names only, around its article
+
+
+BORDER = Line("", 0)
 
 
 def _left_open(page: str) -> set[int]:
@@ -123,53 +131,81 @@ def _left_open(page: str) -> set[int]:
     return out
 
 
-def lines_of(page: str, strict: bool = True) -> list[Line]:
+def lines_of(page: str) -> list[Line]:
     """Lines of the page. Furniture has no text; borders are empty lines.
 
-    An article that opens in furniture known by its names only is part of it, unless that furniture
-    was left open or ``strict`` is off.
+    Text of an article that opens in furniture known by its names only is kept with a small weight,
+    or a full one where that furniture was left open.
     """
     lines: list[Line] = []
-    open_tags: list[tuple[str, bool, int]] = []
+    # Name, kind of furniture (0 none, 1 by names around an article, 2 without text), where it begins.
+    open_tags: list[tuple[str, int, int]] = []
     n_open: dict[str, int] = defaultdict(int)
-    furniture = articles = links = linked = 0
+    of_kind = [0, 0, 0]
+    owned: list[int] = []  # places of furniture in open_tags
+    outermost: int | None = None  # place of the outermost container
+    articles = article_at = tags = closed = links = linked = 0
     title = False
     parts: list[str] = []
     unclosed: set[int] | None = None
 
+    def silent() -> bool:
+        return bool(of_kind[2] or of_kind[1] and not articles)
+
     def flush() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split()) if parts else ""
         if text:
-            top, section = next(((at + 1, t == "section") for t, own, at in open_tags if t in CONTAINERS and t != "body" and t not in LISTS), (0, False))
-            lines.append(Line(text, max(1, len(text) - linked), articles > 0, top, section, title))
+            weight = max(1, len(text) - linked)
+            if articles:
+                weight *= ARTICLE_WEIGHT * NAMED_WEIGHT ** min(of_kind[1], 20)
+                lines.append(Line(text, weight, article_at, "article", title, of_kind[1]))
+            else:
+                name, _, at = ("", 0, -1) if outermost is None else open_tags[outermost]
+                lines.append(Line(text, weight, at + 1, name if name == "section" else "", title))
         parts.clear()
         linked = 0
 
     def close(name: str) -> None:
-        nonlocal furniture, articles
+        nonlocal articles, tags, closed, outermost
         while True:
-            t, own, _ = open_tags.pop()
+            t, own, at = open_tags.pop()
             n_open[t] -= 1
-            furniture -= own
+            of_kind[own] -= 1
+            if own:
+                owned.pop()
+                tags -= t in FURNITURE
+                closed -= unclosed is not None and at not in unclosed
+            if outermost == len(open_tags):
+                outermost = None
             articles -= t in ARTICLE
             if t == name:
                 return
 
     def resets(name: str, rest: str) -> bool:
         """Whether furniture that was never closed ends here, where an article begins."""
-        nonlocal unclosed
-        if name not in ARTICLE or not furniture or any(own and t in FURNITURE for t, own, _ in open_tags):
+        nonlocal unclosed, closed
+        if name not in ARTICLE or not owned or tags or _is_named(rest):
             return False
-        if not strict:
-            return True
         if unclosed is None:
             unclosed = _left_open(page)
-        return not _is_named(rest) and all(at in unclosed for _, own, at in open_tags if own)
+            closed = sum(open_tags[i][2] not in unclosed for i in owned)
+        return not closed
+
+    def furniture(name: str, rest: str) -> int:
+        # Headings of an article stay, whoever wraps them.
+        if name == "body" or name == "header" and articles:
+            return 0
+        if name in FURNITURE or ROLE.search(rest):
+            return 2
+        # An article's names count inside another one and inside furniture.
+        if (name not in ARTICLE or articles or of_kind[1]) and _is_named(rest):
+            return 2 if articles else 1
+        return 0
 
     for m in TOKEN.finditer(page):
         if (text := m["text"]) is not None:
-            if not furniture:
+            if not silent():
                 parts.append(text)
                 if links:
                     linked += len(text.strip())
@@ -180,7 +216,7 @@ def lines_of(page: str, strict: bool = True) -> list[Line]:
         if name == "a":
             links = 0 if m["end"] else 1
         if name == "br" or name in VOID and name != "hr":
-            if not furniture and name in ("br", "wbr", "img"):
+            if not silent() and name in ("br", "wbr", "img"):
                 parts.append(" " if name == "br" else "")
             continue
         if name not in LINE_TAGS and name not in FURNITURE:
@@ -189,7 +225,7 @@ def lines_of(page: str, strict: bool = True) -> list[Line]:
         if open_tags and open_tags[-1][0] == "p" and not m["end"]:
             close("p")  # its end tag may be left out before any block
         if name in CONTAINERS:
-            lines += [Line("", 0, articles > 0)] * (1 if name in LISTS else WINDOW)
+            lines += [BORDER] * (1 if name in LISTS else WINDOW)
         if name == "hr":
             continue
         title = name == "h1" and not m["end"]
@@ -197,7 +233,7 @@ def lines_of(page: str, strict: bool = True) -> list[Line]:
             if n_open[name]:
                 close(name)
         elif not m["rest"].endswith("/"):
-            if name in OPTIONAL:
+            if name in OPTIONAL and any(n_open[t] for t in OPTIONAL[name]):
                 # A list item or cell whose end tag is left out ends at the next one of its list or row.
                 for t, _, _ in reversed(open_tags):
                     if t in OPTIONAL[name]:
@@ -206,60 +242,65 @@ def lines_of(page: str, strict: bool = True) -> list[Line]:
                     if t in CONTAINERS and t != "div":
                         break
             if resets(name, m["rest"]) or name == "body":
-                furniture, open_tags = 0, [(t, False, at) for t, _, at in open_tags]
-            # An article's names count inside another one and inside furniture.
-            own = _is_furniture(name, m["rest"]) or strict and name in ARTICLE and (articles or furniture) and _is_named(m["rest"])
-            # Headings of an article stay, whoever wraps them.
-            own = bool(own and not (name == "header" and articles))
-            furniture += own
-            articles += name in ARTICLE
-            if name in CONTAINERS or own or name in FURNITURE or name in ARTICLE:
+                for i in owned:
+                    open_tags[i] = (open_tags[i][0], 0, open_tags[i][2])
+                owned.clear()
+                of_kind, tags, closed = [len(open_tags), 0, 0], 0, 0
+            own = furniture(name, m["rest"])
+            if name in ARTICLE:
+                article_at = article_at if articles else m.start() + 1
+                articles += 1
+            if own or name in CONTAINERS or name in FURNITURE or name in ARTICLE:
+                if outermost is None and name in CONTAINERS and name != "body" and name not in LISTS:
+                    outermost = len(open_tags)
+                if own:
+                    owned.append(len(open_tags))
+                    tags += name in FURNITURE
+                    closed += unclosed is not None and m.start() not in unclosed
                 open_tags.append((name, own, m.start()))
                 n_open[name] += 1
+                of_kind[own] += 1
     flush()
     return lines
 
 
-def passages(lines: list[Line]) -> list[tuple[int, int]]:
-    """Spans of lines between surge and dive points of the window sums."""
-    total = [0, *accumulate(line.weight for line in lines)]
-    sums = [total[min(i + WINDOW, len(lines))] - total[i] for i in range(len(lines))]
-    out, begin = [], None
-    for i, s in enumerate(sums):
-        if begin is None and s > 0 and lines[i].weight > 0:
-            begin = i  # surge: text from here on
-        elif begin is not None and s == 0:
-            out.append((begin, i))  # dive: nothing for a whole window
-            begin = None
+def passages(lines: list[Line]) -> list[tuple[float, int, int]]:
+    """Passages between surge and dive points of the window sums: sum of weights, first line, last (exclusive)."""
+    out: list[tuple[float, int, int]] = []
+    begin, total, rests = None, 0.0, 0
+    for i, line in enumerate(lines):
+        if line.weight:
+            if begin is None:
+                begin, total = i, 0.0  # surge: text from here on
+            total, rests = total + line.weight, 0
+        elif begin is not None:
+            rests += 1
+            if rests == WINDOW:  # dive: nothing for a whole window
+                out.append((total, begin, i - WINDOW + 1))
+                begin = None
     if begin is not None:
-        out.append((begin, len(lines)))
+        out.append((total, begin, len(lines)))
     return out
 
 
-def extent(lines: list[Line], found: list[tuple[int, int, int]]) -> tuple[int, int]:
-    """First and last line (exclusive) of the text on a page without article, from its passages (sum, begin, end)."""
-    most = max((f[0] for f in found), default=0)
-    strong = [line for s, a, b in found if s >= SHARE * most for line in lines[a:b] if line.weight]
-    tops = {line.top for line in strong}
-    if not tops or 0 in tops:
-        return 0, len(lines)
-    sections = any(line.section for line in strong)
-    at = [i for i, line in enumerate(lines) if line.weight and (line.top in tops or sections and line.section)]
-    first, last = at[0], at[-1] + 1
-    if not any(line.title for line in lines[first:last]):
-        first = next((i for i in range(first - 1, -1, -1) if lines[i].title), first)
-    return first, last
-
-
-def main_text(page: str, strict: bool = True) -> str:
-    lines = lines_of(page, strict)
-    spans = passages(lines)
-    if any(line.inside for a, b in spans for line in lines[a:b] if line.weight):
-        return "\n".join(line.text for a, b in spans for line in lines[a:b] if line.weight and line.inside)
-    first, last = extent(lines, [(sum(line.weight for line in lines[a:b]), a, b) for a, b in spans])
-    text = "\n".join(line.text for line in lines[first:last] if line.weight)
-    # All text stands in articles that names around them call furniture: then these are the text.
-    return text or (main_text(page, False) if strict else "")
+def main_text(page: str) -> str:
+    lines = lines_of(page)
+    found = passages(lines)
+    most = max((total for total, _, _ in found), default=0)
+    strong = [line for total, a, b in found if total >= SHARE * most for line in lines[a:b] if line.weight]
+    if not strong:
+        return ""
+    # Text inside fewer pieces of named furniture outweighs all of what stands inside more.
+    named = min(line.named for line in strong)
+    strong = [line for line in strong if line.named == named]
+    tops, kinds = {line.top for line in strong}, {line.kind for line in strong} - {""}
+    first, last = 0, len(lines)
+    if 0 not in tops:
+        at = [i for i, line in enumerate(lines) if line.weight and line.named == named and (line.top in tops or line.kind in kinds)]
+        first, last = at[0], at[-1] + 1
+        if not any(line.title for line in lines[first:last]):
+            first = next((i for i in range(first - 1, -1, -1) if lines[i].title and lines[i].named == named), first)
+    return "\n".join(line.text for line in lines[first:last] if line.weight and line.named <= named)
 
 
 def main_text_column(page: Column) -> Column:

@@ -1,6 +1,7 @@
 """Extraction, classifier, personal data and the pipeline."""
 
 import re
+from html.parser import HTMLParser
 
 import numpy as np
 import public_tokenizers
@@ -95,6 +96,81 @@ def test_pages_hold_their_documents(spark, folder):
         assert squeeze(r.text.split("\n", 1)[1]) in texts
 
 
+class Plain(HTMLParser):
+    """Text of the article of a well-meant page, block by block: no weights, no windows."""
+
+    BLOCKS = frozenset("p h1 h2 h3 h4 ul ol li div article section blockquote pre table tr td th hr figure figcaption dl dt dd".split())
+    OUT = frozenset("nav header footer aside form script style noscript".split())
+
+    def __init__(self):
+        super().__init__()
+        self.blocks, self.inside, self.out = [[]], 0, []
+
+    def handle_starttag(self, tag, attrs):
+        names = " ".join(v or "" for k, v in attrs if k in ("class", "id"))
+        if self.out or tag in self.OUT or re.search(r"\b(ad|ads|cookie|sidebar|comments|promo|share|related|newsletter)\b", names):
+            self.out += [tag] if tag not in ("br", "img", "hr", "input", "meta", "link", "p", "li") else []
+        elif tag == "br":
+            self.handle_data(" ")
+        self.inside += tag == "article"
+        if tag in self.BLOCKS:
+            self.blocks.append([])
+
+    def handle_endtag(self, tag):
+        if tag in self.out:
+            while self.out.pop() != tag:
+                pass
+        self.inside -= tag == "article"
+        if tag in self.BLOCKS:
+            self.blocks.append([])
+
+    def handle_data(self, data):
+        if self.inside and not self.out:
+            self.blocks[-1].append(data)
+
+    @classmethod
+    def text(cls, page):
+        own = cls()
+        own.feed(page)
+        own.close()
+        return "\n".join(t for t in (" ".join("".join(b).split()) for b in own.blocks) if t)
+
+
+def test_extraction_equals_a_plain_parser(spark, folder):
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{folder}/pages.parquet").collect()}
+    got = {r.page_id: r.text for r in queries.op2_html(spark, folder).collect()}
+    assert got == {k: Plain.text(v or "") for k, v in pages.items()}
+
+
+def test_no_page_hangs_on_its_article_tags(spark, folder):
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    plain = pages.withColumn("html", F.regexp_replace("html", "(?i)<(/?)(article|main)\\b", "<$1div"))
+    assert plain.filter("html rlike '(?i)<article'").count() == 0
+    got, want = (sorted((r.page_id, r.text) for r in html_extract.extract(p).collect()) for p in (plain, pages))
+    assert got == want and all(text for _, text in got)
+
+
+def test_passages_decide_over_tags():
+    # A teaser in an article is no match for running text ten times as long in plain containers.
+    long = "".join(f"<p>{'A sentence of the text that runs on. ' * 20}{i}</p>" for i in range(9))
+    page = f"<body><div id=content>{long}</div><article><p>See also.</p></article></body>"
+    assert "See also" not in html_extract.main_text(page)
+    assert html_extract.main_text(page).count("\n") == 8
+    # Text within fewer pieces of named furniture outweighs any amount within more.
+    page = f"<body><div class=widget><article><p>Short text.</p></article></div><div class=widget><div class=comments><article>{long}</article></div></div></body>"
+    assert html_extract.main_text(page) == "Short text."
+    # Only furniture: no text.
+    assert html_extract.main_text(f"<body><nav>{long}</nav><div class=comments>{long}</div></body>") == ""
+
+
+def test_passages_of_equal_sums_and_repeated_pages(spark):
+    part = "<section><p>Words of one part.</p></section>"
+    page = f"<body><div class=ad>Buy</div>{part}{part}{part}</body>"
+    df = spark.createDataFrame([(1, page), (1, page), (2, "")], "page_id long, html string")
+    got = sorted((r.page_id, r.text) for r in html_extract.extract(df).collect())
+    assert got == [(1, "\n".join(["Words of one part."] * 3))] * 2 + [(2, "")]
+
+
 def test_extraction_keeps_columns(spark):
     df = spark.createDataFrame([(1, None, "old"), (None, "", "old"), (2, "<p>" + "a " * 90000, "old")], "page_id long, html string, text string")
     got = {r.page_id: r.text for r in html_extract.extract(df).collect()}
@@ -300,6 +376,19 @@ def test_many_open_tags_are_read_in_linear_time():
     assert seconds(40_000) < 12 * max(seconds(8_000), 0.05)
 
 
+@pytest.mark.parametrize("part", ["<div class=ad><article>x", "<ul><li>x", "<div><p>x", "<li class=ad>x<ul>", "<div class=ad><p class=ad>x<section>"])
+def test_deep_pages_are_read_in_linear_time(part):
+    import time
+
+    def seconds(n):
+        begin = time.perf_counter()
+        html_extract.main_text("<body>" + part * n + "<article><p>Text")
+        return time.perf_counter() - begin
+
+    seconds(1_000)
+    assert seconds(40_000) < 12 * max(seconds(8_000), 0.05)
+
+
 def test_formulas_stay():
     page = "<article><p>Before the formula <math><mi>x</mi><mo>=</mo><mn>1</mn></math> and after it.</p></article>"
     assert html_extract.main_text(page) == "Before the formula x=1 and after it."
