@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from ..functions import columns as C
 from ..functions import fixed
@@ -12,6 +13,7 @@ from ..functions.lineage import written
 LIST_ITEMS = ("bulleted_list_item", "numbered_list_item")
 INDENT = "  "  # of a list item inside another one
 AFTER = "~"  # sorts behind every place in a path
+NESTED_ROWS = 100_000  # nested blocks, without their texts, in a task of a level
 
 # Line prefix per block type; anything not listed renders as plain text or a note.
 PREFIX = {
@@ -80,62 +82,82 @@ def block_rollup(blocks: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     in a quote has its mark on every line, and a toggle has a second row behind all that is
     in it, which closes it. A block whose parent is not there is kept as a root of its own and
     marked ``orphan``. Reading a page's rows in path order gives its text; no page is gathered
-    into one task. Each level is one join on the parent, written out so that lineage does not
-    grow with the depth. Blocks that hang on each other in a ring have no root: they stop the
-    run, none is dropped.
+    into one task. Blocks that hang on each other in a ring have no root: they stop the run,
+    none is dropped.
+
+    Levels are found without the texts, which join their places once, at the end. Nested
+    blocks are shuffled once, to where their parents will come, and stay there: a level moves
+    only the places of the level above. So every block is moved a fixed number of times,
+    however deep the trees; only paths grow with the depth. Each level is written out, so that
+    lineage does not grow with it.
     """
     here = F.concat(F.lpad(F.col("pos").cast("string"), 19, "0"), F.lit("."), F.col("block_id").cast("string"))
     shaped = blocks.select(
-        "page_id", "block_id", "parent_id", "type", here.alias("here"),
+        F.monotonically_increasing_id().alias("__id"), "page_id", "block_id", "parent_id", "type", here.alias("here"),
         block_text(
             F.col("type"), F.col("text"), extra,
             F.col("checked") if "checked" in blocks.columns else None, F.col("language") if "language" in blocks.columns else None,
         ).alias("rendered"),
     )
-    shaped = written(shaped, "blocks")
-    cols = ["page_id", "block_id", "depth", "path", "type", "rendered", "orphan", "nest", "quote"]
-    known = shaped.select(F.col("page_id").alias("__page"), F.col("block_id").alias("__up")).distinct()
-    hung = shaped.join(known, (F.col("page_id") == F.col("__page")) & (F.col("parent_id") == F.col("__up")), "left")
-    hung = written(hung.withColumn("orphan", F.col("parent_id").isNotNull() & F.col("__up").isNull()).drop("__page"), "hung")
+    shaped = written(shaped, "blocks", "zstd")
+    known = shaped.select(F.col("page_id").alias("__page"), F.col("block_id").alias("__block"), F.col("__id").alias("__up"))
+    hung = shaped.join(known, (F.col("page_id") == F.col("__page")) & (F.col("parent_id") == F.col("__block")), "left")
+    orphan = F.col("parent_id").isNotNull() & F.col("__up").isNull()
+    hung = written(hung.select("__id", "__up", "here", "type", orphan.alias("orphan")), "hung")
+    cols = ["__id", "depth", "path", "type", "orphan", "nest", "quote"]
     first = {"depth": F.lit(0), "path": F.col("here"), "nest": F.lit(0), "quote": F.lit("")}
-    level, out, depth, placed = written(hung.filter("__up IS NULL").withColumns(first).select(*cols), "level-0"), None, 0, 0
-    nested = hung.filter("__up IS NOT NULL")
-    total = hung.count()
-    while n := level.count():
-        placed += n
-        out = level if out is None else out.unionByName(level)
-        depth += 1
-        # Only an item right below an item is nested; any other block begins lists anew.
-        below = F.when(F.col("type").isin(*LIST_ITEMS), F.col("nest") + 1).otherwise(0)
-        marked = F.when(F.col("type") == "quote", F.concat("quote", F.lit("> "))).otherwise(F.col("quote"))
-        above = level.select("page_id", F.col("block_id").alias("__up"), F.col("path").alias("above"), below.alias("nest"), marked.alias("quote"))
-        path = F.concat_ws("/", "above", "here")
-        level = written(nested.join(above, ["page_id", "__up"]).withColumns({"depth": F.lit(depth), "path": path}).select(*cols), f"level-{depth}")
-    if placed < total:
-        raise ValueError(f"{total - placed} blocks hang on each other in a ring")
-    rows = level if out is None else out
-    parents = nested.select("page_id", F.col("__up").alias("block_id")).distinct().withColumn("__full", F.lit(True))
-    ends = rows.filter("type = 'toggle'").join(parents, ["page_id", "block_id"], "left")
-    close = F.when(F.col("__full"), "\n</details>").otherwise("</details>")
-    ends = ends.withColumns({"depth": F.col("depth") + 1, "path": F.concat_ws("/", "path", F.lit(AFTER)), "rendered": close}).select(*cols)
-    placed_text = _in_context(F.col("rendered"), F.col("type"), F.col("nest"), F.col("quote"))
-    return rows.unionByName(ends).withColumn("rendered", placed_text).drop("nest", "quote")
+    level, out, depth = written(hung.filter("__up IS NULL").withColumns(first).select(*cols), "level-0"), None, 0
+    nested = hung.filter("__up IS NOT NULL").repartition(hung.count() // NESTED_ROWS + 1, "__up").sortWithinPartitions("__up").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        nested.count()  # Once it is kept, joins find it in place.
+        while not level.isEmpty():
+            out = level if out is None else out.unionByName(level)
+            depth += 1
+            # Only an item right below an item is nested; any other block begins lists anew.
+            below = F.when(F.col("type").isin(*LIST_ITEMS), F.col("nest") + 1).otherwise(0)
+            marked = F.when(F.col("type") == "quote", F.concat("quote", F.lit("> "))).otherwise(F.col("quote"))
+            above = level.select(F.col("__id").alias("__up"), F.col("path").alias("above"), below.alias("nest"), marked.alias("quote"))
+            path = F.concat_ws("/", "above", "here")
+            # By merge, as the nested blocks already lie in the order of their parents; paths are too long to broadcast.
+            level = written(nested.join(above.hint("merge"), "__up").withColumns({"depth": F.lit(depth), "path": path}).select(*cols), f"level-{depth}")
+        out = level if out is None else out
+        # Blocks are counted, not places: below a repeated block a block has several.
+        if ring := shaped.count() - out.select("__id").distinct().count():
+            raise ValueError(f"{ring} blocks hang on each other in a ring")
+        places = out.withColumn("close", F.lit(None).cast("string"))
+        parents = nested.select(F.col("__up").alias("__id")).distinct().withColumn("__full", F.lit(True))
+        ends = places.filter("type = 'toggle'").join(parents, "__id", "left")
+        close = F.when(F.col("__full"), "\n</details>").otherwise("</details>")
+        ends = ends.withColumns({"depth": F.col("depth") + 1, "path": F.concat_ws("/", "path", F.lit(AFTER)), "close": close}).drop("__full")
+        texts = shaped.select("__id", "page_id", "block_id", "rendered")
+        rows = places.unionByName(ends).join(texts, "__id").withColumn("rendered", F.coalesce("close", "rendered"))
+        placed_text = _in_context(F.col("rendered"), F.col("type"), F.col("nest"), F.col("quote"))
+        return written(rows.select("page_id", "block_id", "depth", "path", "type", placed_text.alias("rendered"), "orphan"), "rolled", "zstd")
+    finally:
+        nested.unpersist()
 
 
 def assemble_documents(rows: DataFrame, part_chars: int = 4_000_000) -> DataFrame:
     """Document texts from the rows of ``block_rollup``.
 
-    The rows are ranged by page and path, and lengths are summed within each range and, one
-    number a range, over the ranges of a page; so no task grows with a page. A page's text is
-    cut into parts wherever ``part_chars`` characters have come together, counted along the
-    path; any ordinary page is one part, part 0. Joining the parts of a page in order, without
-    anything between them, gives its text. Top-level blocks are set apart by an empty line,
-    nested ones follow on the next line.
+    A page of up to ``part_chars`` characters, as any ordinary one, is one part, part 0, and
+    its texts are shuffled once. The rows of longer pages are ranged by page and path, and
+    lengths are summed within each range and, one number a range, over the ranges of a page;
+    so no task grows with a page. Such a page's text is cut into parts wherever ``part_chars``
+    characters have come together, counted along the path; ``last`` marks a page's last part.
+    Joining the parts of a page in order, without anything between them, gives its text.
+    Top-level blocks are set apart by an empty line, nested ones follow on the next line.
     """
     spaced = F.concat(F.when(F.col("depth") == 0, "\n\n").otherwise("\n"), F.col("rendered"))
     texts = rows.filter("rendered <> ''").select("page_id", "path", spaced.alias("text"))
-    ranged = written(texts.repartitionByRange("page_id", "path").withColumn("__range", F.spark_partition_id()), "ranged")
     size = F.length("text").cast("bigint")
+    body = F.expr("listagg(text, '') WITHIN GROUP (ORDER BY path)")
+    # One row for every part_chars characters at most: few enough to broadcast.
+    long_pages = F.broadcast(written(texts.groupBy("page_id").agg(F.sum(size).alias("n")).filter(F.col("n") > part_chars).select("page_id"), "long-pages"))
+    ordinary = texts.join(long_pages, "page_id", "left_anti").groupBy("page_id").agg(body.alias("body"))
+    ordinary = ordinary.select("page_id", F.lit(0).cast("bigint").alias("part"), "body", F.lit(True).alias("last"))
+    ranged = texts.join(long_pages, "page_id", "left_semi").repartitionByRange("page_id", "path").withColumn("__range", F.spark_partition_id())
+    ranged = written(ranged, "ranged", "zstd")
     sums = ranged.groupBy("page_id", "__range").agg(F.sum(size).alias("n"), F.max("path").alias("last"))
     over_ranges = Window.partitionBy("page_id").orderBy("__range")
     earlier = F.coalesce(F.sum("n").over(over_ranges.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -143,11 +165,10 @@ def assemble_documents(rows: DataFrame, part_chars: int = 4_000_000) -> DataFram
     inside = F.sum(size).over(Window.partitionBy("page_id", "__range").orderBy("path").rowsBetween(Window.unboundedPreceding, -1))
     placed = ranged.withColumn("__inside", F.coalesce(inside, F.lit(0))).join(begins, ["page_id", "__range"])
     before, last = F.col("__earlier") + F.col("__inside"), F.coalesce(F.col("path") == F.col("__end"), F.lit(False))
-    parts = placed.select("page_id", F.floor(before / part_chars).alias("part"), "path", "text", last.alias("__last"))
-    body = F.expr("listagg(text, '') WITHIN GROUP (ORDER BY path)")
-    gathered = parts.groupBy("page_id", "part").agg(body.alias("body"), F.max("__last").alias("__last"))
+    parts = placed.select("page_id", F.floor(before / part_chars).alias("part"), "path", "text", last.alias("last"))
+    gathered = ordinary.unionByName(parts.groupBy("page_id", "part").agg(body.alias("body"), F.max("last").alias("last")))
     opened = F.when(F.col("part") == 0, F.ltrim("body", F.lit("\n"))).otherwise(F.col("body"))
-    return gathered.select("page_id", "part", F.concat(opened, F.when(F.col("__last"), "\n").otherwise("")).alias("body"))
+    return gathered.select("page_id", "part", F.concat(opened, F.when(F.col("last"), "\n").otherwise("")).alias("body"), "last")
 
 
 def type_census(blocks: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:

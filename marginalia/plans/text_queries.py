@@ -581,7 +581,7 @@ t AS (SELECT a.page_id, coalesce(p.pos, a.pos) AS root, CASE WHEN p.pos IS NULL
 SELECT page_id, CAST(0 AS BIGINT) AS part, concat(ltrim(string_agg(text, '' ORDER BY root, below), chr(10)), chr(10)) AS body FROM t GROUP BY page_id""",
 )
 def block_documents(spark, folder):
-    return B.assemble_documents(B.block_rollup(T.blocks(spark, folder), KNOWN))
+    return B.assemble_documents(B.block_rollup(T.blocks(spark, folder), KNOWN)).drop("last")
 
 
 # Every line of a document as a block: trees of nineteen, up to thirteen deep, of all kinds that nest or have a form.
@@ -631,9 +631,11 @@ SELECT doc_id AS page_id, sha256(concat(ltrim(string_agg(text, '' ORDER BY path)
 def nested_documents(spark, folder):
     rows = B.block_rollup(outline_blocks(spark, folder))
     deep = rows.filter("rendered <> ''").groupBy("page_id").agg(F.max("depth").cast("bigint").alias("depth"))
-    whole = B.assemble_documents(rows)
-    parts = F.sha2(F.expr("listagg(body, '') WITHIN GROUP (ORDER BY part)"), 256)
-    return whole.groupBy("page_id").agg(parts.alias("body_hash")).join(deep, "page_id")
+    # The body of a page of one part is hashed where it is; only pieces of longer pages meet once more.
+    one = (F.col("part") == 0) & F.col("last")
+    parts = B.assemble_documents(rows).select("page_id", "part", F.when(one, F.sha2("body", 256)).alias("hash"), F.when(~one, F.col("body")).alias("piece"))
+    joined = F.sha2(F.expr("listagg(piece, '') WITHIN GROUP (ORDER BY part)"), 256)
+    return parts.groupBy("page_id").agg(F.coalesce(F.max("hash"), joined).alias("body_hash")).join(deep, "page_id")
 
 
 @query("unsupported_census", f"WITH {ctes.BLOCKS} SELECT type, count(*) AS blocks, type IN ('user', 'assistant') AS supported FROM blocks GROUP BY type")
